@@ -6,6 +6,7 @@ from ampere.plans.registry import QUERIES, Query
 
 _MODULES = [
     "ampere.plans.catalog_gold",
+    "ampere.plans.catalog_ml",
 ]
 
 

@@ -90,4 +90,5 @@ def local_test_session(cpus: int | str = "*", partitions: int = 8) -> SparkSessi
     return build_session(
         master=f"local[{cpus}]", app="ampere-test", shuffle_partitions=partitions,
         extra={"spark.ui.enabled": "false", "spark.driver.memory": "8g",
+               "spark.ui.showConsoleProgress": "false",
                "spark.sql.autoBroadcastJoinThreshold": str(10 * 1024 * 1024)})
