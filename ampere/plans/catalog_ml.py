@@ -42,7 +42,7 @@ FC_CTES = [
                 avg(CASE WHEN g.timestamp_utc >= l.last_ts - INTERVAL 48 HOUR
                           AND g.timestamp_utc < l.last_ts - INTERVAL 24 HOUR THEN load_mw END) AS older_avg
               FROM gated g JOIN last l ON g.iso_code = l.iso_code GROUP BY g.iso_code"""),
-    ("st", """SELECT l.*, CASE WHEN recent_avg IS NOT NULL AND older_avg IS NOT NULL
+    ("st", """SELECT l.*, tr.recent_avg, tr.older_avg, CASE WHEN recent_avg IS NOT NULL AND older_avg IS NOT NULL
                           THEN CASE WHEN older_avg > 0 THEN recent_avg / older_avg ELSE 1.0 END
                           ELSE 1.0 END AS trend_factor
               FROM last l JOIN tr ON l.iso_code = tr.iso_code"""),
