@@ -9,46 +9,66 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ampere.functions.numeric import round_all, round_half_even
+from ampere.functions.numeric import (exact_mean_aggs, exact_sum, finish_mean, half_even_quotient,
+                                     round_all, round_half_even)
 from ampere.functions.timecols import (day_name, epoch_us, hour_of_day,
                                        weekday_mon0, weekend_flag)
 
 
+_MEAN_COLS = {"avg_load_mw": "load_mw", "avg_temperature": "temperature",
+              "avg_wind_speed": "wind_speed", "avg_humidity": "humidity"}
+
+
 def _load_weather_aggs(with_sum: bool = False):
+    """Aggregates of the hourly / daily tables.  Means are kept twice: a
+    double (input of the ratio columns) and an exact decimal sum plus a
+    count, from which ``_finish`` derives the reported, exactly rounded
+    mean (see ``half_even_quotient``)."""
     aggs = [
-        F.avg("load_mw").alias("avg_load_mw"),
+        F.avg("load_mw").alias("_avg_load_raw"),
         F.min("load_mw").alias("min_load_mw"),
         F.max("load_mw").alias("max_load_mw"),
         F.stddev_samp("load_mw").alias("std_load_mw"),
-    ]
-    if with_sum:
-        # pandas sums an all-null group to 0
-        aggs.append(F.coalesce(F.sum("load_mw"), F.lit(0.0)).alias("total_load_mwh"))
-    aggs += [
         F.count("load_mw").alias("data_points"),
-        F.avg("temperature").alias("avg_temperature"),
         F.min("temperature").alias("min_temperature"),
         F.max("temperature").alias("max_temperature"),
-        F.avg("wind_speed").alias("avg_wind_speed"),
         F.max("wind_speed").alias("max_wind_speed"),
-        F.avg("humidity").alias("avg_humidity"),
     ]
+    for out, src in _MEAN_COLS.items():
+        aggs += [exact_sum(src).alias(f"_s_{out}"), F.count(src).alias(f"_n_{out}")]
     return aggs
 
 
+def _finish(df, with_sum: bool = False, order: list[str] | None = None):
+    cols = {out: half_even_quotient(f"_s_{out}", f"_n_{out}") for out in _MEAN_COLS}
+    if with_sum:
+        # pandas sums an all-null group to 0
+        cols["total_load_mwh"] = F.coalesce(half_even_quotient("_s_avg_load_mw", None), F.lit(0.0))
+    df = df.withColumns(cols)
+    drop = [f"_{k}_{out}" for out in _MEAN_COLS for k in ("s", "n")] + ["_avg_load_raw"]
+    return df.select(*(order or [c for c in df.columns if c not in drop]))
+
+
+_BASE_ORDER = ["avg_load_mw", "min_load_mw", "max_load_mw", "std_load_mw"]
+_WX_ORDER = ["data_points", "avg_temperature", "min_temperature", "max_temperature",
+             "avg_wind_speed", "max_wind_speed", "avg_humidity"]
+
+
 def hourly_metrics(enriched: DataFrame) -> DataFrame:
     """Per (iso_code, hour)."""
     h = enriched.groupBy("iso_code", "hour").agg(*_load_weather_aggs())
     h = h.withColumn("load_variability",
-                     round_half_even(F.try_divide(F.col("std_load_mw"), F.col("avg_load_mw")) * 100))
+                     round_half_even(F.try_divide(F.col("std_load_mw"), F.col("_avg_load_raw")) * 100))
     h = h.withColumns({"hour_of_day": hour_of_day("hour"), "day_of_week": weekday_mon0("hour")})
     h = h.withColumn("is_weekend", weekend_flag(F.col("day_of_week")))
+    h = _finish(h, order=["iso_code", "hour", *_BASE_ORDER, *_WX_ORDER, "load_variability",
+                          "hour_of_day", "day_of_week", "is_weekend"])
     return round_all(h)
 
 
 def hourly_sums(enriched: DataFrame) -> DataFrame:
-    """Unrounded per-hour load sums (input of the C5 consistency check)."""
-    return enriched.groupBy("iso_code", "hour").agg(F.sum("load_mw").alias("sum_load_mw"))
+    """Exact (decimal) per-hour load sums (input of the C5 consistency check)."""
+    return enriched.groupBy("iso_code", "hour").agg(exact_sum("load_mw").alias("sum_load_mw"))
 
 
 def daily_metrics(enriched: DataFrame) -> DataFrame:
@@ -57,15 +77,24 @@ def daily_metrics(enriched: DataFrame) -> DataFrame:
     d = enriched.groupBy("iso_code", F.to_date("timestamp_utc").cast("timestamp_ntz").alias("date")) \
                 .agg(*_load_weather_aggs(with_sum=True))
     d = d.withColumns({
-        "peak_to_avg_ratio": round_half_even(F.try_divide(F.col("max_load_mw"), F.col("avg_load_mw"))),
-        "load_factor": round_half_even(F.try_divide(F.col("avg_load_mw"), F.col("max_load_mw")) * 100),
+        "peak_to_avg_ratio": round_half_even(F.try_divide(F.col("max_load_mw"), F.col("_avg_load_raw"))),
+        "load_factor": round_half_even(F.try_divide(F.col("_avg_load_raw"), F.col("max_load_mw")) * 100),
         "day_of_week": weekday_mon0("date"),
     })
     d = d.withColumns({"is_weekend": weekend_flag(F.col("day_of_week")),
                        "day_name": day_name("date")})
+    d = _finish(d, with_sum=True, order=["iso_code", "date", *_BASE_ORDER, "total_load_mwh", *_WX_ORDER,
+                                         "peak_to_avg_ratio", "load_factor", "day_of_week",
+                                         "is_weekend", "day_name"])
     return round_all(d)
 
 
+def daily_sums(enriched: DataFrame) -> DataFrame:
+    """Exact (decimal) load sum per (iso, day): the consistency-check side."""
+    return enriched.groupBy("iso_code", F.to_date("timestamp_utc").cast("timestamp_ntz").alias("date")) \
+                   .agg(exact_sum("load_mw").alias("sum_load_mw"))
+
+
 def iso_summary(enriched: DataFrame) -> DataFrame:
     """D3 with D4 (completeness), D5 (span days) and D6 (capacity)."""
     s = enriched.groupBy("iso_code").agg(
@@ -83,6 +112,8 @@ def iso_summary(enriched: DataFrame) -> DataFrame:
         F.avg("humidity").alias("avg_humidity"),
         F.count("temperature").alias("_with_temp"),
         F.count(F.lit(1)).alias("_rows"),
+        *[x for out, src in _MEAN_COLS.items()
+          for x in (exact_sum(src).alias(f"_s_{out}"), F.count(src).alias(f"_n_{out}"))],
     )
     s = s.withColumns({
         "data_completeness": round_half_even(F.col("_with_temp") / F.col("_rows") * 100),
@@ -92,25 +123,30 @@ def iso_summary(enriched: DataFrame) -> DataFrame:
     })
     s = s.withColumn("avg_capacity_factor", round_half_even(
         F.try_divide(F.col("avg_load_mw"), F.col("estimated_capacity_mw")) * 100))
-    return round_all(s.drop("_with_temp", "_rows"))
+    s = s.withColumns({out: half_even_quotient(f"_s_{out}", f"_n_{out}") for out in _MEAN_COLS})
+    s = s.drop("_with_temp", "_rows", *[f"_{k}_{out}" for out in _MEAN_COLS for k in ("s", "n")])
+    return round_all(s)
 
 
 def clean_summary(grid: DataFrame) -> DataFrame:
     """Per iso first/last/count timestamp and mean load (2 dp)."""
-    return grid.groupBy("iso_code").agg(
+    a = grid.groupBy("iso_code").agg(
         F.min("timestamp_utc").alias("ts_min"),
         F.max("timestamp_utc").alias("ts_max"),
         F.count("timestamp_utc").alias("ts_count"),
-        round_half_even(F.avg("load_mw")).alias("mean_load_mw"))
+        exact_sum("load_mw").alias("_s"), F.count("load_mw").alias("_n"))
+    return a.withColumn("mean_load_mw", half_even_quotient("_s", "_n")).drop("_s", "_n")
 
 
 def load_profile(df: DataFrame, key: str = "iso_code") -> DataFrame:
     """Mean / sample std / count of load by (key, hour_of_day, day_of_week)."""
-    return df.groupBy(key, hour_of_day("timestamp_utc").alias("hour_of_day"),
-                      weekday_mon0("timestamp_utc").alias("day_of_week")).agg(
-        F.avg("load_mw").alias("mean_load_mw"),
+    p = df.groupBy(key, hour_of_day("timestamp_utc").alias("hour_of_day"),
+                   weekday_mon0("timestamp_utc").alias("day_of_week")).agg(
+        *exact_mean_aggs("load_mw", "mean_load_mw"),
         F.stddev_samp("load_mw").alias("std_load_mw"),
         F.count("load_mw").alias("samples"))
+    return finish_mean(p, "mean_load_mw").select(key, "hour_of_day", "day_of_week", "mean_load_mw",
+                                                 "std_load_mw", "samples")
 
 
 def api_hourly_enriched(hourly: DataFrame) -> DataFrame:
@@ -147,8 +183,9 @@ def temp_load_correlation(hourly: DataFrame, min_rows: int = 10) -> DataFrame:
 def weekday_weekend_diff(daily: DataFrame) -> DataFrame:
     """Mean of daily averages, weekday vs weekend, in % of weekend."""
     a = daily.groupBy("iso_code").agg(
-        F.avg(F.when(F.col("is_weekend") == 0, F.col("avg_load_mw"))).alias("weekday_avg"),
-        F.avg(F.when(F.col("is_weekend") == 1, F.col("avg_load_mw"))).alias("weekend_avg"))
+        *exact_mean_aggs(F.when(F.col("is_weekend") == 0, F.col("avg_load_mw")), "weekday_avg"),
+        *exact_mean_aggs(F.when(F.col("is_weekend") == 1, F.col("avg_load_mw")), "weekend_avg"))
+    a = finish_mean(finish_mean(a, "weekday_avg"), "weekend_avg")
     a = a.where(F.col("weekday_avg").isNotNull() & F.col("weekend_avg").isNotNull())
     return a.withColumn("weekday_vs_weekend_pct", F.try_divide(
         F.col("weekday_avg") - F.col("weekend_avg"), F.col("weekend_avg")) * 100)
@@ -188,14 +225,17 @@ def anomaly_pivot(anomalies: DataFrame) -> DataFrame:
 def forecast_summary(fc: DataFrame) -> DataFrame:
     """Per ISO mean/min/max forecast (2 dp), first/last ts and span."""
     s = fc.groupBy("iso_code").agg(
-        round_half_even(F.avg("forecasted_load_mw")).alias("mean_forecast_mw"),
+        exact_sum("forecasted_load_mw").alias("_s"), F.count("forecasted_load_mw").alias("_n"),
         round_half_even(F.min("forecasted_load_mw")).alias("min_forecast_mw"),
         round_half_even(F.max("forecasted_load_mw")).alias("max_forecast_mw"),
         F.min("timestamp_utc").alias("first_ts"),
         F.max("timestamp_utc").alias("last_ts"),
         F.count(F.lit(1)).alias("forecasts"))
-    return s.withColumn("horizon_hours", ((epoch_us("last_ts") - epoch_us("first_ts"))
-                                          / F.lit(3_600_000_000)).cast("long"))
+    s = s.withColumn("mean_forecast_mw", half_even_quotient("_s", "_n")).drop("_s", "_n")
+    return s.select("iso_code", "mean_forecast_mw", "min_forecast_mw", "max_forecast_mw", "first_ts",
+                    "last_ts", "forecasts",
+                    ((epoch_us("last_ts") - epoch_us("first_ts")) / F.lit(3_600_000_000))
+                    .cast("long").alias("horizon_hours"))
 
 
 def forecast_info(fc: DataFrame) -> DataFrame:

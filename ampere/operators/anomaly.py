@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ampere.functions.numeric import exact_mean_aggs, finish_mean
 from ampere.functions.timecols import time_features
 from ampere.operators.clean import min_history_gate
 from ampere.operators.ordered import top_k_per_key, with_change
@@ -27,8 +28,8 @@ def zscore_flags(df: DataFrame, threshold: float = Z_THRESHOLD, key: str = "iso_
     """K3: z = |x - mean| / sample std per key; flag z > threshold.
 
     A constant series (std 0) or a single row gives null z, never a flag."""
-    st = df.groupBy(key).agg(F.avg("load_mw").alias("_mean"), F.stddev_samp("load_mw").alias("_std"))
-    j = df.join(st, key)
+    st = df.groupBy(key).agg(*exact_mean_aggs("load_mw", "_mean"), F.stddev_samp("load_mw").alias("_std"))
+    j = df.join(finish_mean(st, "_mean"), key)
     z = F.abs(F.try_divide(F.col("load_mw") - F.col("_mean"), F.col("_std")))
     return j.withColumn("z_score", z) \
             .withColumn("is_statistical_outlier", F.coalesce(F.col("z_score") > threshold, F.lit(False))) \
@@ -45,8 +46,8 @@ def pattern_flags(df: DataFrame, k: float = PATTERN_K, key: str = "iso_code") ->
     """K5 (with C3): deviation from the (key, hour, weekday) profile mean
     beyond k sample standard deviations."""
     prof = df.groupBy(key, "hour_of_day", "day_of_week").agg(
-        F.avg("load_mw").alias("expected_load"), F.stddev_samp("load_mw").alias("expected_std"))
-    j = df.join(prof, [key, "hour_of_day", "day_of_week"], "left")
+        *exact_mean_aggs("load_mw", "expected_load"), F.stddev_samp("load_mw").alias("expected_std"))
+    j = df.join(finish_mean(prof, "expected_load"), [key, "hour_of_day", "day_of_week"], "left")
     dev = F.abs(F.col("load_mw") - F.col("expected_load"))
     return j.withColumn("deviation_from_expected", dev) \
             .withColumn("is_pattern_anomaly",

@@ -114,19 +114,18 @@ def dedup_weather_recent(df: DataFrame, as_of: Column, hours: int = 48,
     return dedup_first(recent, ["iso_code", "timestamp_utc"], list(order), keep)
 
 
-def quality_counters(raw: DataFrame, clean: DataFrame, prefix: str) -> DataFrame:
+def quality_counters(raw: DataFrame, clean: DataFrame, feed: str) -> DataFrame:
     """Rows read / cleaned / dropped and the kept percentage (one row).
 
     Both inputs are tagged, unioned and counted in one global aggregate."""
     tagged = raw.select(F.lit(True).alias("_raw")).unionByName(
         clean.select(F.lit(False).alias("_raw")))
-    j = tagged.agg(F.count_if(F.col("_raw")).alias(f"{prefix}_rows_read"),
-                   F.count_if(~F.col("_raw")).alias(f"{prefix}_rows_cleaned"))
-    return j.withColumns({
-        f"{prefix}_rows_dropped": F.col(f"{prefix}_rows_read") - F.col(f"{prefix}_rows_cleaned"),
-        f"{prefix}_quality_pct": F.try_divide(F.col(f"{prefix}_rows_cleaned") * 100.0,
-                                               F.col(f"{prefix}_rows_read")),
-    })
+    j = tagged.agg(F.count_if(F.col("_raw")).alias("rows_read"),
+                   F.count_if(~F.col("_raw")).alias("rows_cleaned"))
+    return j.select(
+        F.lit(feed).alias("feed"), "rows_read", "rows_cleaned",
+        (F.col("rows_read") - F.col("rows_cleaned")).alias("rows_dropped"),
+        F.try_divide(F.col("rows_cleaned") * 100.0, F.col("rows_read")).alias("quality_pct"))
 
 
 def sanitize_timestamps(df: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ampere.functions.numeric import exact_mean_aggs, finish_mean
 from ampere.functions.timecols import hour_of_day, weekday_mon0, weekend_flag
 from ampere.operators.clean import min_history_gate
 
@@ -57,17 +58,18 @@ def iso_stats(hist: DataFrame) -> DataFrame:
     last-24h); 1.0 when either window is empty or the older mean <= 0.
     Two grouped passes: the newest ts per ISO, then conditional averages
     after joining it back (a tiny table)."""
-    last = hist.groupBy("iso_code").agg(F.max("timestamp_utc").alias("last_ts"),
-                                        F.count(F.lit(1)).alias("n_rows"),
-                                        F.avg("load_mw").alias("overall_avg"))
+    last = finish_mean(hist.groupBy("iso_code").agg(
+        F.max("timestamp_utc").alias("last_ts"), F.count(F.lit(1)).alias("n_rows"),
+        *exact_mean_aggs("load_mw", "overall_avg")), "overall_avg")
     j = hist.select("iso_code", "timestamp_utc", "load_mw").join(
         last.select("iso_code", "last_ts"), "iso_code")
     ts, lt = F.col("timestamp_utc"), F.col("last_ts")
     recent = ts >= lt - hours(24)
     older = (ts >= lt - hours(48)) & (ts < lt - hours(24))
     tr = j.groupBy("iso_code").agg(
-        F.avg(F.when(recent, F.col("load_mw"))).alias("recent_avg"),
-        F.avg(F.when(older, F.col("load_mw"))).alias("older_avg"))
+        *exact_mean_aggs(F.when(recent, F.col("load_mw")), "recent_avg"),
+        *exact_mean_aggs(F.when(older, F.col("load_mw")), "older_avg"))
+    tr = finish_mean(finish_mean(tr, "recent_avg"), "older_avg")
     trend = (F.when(F.col("recent_avg").isNotNull() & F.col("older_avg").isNotNull(),
                     F.when(F.col("older_avg") > 0, F.col("recent_avg") / F.col("older_avg"))
                     .otherwise(F.lit(1.0)))
@@ -77,10 +79,11 @@ def iso_stats(hist: DataFrame) -> DataFrame:
 
 def slot_profile(hist: DataFrame) -> DataFrame:
     """Mean / sample std / count of load per (ISO, hour, weekday)."""
-    return hist.groupBy("iso_code", hour_of_day("timestamp_utc").alias("hour_of_day"),
-                        weekday_mon0("timestamp_utc").alias("day_of_week")).agg(
-        F.avg("load_mw").alias("avg_load"), F.stddev_samp("load_mw").alias("std_load"),
+    p = hist.groupBy("iso_code", hour_of_day("timestamp_utc").alias("hour_of_day"),
+                     weekday_mon0("timestamp_utc").alias("day_of_week")).agg(
+        *exact_mean_aggs("load_mw", "avg_load"), F.stddev_samp("load_mw").alias("std_load"),
         F.count("load_mw").alias("count"))
+    return finish_mean(p, "avg_load")
 
 
 def seasonal_forecast(hist: DataFrame, hours_ahead: int = 24, min_rows: int = 24,

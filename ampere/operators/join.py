@@ -90,14 +90,15 @@ def latest_rows(df: DataFrame, key: str = "iso_code", ts: str = "timestamp_utc")
     return df.join(m, (F.col(key) == F.col("_k")) & (F.col(ts) == F.col("_mx")), "left_semi")
 
 
-def daily_vs_hourly(daily: DataFrame, hourly_sums: DataFrame,
+def daily_vs_hourly(daily_sums: DataFrame, hourly_sums: DataFrame,
                     tolerance: float = 1e-6) -> DataFrame:
-    """Recompute day sums from hourly sums, left join to daily, count
-    |diff| > tolerance.  A day without hourly rows (null diff) is not a
-    mismatch.  One output row: days_checked, mismatches."""
+    """Recompute day sums from hourly sums, left join to the daily sums,
+    count |diff| > tolerance.  A day without hourly rows (null diff) is not
+    a mismatch.  Sums are exact decimals, so a mismatch is a real one.
+    One output row: days_checked, mismatches."""
     h = hourly_sums.groupBy("iso_code", F.to_date("hour").cast("timestamp_ntz").alias("date")) \
                    .agg(F.sum("sum_load_mw").alias("_hsum"))
-    j = daily.join(h, on=["iso_code", "date"], how="left")
-    bad = F.abs(F.col("total_load_mwh") - F.col("_hsum")) > F.lit(tolerance)
+    j = daily_sums.join(h, on=["iso_code", "date"], how="left")
+    bad = F.abs(F.col("sum_load_mw") - F.col("_hsum")) > F.lit(tolerance)
     return j.agg(F.count(F.lit(1)).alias("days_checked"),
                  F.count_if(F.coalesce(bad, F.lit(False))).alias("mismatches"))

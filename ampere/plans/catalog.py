@@ -7,6 +7,8 @@ from ampere.plans.registry import QUERIES, Query
 _MODULES = [
     "ampere.plans.catalog_gold",
     "ampere.plans.catalog_ml",
+    "ampere.plans.catalog_clean",
+    "ampere.plans.catalog_features",
 ]
 
 

@@ -9,7 +9,7 @@ from ampere.operators import aggregate as agg
 from ampere.operators import join as jn
 from ampere.plans import medallion as md
 from ampere.plans.registry import register
-from ampere.plans.sqlparts import (DAILY, ENRICHED, HOURLY, SUMMARY, div, r)
+from ampere.plans.sqlparts import (DAILY, ENRICHED, HOURLY, SUMMARY, div, r, xavg, xmean)
 from ampere.sources import fixtures as fx
 
 W = fx.sql_with
@@ -54,7 +54,7 @@ def d3(spark, d):
 
 @register("d7_clean_summary", fx.sql_with() + f"""
     SELECT iso_code, min(timestamp_utc) AS ts_min, max(timestamp_utc) AS ts_max,
-           count(timestamp_utc) AS ts_count, {r('avg(load_mw)')} AS mean_load_mw
+           count(timestamp_utc) AS ts_count, {xavg('load_mw')} AS mean_load_mw
     FROM grid GROUP BY iso_code""")
 def d7(spark, d):
     return agg.clean_summary(fx.grid(spark, d))
@@ -63,7 +63,7 @@ def d7(spark, d):
 @register("d8_load_profile", W(E) + f"""
     SELECT iso_code, CAST(hour(timestamp_utc) AS INTEGER) AS hour_of_day,
            CAST(isodow(timestamp_utc) - 1 AS INTEGER) AS day_of_week,
-           {r('avg(load_mw)', 6)} AS mean_load_mw, {r('stddev_samp(load_mw)', 6)} AS std_load_mw,
+           {r(xmean('load_mw'), 6)} AS mean_load_mw, {r('stddev_samp(load_mw)', 6)} AS std_load_mw,
            count(load_mw) AS samples
     FROM enriched GROUP BY 1, 2, 3""")
 def d8(spark, d):
@@ -98,16 +98,19 @@ def d9(spark, d):
     return agg.grid_totals(jn.latest_rows(agg.api_hourly_enriched(md.hourly(spark, d))))
 
 
-@register("c5_daily_vs_hourly", W(E, D, ("hs", """
+@register("c5_daily_vs_hourly", W(E, ("ds", """
+    SELECT iso_code, CAST(CAST(timestamp_utc AS DATE) AS TIMESTAMP) AS date,
+           sum(CAST(load_mw AS DECIMAL(28,8))) AS dsum FROM enriched GROUP BY 1, 2"""), ("hs", """
     SELECT iso_code, CAST(CAST(hour AS DATE) AS TIMESTAMP) AS date, sum(s) AS hsum
-    FROM (SELECT iso_code, hour, sum(load_mw) AS s FROM enriched GROUP BY 1, 2) GROUP BY 1, 2""")) + """
+    FROM (SELECT iso_code, hour, sum(CAST(load_mw AS DECIMAL(28,8))) AS s FROM enriched GROUP BY 1, 2)
+    GROUP BY 1, 2""")) + """
     SELECT count(*) AS days_checked,
-           count(*) FILTER (WHERE coalesce(abs(d.total_load_mwh - h.hsum) > 1e-6, false)) AS mismatches
-    FROM daily d LEFT JOIN hs h ON d.iso_code = h.iso_code AND d.date = h.date""")
+           count(*) FILTER (WHERE coalesce(abs(d.dsum - h.hsum) > 1e-6, false)) AS mismatches
+    FROM ds d LEFT JOIN hs h ON d.iso_code = h.iso_code AND d.date = h.date""")
 def c5(spark, d):
     """Daily sums against sums recomputed from hourly data."""
     e = md.enriched(spark, d)
-    return jn.daily_vs_hourly(agg.daily_metrics(e), agg.hourly_sums(e))
+    return jn.daily_vs_hourly(agg.daily_sums(e), agg.hourly_sums(e))
 
 
 @register("d10_temp_load_correlation", W(E, H) + f"""
@@ -123,8 +126,8 @@ def d10(spark, d):
 @register("d11_weekday_weekend_diff", W(E, D) + f"""
     SELECT iso_code, {r('wd', 6)} AS weekday_avg, {r('we', 6)} AS weekend_avg,
            {r(div('wd - we', 'we') + ' * 100', 6)} AS weekday_vs_weekend_pct
-    FROM (SELECT iso_code, avg(CASE WHEN is_weekend = 0 THEN avg_load_mw END) AS wd,
-                 avg(CASE WHEN is_weekend = 1 THEN avg_load_mw END) AS we
+    FROM (SELECT iso_code, {xmean('CASE WHEN is_weekend = 0 THEN avg_load_mw END')} AS wd,
+                 {xmean('CASE WHEN is_weekend = 1 THEN avg_load_mw END')} AS we
           FROM daily GROUP BY iso_code)
     WHERE wd IS NOT NULL AND we IS NOT NULL""")
 def d11(spark, d):
@@ -159,7 +162,7 @@ def g1(spark, d):
 
 @register("d7b_silver_grid_from_bronze", fx.sql_with() + f"""
     SELECT iso_code, min(timestamp_utc) AS ts_min, max(timestamp_utc) AS ts_max,
-           count(timestamp_utc) AS ts_count, {r('avg(load_mw)')} AS mean_load_mw
+           count(timestamp_utc) AS ts_count, {xavg('load_mw')} AS mean_load_mw
     FROM (SELECT iso_code, timestamp_utc, load_mw FROM (
             SELECT iso_code, TRY_CAST(timestamp AS TIMESTAMP) AS timestamp_utc,
                    TRY_CAST(load AS DOUBLE) AS load_mw,

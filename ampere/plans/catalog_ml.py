@@ -13,7 +13,7 @@ from ampere.operators import forecast as fcst
 from ampere.operators.ordered import with_change
 from ampere.plans import medallion as md
 from ampere.plans.registry import register
-from ampere.plans.sqlparts import ENRICHED, div, dow, hod, r, weekend
+from ampere.plans.sqlparts import ENRICHED, div, dow, hod, hq, r, weekend, xavg, xmean
 from ampere.sources import fixtures as fx
 
 W = fx.sql_with
@@ -35,12 +35,13 @@ FC_CTES = [
     ("hist", "SELECT iso_code, timestamp_utc, load_mw FROM enriched"),
     ("gated", """SELECT * FROM hist WHERE iso_code IN
                  (SELECT iso_code FROM hist GROUP BY iso_code HAVING count(*) >= 24)"""),
-    ("last", """SELECT iso_code, max(timestamp_utc) AS last_ts, avg(load_mw) AS overall_avg
+    ("last", f"""SELECT iso_code, max(timestamp_utc) AS last_ts, {xmean('load_mw')} AS overall_avg
                 FROM gated GROUP BY iso_code"""),
-    ("tr", """SELECT g.iso_code,
-                avg(CASE WHEN g.timestamp_utc >= l.last_ts - INTERVAL 24 HOUR THEN load_mw END) AS recent_avg,
-                avg(CASE WHEN g.timestamp_utc >= l.last_ts - INTERVAL 48 HOUR
-                          AND g.timestamp_utc < l.last_ts - INTERVAL 24 HOUR THEN load_mw END) AS older_avg
+    ("tr", f"""SELECT g.iso_code,
+                {xmean("CASE WHEN g.timestamp_utc >= l.last_ts - INTERVAL 24 HOUR THEN load_mw END")}
+                  AS recent_avg,
+                {xmean("CASE WHEN g.timestamp_utc >= l.last_ts - INTERVAL 48 HOUR AND g.timestamp_utc < l.last_ts - INTERVAL 24 HOUR THEN load_mw END")}
+                  AS older_avg
               FROM gated g JOIN last l ON g.iso_code = l.iso_code GROUP BY g.iso_code"""),
     ("st", """SELECT l.*, tr.recent_avg, tr.older_avg, CASE WHEN recent_avg IS NOT NULL AND older_avg IS NOT NULL
                           THEN CASE WHEN older_avg > 0 THEN recent_avg / older_avg ELSE 1.0 END
@@ -49,7 +50,7 @@ FC_CTES = [
     ("fut", """SELECT iso_code, last_ts + h * INTERVAL 1 HOUR AS timestamp_utc
                FROM (SELECT iso_code, last_ts, unnest(generate_series(1, 24)) AS h FROM st)"""),
     ("prof", f"""SELECT iso_code, {hod('timestamp_utc')} AS hour_of_day, {dow('timestamp_utc')} AS day_of_week,
-                        avg(load_mw) AS avg_load, stddev_samp(load_mw) AS std_load
+                        {xmean('load_mw')} AS avg_load, stddev_samp(load_mw) AS std_load
                  FROM gated GROUP BY 1, 2, 3"""),
     ("fc0", f"""SELECT f.iso_code, f.timestamp_utc, p.avg_load * s.trend_factor AS fl, p.std_load,
                        s.overall_avg
@@ -113,7 +114,7 @@ _FC = ("fcr", f"""SELECT iso_code, timestamp_utc, forecasted_load_mw, ci_lower,
 
 
 @register("d15_forecast_summary", W(E, *FC_CTES) + f"""
-    SELECT iso_code, {r('avg(forecasted_load_mw)')} AS mean_forecast_mw,
+    SELECT iso_code, {xavg('forecasted_load_mw')} AS mean_forecast_mw,
            {r('min(forecasted_load_mw)')} AS min_forecast_mw, {r('max(forecasted_load_mw)')} AS max_forecast_mw,
            min(timestamp_utc) AS first_ts, max(timestamp_utc) AS last_ts, count(*) AS forecasts,
            CAST(trunc((epoch_us(max(timestamp_utc)) - epoch_us(min(timestamp_utc))) / 3600000000) AS BIGINT)
@@ -186,8 +187,9 @@ AN_CTES = [
                       load_mw - lag(load_mw) OVER w AS load_change,
                       {div('load_mw - lag(load_mw) OVER w', 'lag(load_mw) OVER w')} * 100.0 AS load_change_pct
                FROM gated WINDOW w AS (PARTITION BY iso_code ORDER BY timestamp_utc)"""),
-    ("zs", """SELECT iso_code, avg(load_mw) AS m, stddev_samp(load_mw) AS s FROM gated GROUP BY iso_code"""),
-    ("pr", """SELECT iso_code, hour_of_day, day_of_week, avg(load_mw) AS expected_load,
+    ("zs", f"""SELECT iso_code, {xmean('load_mw')} AS m, stddev_samp(load_mw) AS s
+               FROM gated GROUP BY iso_code"""),
+    ("pr", f"""SELECT iso_code, hour_of_day, day_of_week, {xmean('load_mw')} AS expected_load,
                      stddev_samp(load_mw) AS expected_std FROM tf GROUP BY 1, 2, 3"""),
     ("fl", f"""SELECT t.*, abs({div('t.load_mw - zs.m', 'zs.s')}) AS z_score,
                       pr.expected_load, abs(t.load_mw - pr.expected_load) AS deviation_from_expected,

@@ -13,6 +13,33 @@ def r(expr: str, digits: int = 2) -> str:
     return f"(round_even(({expr}) * {s}, 0) / {s})"
 
 
+def hq(sum_expr: str, n_expr: str | None, digits: int = 2) -> str:
+    """Exact half-even rounding of sum / n (``half_even_quotient`` twin).
+    ``sum_expr`` must be an exact DECIMAL(38,8) sum."""
+    up, down = 10 ** max(0, digits - 8), 10 ** max(0, 8 - digits)
+    num = f"CAST(abs({sum_expr}) * {10 ** 8 * up} AS HUGEINT)"
+    nn = f"CAST({n_expr} AS HUGEINT)" if n_expr else "CAST(1 AS HUGEINT)"
+    den = f"({nn} * {down})"
+    q = f"({num} // {den})"
+    rem = f"({num} - {q} * {den})"
+    units = f"({q} + CASE WHEN 2 * {rem} > {den} THEN 1 WHEN 2 * {rem} = {den} THEN {q} % 2 ELSE 0 END)"
+    return (f"(CASE WHEN ({sum_expr}) IS NULL OR {nn} = 0 THEN NULL "
+            f"ELSE sign({sum_expr}) * {units} / {float(10 ** digits)} END)")
+
+
+def xsum(col: str) -> str:
+    return f"sum(CAST({col} AS DECIMAL(28,8)))"
+
+
+def xavg(col: str, digits: int = 2) -> str:
+    return hq(xsum(col), f"count({col})", digits)
+
+
+def xmean(col: str) -> str:
+    """Exact mean at 10 places (``finish_mean`` twin)."""
+    return hq(xsum(col), f"count({col})", 10)
+
+
 def hod(ts: str) -> str:
     return f"CAST(hour({ts}) AS INTEGER)"
 
@@ -59,21 +86,21 @@ ENRICHED = """
 
 def load_weather_aggs(with_sum: bool = False) -> str:
     parts = [
-        f"{r('avg(load_mw)')} AS avg_load_mw",
+        f"{xavg('load_mw')} AS avg_load_mw",
         f"{r('min(load_mw)')} AS min_load_mw",
         f"{r('max(load_mw)')} AS max_load_mw",
         f"{r('stddev_samp(load_mw)')} AS std_load_mw",
     ]
     if with_sum:
-        parts.append(f"{r('coalesce(sum(load_mw), 0.0)')} AS total_load_mwh")
+        parts.append(f"coalesce({hq(xsum('load_mw'), None)}, 0.0) AS total_load_mwh")
     parts += [
         "count(load_mw) AS data_points",
-        f"{r('avg(temperature)')} AS avg_temperature",
+        f"{xavg('temperature')} AS avg_temperature",
         f"{r('min(temperature)')} AS min_temperature",
         f"{r('max(temperature)')} AS max_temperature",
-        f"{r('avg(wind_speed)')} AS avg_wind_speed",
+        f"{xavg('wind_speed')} AS avg_wind_speed",
         f"{r('max(wind_speed)')} AS max_wind_speed",
-        f"{r('avg(humidity)')} AS avg_humidity",
+        f"{xavg('humidity')} AS avg_humidity",
     ]
     return ",\n           ".join(parts)
 
@@ -98,11 +125,11 @@ DAILY = f"""
 
 SUMMARY = f"""
     SELECT iso_code, data_start, data_end, total_observations,
-           {r('avg_load_mw')} AS avg_load_mw, {r('min_load_mw')} AS min_load_mw,
+           x_avg_load_mw AS avg_load_mw, {r('min_load_mw')} AS min_load_mw,
            {r('max_load_mw')} AS max_load_mw, {r('std_load_mw')} AS std_load_mw,
-           {r('avg_temperature')} AS avg_temperature, {r('min_temperature')} AS min_temperature,
-           {r('max_temperature')} AS max_temperature, {r('avg_wind_speed')} AS avg_wind_speed,
-           {r('avg_humidity')} AS avg_humidity,
+           x_avg_temperature AS avg_temperature, {r('min_temperature')} AS min_temperature,
+           {r('max_temperature')} AS max_temperature, x_avg_wind_speed AS avg_wind_speed,
+           x_avg_humidity AS avg_humidity,
            {r(r('with_temp / n_rows * 100'))} AS data_completeness,
            {r(r('(epoch_us(data_end) - epoch_us(data_start)) / 1e6 / 86400.0', 1))} AS data_span_days,
            {r(r('max_load_mw * 1.1', 0))} AS estimated_capacity_mw,
@@ -114,6 +141,8 @@ SUMMARY = f"""
                  avg(temperature) AS avg_temperature, min(temperature) AS min_temperature,
                  max(temperature) AS max_temperature, avg(wind_speed) AS avg_wind_speed,
                  avg(humidity) AS avg_humidity, count(temperature) AS with_temp,
+                 {xavg('load_mw')} AS x_avg_load_mw, {xavg('temperature')} AS x_avg_temperature,
+                 {xavg('wind_speed')} AS x_avg_wind_speed, {xavg('humidity')} AS x_avg_humidity,
                  count(*) AS n_rows
           FROM enriched GROUP BY iso_code) s
 """

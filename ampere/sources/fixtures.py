@@ -50,6 +50,37 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def weather_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly station observations: several stations (user_id) per ISO and
+    hour, the shape the weather adapter de-duplicates (B6)."""
+    e = _events(spark, sf_dir)
+    return e.where(F.col("event_id") % 10 == 0).select(
+        F.upper("event_type").alias("iso_code"),
+        F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz").alias("timestamp_utc"),
+        F.col("user_id").alias("station"),
+        (F.col("value") % 60).alias("temperature"),
+        F.get_json_object("props", "$.k").cast("double").alias("wind_speed"),
+        (F.col("event_id") % 101).cast("double").alias("humidity"),
+    )
+
+
+def frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grid frequency samples per ISO: 59.4 + (value % 120) / 100 Hz, so
+    both sides of the 59.5-60.5 Hz band occur."""
+    g = grid(spark, sf_dir)
+    return g.select("iso_code", "timestamp_utc", "id",
+                    (F.lit(59.4) + (F.col("load_mw") % 120) / 100).alias("frequency_hz"))
+
+
+def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weather stations: one per distinct events.user_id, placed over the
+    continental US by a fixed rule."""
+    u = _events(spark, sf_dir).select(F.col("user_id").alias("station")).distinct()
+    return u.select("station",
+                    (F.lit(25.0) + (F.col("station") * 37 % 2400) / 100.0).alias("lat"),
+                    (F.lit(-124.0) + (F.col("station") * 53 % 5700) / 100.0).alias("lon"))
+
+
 def _load_text(v, idc):
     return (F.when(idc % 97 == 0, F.lit("bad"))
             .otherwise(F.when(idc % 89 == 0, -v)
@@ -143,6 +174,18 @@ SQL_VIEWS = {
                CAST(json_extract_string(props, '$.k') AS DOUBLE) AS wind_speed,
                CAST(event_id % 101 AS DOUBLE) AS humidity
         FROM events WHERE event_id % 10 = 0""",
+    "weather_stations": """
+        SELECT upper(event_type) AS iso_code, date_trunc('hour', CAST(ts AS TIMESTAMP)) AS timestamp_utc,
+               user_id AS station, value % 60 AS temperature,
+               CAST(json_extract_string(props, '$.k') AS DOUBLE) AS wind_speed,
+               CAST(event_id % 101 AS DOUBLE) AS humidity
+        FROM events WHERE event_id % 10 = 0""",
+    "frequency": """
+        SELECT iso_code, timestamp_utc, id, 59.4 + (load_mw % 120) / 100 AS frequency_hz FROM grid""",
+    "stations": """
+        SELECT station, 25.0 + (station * 37 % 2400) / 100.0 AS lat,
+               -124.0 + (station * 53 % 5700) / 100.0 AS lon
+        FROM (SELECT DISTINCT user_id AS station FROM events)""",
     "bronze_grid": """
         SELECT iso_code, strftime(timestamp_utc, '%Y-%m-%d %H:%M:%S') AS timestamp,
                CASE WHEN id % 97 = 0 THEN 'bad'
@@ -179,7 +222,7 @@ SQL_VIEWS = {
 }
 
 # dependency order for WITH clauses
-_SQL_ORDER = ["grid", "weather", "bronze_grid", "bronze_weather", "prices",
+_SQL_ORDER = ["grid", "weather", "weather_stations", "frequency", "stations", "bronze_grid", "bronze_weather", "prices",
               "request_log", "order_feed"]
 
 
