@@ -332,3 +332,44 @@ def e5(spark, d):
 def e6(spark, d):
     return an.latest_critical(anomalies_3vote(spark, d)).select(
         "iso_code", "timestamp_utc", "load_mw", "anomaly_type", "severity")
+
+
+# ---------------------------------------------------------------- ML (rows-only checks)
+
+@register("k6_isolation_forest")
+def k6(spark, d):
+    """Isolation-forest share of flagged rows per ISO (about 5% by design)."""
+    from ampere.operators.forest import isolation_forest_flags
+    t = time_features(an.min_history_gate(md.enriched(spark, d), 50))
+    f = isolation_forest_flags(t)
+    return f.groupBy("iso_code").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if("is_isolation_anomaly").alias("flagged"),
+        (F.count_if("is_isolation_anomaly") / F.count(F.lit(1))).alias("flagged_share"),
+        F.min("anomaly_score").alias("min_score"), F.max("anomaly_score").alias("max_score"))
+
+
+@register("k8_detect_anomalies")
+def k8(spark, d):
+    """Full detector: >= 2 of z-score, isolation forest, rapid change,
+    pattern deviation."""
+    return _r6(an.detect_anomalies(md.enriched(spark, d), use_forest=True), _AN_ROUND)
+
+
+@register("k10_k11_rf_train_evaluate")
+def k10(spark, d):
+    """Random forest (50 trees, depth 10, seed 42) on an 80/20 split;
+    test RMSE / MAE."""
+    from ampere.operators.model import train_and_evaluate
+    _, metrics = train_and_evaluate(md.enriched(spark, d))
+    return metrics
+
+
+@register("k12_rf_persist_score")
+def k12(spark, d):
+    """Save the fitted pipeline to the shared folder, reload, score."""
+    from ampere.operators.model import load_and_score, save_model, train_and_evaluate
+    from ampere.session import new_path
+    model, _ = train_and_evaluate(md.enriched(spark, d))
+    path = save_model(model, new_path(spark, "rf_load_model"))
+    return load_and_score(path, md.enriched(spark, d)).select(
+        "iso_code", "timestamp_utc", "load_mw", "prediction")
