@@ -9,6 +9,7 @@ _MODULES = [
     "ampere.plans.catalog_ml",
     "ampere.plans.catalog_clean",
     "ampere.plans.catalog_features",
+    "ampere.plans.catalog_sources",
 ]
 
 
