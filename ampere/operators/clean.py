@@ -37,12 +37,15 @@ def resolve_columns(df: DataFrame, targets: Mapping[str, Sequence[str]]) -> Data
 
 
 def try_timestamp(c: Column | str) -> Column:
-    """Lenient text -> TIMESTAMP_NTZ; junk gives null (pandas coerce)."""
+    """Lenient text -> TIMESTAMP_NTZ; junk gives null (pandas coerce).
+    A bare number is not a date (Spark would read "45293" as a year)."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.coalesce(
-        F.try_to_timestamp(c.cast("string"), F.lit("yyyy-MM-dd HH:mm:ss")),
-        F.try_to_timestamp(c.cast("string")),
-    ).cast("timestamp_ntz")
+    txt = c.cast("string")
+    numeric = txt.rlike(r"^\s*[+-]?[0-9]+(\.[0-9]*)?([eE][+-]?[0-9]+)?\s*$")
+    return F.when(~numeric, F.coalesce(
+        F.try_to_timestamp(txt, F.lit("yyyy-MM-dd HH:mm:ss")),
+        F.try_to_timestamp(txt),
+    )).cast("timestamp_ntz")
 
 
 def coerce_types(df: DataFrame, types: Mapping[str, str]) -> DataFrame:

@@ -24,7 +24,8 @@ from ampere.sources import sinks as sk
 W = fx.sql_with
 E = ("enriched", ENRICHED)
 H = ("hourly", HOURLY)
-_DAY = F.to_date(F.try_to_timestamp(F.col("timestamp")))
+def _day():
+    return F.to_date(F.try_to_timestamp(F.col("timestamp")))
 
 
 @register("a1_scan_bronze_grid", W() + """
@@ -32,7 +33,7 @@ _DAY = F.to_date(F.try_to_timestamp(F.col("timestamp")))
 def a1(spark, d):
     """Land the raw grid feed as iso/date folders, scan it back recursively
     (ISO from the path)."""
-    root = br.write_bronze_dated(fx.bronze_grid(spark, d), new_path(spark, "bronze_grid"), _DAY)
+    root = br.write_bronze_dated(fx.bronze_grid(spark, d), new_path(spark, "bronze_grid"), _day())
     # the raw text of a number is engine specific; compare the parsed value
     return br.scan_bronze(spark, root).select(
         "iso_code", "timestamp", F.col("load").try_cast("double").alias("load_value"), "seq", "id")
@@ -49,8 +50,8 @@ def a2(spark, d):
     # every 20th observation arrives from a station without a humidity sensor
     with_h = bw.where(F.col("id") % 20 != 0)
     no_h = bw.where(F.col("id") % 20 == 0).drop("humidity")
-    br.write_bronze_dated(with_h, root, _DAY)
-    br.write_bronze_dated(no_h, root, _DAY)
+    br.write_bronze_dated(with_h, root, _day())
+    br.write_bronze_dated(no_h, root, _day())
     s = br.scan_bronze(spark, root)
     return s.select("iso_code", "timestamp", "temperature", "wind_speed", "humidity", "id")
 
@@ -117,7 +118,7 @@ def a9(spark, d):
 @register("a10_write_bronze_dated")
 def a10(spark, d):
     """Rows per (ISO, ingest date) folder after landing the raw grid feed."""
-    root = br.write_bronze_dated(fx.bronze_grid(spark, d), new_path(spark, "bronze_dated"), _DAY)
+    root = br.write_bronze_dated(fx.bronze_grid(spark, d), new_path(spark, "bronze_dated"), _day())
     s = spark.read.parquet(root)
     return s.groupBy("iso_code", "ingest_date").agg(F.count(F.lit(1)).alias("rows"))
 
@@ -156,7 +157,7 @@ def a13(spark, d):
 def b10(spark, d):
     """Raw files (one unreadable) rewritten with normalised timestamp
     text and numeric load into a new folder."""
-    root = br.write_bronze_dated(fx.bronze_grid(spark, d), new_path(spark, "bronze_dirty"), _DAY)
+    root = br.write_bronze_dated(fx.bronze_grid(spark, d), new_path(spark, "bronze_dirty"), _day())
     with open_text(spark, f"{root}/iso_code=CORRUPT/ingest_date=2024-01-01/broken.parquet") as f:
         f.write("not a parquet file")
     out = br.sanitize_rewrite(spark, root, new_path(spark, "bronze_sanitized"))

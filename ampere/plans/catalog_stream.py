@@ -13,7 +13,8 @@ from ampere.sources import fixtures as fx
 from ampere.streaming import incremental as inc
 
 W = fx.sql_with
-_DAY = F.to_date(F.try_to_timestamp(F.col("timestamp")))
+def _day():
+    return F.to_date(F.try_to_timestamp(F.col("timestamp")))
 
 
 def _land(spark, d, seq: int | None = None):
@@ -23,7 +24,7 @@ def _land(spark, d, seq: int | None = None):
     b = fx.bronze_grid(spark, d)
     if seq is not None:
         b = b.where(F.col("seq") == seq)
-    b.withColumn("ingest_date", _DAY.cast("string")).write.partitionBy("ingest_date").parquet(root)
+    b.withColumn("ingest_date", _day().cast("string")).write.partitionBy("ingest_date").parquet(root)
     return root
 
 
@@ -69,7 +70,7 @@ def n3(spark, d):
     # the re-sent copies land in the same folder and a second run picks
     # up only the new files
     b = fx.bronze_grid(spark, d).where(F.col("seq") == 1)
-    b.withColumn("ingest_date", _DAY.cast("string")).write.mode("append").partitionBy("ingest_date").parquet(first)
+    b.withColumn("ingest_date", _day().cast("string")).write.mode("append").partitionBy("ingest_date").parquet(first)
     s2 = inc.dedup_stream(inc.clean_stream(inc.bronze_stream(spark, first)))
     inc.run_available_now(s2.select("iso_code", "timestamp_utc", "load_mw", "seq", "id"), out, ckpt)
     return spark.read.parquet(out)
