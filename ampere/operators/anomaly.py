@@ -14,6 +14,7 @@ from ampere.functions.numeric import exact_mean_aggs, finish_mean
 from ampere.functions.timecols import time_features
 from ampere.operators.clean import min_history_gate
 from ampere.operators.ordered import top_k_per_key, with_change
+from ampere.operators.attach import attach
 
 # Fixed values of the reference detector.
 Z_THRESHOLD = 3.0
@@ -29,7 +30,7 @@ def zscore_flags(df: DataFrame, threshold: float = Z_THRESHOLD, key: str = "iso_
 
     A constant series (std 0) or a single row gives null z, never a flag."""
     st = df.groupBy(key).agg(*exact_mean_aggs("load_mw", "_mean"), F.stddev_samp("load_mw").alias("_std"))
-    j = df.join(finish_mean(st, "_mean"), key)
+    j = attach(df, finish_mean(st, "_mean"), key)
     z = F.abs(F.try_divide(F.col("load_mw") - F.col("_mean"), F.col("_std")))
     return j.withColumn("z_score", z) \
             .withColumn("is_statistical_outlier", F.coalesce(F.col("z_score") > threshold, F.lit(False))) \
@@ -47,7 +48,7 @@ def pattern_flags(df: DataFrame, k: float = PATTERN_K, key: str = "iso_code") ->
     beyond k sample standard deviations."""
     prof = df.groupBy(key, "hour_of_day", "day_of_week").agg(
         *exact_mean_aggs("load_mw", "expected_load"), F.stddev_samp("load_mw").alias("expected_std"))
-    j = df.join(finish_mean(prof, "expected_load"), [key, "hour_of_day", "day_of_week"], "left")
+    j = attach(df, finish_mean(prof, "expected_load"), [key, "hour_of_day", "day_of_week"], "left")
     dev = F.abs(F.col("load_mw") - F.col("expected_load"))
     return j.withColumn("deviation_from_expected", dev) \
             .withColumn("is_pattern_anomaly",
@@ -110,7 +111,7 @@ def standardize(df: DataFrame, cols: list[str], key: str | None = "iso_code") ->
     if key:
         st = df.groupBy(key).agg(*[F.avg(c).alias(f"_m_{c}") for c in cols],
                                  *[F.stddev_pop(c).alias(f"_s_{c}") for c in cols])
-        j = df.join(st, key)
+        j = attach(df, st, key)
     else:  # global statistics, attached as scalar subqueries
         j = df.withColumns({f"_m_{c}": df.select(F.avg(c)).scalar() for c in cols}) \
               .withColumns({f"_s_{c}": df.select(F.stddev_pop(c)).scalar() for c in cols})

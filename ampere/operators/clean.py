@@ -174,5 +174,6 @@ def assert_min_rows(df: DataFrame, n: int) -> int:
 
 def min_history_gate(df: DataFrame, n: int, key: str = "iso_code") -> DataFrame:
     """Keep keys with at least ``n`` rows (count per key, semi join)."""
+    from ampere.operators.attach import attach
     ok = df.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= n)
-    return df.join(ok, F.col(key) == F.col("_k"), "left_semi")
+    return attach(df, ok.select("_k"), F.col(key) == F.col("_k"), "left_semi")

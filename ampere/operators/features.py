@@ -14,6 +14,7 @@ from ampere.functions.numeric import EXACT_DEC, MEAN_DIGITS, half_even_quotient
 from ampere.functions.timecols import epoch_us
 from ampere.operators.ordered import previous_row
 from ampere.operators.quantile import exact_quantiles
+from ampere.operators.attach import attach
 
 # Fixed values from the documentation.
 LAG_HOURS = [1, 3, 6, 12, 24, 48, 168]
@@ -78,7 +79,7 @@ def iqr_outliers(df: DataFrame, key: str = "iso_code", col: str = "load_mw", k:
     q = exact_quantiles(df, key, col, [0.25, 0.75], ["q1", "q3"])
     q = q.withColumns({"lower_fence": F.col("q1") - k * (F.col("q3") - F.col("q1")),
                        "upper_fence": F.col("q3") + k * (F.col("q3") - F.col("q1"))})
-    j = df.join(q.select(key, "q1", "q3", "lower_fence", "upper_fence"), key)
+    j = attach(df, q.select(key, "q1", "q3", "lower_fence", "upper_fence"), key)
     return j.withColumn("is_iqr_outlier",
                         (F.col(col) < F.col("lower_fence")) | (F.col(col) > F.col("upper_fence")))
 
@@ -151,7 +152,7 @@ def calendar_features(df: DataFrame, ts: str = "hour") -> DataFrame:
     d = df.withColumn("_date", F.to_date(ts))
     years = d.select(F.year("_date").alias("year")).distinct()
     hol = us_holidays(years).select(F.col("date").alias("_date"), F.lit(1).alias("_hol")).distinct()
-    d = d.join(hol, "_date", "left")
+    d = attach(d, hol, "_date", "left")
     return d.select(*df.columns,
                     F.year(ts).alias("year"), F.quarter(ts).alias("quarter"), F.month(ts).alias("month"),
                     F.weekofyear(ts).alias("week"), F.dayofmonth(ts).alias("day"),

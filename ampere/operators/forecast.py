@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ampere.functions.numeric import exact_mean_aggs, finish_mean
 from ampere.functions.timecols import hour_of_day, weekday_mon0, weekend_flag
 from ampere.operators.clean import min_history_gate
+from ampere.operators.attach import attach
 
 # Fixed values of the reference forecast.
 MODEL_VERSION = "simple_v1"
@@ -61,8 +62,8 @@ def iso_stats(hist: DataFrame) -> DataFrame:
     last = finish_mean(hist.groupBy("iso_code").agg(
         F.max("timestamp_utc").alias("last_ts"), F.count(F.lit(1)).alias("n_rows"),
         *exact_mean_aggs("load_mw", "overall_avg")), "overall_avg")
-    j = hist.select("iso_code", "timestamp_utc", "load_mw").join(
-        last.select("iso_code", "last_ts"), "iso_code")
+    j = attach(hist.select("iso_code", "timestamp_utc", "load_mw"),
+               last.select("iso_code", "last_ts"), "iso_code")
     ts, lt = F.col("timestamp_utc"), F.col("last_ts")
     recent = ts >= lt - hours(24)
     older = (ts >= lt - hours(48)) & (ts < lt - hours(24))

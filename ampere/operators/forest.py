@@ -30,6 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ampere.operators.quantile import exact_quantiles
+from ampere.operators.attach import attach
 
 EULER_GAMMA = 0.5772156649015329
 
@@ -109,7 +110,8 @@ def fit_forest(df: DataFrame, features: Sequence[str], key: str, row_key: Sequen
     features = list(features)
     n = df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
     d = df.select(F.col(key).cast("string").alias("_key"), *row_key,
-                  *[F.col(c).cast("double").alias(c) for c in features]).join(n, "_key")
+                  *[F.col(c).cast("double").alias(c) for c in features])
+    d = attach(d, n, "_key")
     d = d.fillna({c: 0.0 for c in features})
     psi = F.least(F.col("_n"), F.lit(max_samples))
     p = F.least(F.lit(1.0), F.lit(2.0) * psi / F.col("_n"))
@@ -198,6 +200,6 @@ def isolation_forest_flags(df: DataFrame, contamination: float = 0.05, key: str
     sc = isolation_scores(df, features, key, row_key, n_trees, max_samples, seed)
     sc = sc.withColumn("_neg", -F.col("anomaly_score"))
     thr = exact_quantiles(sc, key, "_neg", [contamination], ["_thr"]).select(key, "_thr")
-    j = sc.join(thr, key, "left")
+    j = attach(sc, thr, key, "left")
     return j.withColumn("is_isolation_anomaly", F.coalesce(F.col("_neg") < F.col("_thr"), F.lit(False))) \
             .drop("_neg", "_thr")

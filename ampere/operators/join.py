@@ -77,7 +77,8 @@ def profile_join(df: DataFrame, profile: DataFrame,
                  keys: Sequence[str] = ("iso_code", "hour_of_day", "day_of_week")) -> DataFrame:
     """Left join a (key, hour, dow) profile.  The profile has at most
     168 rows per key, so Spark's size check broadcasts it."""
-    return df.join(profile, on=list(keys), how="left")
+    from ampere.operators.attach import attach
+    return attach(df, profile, list(keys), "left")
 
 
 def latest_rows(df: DataFrame, key: str = "iso_code", ts: str = "timestamp_utc") -> DataFrame:
@@ -86,8 +87,9 @@ def latest_rows(df: DataFrame, key: str = "iso_code", ts: str = "timestamp_utc")
     Max per key is a tiny partial aggregate; the equi join back is
     broadcast by the planner when the per-key table is small.
     """
+    from ampere.operators.attach import attach
     m = df.groupBy(F.col(key).alias("_k")).agg(F.max(ts).alias("_mx"))
-    return df.join(m, (F.col(key) == F.col("_k")) & (F.col(ts) == F.col("_mx")), "left_semi")
+    return attach(df, m, (F.col(key) == F.col("_k")) & (F.col(ts) == F.col("_mx")), "left_semi")
 
 
 def daily_vs_hourly(daily_sums: DataFrame, hourly_sums: DataFrame,

@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ampere.functions.timecols import epoch_us
+from ampere.operators.attach import attach
 
 
 def _as_list(x) -> list[str]:
@@ -47,7 +48,8 @@ def previous_row(df: DataFrame, keys: str | Sequence[str], ts: str,
     carry = last.withColumn(
         "_carry", F.lag("_last").over(Window.partitionBy(*keys).orderBy("_bk"))
     ).select(*keys, "_bk", "_carry")
-    j = lagged.join(carry, on=[*keys, "_bk"], how="left")
+    # one row per (key, bucket): size-checked broadcast, else a shuffle join
+    j = attach(lagged, carry, [*keys, "_bk"], "left")
     out = j.withColumns({
         f"{prefix}{c}": F.when(F.col("_first"), F.col(f"_carry.{c}"))
                          .otherwise(F.col(f"_lag_{c}"))

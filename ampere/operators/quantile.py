@@ -14,6 +14,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
+from ampere.operators.attach import attach
 
 
 def exact_quantiles(df: DataFrame, key: str | Sequence[str], col: str,
@@ -25,7 +26,7 @@ def exact_quantiles(df: DataFrame, key: str | Sequence[str], col: str,
     w = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     cum = vals.withColumn("_hi", F.sum("_c").over(w)).withColumn("_lo", F.col("_hi") - F.col("_c"))
     n = vals.groupBy(*keys).agg(F.sum("_c").alias("_n"))
-    cum = cum.join(n, keys)
+    cum = attach(cum, n, keys)
     aggs = [F.first("_n").alias("n")]
     for p, name in zip(probs, names):
         pos = F.lit(float(p)) * (F.col("_n") - 1)

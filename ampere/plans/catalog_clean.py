@@ -320,5 +320,5 @@ def d17(spark, d):
 def l7(spark, d):
     """Current anomalies by ISO and severity, with the panel colour."""
     from ampere.operators.service import anomaly_gauge
-    return anomaly_gauge(an.detect_anomalies(md.enriched(spark, d), use_forest=False))
+    return anomaly_gauge(an.detect_anomalies(md.silver_enriched(spark, d), use_forest=False))
 

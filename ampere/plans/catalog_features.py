@@ -289,7 +289,7 @@ def m_grid_stability(spark, d):
     GROUP BY w."window", a.iso_code""")
 def m_anomaly_window(spark, d):
     """Anomalies of the last 1h / 6h / 24h / 7d per ISO with deviation %."""
-    e = md.enriched(spark, d)
+    e = md.silver_enriched(spark, d)
     anoms = an.detect_anomalies(e, use_forest=False)
     x = ft.anomaly_windows(anoms, e.select(F.max("timestamp_utc")).scalar())
     return _r6(x, ["mean_deviation_pct"])
@@ -347,7 +347,7 @@ _BT = [("hist", """SELECT iso_code, timestamp_utc, load_mw FROM enriched
 def m_forecast_error(spark, d):
     """Back-test: forecast from history up to 24 h before the end, minus
     the hourly actual of the forecast hour."""
-    e = md.enriched(spark, d)
+    e = md.silver_enriched(spark, d)
     hist = e.where(F.col("timestamp_utc") < e.select(F.max("timestamp_utc")).scalar()
                    - F.make_dt_interval(hours=F.lit(24)))
     fc = fcst.seasonal_forecast(hist, 24, lookback_hours=None)

@@ -28,7 +28,7 @@ def _r6(df, cols):
 
 def forecast_df(spark, d):
     """K2 over the whole enriched history (no look-back cut)."""
-    return fcst.seasonal_forecast(md.enriched(spark, d), hours_ahead=24, lookback_hours=None)
+    return fcst.seasonal_forecast(md.silver_enriched(spark, d), hours_ahead=24, lookback_hours=None)
 
 
 FC_CTES = [
@@ -80,7 +80,7 @@ def k2(spark, d):
     SELECT iso_code, timestamp_utc, {hod('timestamp_utc')} AS hour_of_day,
            {dow('timestamp_utc')} AS day_of_week, {weekend('timestamp_utc')} AS is_weekend FROM fut""")
 def k1(spark, d):
-    hist = md.enriched(spark, d)
+    hist = md.silver_enriched(spark, d)
     from ampere.operators.clean import min_history_gate
     st = fcst.iso_stats(min_history_gate(hist.select("iso_code", "timestamp_utc", "load_mw"), 24))
     return fcst.future_grid(st.select("iso_code", "last_ts"), 24)
@@ -90,7 +90,7 @@ def k1(spark, d):
     SELECT s.iso_code, {r('s.recent_avg', 6)} AS recent_avg, {r('s.older_avg', 6)} AS older_avg,
            {r('s.trend_factor', 6)} AS trend_factor FROM st s""")
 def e3(spark, d):
-    hist = md.enriched(spark, d).select("iso_code", "timestamp_utc", "load_mw")
+    hist = md.silver_enriched(spark, d).select("iso_code", "timestamp_utc", "load_mw")
     from ampere.operators.clean import min_history_gate
     st = fcst.iso_stats(min_history_gate(hist, 24))
     return _r6(st.select("iso_code", "recent_avg", "older_avg", "trend_factor"),
@@ -103,7 +103,7 @@ def e3(spark, d):
     GROUP BY iso_code""")
 def a4(spark, d):
     """Rows of the last 168 hours before the newest timestamp, per ISO."""
-    rec = fcst.scan_recent(md.enriched(spark, d), 168)
+    rec = fcst.scan_recent(md.silver_enriched(spark, d), 168)
     return rec.groupBy("iso_code").agg(F.count(F.lit(1)).alias("recent_rows"),
                                        F.min("timestamp_utc").alias("first_ts"),
                                        F.max("timestamp_utc").alias("last_ts"))
@@ -217,7 +217,7 @@ _AN_ROUND = ["z_score", "load_change_pct", "deviation_from_expected", "expected_
 
 def anomalies_3vote(spark, d):
     """K8 with the three deterministic methods (isolation forest off)."""
-    return an.detect_anomalies(md.enriched(spark, d), use_forest=False)
+    return an.detect_anomalies(md.silver_enriched(spark, d), use_forest=False)
 
 
 @register("k8_detect_anomalies_3vote", W(E, *AN_CTES) + f"""
@@ -234,14 +234,14 @@ def k8_3(spark, d):
     SELECT anomaly_count, count(*) AS rows FROM vt GROUP BY anomaly_count""")
 def k7(spark, d):
     """Rows per number of method votes (K3-K5 flags summed, K7)."""
-    s = an.score_rows(md.enriched(spark, d), use_forest=False)
+    s = an.score_rows(md.silver_enriched(spark, d), use_forest=False)
     return s.groupBy("anomaly_count").agg(F.count(F.lit(1)).alias("rows"))
 
 
 @register("k3_zscore_outlier", W(E, *AN_CTES[:5]) + f"""
     SELECT iso_code, timestamp_utc, {r('z_score', 6)} AS z_score, is_statistical_outlier FROM fl""")
 def k3(spark, d):
-    t = an.zscore_flags(an.min_history_gate(md.enriched(spark, d), 50))
+    t = an.zscore_flags(an.min_history_gate(md.silver_enriched(spark, d), 50))
     return _r6(t.select("iso_code", "timestamp_utc", "z_score", "is_statistical_outlier"), ["z_score"])
 
 
@@ -251,7 +251,7 @@ def k3(spark, d):
            coalesce(abs(load_change_pct) > 20, false) AS is_rapid_change FROM tf""")
 def e1(spark, d):
     """Previous-row diff and pct change per ISO (E1, E2) and the K4 flag."""
-    t = an.rapid_change_flags(with_change(an.min_history_gate(md.enriched(spark, d), 50)))
+    t = an.rapid_change_flags(with_change(an.min_history_gate(md.silver_enriched(spark, d), 50)))
     return _r6(t.select("iso_code", "timestamp_utc", "load_mw", "load_change", "load_change_pct",
                         "is_rapid_change"), ["load_change", "load_change_pct"])
 
@@ -260,7 +260,7 @@ def e1(spark, d):
     SELECT iso_code, timestamp_utc, {r('expected_load', 6)} AS expected_load,
            {r('deviation_from_expected', 6)} AS deviation_from_expected, is_pattern_anomaly FROM fl""")
 def k5(spark, d):
-    t = an.pattern_flags(time_features(an.min_history_gate(md.enriched(spark, d), 50)))
+    t = an.pattern_flags(time_features(an.min_history_gate(md.silver_enriched(spark, d), 50)))
     return _r6(t.select("iso_code", "timestamp_utc", "expected_load", "deviation_from_expected",
                         "is_pattern_anomaly"), ["expected_load", "deviation_from_expected"])
 
@@ -269,7 +269,7 @@ def k5(spark, d):
     SELECT iso_code, timestamp_utc, {hod('timestamp_utc')} AS hour_of_day,
            {dow('timestamp_utc')} AS day_of_week, {weekend('timestamp_utc')} AS is_weekend FROM enriched""")
 def k13(spark, d):
-    return time_features(md.enriched(spark, d)).select(
+    return time_features(md.silver_enriched(spark, d)).select(
         "iso_code", "timestamp_utc", "hour_of_day", "day_of_week", "is_weekend")
 
 
@@ -285,7 +285,7 @@ def k13(spark, d):
     FROM tf9 t JOIN st9 s ON t.iso_code = s.iso_code""")
 def k9(spark, d):
     """Per-ISO standard scaling of the isolation-forest features."""
-    t = time_features(md.enriched(spark, d))
+    t = time_features(md.silver_enriched(spark, d))
     s = an.standardize(t, ["load_mw", "hour_of_day", "day_of_week"])
     cols = ["load_mw_scaled", "hour_of_day_scaled", "day_of_week_scaled"]
     return _r6(s.select("iso_code", "timestamp_utc", *cols), cols)
@@ -340,7 +340,7 @@ def e6(spark, d):
 def k6(spark, d):
     """Isolation-forest share of flagged rows per ISO (about 5% by design)."""
     from ampere.operators.forest import isolation_forest_flags
-    t = time_features(an.min_history_gate(md.enriched(spark, d), 50))
+    t = time_features(an.min_history_gate(md.silver_enriched(spark, d), 50))
     f = isolation_forest_flags(t)
     return f.groupBy("iso_code").agg(
         F.count(F.lit(1)).alias("rows"), F.count_if("is_isolation_anomaly").alias("flagged"),
@@ -352,7 +352,7 @@ def k6(spark, d):
 def k8(spark, d):
     """Full detector: >= 2 of z-score, isolation forest, rapid change,
     pattern deviation."""
-    return _r6(an.detect_anomalies(md.enriched(spark, d), use_forest=True), _AN_ROUND)
+    return _r6(an.detect_anomalies(md.silver_enriched(spark, d), use_forest=True), _AN_ROUND)
 
 
 @register("k10_k11_rf_train_evaluate")
@@ -360,7 +360,7 @@ def k10(spark, d):
     """Random forest (50 trees, depth 10, seed 42) on an 80/20 split;
     test RMSE / MAE."""
     from ampere.operators.model import train_and_evaluate
-    _, metrics = train_and_evaluate(md.enriched(spark, d))
+    _, metrics = train_and_evaluate(md.silver_enriched(spark, d))
     return metrics
 
 
@@ -369,7 +369,7 @@ def k12(spark, d):
     """Save the fitted pipeline to the shared folder, reload, score."""
     from ampere.operators.model import load_and_score, save_model, train_and_evaluate
     from ampere.session import new_path
-    model, _ = train_and_evaluate(md.enriched(spark, d))
+    model, _ = train_and_evaluate(md.silver_enriched(spark, d))
     path = save_model(model, new_path(spark, "rf_load_model"))
-    return load_and_score(path, md.enriched(spark, d)).select(
+    return load_and_score(path, md.silver_enriched(spark, d)).select(
         "iso_code", "timestamp_utc", "load_mw", "prediction")
