@@ -131,15 +131,29 @@ def fit_forest(df: DataFrame, features: Sequence[str], key: str, row_key: Sequen
 
 
 def _forest_arrays(nodes: pd.DataFrame) -> dict:
-    """key -> (feature, threshold, left, right, size, depth) per tree
-    (ragged arrays), plus psi."""
+    """key -> padded (trees x max_nodes) arrays: feature (-1 = leaf),
+    threshold, left, right and the leaf path length depth + c(size); plus
+    the normaliser c(psi) and the traversal depth."""
     out = {}
     for key, g in nodes.groupby("key"):
-        trees = []
-        for _, t in g.sort_values(["tree", "node"]).groupby("tree"):
-            trees.append(tuple(t[c].to_numpy() for c in ("feature", "threshold", "left", "right",
-                                                          "size", "depth")))
-        out[key] = (trees, int(g["psi"].iloc[0]))
+        trees = np.sort(g["tree"].unique())
+        tix = np.searchsorted(trees, g["tree"].to_numpy())
+        width = int(g["node"].max()) + 1
+        shape = (len(trees), width)
+        feat = np.full(shape, -1, dtype=np.int64)
+        thr = np.zeros(shape)
+        left = np.zeros(shape, dtype=np.int64)
+        right = np.zeros(shape, dtype=np.int64)
+        plen = np.zeros(shape)
+        nid = g["node"].to_numpy()
+        feat[tix, nid] = g["feature"].to_numpy()
+        thr[tix, nid] = g["threshold"].to_numpy()
+        left[tix, nid] = np.maximum(g["left"].to_numpy(), 0)
+        right[tix, nid] = np.maximum(g["right"].to_numpy(), 0)
+        plen[tix, nid] = g["depth"].to_numpy() + c_factor(g["size"].to_numpy())
+        psi = int(g["psi"].iloc[0])
+        norm = float(c_factor(np.array([psi]))[0]) if psi > 1 else 0.0
+        out[key] = (feat, thr, left, right, plen, norm, int(g["depth"].max()))
     return out
 
 
@@ -149,29 +163,28 @@ def _scorer(bc, features: list[str], key_col: str):
         for pdf in batches:
             s = np.full(len(pdf), np.nan)
             keys = pdf[key_col].astype(str).to_numpy()
-            x_all = pdf[features].to_numpy(dtype=float)
-            x_all = np.nan_to_num(x_all)
+            x_all = np.nan_to_num(pdf[features].to_numpy(dtype=float))
             for key in np.unique(keys):
                 if key not in forest:
                     continue
-                trees, psi = forest[key]
+                feat, thr, left, right, plen, norm, depth = forest[key]
                 m = keys == key
                 x = x_all[m]
-                total = np.zeros(len(x))
-                rows = np.arange(len(x))
-                for feat, thr, left, right, size, depth in trees:
-                    node = np.zeros(len(x), dtype=np.int64)
-                    for _ in range(int(depth.max()) + 1):
-                        f = feat[node]
-                        inner = f >= 0
-                        if not inner.any():
-                            break
-                        xv = x[rows, np.where(inner, f, 0)]
-                        nxt = np.where(xv <= thr[node], left[node], right[node])
-                        node = np.where(inner, nxt, node)
-                    total += depth[node] + c_factor(size[node])
-                eh = total / len(trees)
-                s[m] = np.power(2.0, -eh / c_factor(np.array([psi]))[0]) if psi > 1 else 1.0
+                n, t = len(x), feat.shape[0]
+                tid = np.broadcast_to(np.arange(t), (n, t))
+                rid = np.broadcast_to(np.arange(n)[:, None], (n, t))
+                node = np.zeros((n, t), dtype=np.int64)
+                # all trees at once: one gather per level
+                for _ in range(depth + 1):
+                    f = feat[tid, node]
+                    inner = f >= 0
+                    if not inner.any():
+                        break
+                    xv = x[rid, np.where(inner, f, 0)]
+                    nxt = np.where(xv <= thr[tid, node], left[tid, node], right[tid, node])
+                    node = np.where(inner, nxt, node)
+                eh = plen[tid, node].mean(axis=1)
+                s[m] = np.power(2.0, -eh / norm) if norm > 0 else 1.0
             out = pdf.copy()
             out["anomaly_score"] = s
             yield out
