@@ -74,15 +74,15 @@ def land_weather_geojson(docs: DataFrame, text_col: str = "value", iso_col: str
 
 
 def weather_to_geojson(weather: DataFrame) -> DataFrame:
-    """Group observations into one FeatureCollection text per (ISO, day):
-    the service's payload shape (a day of hourly observations per station
-    is a bounded group)."""
+    """Group observations into one FeatureCollection text per (ISO, hour):
+    the service's payload shape.  The group is one station-hour of
+    readings, bounded by the sensor rate, never a whole day or feed."""
     feat = F.struct(F.struct(
         F.date_format("timestamp_utc", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'").alias("timestamp"),
         F.struct(F.col("temperature").alias("value")).alias("temperature"),
         F.struct(F.col("wind_speed").alias("value")).alias("windSpeed"),
         F.struct(F.col("humidity").alias("value")).alias("relativeHumidity")).alias("properties"))
-    g = weather.groupBy("iso_code", F.to_date("timestamp_utc").alias("day")).agg(
+    g = weather.groupBy("iso_code", F.date_trunc("hour", "timestamp_utc").alias("hour")).agg(
         F.collect_list(feat).alias("features"))
     return g.select("iso_code", F.to_json(F.struct("features")).alias("value"))
 

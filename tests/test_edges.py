@@ -197,3 +197,18 @@ def test_half_even_quotient(spark):
         assert out[k] == float(exp)
     for x in (2.675, 0.125, 1.005, 49.905, -3.335):
         assert spark.range(1).select(round_half_even(F.lit(x), 2)).first()[0] == float(np.round(x, 2))
+
+
+def test_exact_quantiles_refinement_passes(spark):
+    # force several refinement passes with a tiny direct_max / bucket count
+    rnd = np.random.default_rng(11)
+    vals = rnd.normal(0, 1, 3000)
+    vals[:500] = 0.25                                    # heavy ties
+    rows = [("a", float(v)) for v in vals] + [("b", 7.0)] * 50 + [("c", 1.0), ("c", 2.0)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    q = {r.k: r for r in exact_quantiles(df, "k", "v", [0.05, 0.5, 0.95], ["a", "b", "c"],
+                                         buckets=8, direct_max=40).collect()}
+    for name, p in zip("abc", [5, 50, 95]):
+        assert abs(getattr(q["a"], name) - np.percentile(vals, p)) < 1e-12
+        assert getattr(q["b"], name) == 7.0
+        assert abs(getattr(q["c"], name) - np.percentile([1.0, 2.0], p)) < 1e-12
