@@ -62,14 +62,17 @@ def shared_dir(spark: SparkSession) -> str:
     is the case in local tests.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session has no SparkContext
+        sc = None
+    if not d and sc is not None:
+        d = sc.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="ampere-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-        spark.sparkContext.setCheckpointDir(d)
-    elif not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d.rstrip("/")
 
 
