@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ampere.functions.numeric import exact_mean_aggs, finish_mean
 from ampere.functions.timecols import time_features
-from ampere.operators.clean import min_history_gate
+from ampere.operators.clean import min_history_gate  # noqa: F401  (re-exported)
 from ampere.operators.ordered import top_k_per_key, with_change
 from ampere.operators.attach import attach
 
@@ -25,12 +25,23 @@ VOTES_NEEDED = 2
 MAX_SEVERITY = 5
 
 
-def zscore_flags(df: DataFrame, threshold: float = Z_THRESHOLD, key: str = "iso_code") -> DataFrame:
+def key_stats(df: DataFrame, key: str = "iso_code", min_rows: int | None = None) -> DataFrame:
+    """Per key: rows, exact mean and sample std of load; keys with fewer
+    than ``min_rows`` rows dropped (the B15 gate and the K3 statistics in
+    one pass)."""
+    st = finish_mean(df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), *exact_mean_aggs("load_mw", "_mean"),
+                                         F.stddev_samp("load_mw").alias("_std")), "_mean")
+    return st.where(F.col("_n") >= min_rows) if min_rows else st
+
+
+def zscore_flags(df: DataFrame, threshold: float = Z_THRESHOLD, key: str = "iso_code",
+                 stats_attached: bool = False) -> DataFrame:
     """K3: z = |x - mean| / sample std per key; flag z > threshold.
 
-    A constant series (std 0) or a single row gives null z, never a flag."""
-    st = df.groupBy(key).agg(*exact_mean_aggs("load_mw", "_mean"), F.stddev_samp("load_mw").alias("_std"))
-    j = attach(df, finish_mean(st, "_mean"), key)
+    A constant series (std 0) or a single row gives null z, never a flag.
+    With ``stats_attached`` the ``_mean`` / ``_std`` columns of
+    ``key_stats`` are already on the rows."""
+    j = df if stats_attached else attach(df, key_stats(df, key).select(key, "_mean", "_std"), key)
     z = F.abs(F.try_divide(F.col("load_mw") - F.col("_mean"), F.col("_std")))
     return j.withColumn("z_score", z) \
             .withColumn("is_statistical_outlier", F.coalesce(F.col("z_score") > threshold, F.lit(False))) \
@@ -74,11 +85,15 @@ def vote_and_classify(df: DataFrame, flags: list[str] | None = None) -> DataFram
 
 def score_rows(df: DataFrame, min_rows: int = MIN_ROWS, use_forest: bool = True,
                bucket_seconds: int = 3600, forest_kwargs: dict | None = None) -> DataFrame:
-    """All rows of keys with enough history, with every method's flag."""
-    g = min_history_gate(df, min_rows)
+    """All rows of keys with enough history, with every method's flag.
+
+    One per-key pass gives both the history gate and the z-score
+    statistics; the inner join of that small table gates the rows."""
+    st = key_stats(df, min_rows=min_rows).select("iso_code", "_mean", "_std")
+    g = attach(df, st, "iso_code")
     t = time_features(g)
     t = with_change(t, bucket_seconds=bucket_seconds)
-    t = zscore_flags(t)
+    t = zscore_flags(t, stats_attached=True)
     t = rapid_change_flags(t)
     t = pattern_flags(t)
     if use_forest:

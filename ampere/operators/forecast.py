@@ -13,8 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ampere.functions.numeric import exact_mean_aggs, finish_mean
 from ampere.functions.timecols import hour_of_day, weekday_mon0, weekend_flag
-from ampere.operators.clean import min_history_gate
-from ampere.operators.attach import attach
+from ampere.operators.attach import small_side
 
 # Fixed values of the reference forecast.
 MODEL_VERSION = "simple_v1"
@@ -52,18 +51,23 @@ def future_grid(last: DataFrame, hours_ahead: int = 24) -> DataFrame:
     return f.withColumn("is_weekend", weekend_flag(F.col("day_of_week")))
 
 
-def iso_stats(hist: DataFrame) -> DataFrame:
-    """Per ISO: newest ts, row count, mean load and the 24h/24h trend.
+def iso_stats(hist: DataFrame, min_rows: int | None = None) -> DataFrame:
+    """Per ISO: newest ts, row count, mean load and the 24h/24h trend (E3);
+    ISOs with fewer than ``min_rows`` rows are dropped (B15).
 
     The trend compares mean load in [last-24h, last] with [last-48h,
     last-24h); 1.0 when either window is empty or the older mean <= 0.
-    Two grouped passes: the newest ts per ISO, then conditional averages
-    after joining it back (a tiny table)."""
+    Two grouped passes: the per-ISO summary (which is also the history
+    gate: dropping a whole ISO changes no other ISO's numbers), then
+    conditional averages after joining it back (size-checked broadcast)."""
     last = finish_mean(hist.groupBy("iso_code").agg(
         F.max("timestamp_utc").alias("last_ts"), F.count(F.lit(1)).alias("n_rows"),
         *exact_mean_aggs("load_mw", "overall_avg")), "overall_avg")
-    j = attach(hist.select("iso_code", "timestamp_utc", "load_mw"),
-               last.select("iso_code", "last_ts"), "iso_code")
+    if min_rows:
+        last = last.where(F.col("n_rows") >= min_rows)
+    last = small_side(last)
+    j = hist.select("iso_code", "timestamp_utc", "load_mw").join(
+        last.select("iso_code", "last_ts"), "iso_code")
     ts, lt = F.col("timestamp_utc"), F.col("last_ts")
     recent = ts >= lt - hours(24)
     older = (ts >= lt - hours(48)) & (ts < lt - hours(24))
@@ -99,8 +103,8 @@ def seasonal_forecast(hist: DataFrame, hours_ahead: int = 24, min_rows: int = 24
     hist = hist.select("iso_code", "timestamp_utc", "load_mw")
     as_of = newest(hist) if as_of is None else as_of
     hist = scan_recent(hist, lookback_hours, as_of)
-    hist = min_history_gate(hist, min_rows)
-    st = iso_stats(hist)
+    # the gate lives in iso_stats; profiles of gated-out ISOs join nothing
+    st = iso_stats(hist, min_rows)
     fut = future_grid(st.select("iso_code", "last_ts"), hours_ahead)
     fc = fut.join(slot_profile(hist), ["iso_code", "hour_of_day", "day_of_week"], "left") \
             .join(st.select("iso_code", "trend_factor", "overall_avg"), "iso_code")

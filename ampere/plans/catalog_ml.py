@@ -81,8 +81,7 @@ def k2(spark, d):
            {dow('timestamp_utc')} AS day_of_week, {weekend('timestamp_utc')} AS is_weekend FROM fut""")
 def k1(spark, d):
     hist = md.silver_enriched(spark, d)
-    from ampere.operators.clean import min_history_gate
-    st = fcst.iso_stats(min_history_gate(hist.select("iso_code", "timestamp_utc", "load_mw"), 24))
+    st = fcst.iso_stats(hist.select("iso_code", "timestamp_utc", "load_mw"), 24)
     return fcst.future_grid(st.select("iso_code", "last_ts"), 24)
 
 
@@ -91,8 +90,7 @@ def k1(spark, d):
            {r('s.trend_factor', 6)} AS trend_factor FROM st s""")
 def e3(spark, d):
     hist = md.silver_enriched(spark, d).select("iso_code", "timestamp_utc", "load_mw")
-    from ampere.operators.clean import min_history_gate
-    st = fcst.iso_stats(min_history_gate(hist, 24))
+    st = fcst.iso_stats(hist, 24)
     return _r6(st.select("iso_code", "recent_avg", "older_avg", "trend_factor"),
                ["recent_avg", "older_avg", "trend_factor"])
 
