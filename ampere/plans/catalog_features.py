@@ -12,7 +12,6 @@ from ampere.operators import anomaly as an
 from ampere.operators import features as ft
 from ampere.operators import forecast as fcst
 from ampere.operators import service as sv
-from ampere.operators.ordered import previous_row  # noqa: F401  (used via service)
 from ampere.plans import medallion as md
 from ampere.plans.catalog_clean import CLEANED, COERCED, SGRID
 from ampere.plans.catalog_ml import AN_CTES, FC_CTES

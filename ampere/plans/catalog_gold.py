@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ampere.functions.numeric import round_half_even
 from ampere.operators import aggregate as agg
 from ampere.operators import join as jn

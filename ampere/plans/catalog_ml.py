@@ -13,7 +13,7 @@ from ampere.operators import forecast as fcst
 from ampere.operators.ordered import with_change
 from ampere.plans import medallion as md
 from ampere.plans.registry import register
-from ampere.plans.sqlparts import ENRICHED, div, dow, hod, hq, r, weekend, xavg, xmean
+from ampere.plans.sqlparts import ENRICHED, div, dow, hod, r, weekend, xavg, xmean
 from ampere.sources import fixtures as fx
 
 W = fx.sql_with
