@@ -356,3 +356,23 @@ def m_forecast_error(spark, d):
     x = j.select("iso_code", "timestamp_utc", "forecasted_load_mw", "actual_load_mw",
                  (F.col("forecasted_load_mw") - F.col("actual_load_mw")).alias("forecast_error_mw"))
     return _r6(x, ["forecasted_load_mw", "actual_load_mw", "forecast_error_mw"])
+
+
+@register("k11_evaluate_backtest", W(E, H, *_BT) + f"""
+    SELECT {r('sqrt(avg((f.forecasted_load_mw - h.avg_load_mw) * (f.forecasted_load_mw - h.avg_load_mw)))', 6)}
+             AS rmse,
+           {r('avg(abs(f.forecasted_load_mw - h.avg_load_mw))', 6)} AS mae, count(*) AS test_rows
+    FROM fc f JOIN hourly h ON h.iso_code = f.iso_code AND h.hour = date_trunc('hour', f.timestamp_utc)""")
+def k11_backtest(spark, d):
+    """The model-evaluation formulas (RMSE, MAE) applied to the forecast
+    back-test, whose predictions are reproducible in SQL."""
+    from ampere.operators.model import evaluate
+    e = md.silver_enriched(spark, d)
+    hist = e.where(F.col("timestamp_utc") < e.select(F.max("timestamp_utc")).scalar()
+                   - F.make_dt_interval(hours=F.lit(24)))
+    fc = fcst.seasonal_forecast(hist, 24, lookback_hours=None)
+    from ampere.functions.timecols import floor_hour
+    h = md.hourly(spark, d).select("iso_code", "hour", F.col("avg_load_mw").alias("load_mw"))
+    preds = fc.withColumn("hour", floor_hour("timestamp_utc")).join(h, ["iso_code", "hour"]) \
+              .withColumnRenamed("forecasted_load_mw", "prediction")
+    return _r6(evaluate(preds), ["rmse", "mae"])
