@@ -233,15 +233,15 @@ def _report_sql(table, src, checks):
     for c in checks:
         if c.kind == "non_empty":
             parts.append(f"SELECT '{table}' AS table_name, 'non_empty' AS check, CAST(NULL AS VARCHAR) AS column_name, "
-                         f"CAST(count(*) AS DOUBLE) AS value, 0.0 AS threshold, count(*) > 0 AS passed FROM {src}")
+                         f"CAST(count(*) AS DOUBLE) AS value, CAST(0.0 AS DOUBLE) AS threshold, count(*) > 0 AS passed FROM {src}")
         elif c.kind == "null_ratio":
             v = (f"CASE WHEN count(*) = 0 THEN NULL ELSE "
                  f"CAST(count(*) FILTER (WHERE {c.column} IS NULL) AS DOUBLE) / count(*) END")
-            parts.append(f"SELECT '{table}', 'null_ratio', '{c.column}', {v}, {float(c.threshold)}, "
+            parts.append(f"SELECT '{table}', 'null_ratio', '{c.column}', {v}, CAST({float(c.threshold)} AS DOUBLE), "
                          f"coalesce({v} <= {float(c.threshold)}, false) FROM {src}")
         else:
             bad = f"count(*) FILTER (WHERE {c.column} < {c.lo} OR {c.column} > {c.hi})"
-            parts.append(f"SELECT '{table}', 'range', '{c.column}', CAST({bad} AS DOUBLE), 0.0, "
+            parts.append(f"SELECT '{table}', 'range', '{c.column}', CAST({bad} AS DOUBLE), CAST(0.0 AS DOUBLE), "
                          f"{bad} = 0 FROM {src}")
     return "\nUNION ALL\n".join(parts)
 

@@ -62,7 +62,7 @@ FC_CTES = [
                      coalesce(fl - 1.96 * std_load, overall_avg * 0.9) AS ci_lower,
                      coalesce(fl + 1.96 * std_load, overall_avg * 1.1) AS ci_upper,
                      (SELECT max(timestamp_utc) FROM hist) AS forecast_generated_at,
-                     'simple_v1' AS model_version, 0.95 AS confidence
+                     'simple_v1' AS model_version, CAST(0.95 AS DOUBLE) AS confidence
               FROM fc0"""),
 ]
 
