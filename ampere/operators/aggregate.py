@@ -163,12 +163,16 @@ def api_hourly_enriched(hourly: DataFrame) -> DataFrame:
 
 def grid_totals(latest: DataFrame) -> DataFrame:
     """Totals over the latest row of every ISO (input: C4 output)."""
-    return latest.agg(
+    # exact (decimal) sums, as the SQL numeric type of the original query
+    a = latest.agg(
         F.count(F.lit(1)).alias("iso_count"),
-        F.coalesce(F.sum("total_load_mw"), F.lit(0.0)).alias("total_load_mw"),
-        F.coalesce(F.sum("renewables_mw"), F.lit(0.0)).alias("renewables_mw"),
-        F.coalesce(F.avg("lmp_avg"), F.lit(0.0)).alias("avg_price"),
+        F.coalesce(exact_sum("total_load_mw").cast("double"), F.lit(0.0)).alias("total_load_mw"),
+        F.coalesce(exact_sum("renewables_mw").cast("double"), F.lit(0.0)).alias("renewables_mw"),
+        *exact_mean_aggs("lmp_avg", "avg_price"),
         F.max("timestamp_utc").alias("as_of_utc"))
+    a = finish_mean(a, "avg_price")
+    return a.select("iso_count", "total_load_mw", "renewables_mw",
+                    F.coalesce(F.col("avg_price"), F.lit(0.0)).alias("avg_price"), "as_of_utc")
 
 
 def temp_load_correlation(hourly: DataFrame, min_rows: int = 10) -> DataFrame:

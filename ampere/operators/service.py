@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ampere.functions.numeric import exact_sum, half_even_quotient
 from ampere.operators.ordered import islands, previous_row
 
 # The default latency histogram buckets (seconds) of the
@@ -106,10 +107,12 @@ def threshold_alert(series: DataFrame, value: str, threshold: float, for_steps:
     return out.drop("_series") if "_series" in keys else out
 
 
-def mean_latency(log: DataFrame, width: str = "5 minutes") -> DataFrame:
-    """Summed duration / request count per window."""
-    return log.groupBy(_win("ts", width).alias("window_start")).agg(
-        F.try_divide(F.sum("latency"), F.count(F.lit(1)).cast("double")).alias("mean_latency_s"))
+def mean_latency(log: DataFrame, width: str = "5 minutes", digits: int = 9) -> DataFrame:
+    """Summed duration / request count per window (exact decimal sum,
+    rounded half-even at ``digits`` places: independent of row order)."""
+    a = log.groupBy(_win("ts", width).alias("window_start")).agg(
+        exact_sum("latency").alias("_s"), F.count("latency").alias("_n"))
+    return a.select("window_start", half_even_quotient("_s", "_n", digits).alias("mean_latency_s"))
 
 
 def anomaly_gauge(anoms: DataFrame) -> DataFrame:

@@ -112,11 +112,11 @@ def l6(spark, d):
 
 
 @register("l8_mean_latency", W() + f"""
-    SELECT {_w5()} AS window_start, {r('sum(latency) / count(*)', 9)} AS mean_latency_s
+    SELECT {_w5()} AS window_start, {hq("sum(CAST(latency AS DECIMAL(28,8)))", "count(latency)", 9)}
+             AS mean_latency_s
     FROM request_log GROUP BY 1""")
 def l8(spark, d):
-    return sv.mean_latency(fx.request_log(spark, d)).withColumn(
-        "mean_latency_s", round_half_even("mean_latency_s", 9))
+    return sv.mean_latency(fx.request_log(spark, d))
 
 
 # ---------------------------------------------------------------- M

@@ -86,10 +86,11 @@ def c4(spark, d):
     return jn.latest_rows(agg.api_hourly_enriched(md.hourly(spark, d)))
 
 
-@register("d9_grid_totals", W(E, H) + "," + _LATEST + """
-    SELECT count(*) AS iso_count, coalesce(sum(total_load_mw), 0.0) AS total_load_mw,
-           coalesce(sum(renewables_mw), 0.0) AS renewables_mw,
-           coalesce(avg(lmp_avg), 0.0) AS avg_price, max(timestamp_utc) AS as_of_utc
+@register("d9_grid_totals", W(E, H) + "," + _LATEST + f"""
+    SELECT count(*) AS iso_count,
+           coalesce(CAST(sum(CAST(total_load_mw AS DECIMAL(28,8))) AS DOUBLE), 0.0) AS total_load_mw,
+           coalesce(CAST(sum(CAST(renewables_mw AS DECIMAL(28,8))) AS DOUBLE), 0.0) AS renewables_mw,
+           coalesce({xmean('lmp_avg')}, 0.0) AS avg_price, max(timestamp_utc) AS as_of_utc
     FROM curr""")
 def d9(spark, d):
     """The API summary totals over the latest row per ISO."""
