@@ -43,8 +43,9 @@ def counter_increase(samples: DataFrame, series: str, ts: str, value: str,
     inc = (F.when(prev.isNull(), F.lit(0.0))
            .when(F.col(value) < prev, F.col(value))
            .otherwise(F.col(value) - prev))
+    # exact decimal sum: the total does not depend on row order
     return p.groupBy(_win(ts, width).alias("window_start"), series).agg(
-        F.sum(inc).alias("increase"), F.count(F.lit(1)).alias("samples"))
+        exact_sum(inc).cast("double").alias("increase"), F.count(F.lit(1)).alias("samples"))
 
 
 def latency_quantile(log: DataFrame, q: float = 0.95, width: str = "5 minutes",

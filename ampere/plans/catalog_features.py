@@ -43,7 +43,8 @@ def l1(spark, d):
 
 
 @register("l2_counter_increase", W() + f"""
-    SELECT {_w5()} AS window_start, endpoint, {r('sum(inc)', 6)} AS increase, count(*) AS samples FROM (
+    SELECT {_w5()} AS window_start, endpoint,
+           {r('CAST(sum(CAST(inc AS DECIMAL(28,8))) AS DOUBLE)', 6)} AS increase, count(*) AS samples FROM (
       SELECT ts, endpoint, CASE WHEN prev IS NULL THEN 0.0 WHEN latency < prev THEN latency
                                 ELSE latency - prev END AS inc
       FROM (SELECT *, lag(latency) OVER (PARTITION BY endpoint ORDER BY ts, id) AS prev FROM request_log))
