@@ -33,7 +33,8 @@ def _day():
 def a1(spark, d):
     """Land the raw grid feed as iso/date folders, scan it back recursively
     (ISO from the path)."""
-    root = br.write_bronze_dated(fx.bronze_grid(spark, d), new_path(spark, "bronze_grid"), _day())
+    b = fx.bronze_grid(spark, d)
+    root = br.write_bronze_dated(b, new_path(spark, "bronze_grid"), br.run_day(b, F.try_to_timestamp("timestamp")))
     # the raw text of a number is engine specific; compare the parsed value
     return br.scan_bronze(spark, root).select(
         "iso_code", "timestamp", F.col("load").try_cast("double").alias("load_value"), "seq", "id")
@@ -50,8 +51,9 @@ def a2(spark, d):
     # every 20th observation arrives from a station without a humidity sensor
     with_h = bw.where(F.col("id") % 20 != 0)
     no_h = bw.where(F.col("id") % 20 == 0).drop("humidity")
-    br.write_bronze_dated(with_h, root, _day())
-    br.write_bronze_dated(no_h, root, _day())
+    day = br.first_day(bw, F.try_to_timestamp("timestamp"))   # weather lands under its first day
+    br.write_bronze_dated(with_h, root, day)
+    br.write_bronze_dated(no_h, root, day)
     s = br.scan_bronze(spark, root)
     return s.select("iso_code", "timestamp", "temperature", "wind_speed", "humidity", "id")
 
@@ -117,7 +119,8 @@ def a9(spark, d):
 
 @register("a10_write_bronze_dated")
 def a10(spark, d):
-    """Rows per (ISO, ingest date) folder after landing the raw grid feed."""
+    """Rows per (ISO, ingest date) folder after landing the raw grid feed
+    in daily batches (each batch lands under its run day)."""
     root = br.write_bronze_dated(fx.bronze_grid(spark, d), new_path(spark, "bronze_dated"), _day())
     s = spark.read.parquet(root)
     return s.groupBy("iso_code", "ingest_date").agg(F.count(F.lit(1)).alias("rows"))

@@ -28,6 +28,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def run_day(df: DataFrame, ts: Column) -> Column:
+    """The landing day of a grid / price batch: the run day.  No wall
+    clock: the newest observation day of the batch (a scalar subquery)."""
+    return df.select(F.max(F.to_date(ts))).scalar()
+
+
+def first_day(df: DataFrame, ts: Column) -> Column:
+    """The landing day of a weather batch: its first observation day."""
+    return df.select(F.min(F.to_date(ts))).scalar()
+
+
 def write_bronze_dated(df: DataFrame, root: str, date_col: Column, mode: str = "append") -> str:
     """A10: land a feed as ``iso_code=/ingest_date=`` partitions."""
     df.withColumn("ingest_date", date_col.cast("date").cast("string")) \
