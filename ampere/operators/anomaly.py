@@ -147,3 +147,30 @@ def latest_critical(anoms: DataFrame, min_severity: int = 3) -> DataFrame:
     """Newest anomaly with severity >= 3 per ISO."""
     c = anoms.where(F.col("severity") >= min_severity)
     return top_k_per_key(c, "iso_code", [F.col("timestamp_utc").desc()], 1)
+
+
+def alert_summary_lines(anoms: DataFrame) -> DataFrame:
+    """The alert summary report (A12) as ordered text rows (iso_code,
+    line_no, line): total, per ISO the count, counts per severity (highest
+    first) and the newest critical anomaly.  Every part is a small grouped
+    aggregate over the anomalies; no row is collected to the driver."""
+    total = anoms.agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit("").alias("iso_code"), F.lit(0).alias("line_no"),
+        F.format_string("Total Anomalies: %d", "n").alias("line"))
+    per = anoms.groupBy("iso_code").agg(F.count(F.lit(1)).alias("n"))
+    head = per.select("iso_code", F.lit(1).alias("line_no"), F.format_string("%s:", "iso_code").alias("line")) \
+        .unionByName(per.select("iso_code", F.lit(2).alias("line_no"),
+                                F.format_string("  Anomalies: %d", "n").alias("line")))
+    sev = anoms.groupBy("iso_code", "severity").agg(F.count(F.lit(1)).alias("n")).select(
+        "iso_code", (F.lit(100) - F.col("severity")).alias("line_no"),
+        F.format_string("    Severity %d: %d", "severity", "n").alias("line"))
+    crit = latest_critical(anoms)
+    crit_lines = crit.select("iso_code", F.explode(F.array(
+        F.struct(F.lit(200).alias("line_no"), F.lit("  Most recent critical:").alias("line")),
+        F.struct(F.lit(201).alias("line_no"),
+                 F.format_string("    Time: %s", F.date_format("timestamp_utc", "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+                 .alias("line")),
+        F.struct(F.lit(202).alias("line_no"), F.format_string("    Load: %.0f MW", "load_mw").alias("line")),
+        F.struct(F.lit(203).alias("line_no"), F.format_string("    Type: %s", "anomaly_type").alias("line")),
+    )).alias("x")).select("iso_code", "x.line_no", "x.line")
+    return total.unionByName(head).unionByName(sev).unionByName(crit_lines)

@@ -145,6 +145,17 @@ def a12(spark, d):
     return spark.read.text(path)
 
 
+@register("a12b_alert_summary_report")
+def a12b(spark, d):
+    """Anomaly alert summary written as an ordered text report and read
+    back (line order kept by sorting on (iso, line_no) before the write)."""
+    from ampere.operators.anomaly import alert_summary_lines, detect_anomalies
+    lines = alert_summary_lines(detect_anomalies(md.silver_enriched(spark, d), use_forest=False))
+    path = new_path(spark, "alert_summary_txt")
+    sk.write_text_report(lines.orderBy("iso_code", "line_no"), path, col="line")
+    return spark.read.text(path)
+
+
 @register("a13_append_run")
 def a13(spark, d):
     """Two runs of the daily metrics appended as run_ts partitions."""
