@@ -80,7 +80,7 @@ def b6(spark, d):
     return cl.dedup_weather_recent(ws, as_of, 48, order=["station"])
 
 
-@register("b7_quality_counters", W(COERCED, CLEANED, SGRID, SWEATHER) + f"""
+@register("b7_quality_counters", W(COERCED, CLEANED, SGRID, SWEATHER, E) + f"""
     SELECT 'grid' AS feed, (SELECT count(*) FROM bronze_grid) AS rows_read,
            (SELECT count(*) FROM sgrid) AS rows_cleaned,
            (SELECT count(*) FROM bronze_grid) - (SELECT count(*) FROM sgrid) AS rows_dropped,
@@ -88,12 +88,18 @@ def b6(spark, d):
     UNION ALL
     SELECT 'weather', (SELECT count(*) FROM bronze_weather), (SELECT count(*) FROM sweather),
            (SELECT count(*) FROM bronze_weather) - (SELECT count(*) FROM sweather),
-           (SELECT count(*) FROM sweather) * 100.0 / (SELECT count(*) FROM bronze_weather)""")
+           (SELECT count(*) FROM sweather) * 100.0 / (SELECT count(*) FROM bronze_weather)
+    UNION ALL
+    SELECT 'enriched', (SELECT count(*) FROM grid), (SELECT count(*) FROM enriched),
+           (SELECT count(*) FROM grid) - (SELECT count(*) FROM enriched),
+           (SELECT count(*) FROM enriched) * 100.0 / (SELECT count(*) FROM grid)""")
 def b7(spark, d):
-    """Rows read / cleaned / dropped per feed."""
+    """Rows read / cleaned / dropped per feed, and the enriched row count
+    (every grid row is kept by the left as-of join)."""
     g = cl.quality_counters(fx.bronze_grid(spark, d), md.silver_grid(spark, d), "grid")
     w = cl.quality_counters(fx.bronze_weather(spark, d), md.silver_weather(spark, d), "weather")
-    return g.unionByName(w)
+    e = cl.quality_counters(fx.grid(spark, d), md.enriched(spark, d), "enriched")
+    return g.unionByName(w).unionByName(e)
 
 
 @register("b8_sanitize_timestamps", W() + """
