@@ -4,19 +4,21 @@ onto big row sets.
 Spark's static estimate for an aggregate is a fraction of its input, so at
 scale the planner would pick a sort-merge join and shuffle the big side by
 the key - and one ISO may hold a third of all rows.  ``attach`` therefore
-computes the small side once (persisted; a lost copy is recomputed from its
-short lineage), counts it, and broadcasts it only when the count is within
-a bound.  Beyond the bound it falls back to a plain shuffle join, where AQE
-splits skewed partitions.
+materialises the small side once (reliable checkpoint in the shared folder:
+survives executor loss and keeps later plans flat - persisting instead
+would grow the session's cache registry with every query), counts it, and
+broadcasts it only when the count is within a bound.  Beyond the bound it
+falls back to a plain shuffle join, where AQE splits skewed partitions.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ampere.session import cut_lineage
+
 # Rows above which a "small" side is not broadcast (about 100 MB at the
 # widths used here).  Overridable per session: ampere.broadcast.maxRows.
 BROADCAST_MAX_ROWS = 1_000_000
@@ -29,9 +31,9 @@ def _limit(df: DataFrame, max_rows: int | None) -> int:
 
 
 def small_side(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Compute ``df`` once (persisted) and mark it for broadcast if its
-    row count is within the bound."""
-    cp = df.persist(StorageLevel.MEMORY_AND_DISK)
+    """Materialise ``df`` once and mark it for broadcast if its row count
+    is within the bound."""
+    cp = cut_lineage(df)
     if cp.count() <= _limit(cp, max_rows):
         return F.broadcast(cp)
     return cp

@@ -17,7 +17,7 @@ by histogram refinement:
    (key, target) only, or take lo directly when lo == hi.
 
 Every pass is one scan of (key, value); the driver only loops over passes
-and reads a one-row summary.  Bracket tables are tiny and checkpointed.
+and reads a one-row summary.  Bracket tables are tiny and persisted.
 """
 
 from __future__ import annotations
@@ -30,6 +30,12 @@ from ampere.operators.attach import small_side
 from ampere.session import cut_lineage
 
 
+def _keep(df: DataFrame) -> DataFrame:
+    """Tiny per-key tables (stats, brackets) are computed once; a reliable
+    checkpoint also keeps the plan of the refinement loop flat."""
+    return cut_lineage(df)
+
+
 def exact_quantiles(df: DataFrame, key: str | Sequence[str], col: str,
                     probs: Sequence[float], names: Sequence[str] | None = None,
                     buckets: int = 4096, direct_max: int = 200_000,
@@ -38,7 +44,7 @@ def exact_quantiles(df: DataFrame, key: str | Sequence[str], col: str,
     names = list(names) if names else [f"q{int(round(p * 100))}" for p in probs]
     base = df.where(F.col(col).isNotNull()).select(*keys, F.col(col).cast("double").alias("_v"))
 
-    stats = cut_lineage(base.groupBy(*keys).agg(
+    stats = _keep(base.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max")))
     # two targets per probability: ranks floor(p (n-1)) and the next one
     tgt = []
@@ -49,7 +55,7 @@ def exact_quantiles(df: DataFrame, key: str | Sequence[str], col: str,
     targets = stats.select(*keys, "_n", "_min", "_max", F.explode(F.array(*tgt)).alias("x")).select(
         *keys, "x._t", "x._rank", F.col("_min").alias("_lo"), F.col("_max").alias("_hi"),
         F.lit(0).cast("long").alias("_below"), F.col("_n").alias("_cnt"))
-    targets = cut_lineage(targets)
+    targets = _keep(targets)
 
     def in_bracket(t):
         # the bracket table has 2 x len(probs) rows per key: size-checked
@@ -76,7 +82,7 @@ def exact_quantiles(df: DataFrame, key: str | Sequence[str], col: str,
         hit = h.where((pos <= F.col("_rank")) & (F.col("_rank") < pos + F.col("_c"))).select(
             *keys, "_t", "_rank", F.col("_mn").alias("_lo"), F.col("_mx").alias("_hi"),
             pos.alias("_below"), F.col("_c").alias("_cnt"))
-        targets = cut_lineage(targets.where(~open_).unionByName(hit))
+        targets = _keep(targets.where(~open_).unionByName(hit))
 
     # resolve: constant brackets directly, the rest by a bounded rank
     const = targets.where(F.col("_lo") == F.col("_hi")).select(*keys, "_t", F.col("_lo").alias("_val"))
