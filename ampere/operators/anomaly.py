@@ -14,7 +14,7 @@ from ampere.functions.numeric import exact_mean_aggs, finish_mean
 from ampere.functions.timecols import time_features
 from ampere.operators.clean import min_history_gate  # noqa: F401  (re-exported)
 from ampere.operators.ordered import top_k_per_key, with_change
-from ampere.operators.attach import attach
+from ampere.operators.attach import attach, small_side
 
 # Fixed values of the reference detector.
 Z_THRESHOLD = 3.0
@@ -89,16 +89,21 @@ def score_rows(df: DataFrame, min_rows: int = MIN_ROWS, use_forest: bool = True,
 
     One per-key pass gives both the history gate and the z-score
     statistics; the inner join of that small table gates the rows."""
-    st = key_stats(df, min_rows=min_rows).select("iso_code", "_mean", "_std")
-    g = attach(df, st, "iso_code")
-    t = time_features(g)
-    t = with_change(t, bucket_seconds=bucket_seconds)
+    st = small_side(key_stats(df, min_rows=min_rows).select("iso_code", "_n", "_mean", "_std"))
+    g = df.join(st.select("iso_code", "_mean", "_std"), "iso_code")
+    gf = time_features(g)
+    t = with_change(gf, bucket_seconds=bucket_seconds)
     t = zscore_flags(t, stats_attached=True)
     t = rapid_change_flags(t)
     t = pattern_flags(t)
     if use_forest:
         from ampere.operators.forest import isolation_forest_flags
-        t = isolation_forest_flags(t, **(forest_kwargs or {}))
+        # grown on the rows before the change window (same rows, no window
+        # shuffle in the sampling pass), with the counts the gate already has
+        kw = dict(forest_kwargs or {})
+        kw.setdefault("fit_df", gf)
+        kw.setdefault("counts", st.select("iso_code", "_n"))
+        t = isolation_forest_flags(t, **kw)
     else:
         t = t.withColumn("is_isolation_anomaly", F.lit(False))
     return vote_and_classify(t)

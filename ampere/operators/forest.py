@@ -106,13 +106,18 @@ def _builder(features: list[str], seed: int):
 
 
 def fit_forest(df: DataFrame, features: Sequence[str], key: str, row_key: Sequence[str],
-               n_trees: int = 100, max_samples: int = 256, seed: int = 42) -> DataFrame:
-    """Grow ``n_trees`` isolation trees per key.  Returns the node table."""
+               n_trees: int = 100, max_samples: int = 256, seed: int = 42,
+               counts: DataFrame | None = None) -> DataFrame:
+    """Grow ``n_trees`` isolation trees per key.  Returns the node table.
+    ``counts`` (key, _n) may be passed when the caller already has them."""
     features = list(features)
-    n = df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+    if counts is None:
+        counts = df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+    else:
+        counts = counts.select(F.col(key).cast("string").alias("_key"), "_n")
     d = df.select(F.col(key).cast("string").alias("_key"), *row_key,
                   *[F.col(c).cast("double").alias(c) for c in features])
-    d = attach(d, n, "_key")
+    d = attach(d, counts, "_key")
     d = d.fillna({c: 0.0 for c in features})
     psi = F.least(F.col("_n"), F.lit(max_samples))
     p = F.least(F.lit(1.0), F.lit(2.0) * psi / F.col("_n"))
@@ -193,10 +198,14 @@ def _scorer(bc, features: list[str], key_col: str):
 
 def isolation_scores(df: DataFrame, features: Sequence[str] = ("load_mw", "hour_of_day", "day_of_week"),
                      key: str = "iso_code", row_key: Sequence[str] = ("timestamp_utc",),
-                     n_trees: int = 100, max_samples: int = 256, seed: int = 42) -> DataFrame:
-    """Add ``anomaly_score`` s in (0, 1] (higher = more isolated)."""
+                     n_trees: int = 100, max_samples: int = 256, seed: int = 42,
+                     fit_df: DataFrame | None = None, counts: DataFrame | None = None) -> DataFrame:
+    """Add ``anomaly_score`` s in (0, 1] (higher = more isolated).  The
+    forest is grown on ``fit_df`` (default ``df``): the same rows, possibly
+    a cheaper plan of them."""
     features = list(features)
-    nodes = fit_forest(df, features, key, row_key, n_trees, max_samples, seed)
+    nodes = fit_forest(df if fit_df is None else fit_df, features, key, row_key, n_trees,
+                       max_samples, seed, counts)
     # The fitted model is bounded (trees x (2 psi - 1) nodes per key), like
     # any MLlib model it lives on the driver and ships as a broadcast.
     forest = _forest_arrays(nodes.toPandas())
@@ -208,12 +217,14 @@ def isolation_scores(df: DataFrame, features: Sequence[str] = ("load_mw", "hour_
 def isolation_forest_flags(df: DataFrame, contamination: float = 0.05, key: str = "iso_code",
                            features: Sequence[str] = ("load_mw", "hour_of_day", "day_of_week"),
                            row_key: Sequence[str] = ("timestamp_utc",), n_trees: int = 100,
-                           max_samples: int = 256, seed: int = 42) -> DataFrame:
+                           max_samples: int = 256, seed: int = 42, fit_df: DataFrame | None = None,
+                           counts: DataFrame | None = None) -> DataFrame:
     """K6: ``is_isolation_anomaly`` = -s below the exact ``contamination``
     quantile of -s within the key (as the reference's predict)."""
     # the scored rows feed both the per-key threshold and the final flags:
     # materialise them once instead of running the Python scorer per use
-    sc = cut_lineage(isolation_scores(df, features, key, row_key, n_trees, max_samples, seed))
+    sc = cut_lineage(isolation_scores(df, features, key, row_key, n_trees, max_samples, seed,
+                                      fit_df, counts))
     sc = sc.withColumn("_neg", -F.col("anomaly_score"))
     thr = exact_quantiles(sc, key, "_neg", [contamination], ["_thr"]).select(key, "_thr")
     j = attach(sc, thr, key, "left")
