@@ -58,6 +58,19 @@ def a2(spark, d):
     return s.select("iso_code", "timestamp", "temperature", "wind_speed", "humidity", "id")
 
 
+@register("a2b_absent_weather_root", W(("e2", """
+    SELECT iso_code, timestamp_utc, load_mw, id, CAST(NULL AS DOUBLE) AS temperature,
+           CAST(NULL AS DOUBLE) AS wind_speed, CAST(NULL AS DOUBLE) AS humidity,
+           date_trunc('hour', timestamp_utc) AS hour,
+           CAST(NULL AS DOUBLE) AS solar_irradiance_proxy FROM grid""")) + "SELECT * FROM e2")
+def a2b(spark, d):
+    """No weather landed yet: the scan finds no root and the enrichment
+    takes the no-weather branch (typed null weather, same schema)."""
+    from ampere.operators.join import enrich_with_weather
+    wx = br.scan_bronze(spark, new_path(spark, "bronze_weather_absent"))
+    return enrich_with_weather(fx.grid(spark, d), wx)
+
+
 @register("a3_scan_silver_enriched", W(E) + "SELECT * FROM enriched")
 def a3(spark, d):
     """Silver enriched written by ISO partition and scanned back typed."""
