@@ -18,17 +18,16 @@ def parse_mixed_timestamp(df: DataFrame, col: str) -> Column:
     """Text timestamps; if NO value of the whole column parses as text,
     read it as numbers whose unit is decided by the column median.
 
-    The whole-column facts (parsed count, median) are scalar subqueries, so
-    the decision is made once per column, on the cluster.  The median is
-    ``percentile_approx`` with accuracy 1e5: it only picks an order of
-    magnitude, and an exact median would need the whole column in one
-    buffer.
+    The whole-column facts (parsed count, exact median of the finite
+    numbers) are computed on the cluster and enter the expression as scalar
+    subqueries, so the decision is made once per column.
     """
+    from ampere.operators.quantile import exact_quantiles
     text = try_timestamp(col)
     num = F.col(col).try_cast("double")
     parsed = df.select(F.count(text)).scalar()
     finite = F.when(~F.isnan(num) & (F.abs(num) != F.lit(float("inf"))), num)
-    med = df.select(F.percentile_approx(finite, 0.5, 100000)).scalar()
+    med = exact_quantiles(df.select(finite.alias("_x")), [], "_x", [0.5], ["_m"]).select("_m").scalar()
     micros = F.round(num * F.lit(1e6)).cast("long")
     excel = F.timestamp_micros(F.round(num * F.lit(86400e6)).cast("long")
                                + F.unix_micros(F.lit(EXCEL_EPOCH).cast("timestamp")))

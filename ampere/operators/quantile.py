@@ -42,6 +42,9 @@ def exact_quantiles(df: DataFrame, key: str | Sequence[str], col: str,
                     max_passes: int = 12) -> DataFrame:
     keys = [key] if isinstance(key, str) else list(key)
     names = list(names) if names else [f"q{int(round(p * 100))}" for p in probs]
+    glob = not keys
+    if glob:  # one global group: a constant key keeps every join an equi-join
+        df, keys = df.withColumn("_g", F.lit(0)), ["_g"]
     base = df.where(F.col(col).isNotNull()).select(*keys, F.col(col).cast("double").alias("_v"))
 
     stats = _keep(base.groupBy(*keys).agg(
@@ -103,4 +106,5 @@ def exact_quantiles(df: DataFrame, key: str | Sequence[str], col: str,
         pos = F.lit(float(p)) * (F.col("n") - 1)
         frac = pos - F.floor(pos)
         out.append((F.col(f"_{name}_a") + frac * (F.col(f"_{name}_b") - F.col(f"_{name}_a"))).alias(name))
-    return a.select(*keys, "n", *out)
+    res = a.select(*keys, "n", *out)
+    return res.drop("_g") if glob else res
