@@ -14,7 +14,7 @@ from ampere.operators import validate as vl
 from ampere.plans import medallion as md
 from ampere.plans.catalog_ml import AN_CTES
 from ampere.plans.registry import register
-from ampere.plans.sqlparts import DAILY, ENRICHED, HOURLY
+from ampere.plans.sqlparts import DAILY, ENRICHED, HOURLY, SUMMARY, xmean
 from ampere.sources import fixtures as fx
 
 W = fx.sql_with
@@ -302,7 +302,22 @@ def i5(spark, d):
 
 # ---------------------------------------------------------------- insights
 
-@register("d17_insights")
+@register("d17_insights", W(E, H, D, ("summary", SUMMARY)) + f"""
+    SELECT printf('  • %s: Peak load at hour %d:00 (%.0f MW)', iso_code, hour_of_day, avg_load_mw) AS insight
+    FROM (SELECT *, row_number() OVER (PARTITION BY iso_code ORDER BY avg_load_mw DESC, hour) AS rn
+          FROM hourly) WHERE rn = 1
+    UNION ALL
+    SELECT printf('  • %s: Weekday load %+.1f%% vs weekend', iso_code, (wd - we) / we * 100)
+    FROM (SELECT iso_code, {xmean('CASE WHEN is_weekend = 0 THEN avg_load_mw END')} AS wd,
+                 {xmean('CASE WHEN is_weekend = 1 THEN avg_load_mw END')} AS we
+          FROM daily GROUP BY iso_code) WHERE wd IS NOT NULL AND we IS NOT NULL AND we <> 0
+    UNION ALL
+    SELECT printf('  • %s: Temperature correlation = %.3f', iso_code, corr(avg_temperature, avg_load_mw))
+    FROM hourly WHERE avg_temperature IS NOT NULL AND avg_load_mw IS NOT NULL
+    GROUP BY iso_code HAVING count(*) > 10
+    UNION ALL
+    SELECT printf('  • %s: Coefficient of variation = %.1f%%', iso_code, std_load_mw / avg_load_mw * 100)
+    FROM summary""")
 def d17(spark, d):
     """Text insights: peak hour, weekday vs weekend, temperature
     correlation and variability per ISO (rows of one string column)."""
