@@ -302,8 +302,9 @@ def i5(spark, d):
 
 # ---------------------------------------------------------------- insights
 
-@register("d17_insights", W(E, H, D, ("summary", SUMMARY)) + f"""
-    SELECT printf('  • %s: Peak load at hour %d:00 (%.0f MW)', iso_code, hour_of_day, avg_load_mw) AS insight
+D17_SQL = W(E, H, D, ("summary", SUMMARY)) + f"""
+    SELECT printf('  • %s: Peak load at hour %d:00 (%d MW)', iso_code, hour_of_day,
+                  CAST(round(avg_load_mw) AS BIGINT)) AS insight
     FROM (SELECT *, row_number() OVER (PARTITION BY iso_code ORDER BY avg_load_mw DESC, hour) AS rn
           FROM hourly) WHERE rn = 1
     UNION ALL
@@ -317,7 +318,10 @@ def i5(spark, d):
     GROUP BY iso_code HAVING count(*) > 10
     UNION ALL
     SELECT printf('  • %s: Coefficient of variation = %.1f%%', iso_code, std_load_mw / avg_load_mw * 100)
-    FROM summary""")
+    FROM summary"""
+
+
+@register("d17_insights", D17_SQL)
 def d17(spark, d):
     """Text insights: peak hour, weekday vs weekend, temperature
     correlation and variability per ISO (rows of one string column)."""

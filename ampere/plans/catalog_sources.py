@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from ampere.functions.numeric import round_half_even
 from ampere.operators import aggregate as agg
 from ampere.plans import medallion as md
-from ampere.plans.catalog_ml import FC_CTES, forecast_df
+from ampere.plans.catalog_clean import D17_SQL
+from ampere.plans.catalog_ml import AN_CTES, FC_CTES, forecast_df
 from ampere.plans.registry import register
 from ampere.plans.sqlparts import ENRICHED, HOURLY, r
 from ampere.session import new_path
@@ -130,13 +131,17 @@ def a9(spark, d):
     return spark.read.parquet(path)
 
 
-@register("a10_write_bronze_dated")
+@register("a10_write_bronze_dated", W() + """
+    SELECT iso_code, CAST(CAST(TRY_CAST(timestamp AS TIMESTAMP) AS DATE) AS VARCHAR) AS ingest_date,
+           count(*) AS rows
+    FROM bronze_grid GROUP BY 1, 2""")
 def a10(spark, d):
     """Rows per (ISO, ingest date) folder after landing the raw grid feed
     in daily batches (each batch lands under its run day)."""
     root = br.write_bronze_dated(fx.bronze_grid(spark, d), new_path(spark, "bronze_dated"), _day())
     s = spark.read.parquet(root)
-    return s.groupBy("iso_code", "ingest_date").agg(F.count(F.lit(1)).alias("rows"))
+    return s.groupBy("iso_code", F.col("ingest_date").cast("string").alias("ingest_date")).agg(
+        F.count(F.lit(1)).alias("rows"))
 
 
 @register("a11_write_latest", W(E, *FC_CTES) + f"""
@@ -150,7 +155,7 @@ def a11(spark, d):
     return x.withColumns({c: round_half_even(c, 6) for c in ("forecasted_load_mw", "ci_lower", "ci_upper")})
 
 
-@register("a12_write_text_report")
+@register("a12_write_text_report", "SELECT insight AS value FROM (" + D17_SQL + ")")
 def a12(spark, d):
     """Insight lines written as a text report and read back."""
     from ampere.plans.catalog_clean import d17
@@ -158,7 +163,17 @@ def a12(spark, d):
     return spark.read.text(path)
 
 
-@register("a12b_alert_summary_report")
+@register("a12b_alert_summary_report", W(E, *AN_CTES) + """,
+    crit AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY iso_code ORDER BY timestamp_utc DESC) AS rn
+                            FROM anoms WHERE severity >= 3) WHERE rn = 1)
+    SELECT printf('Total Anomalies: %d', count(*)) AS value FROM anoms
+    UNION ALL SELECT iso_code || ':' FROM anoms GROUP BY iso_code
+    UNION ALL SELECT printf('  Anomalies: %d', count(*)) FROM anoms GROUP BY iso_code
+    UNION ALL SELECT printf('    Severity %d: %d', severity, count(*)) FROM anoms GROUP BY iso_code, severity
+    UNION ALL SELECT '  Most recent critical:' FROM crit
+    UNION ALL SELECT '    Time: ' || strftime(timestamp_utc, '%Y-%m-%d %H:%M:%S.%f') FROM crit
+    UNION ALL SELECT printf('    Load: %d MW', CAST(round(load_mw) AS BIGINT)) FROM crit
+    UNION ALL SELECT '    Type: ' || anomaly_type FROM crit""")
 def a12b(spark, d):
     """Anomaly alert summary written as an ordered text report and read
     back (line order kept by sorting on (iso, line_no) before the write)."""
@@ -169,7 +184,11 @@ def a12b(spark, d):
     return spark.read.text(path)
 
 
-@register("a13_append_run")
+@register("a13_append_run", W(E) + """
+    SELECT r.run_ts, d.iso_code, count(*) AS rows
+    FROM (SELECT DISTINCT iso_code, CAST(timestamp_utc AS DATE) AS day FROM enriched) d
+    JOIN (SELECT '20240131T000000' AS run_ts UNION ALL SELECT '20240131T010000') r ON true
+    GROUP BY 1, 2""")
 def a13(spark, d):
     """Two runs of the daily metrics appended as run_ts partitions."""
     path = new_path(spark, "runs")
@@ -180,7 +199,9 @@ def a13(spark, d):
     return x.groupBy("run_ts", "iso_code").agg(F.count(F.lit(1)).alias("rows"))
 
 
-@register("b10_sanitize_rewrite")
+@register("b10_sanitize_rewrite", W() + """
+    SELECT iso_code, count(*) AS rows, count(TRY_CAST(load AS DOUBLE)) AS numeric_load
+    FROM bronze_grid GROUP BY iso_code""")
 def b10(spark, d):
     """Raw files (one unreadable) rewritten with normalised timestamp
     text and numeric load into a new folder."""
