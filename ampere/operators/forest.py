@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ampere.operators.quantile import exact_quantiles
-from ampere.session import cut_lineage
+from ampere.session import materialize
 from ampere.operators.attach import attach
 
 EULER_GAMMA = 0.5772156649015329
@@ -223,8 +223,8 @@ def isolation_forest_flags(df: DataFrame, contamination: float = 0.05, key: str
     quantile of -s within the key (as the reference's predict)."""
     # the scored rows feed both the per-key threshold and the final flags:
     # materialise them once instead of running the Python scorer per use
-    sc = cut_lineage(isolation_scores(df, features, key, row_key, n_trees, max_samples, seed,
-                                      fit_df, counts))
+    sc = materialize(isolation_scores(df, features, key, row_key, n_trees, max_samples, seed,
+                                      fit_df, counts), "isolation_scores")
     sc = sc.withColumn("_neg", -F.col("anomaly_score"))
     thr = exact_quantiles(sc, key, "_neg", [contamination], ["_thr"]).select(key, "_thr")
     j = attach(sc, thr, key, "left")

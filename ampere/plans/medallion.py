@@ -30,13 +30,13 @@ def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The enriched silver table, materialised once (reliable checkpoint in
-    the shared folder) for queries that read it many times: the forecast,
-    the anomaly detector and model training would otherwise redo the as-of
-    join for every statistic they join back.  In the batch pipeline this is
-    the silver write of the bronze -> silver step."""
-    from ampere.session import cut_lineage
-    return cut_lineage(enriched(spark, sf_dir))
+    """The enriched silver table, written once as Parquet in the shared
+    folder for queries that read it many times: the forecast, the anomaly
+    detector and model training would otherwise redo the as-of join for
+    every statistic they join back.  In the batch pipeline this is the
+    silver write of the bronze -> silver step."""
+    from ampere.session import materialize
+    return materialize(enriched(spark, sf_dir), "silver_enriched")
 
 
 def hourly(spark, sf_dir) -> DataFrame:

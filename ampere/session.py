@@ -88,6 +88,19 @@ def cut_lineage(df, spark: SparkSession | None = None):
     return df.checkpoint(eager=True)
 
 
+def materialize(df, name: str, spark: SparkSession | None = None):
+    """Write ``df`` as a Parquet table in the shared folder and read it back.
+
+    For big intermediate tables (the silver layer, scored rows): a written
+    table cuts the lineage like ``checkpoint()`` but is columnar and
+    compressed, so later reads prune columns, push filters down and give
+    the planner real size statistics."""
+    spark = spark or df.sparkSession
+    path = new_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def local_test_session(cpus: int | str = "*", partitions: int = 8) -> SparkSession:
     os.environ.setdefault("PYSPARK_PYTHON", "python")
     return build_session(
