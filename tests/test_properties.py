@@ -41,3 +41,24 @@ def test_previous_row_matches_lag(spark, pts, bucket):
     j = got.join(exp, ["k", "ts"])
     assert j.count() == len(rows)
     assert j.where(~F.col("prev_v").eqNullSafe(F.col("lag"))).count() == 0
+
+
+@settings(**SETTINGS)
+@given(st.lists(st.tuples(st.integers(0, 1), st.integers(0, 6 * 3600)), min_size=1, max_size=60, unique=True),
+       st.lists(st.tuples(st.integers(0, 1), st.integers(0, 6 * 3600), st.integers(0, 3)), min_size=0,
+                max_size=40),
+       st.sampled_from([600, 1800, 3600]))
+def test_asof_matches_brute_force(spark, left, right, tol):
+    from ampere.operators.join import asof_nearest
+    g = spark.createDataFrame([("K%d" % k, T0 + timedelta(seconds=s), float(i)) for i, (k, s) in enumerate(left)],
+                              "iso_code string, timestamp_utc timestamp_ntz, load_mw double")
+    wx = [("K%d" % k, T0 + timedelta(seconds=s), float(v)) for k, s, v in right]
+    w = spark.createDataFrame(wx, "iso_code string, timestamp_utc timestamp_ntz, temperature double")
+    got = {(r.iso_code, r.timestamp_utc): r.temperature
+           for r in asof_nearest(g, w, tolerance_seconds=tol, value_cols=["temperature"]).collect()}
+    assert len(got) == len(left)
+    for k, s in left:
+        t = T0 + timedelta(seconds=s)
+        cands = sorted((abs((wt - t).total_seconds()), wt, v) for wk, wt, v in wx
+                       if wk == "K%d" % k and abs((wt - t).total_seconds()) <= tol)
+        assert got[("K%d" % k, t)] == (cands[0][2] if cands else None)
