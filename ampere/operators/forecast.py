@@ -159,6 +159,23 @@ def forecast_compare(fc: DataFrame, n_hours: int = 1) -> DataFrame:
         round_half_even("ci_upper").alias("ci_upper"))
 
 
+def with_ci_struct(df: DataFrame) -> DataFrame:
+    """The API's nested band: ``confidence_interval`` {lower, upper}."""
+    return df.withColumn("confidence_interval", F.struct(F.col("ci_lower").alias("lower"),
+                                                         F.col("ci_upper").alias("upper"))) \
+             .drop("ci_lower", "ci_upper")
+
+
+def forecast_compare_wide(fc: DataFrame, n_hours: int = 1) -> DataFrame:
+    """F5 side by side: one row per hour ahead with a map ISO -> {load_mw,
+    ci_lower, ci_upper}.  The map collects one entry per ISO of that hour
+    (a group bounded by the number of ISOs)."""
+    long = forecast_compare(fc, n_hours)
+    return long.groupBy("hours_ahead", "hour_timestamp_utc").agg(
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct(
+            "iso_code", F.struct("load_mw", "ci_lower", "ci_upper"))))).alias("forecasts"))
+
+
 def forecast_peak(fc: DataFrame, as_of: Column | None = None) -> DataFrame:
     """peak forecast row per ISO (earliest on ties) and whole hours
     from ``as_of`` until it (truncated toward zero)."""

@@ -212,3 +212,15 @@ def test_exact_quantiles_refinement_passes(spark):
         assert abs(getattr(q["a"], name) - np.percentile(vals, p)) < 1e-12
         assert getattr(q["b"], name) == 7.0
         assert abs(getattr(q["c"], name) - np.percentile([1.0, 2.0], p)) < 1e-12
+
+
+def test_forecast_api_shapes(spark):
+    rows = [(iso, T0 + timedelta(hours=i), 100.0 + i + (5 if iso == "B" else 0))
+            for iso in ("A", "B") for i in range(72)]
+    f = fc.seasonal_forecast(spark.createDataFrame(rows, G), lookback_hours=None)
+    wide = {r.hours_ahead: r for r in fc.forecast_compare_wide(f, 3).collect()}
+    assert sorted(wide) == [1, 2, 3]
+    assert sorted(wide[1].forecasts.keys()) == ["A", "B"]
+    nested = fc.with_ci_struct(fc.forecast_by_iso(f, "a", 5)).collect()
+    assert len(nested) == 5 and all(r.confidence_interval.lower <= r.forecasted_load_mw
+                                    <= r.confidence_interval.upper for r in nested)
