@@ -271,25 +271,49 @@ def i4(spark, d):
     return vl.validation_report({t: (srcs[s], c) for t, s, c in _TABLES})
 
 
-@register("i6_overall_status", W(COERCED, CLEANED, SGRID, SWEATHER, E, H, D) + """,
+@register("i6_overall_status", W(COERCED, CLEANED, SGRID, SWEATHER, E, H, D, *AN_CTES) + """,
     rep AS (""" + "\nUNION ALL\n".join(_report_sql(t, s, c) for t, s, c in _TABLES) + """),
     comp AS (SELECT 'validation' AS component,
                     CASE WHEN bool_and(passed) THEN 'healthy' ELSE 'unhealthy' END AS status FROM rep
              UNION ALL
-             SELECT 'data', CASE WHEN count(*) > 0 THEN 'healthy' ELSE 'no_data' END FROM enriched)
+             SELECT 'data', CASE WHEN count(*) > 0 THEN 'healthy' ELSE 'no_data' END FROM enriched
+             UNION ALL
+             SELECT 'ml_predictions', CASE WHEN EXISTS (SELECT iso_code FROM enriched GROUP BY iso_code
+                                                        HAVING count(*) >= 24)
+                                           THEN 'healthy' ELSE 'not_found' END
+             UNION ALL
+             SELECT 'anomaly_detection', 'healthy')
     SELECT CASE WHEN bool_and(status = 'healthy') THEN 'healthy'
                 WHEN bool_or(status = 'unhealthy') THEN 'degraded' ELSE 'operational' END AS overall_status,
-           count(*) AS components
+           count(*) AS components,
+           (SELECT count(*) FROM anoms) AS total_anomalies,
+           (SELECT count(*) FROM anoms WHERE severity >= 3) AS critical_anomalies
     FROM comp""")
 def i6(spark, d):
-    """Overall status from the validation and data components."""
+    """Overall status from the validation, data, forecast and anomaly
+    components, with the anomaly totals (critical = severity >= 3)."""
+    from ampere.plans.catalog_ml import forecast_df
     rep = i4(spark, d)
     e = md.enriched(spark, d)
-    comp = rep.agg(F.when(F.bool_and("passed"), "healthy").otherwise("unhealthy").alias("status")) \
-              .select(F.lit("validation").alias("component"), "status") \
-              .unionByName(e.agg(F.when(F.count(F.lit(1)) > 0, "healthy").otherwise("no_data").alias("status"))
-                           .select(F.lit("data").alias("component"), "status"))
-    return vl.overall_status(comp)
+    fc = forecast_df(spark, d)
+    anoms = an.detect_anomalies(md.silver_enriched(spark, d), use_forest=False)
+
+    parts = [
+        rep.agg(F.when(F.bool_and("passed"), "healthy").otherwise("unhealthy").alias("status"))
+           .select(F.lit("validation").alias("component"), "status"),
+        e.agg(F.when(F.count(F.lit(1)) > 0, "healthy").otherwise("no_data").alias("status"))
+         .select(F.lit("data").alias("component"), "status"),
+        fc.agg(F.when(F.count(F.lit(1)) > 0, "healthy").otherwise("not_found").alias("status"))
+          .select(F.lit("ml_predictions").alias("component"), "status"),
+        anoms.agg(F.lit("healthy").alias("status"))
+             .select(F.lit("anomaly_detection").alias("component"), "status"),
+    ]
+    comps = parts[0]
+    for p_ in parts[1:]:
+        comps = comps.unionByName(p_)
+    return vl.overall_status(comps).withColumns({
+        "total_anomalies": anoms.select(F.count(F.lit(1))).scalar(),
+        "critical_anomalies": anoms.select(F.count_if(F.col("severity") >= 3)).scalar()})
 
 
 @register("i5_freshness_status")
