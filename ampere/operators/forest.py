@@ -5,9 +5,10 @@ Plan, all on the cluster:
 
 1. *Sampling.*  Every (row, tree) pair gets a uniform hash u in [0, 1).
    With n rows in the key and psi = min(256, n), a row enters tree t when
-   u < 2 psi / n (Bernoulli, expected 2 psi rows per tree); only selected
-   pairs are exploded, so the data is not replicated 100 times.  Per
-   (key, tree) the psi smallest u are kept (a bounded window).
+   u < 2 psi / n (Bernoulli, expected 2 psi rows per tree).  Pairs are
+   generated and tested inside one generated-code stage, so only the
+   selected ones leave it: the data is never stored or shuffled 100 times.
+   Per (key, tree) the psi smallest u are kept (a bounded window).
 2. *Growing.*  ``groupBy(key, tree).applyInPandas``: each group holds at
    most psi rows.  Splits pick a random non-constant feature and a
    threshold uniform in (min, max); height limit ceil(log2 psi).  The RNG
@@ -126,9 +127,12 @@ def fit_forest(df: DataFrame, features: Sequence[str], key: str, row_key: Sequen
         h = F.xxhash64(F.col("_key"), *[F.col(c) for c in row_key], t, F.lit(seed))
         return h.bitwiseAND(F.lit((1 << 53) - 1)).cast("double") / F.lit(float(1 << 53))
 
-    chosen = F.filter(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: u(t) < p)
-    s = d.select("_key", *row_key, *features, "_n", F.explode(chosen).alias("_tree"))
-    s = s.withColumn("_u", u(F.col("_tree"))).withColumn("_psi", psi)
+    # every (row, tree) pair is generated and tested inside one generated
+    # code stage (explode + filter are pipelined: the 100x pairs are never
+    # stored or shuffled; only the selected ~2 psi rows per tree go on)
+    s = d.select("_key", *row_key, *features, "_n",
+                 F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("_tree"))
+    s = s.withColumn("_u", u(F.col("_tree"))).where(F.col("_u") < p).withColumn("_psi", psi)
     w = Window.partitionBy("_key", "_tree").orderBy("_u", *row_key)
     s = s.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= F.col("_psi"))
     s = s.select("_key", "_tree", "_psi", *features)
