@@ -105,7 +105,9 @@ def quality_flags(df: DataFrame) -> DataFrame:
         4: F.coalesce(ld >= 1_000_000, F.lit(False)),
         5: F.col("iso_code").isNull() | (F.col("iso_code") == ""),
     }
-    flags = F.filter(F.array(*[F.when(c, F.lit(i)) for i, c in checks.items()]), lambda x: x.isNotNull())
+    # concatenation of one-element / empty arrays: ascending ids, no lambda
+    empty = F.array().cast("array<int>")
+    flags = F.concat(*[F.when(c, F.array(F.lit(i))).otherwise(empty) for i, c in checks.items()])
     out = df.withColumn("validation_flags", flags)
     return out.withColumn("data_quality_score",
                           F.lit(100.0) * (F.lit(len(checks)) - F.size("validation_flags")) / F.lit(len(checks)))

@@ -56,11 +56,12 @@ def latency_quantile(log: DataFrame, q: float = 0.95, width: str = "5 minutes",
     cumulative pass runs on the small (window x bucket) table."""
     bounds = F.array(*[F.lit(float(b)) for b in buckets])
     nb = len(buckets)
-    # 1-based index of the first bound >= latency (nb + 1 = +Inf)
-    idx = F.coalesce(
-        F.array_position(F.transform(bounds, lambda b: F.col("latency") <= b), F.lit(True)).cast("int"),
-        F.lit(0))
-    idx = F.when(idx == 0, F.lit(nb + 1)).otherwise(idx)
+    # 1-based index of the first bound >= latency (nb + 1 = +Inf): a CASE
+    # chain over the fixed bounds stays in generated code (no per-row lambda)
+    idx = F.when(F.col("latency") <= F.lit(float(buckets[0])), F.lit(1))
+    for i, b in enumerate(buckets[1:], start=2):
+        idx = idx.when(F.col("latency") <= F.lit(float(b)), F.lit(i))
+    idx = idx.otherwise(F.lit(nb + 1))
     h = log.groupBy(_win("ts", width).alias("window_start"), idx.alias("bucket")).agg(
         F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy("window_start").orderBy("bucket")
