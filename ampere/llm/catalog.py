@@ -2,5 +2,13 @@
 
 from __future__ import annotations
 
-from ampere.llm import fingerprints, quality_classifier, quality_rules  # noqa: F401
+from ampere.llm import (  # noqa: F401
+    bpe,
+    fingerprints,
+    language_id,
+    packing,
+    quality_classifier,
+    quality_rules,
+    token_counts,
+)
 from ampere.llm.registry import ORACLES, QUERIES  # noqa: F401

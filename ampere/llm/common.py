@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructType
 
 #: ASCII white space as the contracts name it: space and 0x09-0x0D.
 BLANKS = " \t\n\x0b\f\r"
@@ -46,3 +47,8 @@ def count_chars(text: Column, chars: str) -> Column:
 def id_remainder(doc_id: Column, n: int) -> Column:
     """crc32 of the id's decimal text modulo ``n`` (null for a null id)."""
     return F.crc32(doc_id.cast("string").cast("binary")) % n
+
+
+def schema_plus(df: DataFrame, name: str, kind: str) -> StructType:
+    """The schema of ``df`` with one more column at the end."""
+    return StructType(list(df.schema.fields)).add(name, DataType.fromDDL(kind))
