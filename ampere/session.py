@@ -2,8 +2,8 @@
 
 Everything time related runs in UTC.  The scratch folder used for
 checkpoints and landed files is always taken from the cluster's
-``spark.checkpoint.dir``; only when that is unset (local tests) do we
-point it at a fresh folder under the system temp dir.
+``spark.checkpoint.dir``; only when that is unset and the master is local
+(tests) do we point it at a fresh folder under the system temp dir.
 """
 
 from __future__ import annotations
@@ -11,6 +11,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -46,29 +48,55 @@ def build_session(master: str | None = None, app: str = "ampere",
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the session-level settings to an existing session."""
+    """Apply the session-level settings, check that they hold, and ship the package to the workers."""
     for k, v in CORE_CONF.items():
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # static conf already fixed by the cluster
-            pass
+        spark.conf.set(k, v)
+        if (now := spark.conf.get(k)) != v:
+            raise RuntimeError(f"{k} is {now!r}; the results need {v!r}")
+    ship_package(spark)
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext; None in a remote (Connect) session."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once a session, so that it is found there
+    from whatever folder the driver was started in."""
+    sc = _context(spark)
+    holder = sc if sc is not None else spark
+    if getattr(holder, "_ampere_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="ampere-package-")) / f"ampere-{uuid.uuid4().hex[:8]}.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f"ampere/{f.relative_to(root)}")
+    if sc is not None:
+        sc.addPyFile(str(archive))     # served to the executors by the driver
+    else:
+        spark.addArtifacts(str(archive), pyfile=True)
+    holder._ampere_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Set our own (a new temp folder) only when the session has none, which
-    is the case in local tests.
-    """
+    Only on a local master, where driver and executors are one process, an
+    unset folder is replaced by a new temp folder; elsewhere that is an error,
+    since no other machine would see it."""
     d = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        sc = spark.sparkContext
-    except Exception:  # a remote (Connect) session has no SparkContext
-        sc = None
+    sc = _context(spark)
     if not d and sc is not None:
         d = sc.getCheckpointDir()
     if not d:
+        if sc is None or not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         d = tempfile.mkdtemp(prefix="ampere-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if sc is not None and not sc.getCheckpointDir():
