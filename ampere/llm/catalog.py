@@ -5,10 +5,12 @@ from __future__ import annotations
 from ampere.llm import (  # noqa: F401
     bpe,
     fingerprints,
+    html_extract,
     language_id,
     packing,
     quality_classifier,
     quality_rules,
     token_counts,
+    token_files,
 )
 from ampere.llm.registry import ORACLES, QUERIES  # noqa: F401
