@@ -6,6 +6,7 @@ from ampere.llm import (  # noqa: F401
     bpe,
     fingerprints,
     html_extract,
+    jaccard_join,
     language_id,
     packing,
     quality_classifier,
