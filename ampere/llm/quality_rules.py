@@ -2,9 +2,10 @@
 
 Every document gets counts of words, symbols, repeated lines and repeated
 three-word windows, and the mean over its hashed n-grams (words and word
-pairs) of log p_target(bucket) / p_raw(bucket).  Both multinomials are counted
-over all rows given: the raw corpus is every document, the target the trusted
-ones.  A document is kept when no base rule fails and its length-normalised
+pairs) of log p_target(bucket) / p_raw(bucket).  The raw multinomial is
+counted over every document, the target over the trusted ones: at most
+``TRUSTED`` ids of good label, those with the smallest hash (a bounded sample of
+labelled rows, broadcast as 160 kB, so no text is shuffled).  A document is kept when no base rule fails and its length-normalised
 ratio reaches a fixed threshold, so the verdict depends on nothing but the two
 tables.
 
@@ -33,6 +34,7 @@ from ampere.session import materialize
 SYMBOLS = "#*$%&|<>"
 BUCKETS = 1 << 14      # size of the hashed n-gram space
 PRIOR = 1.0            # pseudo-count of every bucket
+TRUSTED = 20_000       # labelled documents that the target is counted on, at most
 THRESHOLD = -0.085    # nats per n-gram; clean text lies around or above 0
 MIN_WORDS = 50
 MAX_REPEAT_PCT = 50
@@ -88,25 +90,20 @@ def with_rule_counts(docs: DataFrame, out: str, text: str = "text", width: int =
 
 
 def ratio_table(docs: DataFrame, trusted: DataFrame, text: str = "text", doc_id: str = "doc_id",
-                buckets: int = BUCKETS, prior: float = PRIOR) -> DataFrame:
+                buckets: int = BUCKETS, prior: float = PRIOR, sample: int = TRUSTED) -> DataFrame:
     """One row, one column ``llr``: log p_target / p_raw of every bucket.
 
-    ``trusted`` holds the ids (first column) of the target documents."""
-    ids = trusted.select(trusted[trusted.columns[0]].alias("_tid")).where("_tid is not null").distinct()
-
-    def grams(df):
-        # the words are a column of their own: inside a lambda an expression runs once per element
-        return (df.select(words_of(whole_text(F.col(text))).alias("_w"))
-                .select(F.explode(_buckets(F.col("_w"), buckets)).alias("_b"))
-                .groupBy("_b").agg(F.count(F.lit(1)).alias("_n")))
-
-    # counts per bucket of all rows, and of the trusted rows
-    raw = grams(docs.select(text))
-    target = grams(docs.select(F.col(doc_id).alias("_id"), text)
-                   .join(ids, F.col("_id") == F.col("_tid"), "left_semi"))
-    both = (raw.select("_b", F.col("_n").alias("raw"), F.lit(0).cast("long").alias("target"))
-            .unionAll(target.select("_b", F.lit(0).cast("long"), F.col("_n")))
-            .unionAll(docs.sparkSession.range(buckets).select(
+    ``trusted`` holds the ids (first column) of the target documents; the
+    ``sample`` ids with the smallest hash are used, so they can be broadcast."""
+    ids = (trusted.select(trusted[trusted.columns[0]].alias("_tid")).where("_tid is not null").distinct()
+           .orderBy(F.xxhash64("_tid"), "_tid").limit(sample))
+    # the words are a column of their own: inside a lambda an expression runs once per element
+    counts = (docs.select(F.col(doc_id).alias("_id"), words_of(whole_text(F.col(text))).alias("_w"))
+              .join(F.broadcast(ids), F.col("_id") == F.col("_tid"), "left")
+              .select(F.col("_tid").isNotNull().cast("int").alias("_of"),
+                      F.explode(_buckets(F.col("_w"), buckets)).alias("_b"))
+              .groupBy("_b").agg(F.count(F.lit(1)).alias("raw"), F.sum("_of").alias("target")))
+    both = (counts.unionAll(docs.sparkSession.range(buckets).select(
                 F.col("id").cast("int"), F.lit(0).cast("long"), F.lit(0).cast("long")))
             .groupBy("_b").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")))
     arr = F.sort_array(F.array_agg(F.struct("_b", "raw", "target")))
