@@ -52,3 +52,14 @@ def id_remainder(doc_id: Column, n: int) -> Column:
 def schema_plus(df: DataFrame, name: str, kind: str) -> StructType:
     """The schema of ``df`` with one more column at the end."""
     return StructType(list(df.schema.fields)).add(name, DataType.fromDDL(kind))
+
+
+def keep_rows(df: DataFrame, condition: Column) -> DataFrame:
+    """``df.where(condition)`` with the condition's columns computed once, before the filter.
+
+    A filter is otherwise pushed below the projections, where every use of a
+    column becomes its whole expression again, inside lambdas once per element.
+    Spark leaves a filter above a projection that numbers its rows."""
+    row, = fresh(df, "_row")
+    return (df.withColumn(row, F.monotonically_increasing_id())
+            .where(condition & (F.col(row) >= 0)).drop(row))

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ampere.llm.common import read_table
+from ampere.llm.common import fresh, read_table
 from ampere.llm.components import components
 from ampere.llm.registry import query
 from ampere.llm.shingles import mix, shingle_sets
@@ -78,7 +78,8 @@ def set_key(tokens: np.ndarray) -> bytes:
 
 
 def sketches(docs: DataFrame, width: int, percent: int, late: np.ndarray) -> DataFrame:
-    """doc_id, n (set size), cls (key of the set), prefix (its first tokens, those in ``late`` last)."""
+    """doc_id, h, n (set size), cls (key of the set), prefix (its first tokens, those in ``late`` last)
+    of (doc_id, text, h) rows."""
     def run(batches):
         for b in batches:
             n, key, sizes, prefix = [], [], [], []
@@ -96,10 +97,10 @@ def sketches(docs: DataFrame, width: int, percent: int, late: np.ndarray) -> Dat
             lists = pa.ListArray.from_arrays(
                 pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)), pa.array(flat.view(np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int64()), pa.array(key, pa.binary()), lists],
-                names=["doc_id", "n", "cls", "prefix"])
+                [b.column(0), b.column(2), pa.array(n, pa.int64()), pa.array(key, pa.binary()), lists],
+                names=["doc_id", "h", "n", "cls", "prefix"])
 
-    return docs.mapInArrow(run, "doc_id bigint, n bigint, cls binary, prefix array<bigint>")
+    return docs.mapInArrow(run, "doc_id bigint, h bigint, n bigint, cls binary, prefix array<bigint>")
 
 
 def token_sets(texts: DataFrame, width: int) -> DataFrame:
@@ -229,18 +230,32 @@ def _reaches(n: str, least: str, most: str, percent: int):
 
 
 def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row of (doc_id, text)."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    """doc_id, h (hash of the text), n_shingles, component_id of every row of (doc_id, text)."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
     sk = materialize(sketches(docs, width, percent, frequent_tokens(docs, width)), "op8-sketches")
     comp = class_components(docs, sk, width, percent)
-    rows = sk.select("doc_id", F.col("n").alias("n_shingles"), "cls")
+    rows = sk.select("doc_id", "h", F.col("n").alias("n_shingles"), "cls")
     c = comp.select(F.col("cls").alias("k"), "component")
     return rows.join(c, (F.col("cls") == F.col("k")) & (F.col("n_shingles") > 0), "left").select(
-        "doc_id", "n_shingles",
+        "doc_id", "h", "n_shingles",
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
 
 
+def one_of_each(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` that stay when each component keeps one document: the smallest id,
+    and of several texts with that id the one with the smallest hash.  Rows without an id all stay."""
+    near = materialize(near_duplicates(docs, width, percent).where("doc_id is not null"), "op8-near")
+    keep = near.groupBy("component_id").agg(F.min(F.struct("doc_id", "h")).alias("k")).select(
+        F.col("k.doc_id").alias("_keep_id"), F.col("k.h").alias("_keep_h"))
+    i, h = fresh(docs, "_i", "_h")
+    rows = docs.withColumn(i, F.col("doc_id").cast("long")).withColumn(h, F.xxhash64("text"))
+    kept = rows.join(keep, (F.col(i) == F.col("_keep_id")) & (F.col(h) == F.col("_keep_h")), "left_semi")
+    if near.groupBy("doc_id", "h").count().where("count > 1").take(1):      # rows repeated exactly
+        kept = kept.dropDuplicates([i, h])
+    return kept.unionAll(rows.where(F.col(i).isNull())).drop(i, h)
+
+
 @query("op8_jaccard_join")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set size and component of every document."""
-    return near_duplicates(read_table(spark, sf_dir, "documents"))
+    return near_duplicates(read_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
