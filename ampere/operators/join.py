@@ -1,11 +1,10 @@
-"""Joins: nearest as-of (C1), null enrichment (C2), profile join (C3),
-latest row per key (C4) and the daily-vs-hourly consistency join (C5)."""
+"""Joins: nearest as-of (C1), null enrichment (C2), latest row per key (C4) and the daily-vs-hourly consistency join."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ampere.functions.timecols import epoch_us, floor_hour
 
@@ -14,44 +13,62 @@ WEATHER_COLS = ("temperature", "wind_speed", "humidity")
 
 def asof_nearest(left: DataFrame, right: DataFrame, by: str = "iso_code",
                  on: str = "timestamp_utc", tolerance_seconds: int = 3600,
-                 value_cols: Sequence[str] | None = None) -> DataFrame:
+                 value_cols: Sequence[str] | None = None,
+                 bucket_seconds: int = 900) -> DataFrame:
     """Left as-of join: for every left row the right row of the same ``by``
     key nearest in ``on``, if within the tolerance (inclusive).
 
-    Ties at equal distance go to the earlier right row; right rows at the
-    same instant are ordered by their values (a fixed, documented tie key).
-    Left rows must be distinct (the cleaned grid is unique per (iso, ts)).
-
-    Plan: time is cut into buckets as wide as the tolerance, so a match can
-    only sit in the same or a neighbouring bucket.  The right side is
-    replicated to its three candidate buckets and equi-joined on
-    (by, bucket) - a hash join parallel over time even with few keys - and
-    the distance test is a residual.  The nearest candidate per left row is
-    a grouped ``min_by``; grouping on (by, bucket, left cols) reuses the
-    join's hash partitioning, so the big side is shuffled once.
+    Ties at equal distance go to the earlier right row; of right rows at the
+    same instant the smallest values count (a fixed, documented tie key).
+    Every left row stays, repeated ones too; rows without a key or a time
+    match nothing.
+
+    Plan: a sort-merge as-of, linear in both sides.  The right side is reduced
+    to one row per (by, instant); both sides are put in one column of time and
+    cut into buckets, and inside a bucket the nearest right row before and
+    after is the last / first non-null one in time order.  What lies beyond a
+    bucket's edges comes from a table of one row per (by, bucket) that holds
+    readings.  No pairs are formed, and the bucket width alone decides how many
+    rows meet in one task, whatever the tolerance.
     """
     if value_cols is None:
         value_cols = [c for c in right.columns if c not in (by, on)]
     value_cols = list(value_cols)
     tol_us = int(tolerance_seconds) * 1_000_000
-    left_cols = left.columns
-    lt = left.withColumn("_t", epoch_us(on)) \
-             .withColumn("_b", F.floor(F.col("_t") / F.lit(tol_us)).cast("long"))
-    r = right.select(
-        F.col(by).alias("_rby"), epoch_us(on).alias("_rt"),
-        F.struct(*[F.col(c) for c in value_cols]).alias("_w"))
-    r = r.withColumn("_rb", F.floor(F.col("_rt") / F.lit(tol_us)).cast("long")) \
-         .withColumn("_b2", F.explode(F.array(F.col("_rb") - 1, F.col("_rb"), F.col("_rb") + 1))) \
-         .drop("_rb")
-    cond = ((lt[by] == r["_rby"]) & (lt["_b"] == r["_b2"])
-            & (F.abs(lt["_t"] - r["_rt"]) <= F.lit(tol_us)))
-    j = lt.join(r, cond, "left")
-    dist = F.abs(F.col("_t") - F.col("_rt"))
-    rank = F.when(F.col("_rt").isNotNull(), F.struct(dist.alias("d"), F.col("_rt").alias("t"),
-                                                     F.col("_w").alias("w")))
-    picked = j.groupBy(by, "_b", *[c for c in left_cols if c != by]).agg(
-        F.min_by(F.col("_w"), rank).alias("_m"))
-    return picked.select(*left_cols, *[F.col(f"_m.{c}").alias(c) for c in value_cols])
+    width = F.lit(int(bucket_seconds) * 1_000_000)
+    bucket = F.floor(F.col("_t") / width).cast("long")
+    lt = left.select(F.col(by).alias("_by"), epoch_us(on).alias("_t"), F.struct(*left.columns).alias("_l"))
+    r = (right.select(F.col(by).alias("_by"), epoch_us(on).alias("_t"),
+                      F.struct(*[F.col(c) for c in value_cols]).alias("_v"))
+         .where(F.col("_by").isNotNull() & F.col("_t").isNotNull())
+         .groupBy("_by", "_t").agg(F.min("_v").alias("_v"))
+         .select("_by", "_t", F.struct("_t", "_v").alias("_r")))
+    rows = (lt.select("_by", "_t", "_l", F.lit(None).cast(r.schema["_r"].dataType).alias("_r"))
+            .unionAll(r.select("_by", "_t", F.lit(None).cast(lt.schema["_l"].dataType), "_r"))
+            .withColumn("_b", bucket))
+    inside = Window.partitionBy("_by", "_b").orderBy("_t")
+    upto = inside.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    ahead = inside.rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    near = rows.withColumns({"_p": F.last("_r", ignorenulls=True).over(upto),
+                             "_n": F.first("_r", ignorenulls=True).over(ahead)})
+    # the readings at the edges of every bucket, for the buckets a tolerance may reach into
+    reach = -(-int(tolerance_seconds) // int(bucket_seconds))
+    edges = (r.withColumn("_b", bucket).groupBy("_by", "_b")
+             .agg(F.min_by("_r", "_t").alias("_lo"), F.max_by("_r", "_t").alias("_hi")))
+    edges = (edges.select("_by", F.explode(F.sequence(F.col("_b") - reach, F.col("_b") + reach)).alias("_to"),
+                          "_b", "_lo", "_hi")
+             .groupBy("_by", "_to").agg(
+                 F.max_by("_hi", F.when(F.col("_b") < F.col("_to"), F.col("_b"))).alias("_before"),
+                 F.min_by("_lo", F.when(F.col("_b") > F.col("_to"), F.col("_b"))).alias("_after"))
+             .withColumnsRenamed({"_by": "_eby"}))
+    j = near.where("_l is not null").join(
+        edges, (F.col("_by") == F.col("_eby")) & (F.col("_b") == F.col("_to")), "left")
+    before, after = F.coalesce("_p", "_before"), F.coalesce("_n", "_after")
+    ago, until = F.col("_t") - before["_t"], after["_t"] - F.col("_t")
+    best = (F.when((ago <= tol_us) & (until.isNull() | (ago <= until)), before["_v"])
+            .when(until <= tol_us, after["_v"]))
+    return j.select("_l", best.alias("_m")).select(
+        *[F.col("_l")[c].alias(c) for c in left.columns], *[F.col("_m")[c].alias(c) for c in value_cols])
 
 
 def enrich_with_weather(grid: DataFrame, weather: DataFrame | None,
@@ -73,14 +90,6 @@ def enrich_without_weather(grid: DataFrame) -> DataFrame:
     return grid.withColumns({c: F.lit(None).cast("double") for c in WEATHER_COLS})
 
 
-def profile_join(df: DataFrame, profile: DataFrame,
-                 keys: Sequence[str] = ("iso_code", "hour_of_day", "day_of_week")) -> DataFrame:
-    """Left join a (key, hour, dow) profile.  The profile has at most
-    168 rows per key, so Spark's size check broadcasts it."""
-    from ampere.operators.attach import attach
-    return attach(df, profile, list(keys), "left")
-
-
 def latest_rows(df: DataFrame, key: str = "iso_code", ts: str = "timestamp_utc") -> DataFrame:
     """C4: all rows at the newest ``ts`` of each key (ties kept).
 

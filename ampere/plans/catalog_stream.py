@@ -47,11 +47,11 @@ def n1(spark, d):
           <= (SELECT max(timestamp_utc) FROM cleaned) - INTERVAL 2 HOUR
     GROUP BY 1, 2""")
 def n2(spark, d):
-    """Hourly rollup with a 2 h watermark: every closed window, once."""
+    """Hourly rollup in several micro-batches: every window closed for 2 h, late rows included."""
     root = _land(spark, d)
-    s = inc.hourly_rollup_stream(inc.clean_stream(inc.bronze_stream(spark, root)))
-    out = inc.run_available_now(s, new_path(spark, "stream_hourly"), new_path(spark, "ckpt_hourly"))
-    x = spark.read.parquet(out)
+    s = inc.clean_stream(inc.bronze_stream(spark, root, max_files=16))
+    out = inc.run_batches(s, inc.hourly_partials, new_path(spark, "stream_hourly"), new_path(spark, "ckpt_hourly"))
+    x = inc.hourly_rollup(inc.read_batches(spark, out))
     return x.withColumn("avg_load_mw", half_even_quotient("sum_load_mw", "data_points")).select(
         "iso_code", "hour", "data_points", "avg_load_mw", "min_load_mw", "max_load_mw")
 
@@ -61,16 +61,16 @@ def n2(spark, d):
       SELECT *, row_number() OVER (PARTITION BY iso_code, timestamp_utc ORDER BY seq, id) AS rn
       FROM cleaned) WHERE rn = 1""")
 def n3(spark, d):
-    """Originals first, re-sent copies in a later run: one row per key."""
+    """Originals first, re-sent copies in a later run: one row per key, the smallest (seq, id)."""
     first = _land(spark, d, seq=0)
-    ckpt = new_path(spark, "ckpt_dedup")
-    out = new_path(spark, "stream_dedup")
-    s = inc.dedup_stream(inc.clean_stream(inc.bronze_stream(spark, first)))
-    inc.run_available_now(s.select("iso_code", "timestamp_utc", "load_mw", "seq", "id"), out, ckpt)
+    ckpt, out = new_path(spark, "ckpt_dedup"), new_path(spark, "stream_dedup")
+    cols = ["iso_code", "timestamp_utc", "load_mw", "seq", "id"]
+    s = inc.clean_stream(inc.bronze_stream(spark, first, max_files=16)).select(*cols)
+    inc.run_batches(s, inc.first_rows, out, ckpt)
     # the re-sent copies land in the same folder and a second run picks
     # up only the new files
     b = fx.bronze_grid(spark, d).where(F.col("seq") == 1)
     b.withColumn("ingest_date", _day().cast("string")).write.mode("append").partitionBy("ingest_date").parquet(first)
-    s2 = inc.dedup_stream(inc.clean_stream(inc.bronze_stream(spark, first)))
-    inc.run_available_now(s2.select("iso_code", "timestamp_utc", "load_mw", "seq", "id"), out, ckpt)
-    return spark.read.parquet(out)
+    s2 = inc.clean_stream(inc.bronze_stream(spark, first, max_files=16)).select(*cols)
+    inc.run_batches(s2, inc.first_rows, out, ckpt)
+    return inc.first_rows(inc.read_batches(spark, out)).select(*cols)

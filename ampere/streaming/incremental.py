@@ -5,11 +5,15 @@ incrementally over a landing folder.  Sources are parquet file streams
 with an explicit schema; sinks are parquet folders with checkpoints in the
 shared folder, so a restarted job resumes exactly where it stopped.
 ``Trigger.AvailableNow`` processes what has landed and stops (the hourly
-cron of the reference becomes a scheduled catch-up run).
+cron of the reference becomes a scheduled catch-up run).  Rollup and dedup
+write what a micro-batch contributes and merge on read, so neither keeps state
+nor loses late rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ampere.operators import clean as cl
@@ -38,26 +42,55 @@ def clean_stream(raw: DataFrame) -> DataFrame:
     return cl.clean_grid(c)
 
 
-def hourly_rollup_stream(clean: DataFrame, watermark: str = "2 hours") -> DataFrame:
-    """Tumbling 1-hour windows per ISO behind a watermark; a window is
-    emitted once the watermark passes its end (append mode), later rows
-    for it are dropped.  Sums are exact decimals, as in batch."""
-    # watermarks need an instant (TIMESTAMP); the session runs in UTC
-    w = clean.withColumn("_et", F.col("timestamp_utc").cast("timestamp")).withWatermark("_et", watermark)
-    return w.groupBy(F.window("_et", "1 hour").alias("w"), "iso_code").agg(
+def hourly_partials(clean: DataFrame) -> DataFrame:
+    """N2, one micro-batch: partial sums per (ISO, hour).  Sums are exact decimals, as in batch."""
+    return clean.groupBy("iso_code", F.date_trunc("hour", "timestamp_utc").cast("timestamp_ntz").alias("hour")).agg(
         F.count("load_mw").alias("data_points"),
         F.sum(F.col("load_mw").cast("decimal(28,8)")).alias("sum_load_mw"),
         F.min("load_mw").alias("min_load_mw"), F.max("load_mw").alias("max_load_mw"),
-    ).select("iso_code", F.col("w.start").cast("timestamp_ntz").alias("hour"), "data_points",
-             "sum_load_mw", "min_load_mw", "max_load_mw")
+        F.max("timestamp_utc").alias("newest"))
+
+
+def hourly_rollup(partials: DataFrame, closed_after: str = "2 hours") -> DataFrame:
+    """N2, merged on read: the windows that ended at least ``closed_after`` before the newest row.
+
+    Partial sums of one window add up whichever batch they came in, so a row
+    that arrives late counts like any other, and the order in which files were
+    taken does not matter.  ``parts`` is the number of batches a window came in."""
+    newest = partials.select(F.max("newest")).scalar()
+    end = F.col("hour") + F.expr("INTERVAL 1 HOUR")
+    return (partials.groupBy("iso_code", "hour").agg(
+        F.sum("data_points").alias("data_points"), F.sum("sum_load_mw").cast("decimal(38,8)").alias("sum_load_mw"),
+        F.min("min_load_mw").alias("min_load_mw"), F.max("max_load_mw").alias("max_load_mw"),
+        F.count(F.lit(1)).alias("parts")).where(end <= newest - F.expr(f"INTERVAL {closed_after}")))
+
+
+def first_rows(rows: DataFrame) -> DataFrame:
+    """Per (ISO, timestamp) the row with the smallest (seq, id) - of one micro-batch when it is
+    written, and of all batches when the log is read.  Nothing is dropped for being late, and the
+    choice does not depend on the order in which files were taken."""
+    rest = [c for c in rows.columns if c not in ("iso_code", "timestamp_utc")]
+    return (rows.groupBy("iso_code", "timestamp_utc")
+            .agg(F.min_by(F.struct(*rest), F.struct("seq", "id")).alias("_r"))
+            .select("iso_code", "timestamp_utc", *[F.col(f"_r.{c}").alias(c) for c in rest]))
+
+
+def run_batches(df: DataFrame, per_batch: Callable[[DataFrame], DataFrame], out: str, checkpoint: str) -> str:
+    """Process everything that has landed: ``per_batch`` of each micro-batch is written to
+    ``out/batch=<number>``.  A batch that is run again after a failure replaces its own folder."""
+    def write(batch: DataFrame, number: int) -> None:
+        per_batch(batch).write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    q = (df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    return out
 
 
-def dedup_stream(clean: DataFrame, watermark: str = "2 hours") -> DataFrame:
-    """One row per (iso, ts) within the watermark: the first seen wins;
-    re-sent rows older than the watermark are dropped as late."""
-    return clean.withColumn("_et", F.col("timestamp_utc").cast("timestamp")) \
-                .withWatermark("_et", watermark) \
-                .dropDuplicatesWithinWatermark(["iso_code", "timestamp_utc"]).drop("_et")
+def read_batches(spark: SparkSession, out: str) -> DataFrame:
+    return spark.read.option("basePath", out).parquet(out).drop("batch")
 
 
 def run_available_now(df: DataFrame, out: str, checkpoint: str, mode: str = "append") -> str:

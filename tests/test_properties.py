@@ -1,6 +1,7 @@
 """Property-based checks (hypothesis) of the exact mean and the bucketed
 previous-row operator against straightforward definitions."""
 
+from collections import Counter
 from datetime import datetime, timedelta
 from decimal import ROUND_HALF_EVEN, Decimal
 
@@ -8,6 +9,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import Window, functions as F
 
 from ampere.functions.numeric import exact_sum, half_even_quotient
+from ampere.operators.join import asof_nearest
 from ampere.operators.ordered import previous_row
 
 T0 = datetime(2024, 1, 1)
@@ -44,21 +46,23 @@ def test_previous_row_matches_lag(spark, pts, bucket):
 
 
 @settings(**SETTINGS)
-@given(st.lists(st.tuples(st.integers(0, 1), st.integers(0, 6 * 3600)), min_size=1, max_size=60, unique=True),
-       st.lists(st.tuples(st.integers(0, 1), st.integers(0, 6 * 3600), st.integers(0, 3)), min_size=0,
-                max_size=40),
-       st.sampled_from([600, 1800, 3600]))
-def test_asof_matches_brute_force(spark, left, right, tol):
-    from ampere.operators.join import asof_nearest
-    g = spark.createDataFrame([("K%d" % k, T0 + timedelta(seconds=s), float(i)) for i, (k, s) in enumerate(left)],
+@given(st.lists(st.tuples(st.integers(0, 1), st.integers(0, 72).map(lambda k: k * 300), st.integers(0, 1)),
+                min_size=1, max_size=60),
+       st.lists(st.tuples(st.integers(0, 1), st.integers(0, 72).map(lambda k: k * 300),
+                          st.one_of(st.none(), st.integers(0, 3))), min_size=0, max_size=40),
+       st.sampled_from([600, 1800, 3600]), st.sampled_from([60, 900, 7200]))
+def test_asof_matches_brute_force(spark, left, right, tol, bucket):
+    """Repeated left rows stay, readings at the same time and ties in distance occur, values are null."""
+    g = spark.createDataFrame([("K%d" % k, T0 + timedelta(seconds=s), float(v)) for k, s, v in left],
                               "iso_code string, timestamp_utc timestamp_ntz, load_mw double")
-    wx = [("K%d" % k, T0 + timedelta(seconds=s), float(v)) for k, s, v in right]
+    wx = [("K%d" % k, T0 + timedelta(seconds=s), None if v is None else float(v)) for k, s, v in right]
     w = spark.createDataFrame(wx, "iso_code string, timestamp_utc timestamp_ntz, temperature double")
-    got = {(r.iso_code, r.timestamp_utc): r.temperature
-           for r in asof_nearest(g, w, tolerance_seconds=tol, value_cols=["temperature"]).collect()}
-    assert len(got) == len(left)
-    for k, s in left:
+    got = Counter(map(tuple, asof_nearest(g, w, tolerance_seconds=tol, value_cols=["temperature"],
+                                          bucket_seconds=bucket).collect()))
+    want = Counter()
+    for k, s, v in left:
         t = T0 + timedelta(seconds=s)
-        cands = sorted((abs((wt - t).total_seconds()), wt, v) for wk, wt, v in wx
-                       if wk == "K%d" % k and abs((wt - t).total_seconds()) <= tol)
-        assert got[("K%d" % k, t)] == (cands[0][2] if cands else None)
+        cands = sorted(((abs((wt - t).total_seconds()), wt, wv is not None, wv or 0.0) for wk, wt, wv in wx
+                        if wk == "K%d" % k and abs((wt - t).total_seconds()) <= tol))
+        want[("K%d" % k, t, float(v), (cands[0][3] if cands[0][2] else None) if cands else None)] += 1
+    assert got == want
