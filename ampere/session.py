@@ -16,17 +16,20 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
-# Settings that keep results exact and plans adaptive.  Shuffle partition
-# counts are left to the cluster (AQE coalesces them at run time).
-CORE_CONF = {
+# Settings that results depend on: set, read back, and an error if they do not hold.
+EXACT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    "spark.sql.parquet.int96RebaseModeInWrite": "CORRECTED",
+    "spark.sql.parquet.datetimeRebaseModeInWrite": "CORRECTED",
+}
+# Settings for speed only; a cluster may hold others.  Shuffle partition
+# counts are left to the cluster (AQE coalesces them at run time).
+CORE_CONF = EXACT_CONF | {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.sql.parquet.int96RebaseModeInWrite": "CORRECTED",
-    "spark.sql.parquet.datetimeRebaseModeInWrite": "CORRECTED",
 }
 
 
@@ -51,6 +54,7 @@ def configure(spark: SparkSession) -> SparkSession:
     """Apply the session-level settings, check that they hold, and ship the package to the workers."""
     for k, v in CORE_CONF.items():
         spark.conf.set(k, v)
+    for k, v in EXACT_CONF.items():
         if (now := spark.conf.get(k)) != v:
             raise RuntimeError(f"{k} is {now!r}; the results need {v!r}")
     ship_package(spark)
