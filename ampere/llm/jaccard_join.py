@@ -1,23 +1,29 @@
 """N-gram Jaccard join by a token-group matrix (operator 8).
 
-Documents with equal shingle sets are one class.  Classes are partitioned into
-groups of similar ones: each class is linked, after an exact check, to the
-class it shares most prefix tokens with, and linked classes form a group,
-cut into parts of about ``GROUP`` classes.  The matrix holds, for each group, the
-union of its members' tokens.  A class is a query to every group of another
-component that has one of its prefix tokens; the overlap of the query with the
-group's union bounds its overlap with any member, and only groups whose bound
-reaches the threshold are opened: their members are compared exactly.
-
-No link is lost: two sets of similarity at least t share a token among the
-first |A| - ceil(t |A|) + 1 of each, in any order common to all, and that holds
-for every pair; pairs inside one component need no further link, since what is
-returned is the component.  The order puts the tokens frequent in a sample of
-documents last.  It only decides how much work there is, never a result; the list of
-frequent tokens is bounded by ``FREQUENT``.
-
-At scale: texts move once, to the classes that share any prefix token at all;
-prefix tokens (15 per cent of the shingles) are shuffled by token; components
+Documents with equal shingle sets are one class.  A class is known by its
+prefix: its first |A| - ceil(t |A|) + 1 tokens in an order common to all.
+Two sets of similarity at least t share a token of their prefixes, and with k
+shared ones their overlap is at most k + ceil(t |A|) - 1, where A is the set
+whose prefix ends first; so k is known to be large, about half a prefix, long
+before any set is compared.
+
+Classes are partitioned into groups of similar ones: each class is linked,
+after an exact check, to the class it shares most prefix tokens with, and linked
+classes form a group, cut into parts of about ``GROUP`` classes.  The token-group
+matrix has, for each group, the union of its members' prefix tokens.  A class is
+a query to the groups of other components; the number of its prefix tokens in
+the group's union bounds the number it shares with any member, and only groups
+where that number suffices are opened: their members' tokens are counted one by
+one, and pairs that still may link are compared exactly.
+
+No link is lost: the bounds hold for every pair, and pairs inside one component
+need no further link, since what is returned is the component.  The order puts
+the tokens frequent in a sample of documents last.  It only decides how much
+work there is, never a result; the list of frequent tokens is bounded by
+``FREQUENT``.
+
+At scale: prefix tokens (15 per cent of the shingles) are shuffled by token;
+texts move twice, to meet the few classes whose sets are compared; components
 are found by alternating stars.  Nothing is gathered on the driver but the
 frequent tokens, and no group is handled as one: classes of copies collapse by
 partial aggregation, hot groups are cut.
@@ -78,29 +84,32 @@ def set_key(tokens: np.ndarray) -> bytes:
 
 
 def sketches(docs: DataFrame, width: int, percent: int, late: np.ndarray) -> DataFrame:
-    """doc_id, h, n (set size), cls (key of the set), prefix (its first tokens, those in ``late`` last)
-    of (doc_id, text, h) rows."""
+    """doc_id, h, n (set size), cls (key of the set), prefix (its first tokens, those in ``late`` last),
+    last (place of the last one of these in the order) of (doc_id, text, h) rows."""
     def run(batches):
         for b in batches:
-            n, key, sizes, prefix = [], [], [], []
+            n, key, sizes, prefix, last = [], [], [], [], []
             for s in shingle_sets(b.column(1), width):
                 n.append(len(s))
                 key.append(set_key(s))
                 k = prefix_length(len(s), percent) if len(s) else 0
+                rare = np.ones(len(s), bool)
                 if len(late) and k:
                     at = np.minimum(np.searchsorted(late, s), len(late) - 1)
                     rare = late[at] != s
                     s = np.concatenate((s[rare][:k], s[~rare][:max(0, k - int(rare.sum()))]))
                 prefix.append(s[:k])
                 sizes.append(k)
+                # upper half of the order for frequent tokens
+                last.append((int(s[k - 1]) >> 1) - (1 << 63 if int(rare.sum()) >= k else 0) if k else 0)
             flat = np.concatenate(prefix) if prefix else np.empty(0, np.uint64)
             lists = pa.ListArray.from_arrays(
                 pa.array(np.concatenate(([0], np.cumsum(sizes))).astype(np.int32)), pa.array(flat.view(np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(2), pa.array(n, pa.int64()), pa.array(key, pa.binary()), lists],
-                names=["doc_id", "h", "n", "cls", "prefix"])
+                [b.column(0), b.column(2), pa.array(n, pa.int64()), pa.array(key, pa.binary()), lists,
+                 pa.array(last, pa.int64())], names=["doc_id", "h", "n", "cls", "prefix", "last"])
 
-    return docs.mapInArrow(run, "doc_id bigint, h bigint, n bigint, cls binary, prefix array<bigint>")
+    return docs.mapInArrow(run, "doc_id bigint, h bigint, n bigint, cls binary, prefix array<bigint>, last bigint")
 
 
 def token_sets(texts: DataFrame, width: int) -> DataFrame:
@@ -116,21 +125,16 @@ def token_sets(texts: DataFrame, width: int) -> DataFrame:
     return texts.mapInArrow(run, "cid bigint, tokens array<bigint>")
 
 
-def overlap_at_least(pairs: DataFrame, need: str) -> DataFrame:
-    """The pairs (a, b) with sorted token arrays s and t whose overlap is at least what ``need`` says:
-    ``link``: percent * |s or t| <= 100 * |s and t|; ``bound``: percent * |s| <= 100 * |s and t|."""
-    link = need == "link"
-
+def linking(pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sorted token arrays s and t link."""
     def run(batches):
         for b in batches:
             keep = []
             for k in range(len(b)):
                 s, t = b.column(2)[k].values.to_numpy(), b.column(3)[k].values.to_numpy()
                 few, many = (s, t) if len(s) <= len(t) else (t, s)
-                at = np.minimum(np.searchsorted(many, few), len(many) - 1)
-                both = int((many[at] == few).sum())
-                base = len(s) + len(t) - both if link else len(s)
-                if 100 * both >= b.column(4)[0].as_py() * base:
+                both = int((many[np.minimum(np.searchsorted(many, few), len(many) - 1)] == few).sum())
+                if 100 * both >= percent * (len(s) + len(t) - both):
                     keep.append(k)
             take = pa.array(keep, pa.int64())
             yield pa.RecordBatch.from_arrays([b.column(0).take(take), b.column(1).take(take)], names=["a", "b"])
@@ -138,18 +142,25 @@ def overlap_at_least(pairs: DataFrame, need: str) -> DataFrame:
     return pairs.mapInArrow(run, "a bigint, b bigint")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that link."""
+def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of classes that link, by their whole sets."""
+    pairs = materialize(pairs, "op8-pairs")
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
+    wanted = classes.select("cid", "cls", "top").join(nodes, "cid", "left_semi")
+    # always a sort-merge join: whether the ids would fit a broadcast depends on the corpus
+    texts = (docs.where("doc_id is not null").select("doc_id", "text")
+             .join(wanted.hint("merge"), F.col("doc_id") == F.col("top")).select("cid", "cls", "text"))
+    sets = materialize(token_sets(texts, width).dropDuplicates(["cid"]), "op8-sets")
     one = sets.select(F.col("cid").alias("a"), F.col("tokens").alias("s"))
     two = sets.select(F.col("cid").alias("b"), F.col("tokens").alias("t"))
-    full = pairs.join(one, "a").join(two, "b").select("a", "b", "s", "t", F.lit(percent).alias("p"))
-    return overlap_at_least(full, "link")
+    return linking(pairs.join(one, "a").join(two, "b").select("a", "b", "s", "t"), percent)
 
 
 def classes_of(sk: DataFrame) -> DataFrame:
-    """One row a class: cid (its smallest document id where ids are not repeated), top, n, cls, prefix."""
+    """One row a class: cid (its smallest document id where ids are not repeated), top, n, cls, prefix, last."""
     c = (sk.where("n > 0 and doc_id is not null").groupBy("cls")
-         .agg(F.min("doc_id").alias("top"), F.min("n").alias("n"), F.min_by("prefix", "doc_id").alias("prefix")))
+         .agg(F.min("doc_id").alias("top"), F.min("n").alias("n"), F.min_by("prefix", "doc_id").alias("prefix"),
+              F.min("last").alias("last")))
     c = materialize(c, "op8-classes")
     if c.groupBy("top").count().where("count > 1").take(1):     # one id with several texts
         c = materialize(c.repartitionByRange("top").sortWithinPartitions("top", "cls")
@@ -158,77 +169,92 @@ def classes_of(sk: DataFrame) -> DataFrame:
     return c.withColumn("cid", F.col("top"))
 
 
-def _fits(n: str, m: str, percent: int):
-    """Sizes of which a pair can link."""
-    return 100 * F.least(n, m) >= percent * F.greatest(n, m)
+def _need(n: str, m: str, percent: int):
+    """Overlap that sets of n and m tokens must have to link."""
+    return F.ceil(percent * (F.col(n) + F.col(m)) / F.lit(100 + percent))
+
+
+def _rest(n, percent: int):
+    """Tokens of a set of n that its prefix does not hold."""
+    return F.ceil(percent * n / F.lit(100)) - 1
+
+
+def _may_link(n: str, m: str, last_n: str, last_m: str, shared: str, percent: int):
+    """Whether sets of n and m tokens with that many shared prefix tokens can link."""
+    rest = F.when(F.col(last_n) < F.col(last_m), _rest(F.col(n), percent)).when(
+        F.col(last_n) > F.col(last_m), _rest(F.col(m), percent)).otherwise(
+        _rest(F.greatest(n, m), percent))
+    fits = 100 * F.least(n, m) >= percent * F.greatest(n, m)
+    return fits & (F.col(shared) + rest >= _need(n, m, percent))
+
+
+def _may_hold(n: str, least: str, most: str, shared: str, percent: int):
+    """Whether a set of n tokens can link with some set of a group with sizes from least to most, in
+    whose union it has that many prefix tokens.  What is needed is lowest at either end of the sizes
+    that fit; one is taken off for rounding."""
+    small = F.greatest(F.col(least), F.ceil(percent * F.col(n) / F.lit(100)))
+    large = F.least(F.col(most), F.floor(100 * F.col(n) / F.lit(percent)))
+
+    def needed(m):
+        return (F.ceil(percent * (F.col(n) + m) / F.lit(100 + percent))
+                - F.greatest(_rest(F.col(n), percent), _rest(m, percent)))
+    return (small <= large) & (F.col(shared) >= F.least(needed(small), needed(large)) - 1)
 
 
 def class_components(docs: DataFrame, sk: DataFrame, width: int, percent: int) -> DataFrame:
     """cls, component (smallest document id) of every class."""
     c = classes_of(sk)
-    posting = c.select(F.explode("prefix").alias("token"), "cid", "n")
+    posting = c.select(F.explode("prefix").alias("token"), "cid", "n", "last")
     by_token = Window.partitionBy("token").orderBy("cid")
     whole = by_token.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     shared = posting.select(
-        "token", "cid", "n", F.first("cid").over(whole).alias("lead"), F.first("n").over(whole).alias("lead_n"),
+        "token", "cid", "n", "last", F.first(F.struct("cid", "n", "last")).over(whole).alias("lead"),
         F.lead("cid").over(by_token).alias("after"))
     # tokens of one class only link nothing
-    shared = materialize(shared.where("lead <> cid or after is not null").drop("after"), "op8-shared")
-
-    texts = (docs.where("doc_id is not null").select("doc_id", "text")
-             .join(c.join(shared.select("cid").distinct(), "cid", "left_semi").select("cid", "cls", "top"),
-                   F.col("doc_id") == F.col("top")).select("cid", "cls", "text"))
-    sets = materialize(token_sets(texts, width).dropDuplicates(["cid"]), "op8-sets")
+    shared = materialize(shared.where("lead.cid <> cid or after is not null").drop("after"), "op8-shared")
 
     # groups of similar classes: each class and the earlier one it shares most prefix tokens with
-    best = (shared.where("lead <> cid").where(_fits("n", "lead_n", percent))
-            .groupBy("cid", "lead").agg(F.count(F.lit(1)).alias("k"))
-            .groupBy("cid").agg(F.max_by("lead", F.struct("k", -F.col("lead"))).alias("lead")))
-    links = materialize(verified(best.select(F.col("cid").alias("a"), F.col("lead").alias("b")), sets, percent),
-                        "op8-links")
+    best = (shared.where("lead.cid <> cid").groupBy("cid", "lead")
+            .agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("n"), F.min("last").alias("last"))
+            .select("cid", "n", "last", "k", F.col("lead.cid").alias("b"), F.col("lead.n").alias("m"),
+                    F.col("lead.last").alias("last_m"))
+            .where(_may_link("n", "m", "last", "last_m", "k", percent))
+            .groupBy("cid").agg(F.max_by("b", F.struct("k", -F.col("b"))).alias("b")))
+    links = materialize(verified(best.select(F.col("cid").alias("a"), "b"), docs, c, width, percent), "op8-links")
     roots = components(links, "op8-groups")
-    member = (shared.select("cid", "n").distinct().join(roots, F.col("cid") == F.col("node"), "left")
-              .select("cid", "n", F.coalesce("root", "cid").alias("comp")))
+    member = (shared.select("cid").distinct().join(roots, F.col("cid") == F.col("node"), "left")
+              .select("cid", F.coalesce("root", "cid").alias("comp")))
     size = member.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / F.lit(GROUP)).cast("int").alias("parts"))
-    member = materialize(member.join(size, "comp").withColumn(
-        "grp", F.xxhash64("comp", F.pmod(F.xxhash64("cid"), F.col("parts")))), "op8-members")
+    member = materialize(member.join(size, "comp").select(
+        "cid", "comp", F.xxhash64("comp", F.pmod(F.xxhash64("cid"), F.col("parts"))).alias("grp")), "op8-members")
 
-    # queries and the groups of other components that have one of their prefix tokens
-    tokens = shared.select("token", "cid").join(member, "cid")
+    # the matrix: prefix tokens by group, where a token has several components
+    tokens = shared.select("token", "cid", "n", "last").join(member, "cid")
     mixed = tokens.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y")
     tokens = materialize(tokens.join(mixed.select("token"), "token", "left_semi")
-                         .select("token", "cid", "n", "comp", "grp"), "op8-mixed")
-    in_group = tokens.groupBy("token", "grp", "comp").agg(
-        F.min("n").alias("least"), F.max("n").alias("most"))
+                         .select("token", "cid", "n", "last", "comp", "grp"), "op8-mixed")
+    matrix = tokens.select("token", "grp", "comp").distinct()
+    sizes = tokens.groupBy("grp").agg(F.min("n").alias("least"), F.max("n").alias("most"))
     asked = (tokens.select("token", F.col("cid").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
-             .join(in_group, "token").where("ca < comp")
-             .where(_reaches("na", "least", "most", percent)).select("a", "grp").distinct())
-    asked = materialize(asked, "op8-asked")
-    # the matrix: the union of the tokens of every group that is asked
-    inside = member.join(asked.select("grp").distinct(), "grp", "left_semi")
-    union = (inside.join(sets, "cid").groupBy("grp")
-             .agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("tokens")))).alias("t")))
-    ask = (asked.join(sets.select(F.col("cid").alias("a"), F.col("tokens").alias("s")), "a")
-           .join(union, "grp").select("a", F.col("grp").alias("b"), "s", "t", F.lit(percent).alias("p")))
-    opened = overlap_at_least(ask, "bound")
-    pairs = (opened.select("a", F.col("b").alias("grp"))
-             .join(member.select(F.col("cid").alias("a"), F.col("n").alias("na")), "a")
-             .join(member.select("grp", F.col("cid").alias("b"), F.col("n").alias("nb")), "grp")
-             .where(_fits("na", "nb", percent)).select("a", "b"))
-    more = verified(pairs, sets, percent)
-    edges = links.unionAll(more)
-    final = components(edges, "op8-components")
+             .join(matrix, "token").where("ca < comp")
+             .groupBy("a", "na", "grp").agg(F.count(F.lit(1)).alias("k"))
+             .join(sizes, "grp").where(_may_hold("na", "least", "most", "k", percent)).select("a", "grp"))
+    opened = materialize(asked, "op8-opened")
+
+    # the members of opened groups, token by token
+    mine = tokens.select("token", F.col("cid").alias("a"), F.col("n").alias("na"), F.col("last").alias("la"))
+    theirs = tokens.select("token", "grp", F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("last").alias("lb"))
+    pairs = (opened.join(mine, "a").join(theirs, ["grp", "token"])
+             .groupBy("a", "na", "la", "b", "nb", "lb").agg(F.count(F.lit(1)).alias("k"))
+             .where(_may_link("na", "nb", "la", "lb", "k", percent)).select("a", "b"))
+    more = verified(pairs, docs, c, width, percent)
+    final = components(links.unionAll(more), "op8-components")
     named = (c.select("cls", "cid", "top").join(final, F.col("cid") == F.col("node"), "left")
              .select("cls", "top", F.coalesce("root", "cid").alias("root")))
     top = c.select(F.col("cid").alias("root"), F.col("top").alias("component"))
     return named.join(top, "root").select("cls", "component")
 
 
-def _reaches(n: str, least: str, most: str, percent: int):
-    """A query of n tokens can link with some set of a group whose sizes run from least to most."""
-    return (F.lit(100) * F.col(most) >= percent * F.col(n)) & (F.lit(100) * F.col(n) >= percent * F.col(least))
-
-
 def near_duplicates(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """doc_id, h (hash of the text), n_shingles, component_id of every row of (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
