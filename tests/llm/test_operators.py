@@ -364,7 +364,7 @@ def test_covered_tokens_brute_force(spark):
     for k, p in enumerate(pages):
         for i in range(len(p) - 4):
             seen[tuple(p[i:i + 5])].add(k)
-    rows = [(k, k, "x", p.tobytes(), len(p)) for k, p in enumerate(pages)]
+    rows = [(k, k, "x", p.astype(np.int32).tobytes(), len(p)) for k, p in enumerate(pages)]
     df = spark.createDataFrame(rows, "page_id bigint, h bigint, host string, tokens binary, n bigint")
     for bundle in (10_000, 100):
         for r in html_extract.coverage(df, 5, bundle).collect():
