@@ -28,11 +28,6 @@ def round_all(df: DataFrame, digits: int = 2, skip: tuple[str, ...] = ()) -> Dat
     return df.withColumns(cols) if cols else df
 
 
-def safe_ratio(num: Column, den: Column) -> Column:
-    """num / den, null on a zero or null denominator (ANSI-safe)."""
-    return F.try_divide(num, den)
-
-
 # Exact, order-independent means and sums -----------------------------------
 #
 # A double sum depends on the order rows arrive in, and a mean of 2-decimal
@@ -45,7 +40,8 @@ EXACT_DEC = "decimal(28,8)"
 
 
 def exact_sum(c: Column | str) -> Column:
-    """Aggregate: exact decimal sum of a double column (8 decimals)."""
+    """Aggregate: exact decimal sum of a double column.  ``EXACT_DEC`` bounds it: values are taken at
+    8 decimals, and one of 1e20 or more is an error under ANSI (loads end at 1e6)."""
     c = F.col(c) if isinstance(c, str) else c
     return F.sum(c.cast(EXACT_DEC))
 

@@ -18,14 +18,15 @@ def parse_mixed_timestamp(df: DataFrame, col: str) -> Column:
     """Text timestamps; if NO value of the whole column parses as text,
     read it as numbers whose unit is decided by the column median.
 
-    The whole-column facts (parsed count, exact median of the finite
-    numbers) are computed on the cluster and enter the expression as scalar
-    subqueries, so the decision is made once per column.
+    Whether any text parses is asked first (one row to the driver); only a
+    column without any has its exact median computed, on the cluster, as a
+    scalar subquery.
     """
     from ampere.operators.quantile import exact_quantiles
     text = try_timestamp(col)
+    if df.where(text.isNotNull()).select(F.lit(1)).take(1):
+        return text
     num = F.col(col).try_cast("double")
-    parsed = df.select(F.count(text)).scalar()
     finite = F.when(~F.isnan(num) & (F.abs(num) != F.lit(float("inf"))), num)
     med = exact_quantiles(df.select(finite.alias("_x")), [], "_x", [0.5], ["_m"]).select("_m").scalar()
     micros = F.round(num * F.lit(1e6)).cast("long")
@@ -34,7 +35,29 @@ def parse_mixed_timestamp(df: DataFrame, col: str) -> Column:
     numeric = (F.when((med > EXCEL_MIN) & (med < EXCEL_MAX), excel)
                .when(med > MS_ABOVE, F.timestamp_micros(F.round(num * F.lit(1e3)).cast("long")))
                .when(med > S_ABOVE, F.timestamp_micros(micros)))
-    return F.when(parsed > 0, text).otherwise(numeric.cast("timestamp_ntz"))
+    return numeric.cast("timestamp_ntz")
+
+
+# Wall-time formats of market files beside ISO dates.
+MONTH_FIRST = ["MM/dd/yyyy HH:mm:ss", "MM/dd/yyyy HH:mm"]
+_OFFSET = r"(?i)([+-][0-9]{2}:?[0-9]{2}|[0-9]\s*Z|UTC|GMT)\s*$"
+
+
+def market_time_to_utc(df: DataFrame, col: str, tz: str) -> Column:
+    """B12 on a landed column: an aware time (a TIMESTAMP, or text that carries
+    an offset) keeps its instant; a naive one is wall time in ``tz``."""
+    c = F.col(f"`{col}`")
+    kind = df.schema[col].dataType.typeName()
+    if kind == "timestamp":
+        return c.cast("timestamp_ntz")
+    if kind == "timestamp_ntz":
+        return local_to_utc(c, tz)
+    text = c.cast("string")
+    aware = text.rlike(_OFFSET)
+    instant = F.try_to_timestamp(text).cast("timestamp_ntz")
+    wall = F.coalesce(F.try_to_timestamp(text), *[F.try_to_timestamp(text, F.lit(f)) for f in MONTH_FIRST])
+    return F.when(aware, instant).otherwise(
+        local_to_utc(F.when(~aware, wall).cast("timestamp_ntz"), tz))
 
 
 def local_to_utc(c: Column | str, tz: str) -> Column:

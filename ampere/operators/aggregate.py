@@ -7,7 +7,7 @@ inputs, then every fractional column is rounded half-even to 2 places.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ampere.functions.numeric import (exact_mean_aggs, exact_sum, finish_mean, half_even_quotient,
                                      round_all, round_half_even)
@@ -215,8 +215,8 @@ ANOMALY_TYPES = ["general_anomaly", "pattern_deviation", "rapid_change", "statis
 def anomaly_counts(anomalies: DataFrame) -> DataFrame:
     """Per ISO and severity count, with the ISO total on every row."""
     per = anomalies.groupBy("iso_code", "severity").agg(F.count(F.lit(1)).alias("anomalies"))
-    tot = anomalies.groupBy(F.col("iso_code").alias("_k")).agg(F.count(F.lit(1)).alias("iso_total"))
-    return per.join(tot, F.col("iso_code") == F.col("_k")).drop("_k")
+    # the total sums the few counts of an ISO, not its rows again
+    return per.withColumn("iso_total", F.sum("anomalies").over(Window.partitionBy("iso_code")))
 
 
 def anomaly_pivot(anomalies: DataFrame) -> DataFrame:

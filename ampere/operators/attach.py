@@ -4,42 +4,28 @@ onto big row sets.
 Spark's static estimate for an aggregate is a fraction of its input, so at
 scale the planner would pick a sort-merge join and shuffle the big side by
 the key - and one ISO may hold a third of all rows.  ``attach`` therefore
-materialises the small side once (reliable checkpoint in the shared folder:
-survives executor loss and keeps later plans flat - persisting instead
-would grow the session's cache registry with every query), counts it, and
-broadcasts it only when the count is within a bound.  Beyond the bound it
-falls back to a plain shuffle join, where AQE splits skewed partitions.
+writes the small side once to the shared folder (survives executor loss and
+keeps later plans flat).  The Parquet table has true statistics, so Spark's
+own byte limit (``spark.sql.autoBroadcastJoinThreshold``) decides whether it
+is broadcast; beyond it the join is a shuffle join, where AQE splits skewed
+partitions.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame
 
-from ampere.session import cut_lineage
+from ampere.session import materialize
 
-# Rows above which a "small" side is not broadcast (about 100 MB at the
-# widths used here).  Overridable per session: ampere.broadcast.maxRows.
-BROADCAST_MAX_ROWS = 1_000_000
 
-
-def _limit(df: DataFrame, max_rows: int | None) -> int:
-    if max_rows is not None:
-        return max_rows
-    return int(df.sparkSession.conf.get("ampere.broadcast.maxRows", str(BROADCAST_MAX_ROWS)))
-
-
-def small_side(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """Materialise ``df`` once and mark it for broadcast if its row count
-    is within the bound."""
-    cp = cut_lineage(df)
-    if cp.count() <= _limit(cp, max_rows):
-        return F.broadcast(cp)
-    return cp
+def small_side(df: DataFrame) -> DataFrame:
+    """``df`` computed once, as a written table with its true size."""
+    return materialize(df, "small_side")
 
 
 def attach(big: DataFrame, small: DataFrame, on: str | Sequence[str] | Column,
-           how: str = "inner", max_rows: int | None = None) -> DataFrame:
-    """``big.join(small, on, how)`` with the size-checked broadcast above."""
-    return big.join(small_side(small, max_rows), on, how)
+           how: str = "inner") -> DataFrame:
+    """``big.join(small, on, how)`` with the small side written first."""
+    return big.join(small_side(small), on, how)

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -249,3 +250,13 @@ def retain_recent(df: DataFrame, days: int, ts: str = "timestamp_utc") -> DataFr
     """Keep the last ``days`` days before the newest row (retention)."""
     newest = df.select(F.max(ts)).scalar()
     return df.where(F.col(ts) >= newest - F.make_dt_interval(days=F.lit(days)))
+
+
+def drop_expired(table: DataFrame, days: int, path: str, ts: str = "timestamp_utc", day: str = "day") -> str:
+    """Retention of a table partitioned by ``day``: partitions that ended before
+    the limit are not opened, the day of the limit is cut by time, and what stays
+    is written to ``path``, a new one (the old table is never changed)."""
+    limit = table.select(F.max(ts)).first()[0] - timedelta(days=days)
+    kept = table.where((F.col(day) >= F.lit(limit.date())) & (F.col(ts) >= F.lit(limit).cast("timestamp_ntz")))
+    kept.hint("rebalance", day).write.mode("errorifexists").partitionBy(day).parquet(path)
+    return path

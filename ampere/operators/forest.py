@@ -3,18 +3,20 @@ Forest", ICDM 2008.
 
 Plan, all on the cluster:
 
-1. *Sampling.*  Every (row, tree) pair gets a uniform hash u in [0, 1).
-   With n rows in the key and psi = min(256, n), a row enters tree t when
-   u < 2 psi / n (Bernoulli, expected 2 psi rows per tree).  Pairs are
-   generated and tested inside one generated-code stage, so only the
-   selected ones leave it: the data is never stored or shuffled 100 times.
-   Per (key, tree) the psi smallest u are kept (a bounded window).
+1. *Sampling.*  With n rows in the key and psi = min(256, n), a row should
+   enter a tree with chance p = 2 psi / n.  One hash a row first keeps the
+   share q = min(1, trees * p) of rows; only these are paired with the trees,
+   and a pair is chosen when its own uniform hash is below p / q.  So a big
+   key expands about 2 psi trees rows, not all of them.  Per (key, tree) the
+   psi smallest hashes are kept (a bounded window).  psi (256) and the number
+   of trees (100) are the published algorithm's sub-sample and ensemble size.
 2. *Growing.*  ``groupBy(key, tree).applyInPandas``: each group holds at
    most psi rows.  Splits pick a random non-constant feature and a
    threshold uniform in (min, max); height limit ceil(log2 psi).  The RNG
    is seeded by (seed, key, tree): the same forest on every run.
-3. *Scoring.*  The forest (bounded: trees x (2 psi - 1) nodes per key) is
-   broadcast; ``mapInPandas`` walks all trees vectorised per batch:
+3. *Scoring.*  The forest has at most trees x (2 psi - 1) nodes a key; it
+   is counted, cut into parts of at most ``MAX_NODES`` nodes (by key) and each
+   part broadcast to the rows of its keys; ``mapInPandas`` walks all trees vectorised per batch:
    s = 2 ** (-E[h(x)] / c(psi)).
 4. *Threshold.*  A row is anomalous when -s is below the exact
    ``contamination`` quantile of -s within its key (``exact_quantiles``).
@@ -35,6 +37,7 @@ from ampere.session import materialize
 from ampere.operators.attach import attach
 
 EULER_GAMMA = 0.5772156649015329
+MAX_NODES = 2_000_000        # nodes in one broadcast: about 100 MB of arrays
 
 NODE_SCHEMA = T.StructType([
     T.StructField("key", T.StringType()),
@@ -119,7 +122,6 @@ def fit_forest(df: DataFrame, features: Sequence[str], key: str, row_key: Sequen
     d = df.select(F.col(key).cast("string").alias("_key"), *row_key,
                   *[F.col(c).cast("double").alias(c) for c in features])
     d = attach(d, counts, "_key")
-    d = d.fillna({c: 0.0 for c in features})
     psi = F.least(F.col("_n"), F.lit(max_samples))
     p = F.least(F.lit(1.0), F.lit(2.0) * psi / F.col("_n"))
 
@@ -127,12 +129,12 @@ def fit_forest(df: DataFrame, features: Sequence[str], key: str, row_key: Sequen
         h = F.xxhash64(F.col("_key"), *[F.col(c) for c in row_key], t, F.lit(seed))
         return h.bitwiseAND(F.lit((1 << 53) - 1)).cast("double") / F.lit(float(1 << 53))
 
-    # every (row, tree) pair is generated and tested inside one generated
-    # code stage (explode + filter are pipelined: the 100x pairs are never
-    # stored or shuffled; only the selected ~2 psi rows per tree go on)
-    s = d.select("_key", *row_key, *features, "_n",
-                 F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("_tree"))
-    s = s.withColumn("_u", u(F.col("_tree"))).where(F.col("_u") < p).withColumn("_psi", psi)
+    # thin first, then expand: rows that enter no tree are dropped by one hash
+    q = F.least(F.lit(1.0), F.lit(float(n_trees)) * p)
+    s = d.where(u(F.lit(-1)) < q).select(
+        "_key", *row_key, *features, "_n",
+        F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))).alias("_tree"))
+    s = s.withColumn("_u", u(F.col("_tree"))).where(F.col("_u") < p / q).withColumn("_psi", psi)
     w = Window.partitionBy("_key", "_tree").orderBy("_u", *row_key)
     s = s.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= F.col("_psi"))
     s = s.select("_key", "_tree", "_psi", *features)
@@ -172,7 +174,7 @@ def _scorer(bc, features: list[str], key_col: str):
         for pdf in batches:
             s = np.full(len(pdf), np.nan)
             keys = pdf[key_col].astype(str).to_numpy()
-            x_all = np.nan_to_num(pdf[features].to_numpy(dtype=float))
+            x_all = pdf[features].to_numpy(dtype=float)
             for key in np.unique(keys):
                 if key not in forest:
                     continue
@@ -208,14 +210,30 @@ def isolation_scores(df: DataFrame, features: Sequence[str] = ("load_mw", "hour_
     forest is grown on ``fit_df`` (default ``df``): the same rows, possibly
     a cheaper plan of them."""
     features = list(features)
-    nodes = fit_forest(df if fit_df is None else fit_df, features, key, row_key, n_trees,
-                       max_samples, seed, counts)
-    # The fitted model is bounded (trees x (2 psi - 1) nodes per key), like
-    # any MLlib model it lives on the driver and ships as a broadcast.
-    forest = _forest_arrays(nodes.toPandas())
-    bc = df.sparkSession.sparkContext.broadcast(forest)
+    fit_df = df if fit_df is None else fit_df
+    if fit_df.where(" OR ".join(f"{c} IS NULL" for c in features)).take(1):
+        means = fit_df.groupBy(F.col(key).alias("_mk")).agg(*[F.avg(c).alias(f"_m_{c}") for c in features])
+        fit_df, df = (_fill(x, means, key, features) for x in (fit_df, df))
+    nodes = materialize(fit_forest(fit_df, features, key, row_key, n_trees, max_samples, seed, counts), "forest")
+    # the fitted model ships as a broadcast, in as many parts as its size asks for
+    parts = max(1, -(-nodes.count() // MAX_NODES))
     schema = T.StructType(df.schema.fields + [T.StructField("anomaly_score", T.DoubleType())])
-    return df.mapInPandas(_scorer(bc, features, key), schema)
+    out = None
+    for k in range(parts):
+        mine = F.pmod(F.xxhash64(F.col("key")), F.lit(parts)) == k
+        rows = df if parts == 1 else df.where(
+            F.pmod(F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit(""))), F.lit(parts)) == k)
+        bc = df.sparkSession.sparkContext.broadcast(_forest_arrays(nodes.where(mine).toPandas()))
+        scored = rows.mapInPandas(_scorer(bc, features, key), schema)
+        out = scored if out is None else out.unionAll(scored)
+    return out
+
+
+def _fill(df: DataFrame, means: DataFrame, key: str, features: list[str]) -> DataFrame:
+    """Missing features take their key's mean."""
+    j = attach(df, means, F.col(key) == F.col("_mk"), "left")
+    filled = j.withColumns({c: F.coalesce(F.col(c).cast("double"), F.col(f"_m_{c}")) for c in features})
+    return filled.drop("_mk", *[f"_m_{c}" for c in features])
 
 
 def isolation_forest_flags(df: DataFrame, contamination: float = 0.05, key: str = "iso_code",

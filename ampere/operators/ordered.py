@@ -100,6 +100,3 @@ def top_k_per_key(df: DataFrame, keys, order: Sequence[Column], k: int) -> DataF
     w = Window.partitionBy(*_as_list(keys)).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k).drop("_rn")
 
-
-def first_per_key(df: DataFrame, keys, order: Sequence[Column]) -> DataFrame:
-    return top_k_per_key(df, keys, order, 1)

@@ -8,7 +8,7 @@ by histogram refinement:
 1. per key: n, min, max (one aggregate); the wanted order statistics are
    the ranks floor(p (n-1)) and the next one (numpy / DuckDB
    ``quantile_cont`` interpolation);
-2. while a rank's bracket [lo, hi] still holds more than ``direct_max``
+2. while any rank's bracket [lo, hi] still holds more than ``direct_max``
    rows: count the bracket's rows in ``buckets`` equal-width buckets (a
    grouped count over the broadcast bracket table), keep the bucket that
    contains the rank, and shrink the bracket to that bucket's actual min
@@ -38,8 +38,7 @@ def _keep(df: DataFrame) -> DataFrame:
 
 def exact_quantiles(df: DataFrame, key: str | Sequence[str], col: str,
                     probs: Sequence[float], names: Sequence[str] | None = None,
-                    buckets: int = 4096, direct_max: int = 200_000,
-                    max_passes: int = 12) -> DataFrame:
+                    buckets: int = 4096, direct_max: int = 200_000) -> DataFrame:
     keys = [key] if isinstance(key, str) else list(key)
     names = list(names) if names else [f"q{int(round(p * 100))}" for p in probs]
     glob = not keys
@@ -70,9 +69,14 @@ def exact_quantiles(df: DataFrame, key: str | Sequence[str], col: str,
         return base.join(t, cond).drop(*[t[k] for k in keys])
 
     open_ = (F.col("_cnt") > direct_max) & (F.col("_lo") < F.col("_hi"))
-    for _ in range(max_passes):
-        if targets.where(open_).limit(1).count() == 0:
+    left = None
+    while True:
+        now = targets.where(open_).agg(F.count(F.lit(1)), F.sum("_cnt"), F.sum(F.col("_hi") - F.col("_lo"))).first()
+        if not now[0]:
             break
+        if now == left:     # a pass that shrinks no bracket would run for ever
+            raise RuntimeError(f"{now[0]} quantile brackets of {now[1]} rows do not shrink")
+        left = now
         todo = targets.where(open_)
         j = in_bracket(todo)
         width = (F.col("_hi") - F.col("_lo")) / F.lit(float(buckets))

@@ -17,6 +17,7 @@ from ampere.plans.catalog_clean import CLEANED, COERCED, SGRID
 from ampere.plans.catalog_ml import AN_CTES, FC_CTES
 from ampere.plans.registry import register
 from ampere.plans.sqlparts import ENRICHED, HOURLY, hq, r
+from ampere.session import new_path
 from ampere.sources import fixtures as fx
 
 W = fx.sql_with
@@ -164,14 +165,11 @@ def m_rolling(spark, d):
     GROUP BY q.iso_code, q.n, q.q1, q.q3""")
 def m_iqr(spark, d):
     """Exact quartiles, Tukey fences and the outlier count per ISO."""
-    e = md.enriched(spark, d)
-    from ampere.operators.quantile import exact_quantiles
-    q = exact_quantiles(e, "iso_code", "load_mw", [0.25, 0.75], ["q1", "q3"])
-    o = ft.iqr_outliers(e)
-    cnt = o.groupBy("iso_code").agg(F.count_if("is_iqr_outlier").alias("outliers"))
-    q = q.withColumns({"lower_fence": F.col("q1") - 1.5 * (F.col("q3") - F.col("q1")),
-                       "upper_fence": F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))})
-    return _r6(q.join(cnt, "iso_code"), ["q1", "q3", "lower_fence", "upper_fence"])
+    o = ft.iqr_outliers(md.load_history(spark, d))
+    q = o.groupBy("iso_code").agg(
+        F.count("load_mw").alias("n"), *[F.first(c).alias(c) for c in ("q1", "q3", "lower_fence", "upper_fence")],
+        F.count_if("is_iqr_outlier").alias("outliers"))
+    return _r6(q, ["q1", "q3", "lower_fence", "upper_fence"])
 
 
 @register("m_quality_flags", W(COERCED) + """
@@ -289,9 +287,8 @@ def m_grid_stability(spark, d):
     GROUP BY w."window", a.iso_code""")
 def m_anomaly_window(spark, d):
     """Anomalies of the last 1h / 6h / 24h / 7d per ISO with deviation %."""
-    e = md.silver_enriched(spark, d)
-    anoms = an.detect_anomalies(e, use_forest=False)
-    x = ft.anomaly_windows(anoms, e.select(F.max("timestamp_utc")).scalar())
+    e = md.load_history(spark, d)
+    x = ft.anomaly_windows(md.anomalies(spark, d), e.select(F.max("timestamp_utc")).scalar())
     return _r6(x, ["mean_deviation_pct"])
 
 
@@ -316,8 +313,13 @@ def m_geo_nearest(spark, d):
     SELECT iso_code, count(*) AS rows_kept, min(timestamp_utc) AS oldest_kept FROM sgrid
     WHERE timestamp_utc >= (SELECT max(timestamp_utc) FROM sgrid) - INTERVAL 7 DAY GROUP BY iso_code""")
 def m_retention(spark, d):
-    """Rows kept by a 7-day retention of the silver grid, per ISO."""
-    k = ft.retain_recent(md.silver_grid(spark, d), 7)
+    """Rows kept by a 7-day retention of the silver grid, per ISO: written by
+    day, copied to a new path without the expired days, read back."""
+    table = new_path(spark, "silver_by_day")
+    (md.silver_grid(spark, d).withColumn("day", F.to_date("timestamp_utc")).hint("rebalance", "day")
+     .write.partitionBy("day").parquet(table))
+    kept = ft.drop_expired(spark.read.parquet(table), 7, new_path(spark, "silver_retained"))
+    k = spark.read.parquet(kept)
     return k.groupBy("iso_code").agg(F.count(F.lit(1)).alias("rows_kept"),
                                      F.min("timestamp_utc").alias("oldest_kept"))
 
@@ -325,11 +327,18 @@ def m_retention(spark, d):
 @register("m_idempotent_ingest", W(COERCED, CLEANED, SGRID) + """
     SELECT (SELECT count(*) FROM sgrid) AS rows_once, (SELECT count(*) FROM sgrid) AS rows_twice""")
 def m_idempotent_ingest(spark, d):
-    """Landing the same raw batch twice yields the same silver rows."""
+    """A raw batch landed in two folders, in one of them twice (the second run
+    replaces its partitions): the silver rows read back are the same."""
     from ampere.operators import clean as cl
+    from ampere.sources import sinks as sk
     b = fx.bronze_grid(spark, d)
-    once = cl.silver_grid(b)
-    twice = cl.silver_grid(b.unionByName(b))
+    root = new_path(spark, "bronze_landed")
+    silver = []
+    for name, runs in (("once", 1), ("twice", 2)):
+        for _ in range(runs):
+            sk.write_partitioned(b, f"{root}/{name}")
+        silver.append(cl.silver_grid(spark.read.parquet(f"{root}/{name}")))
+    once, twice = silver
     tag = once.select(F.lit(1).alias("_o")).unionByName(twice.select(F.lit(2).alias("_o")))
     return tag.agg(F.count_if(F.col("_o") == 1).alias("rows_once"),
                    F.count_if(F.col("_o") == 2).alias("rows_twice"))
@@ -347,12 +356,12 @@ _BT = [("hist", """SELECT iso_code, timestamp_utc, load_mw FROM enriched
 def m_forecast_error(spark, d):
     """Back-test: forecast from history up to 24 h before the end, minus
     the hourly actual of the forecast hour."""
-    e = md.silver_enriched(spark, d)
+    e = md.load_history(spark, d)
     hist = e.where(F.col("timestamp_utc") < e.select(F.max("timestamp_utc")).scalar()
                    - F.make_dt_interval(hours=F.lit(24)))
     fc = fcst.seasonal_forecast(hist, 24, lookback_hours=None)
     from ampere.functions.timecols import floor_hour
-    h = md.hourly(spark, d).select("iso_code", "hour", F.col("avg_load_mw").alias("actual_load_mw"))
+    h = md.hourly_load(spark, d).select("iso_code", "hour", F.col("avg_load_mw").alias("actual_load_mw"))
     j = fc.withColumn("hour", floor_hour("timestamp_utc")).join(h, ["iso_code", "hour"])
     x = j.select("iso_code", "timestamp_utc", "forecasted_load_mw", "actual_load_mw",
                  (F.col("forecasted_load_mw") - F.col("actual_load_mw")).alias("forecast_error_mw"))
@@ -368,12 +377,12 @@ def k11_backtest(spark, d):
     """The model-evaluation formulas (RMSE, MAE) applied to the forecast
     back-test, whose predictions are reproducible in SQL."""
     from ampere.operators.model import evaluate
-    e = md.silver_enriched(spark, d)
+    e = md.load_history(spark, d)
     hist = e.where(F.col("timestamp_utc") < e.select(F.max("timestamp_utc")).scalar()
                    - F.make_dt_interval(hours=F.lit(24)))
     fc = fcst.seasonal_forecast(hist, 24, lookback_hours=None)
     from ampere.functions.timecols import floor_hour
-    h = md.hourly(spark, d).select("iso_code", "hour", F.col("avg_load_mw").alias("load_mw"))
+    h = md.hourly_load(spark, d).select("iso_code", "hour", F.col("avg_load_mw").alias("load_mw"))
     preds = fc.withColumn("hour", floor_hour("timestamp_utc")).join(h, ["iso_code", "hour"]) \
               .withColumnRenamed("forecasted_load_mw", "prediction")
     return _r6(evaluate(preds), ["rmse", "mae"])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ampere.functions.numeric import round_half_even
 from ampere.operators import aggregate as agg
 from ampere.operators import join as jn
@@ -105,11 +107,16 @@ def d9(spark, d):
     GROUP BY 1, 2""")) + """
     SELECT count(*) AS days_checked,
            count(*) FILTER (WHERE coalesce(abs(d.dsum - h.hsum) > 1e-6, false)) AS mismatches
-    FROM ds d LEFT JOIN hs h ON d.iso_code = h.iso_code AND d.date = h.date""")
+    FROM (SELECT iso_code, date, dsum + CASE WHEN day(date) % 7 = 3 THEN 10 ELSE 0 END AS dsum
+          FROM ds WHERE day(date) % 11 <> 5) d LEFT JOIN hs h ON d.iso_code = h.iso_code AND d.date = h.date""")
 def c5(spark, d):
-    """Daily sums against sums recomputed from hourly data."""
-    e = md.enriched(spark, d)
-    return jn.daily_vs_hourly(agg.daily_sums(e), agg.hourly_sums(e))
+    """A daily table with wrong days (+10 where day % 7 = 3) and missing ones
+    (day % 11 = 5) against sums recomputed from hourly data."""
+    e = md.load_history(spark, d)
+    day = F.dayofmonth("date")
+    daily = agg.daily_sums(e).where(day % 11 != 5).withColumn(
+        "sum_load_mw", F.col("sum_load_mw") + F.when(day % 7 == 3, F.lit(10)).otherwise(F.lit(0)))
+    return jn.daily_vs_hourly(daily, agg.hourly_sums(e))
 
 
 @register("d10_temp_load_correlation", W(E, H) + f"""

@@ -28,7 +28,7 @@ def _r6(df, cols):
 
 def forecast_df(spark, d):
     """K2 over the whole enriched history (no look-back cut)."""
-    return fcst.seasonal_forecast(md.silver_enriched(spark, d), hours_ahead=24, lookback_hours=None)
+    return fcst.seasonal_forecast(md.load_history(spark, d), hours_ahead=24, lookback_hours=None)
 
 
 FC_CTES = [
@@ -80,7 +80,7 @@ def k2(spark, d):
     SELECT iso_code, timestamp_utc, {hod('timestamp_utc')} AS hour_of_day,
            {dow('timestamp_utc')} AS day_of_week, {weekend('timestamp_utc')} AS is_weekend FROM fut""")
 def k1(spark, d):
-    hist = md.silver_enriched(spark, d)
+    hist = md.load_history(spark, d)
     st = fcst.iso_stats(hist.select("iso_code", "timestamp_utc", "load_mw"), 24)
     return fcst.future_grid(st.select("iso_code", "last_ts"), 24)
 
@@ -89,7 +89,7 @@ def k1(spark, d):
     SELECT s.iso_code, {r('s.recent_avg', 6)} AS recent_avg, {r('s.older_avg', 6)} AS older_avg,
            {r('s.trend_factor', 6)} AS trend_factor FROM st s""")
 def e3(spark, d):
-    hist = md.silver_enriched(spark, d).select("iso_code", "timestamp_utc", "load_mw")
+    hist = md.load_history(spark, d).select("iso_code", "timestamp_utc", "load_mw")
     st = fcst.iso_stats(hist, 24)
     return _r6(st.select("iso_code", "recent_avg", "older_avg", "trend_factor"),
                ["recent_avg", "older_avg", "trend_factor"])
@@ -101,16 +101,12 @@ def e3(spark, d):
     GROUP BY iso_code""")
 def a4(spark, d):
     """Rows of the last 168 hours before the newest timestamp, per ISO."""
-    rec = fcst.scan_recent(md.silver_enriched(spark, d), 168)
+    rec = fcst.scan_recent(md.load_history(spark, d), 168)
     return rec.groupBy("iso_code").agg(F.count(F.lit(1)).alias("recent_rows"),
                                        F.min("timestamp_utc").alias("first_ts"),
                                        F.max("timestamp_utc").alias("last_ts"))
 
 
-_FC = ("fcr", f"""SELECT iso_code, timestamp_utc, forecasted_load_mw, ci_lower, ci_upper,
-                         forecast_generated_at, model_version, confidence FROM fc""")
-
-
 @register("d15_forecast_summary", W(E, *FC_CTES) + f"""
     SELECT iso_code, {xavg('forecasted_load_mw')} AS mean_forecast_mw,
            {r('min(forecasted_load_mw)')} AS min_forecast_mw, {r('max(forecasted_load_mw)')} AS max_forecast_mw,
@@ -175,6 +171,38 @@ def f6(spark, d):
     return fcst.forecast_peak(forecast_df(spark, d))
 
 
+def _recent(ctes, source):
+    """The CTEs over the last 168 hours of ``source``."""
+    first = ctes[0]
+    cut = "timestamp_utc >= (SELECT max(timestamp_utc) FROM enriched) - INTERVAL 168 HOUR"
+    if first[0] == "hist":
+        return [("hist", first[1] + f" WHERE {cut}"), *ctes[1:]]
+    recent = ("recent", f"SELECT * FROM enriched WHERE {cut}")
+    return [recent, ("gated", first[1].replace("FROM enriched", "FROM recent")), *ctes[1:]]
+
+
+@register("k2b_forecast_168h", W(E, *_recent(FC_CTES, "hist")) + f"""
+    SELECT iso_code, timestamp_utc, {r('forecasted_load_mw', 6)} AS forecasted_load_mw,
+           {r('ci_lower', 6)} AS ci_lower, {r('ci_upper', 6)} AS ci_upper,
+           forecast_generated_at, model_version, confidence FROM fc""")
+def k2b(spark, d):
+    """The forecast job as shipped: from the last 168 hours."""
+    return _r6(fcst.seasonal_forecast(md.load_history(spark, d), hours_ahead=24, lookback_hours=168),
+               ["forecasted_load_mw", "ci_lower", "ci_upper"])
+
+
+@register("f4b_forecast_nested_band", W(E, *FC_CTES) + f"""
+    SELECT iso_code, timestamp_utc, {r('forecasted_load_mw')} AS forecasted_load_mw,
+           {r('ci_lower')} AS band_lower, {r('ci_upper')} AS band_upper
+    FROM fc WHERE iso_code = 'CLICK' ORDER BY timestamp_utc LIMIT 24""")
+def f4b(spark, d):
+    """The response shape with a nested confidence interval, its parts read back."""
+    x = fcst.with_ci_struct(fcst.forecast_by_iso(forecast_df(spark, d), "click", 24))
+    return x.select("iso_code", "timestamp_utc", "forecasted_load_mw",
+                    F.col("confidence_interval.lower").alias("band_lower"),
+                    F.col("confidence_interval.upper").alias("band_upper"))
+
+
 # ---------------------------------------------------------------- anomalies
 
 AN_CTES = [
@@ -215,7 +243,7 @@ _AN_ROUND = ["z_score", "load_change_pct", "deviation_from_expected", "expected_
 
 def anomalies_3vote(spark, d):
     """K8 with the three deterministic methods (isolation forest off)."""
-    return an.detect_anomalies(md.silver_enriched(spark, d), use_forest=False)
+    return md.anomalies(spark, d)
 
 
 @register("k8_detect_anomalies_3vote", W(E, *AN_CTES) + f"""
@@ -228,18 +256,28 @@ def k8_3(spark, d):
     return _r6(anomalies_3vote(spark, d), _AN_ROUND)
 
 
+@register("k8b_anomalies_168h", W(E, *_recent(AN_CTES, "gated")) + f"""
+    SELECT iso_code, timestamp_utc, load_mw, temperature, anomaly_type, severity,
+           {r('z_score', 6)} AS z_score, {r('load_change_pct', 6)} AS load_change_pct,
+           {r('deviation_from_expected', 6)} AS deviation_from_expected,
+           {r('expected_load', 6)} AS expected_load, detected_at FROM anoms""")
+def k8b(spark, d):
+    """The detector as shipped: over the last 168 hours (three deterministic votes)."""
+    return _r6(md.anomalies(spark, d, lookback_hours=168), _AN_ROUND)
+
+
 @register("k7_vote_distribution", W(E, *AN_CTES) + """
     SELECT anomaly_count, count(*) AS rows FROM vt GROUP BY anomaly_count""")
 def k7(spark, d):
     """Rows per number of method votes (K3-K5 flags summed, K7)."""
-    s = an.score_rows(md.silver_enriched(spark, d), use_forest=False)
+    s = an.score_rows(md.load_history(spark, d), use_forest=False)
     return s.groupBy("anomaly_count").agg(F.count(F.lit(1)).alias("rows"))
 
 
 @register("k3_zscore_outlier", W(E, *AN_CTES[:5]) + f"""
     SELECT iso_code, timestamp_utc, {r('z_score', 6)} AS z_score, is_statistical_outlier FROM fl""")
 def k3(spark, d):
-    t = an.zscore_flags(an.min_history_gate(md.silver_enriched(spark, d), 50))
+    t = an.zscore_flags(an.min_history_gate(md.load_history(spark, d), 50))
     return _r6(t.select("iso_code", "timestamp_utc", "z_score", "is_statistical_outlier"), ["z_score"])
 
 
@@ -249,7 +287,7 @@ def k3(spark, d):
            coalesce(abs(load_change_pct) > 20, false) AS is_rapid_change FROM tf""")
 def e1(spark, d):
     """Previous-row diff and pct change per ISO (E1, E2) and the K4 flag."""
-    t = an.rapid_change_flags(with_change(an.min_history_gate(md.silver_enriched(spark, d), 50)))
+    t = an.rapid_change_flags(with_change(an.min_history_gate(md.load_history(spark, d), 50)))
     return _r6(t.select("iso_code", "timestamp_utc", "load_mw", "load_change", "load_change_pct",
                         "is_rapid_change"), ["load_change", "load_change_pct"])
 
@@ -258,7 +296,7 @@ def e1(spark, d):
     SELECT iso_code, timestamp_utc, {r('expected_load', 6)} AS expected_load,
            {r('deviation_from_expected', 6)} AS deviation_from_expected, is_pattern_anomaly FROM fl""")
 def k5(spark, d):
-    t = an.pattern_flags(time_features(an.min_history_gate(md.silver_enriched(spark, d), 50)))
+    t = an.pattern_flags(time_features(an.min_history_gate(md.load_history(spark, d), 50)))
     return _r6(t.select("iso_code", "timestamp_utc", "expected_load", "deviation_from_expected",
                         "is_pattern_anomaly"), ["expected_load", "deviation_from_expected"])
 
@@ -267,7 +305,7 @@ def k5(spark, d):
     SELECT iso_code, timestamp_utc, {hod('timestamp_utc')} AS hour_of_day,
            {dow('timestamp_utc')} AS day_of_week, {weekend('timestamp_utc')} AS is_weekend FROM enriched""")
 def k13(spark, d):
-    return time_features(md.silver_enriched(spark, d)).select(
+    return time_features(md.load_history(spark, d)).select(
         "iso_code", "timestamp_utc", "hour_of_day", "day_of_week", "is_weekend")
 
 
@@ -283,16 +321,12 @@ def k13(spark, d):
     FROM tf9 t JOIN st9 s ON t.iso_code = s.iso_code""")
 def k9(spark, d):
     """Per-ISO standard scaling of the isolation-forest features."""
-    t = time_features(md.silver_enriched(spark, d))
+    t = time_features(md.load_history(spark, d))
     s = an.standardize(t, ["load_mw", "hour_of_day", "day_of_week"])
     cols = ["load_mw_scaled", "hour_of_day_scaled", "day_of_week_scaled"]
     return _r6(s.select("iso_code", "timestamp_utc", *cols), cols)
 
 
-_ANR = ("anr", f"""SELECT iso_code, timestamp_utc, load_mw, temperature, anomaly_type, severity,
-                          detected_at FROM anoms""")
-
-
 @register("d13_anomaly_counts", W(E, *AN_CTES) + """
     SELECT a.iso_code, a.severity, count(*) AS anomalies, t.iso_total
     FROM anoms a JOIN (SELECT iso_code, count(*) AS iso_total FROM anoms GROUP BY 1) t
@@ -338,7 +372,7 @@ def e6(spark, d):
 def k6(spark, d):
     """Isolation-forest share of flagged rows per ISO (about 5% by design)."""
     from ampere.operators.forest import isolation_forest_flags
-    t = time_features(an.min_history_gate(md.silver_enriched(spark, d), 50))
+    t = time_features(an.min_history_gate(md.load_history(spark, d), 50))
     f = isolation_forest_flags(t)
     return f.groupBy("iso_code").agg(
         F.count(F.lit(1)).alias("rows"), F.count_if("is_isolation_anomaly").alias("flagged"),
@@ -350,7 +384,7 @@ def k6(spark, d):
 def k8(spark, d):
     """Full detector: >= 2 of z-score, isolation forest, rapid change,
     pattern deviation."""
-    return _r6(an.detect_anomalies(md.silver_enriched(spark, d), use_forest=True), _AN_ROUND)
+    return _r6(md.anomalies(spark, d, use_forest=True), _AN_ROUND)
 
 
 @register("k10_k11_rf_train_evaluate")
@@ -362,12 +396,69 @@ def k10(spark, d):
     return metrics
 
 
+@register("k10b_split_counts", W(E) + """
+    SELECT count(*) FILTER (WHERE id % 5 <> 0) AS train_rows, count(*) FILTER (WHERE id % 5 = 0) AS test_rows
+    FROM enriched WHERE temperature IS NOT NULL""")
+def k10b(spark, d):
+    """Rows of the training and the test part (split by a row key)."""
+    from ampere.operators.model import split_rows, training_frame
+    train, test = split_rows(training_frame(md.enriched(spark, d)))
+    return train.agg(F.count(F.lit(1)).alias("train_rows")).withColumn(
+        "test_rows", test.select(F.count(F.lit(1))).scalar())
+
+
+@register("k12b_reload_equals_fitted", W(E) + """
+    SELECT count(*) AS rows, CAST(0 AS BIGINT) AS differing FROM enriched WHERE temperature IS NOT NULL""")
+def k12b(spark, d):
+    """A saved and reloaded model predicts what the fitted one does, on every row with weather."""
+    from ampere.operators.model import load_and_score, save_model, train_and_evaluate, training_frame
+    from ampere.session import new_path
+    e = md.silver_enriched(spark, d)
+    model, _ = train_and_evaluate(e, num_trees=10, max_depth=6)
+    again = load_and_score(save_model(model, new_path(spark, "rf_model")), e)
+    keys = ["iso_code", "timestamp_utc", "id"]
+    a = model.transform(training_frame(e)).select(*keys, F.col("prediction").alias("fitted"))
+    j = again.select(*keys, "prediction").join(a, keys)
+    return j.agg(F.count(F.lit(1)).alias("rows"),
+                 F.count_if(F.col("prediction") != F.col("fitted")).alias("differing"))
+
+
+@register("k6b_forest_checks", W(E, *AN_CTES[:1]) + """
+    SELECT iso_code, count(*) AS rows, true AS share_in_band, true AS scores_in_range, true AS same_when_dealt_anew
+    FROM gated GROUP BY iso_code""")
+def k6b(spark, d):
+    """Properties of the isolation forest: 4-6 % flagged, scores in (0, 1], and the same flags when
+    the rows are dealt to other partitions."""
+    from ampere.operators.forest import isolation_forest_flags
+    t = time_features(an.min_history_gate(md.load_history(spark, d), 50))
+    keys = ["iso_code", "timestamp_utc"]
+    a = isolation_forest_flags(t).select(*keys, "anomaly_score", "is_isolation_anomaly")
+    b = isolation_forest_flags(t.repartition(7, "timestamp_utc")).select(
+        *keys, F.col("is_isolation_anomaly").alias("again"))
+    share = F.count_if("is_isolation_anomaly") / F.count(F.lit(1))
+    return a.join(b, keys).groupBy("iso_code").agg(
+        F.count(F.lit(1)).alias("rows"), ((share >= 0.04) & (share <= 0.06)).alias("share_in_band"),
+        ((F.min("anomaly_score") > 0) & (F.max("anomaly_score") <= 1)).alias("scores_in_range"),
+        F.bool_and(F.col("is_isolation_anomaly") == F.col("again")).alias("same_when_dealt_anew"))
+
+
+@register("k8c_votes_contained", W(E, *AN_CTES) + """
+    SELECT iso_code, count(*) AS three_votes, count(*) AS among_four FROM anoms GROUP BY iso_code""")
+def k8c(spark, d):
+    """Every anomaly of the three deterministic votes is one of the full detector's."""
+    keys = ["iso_code", "timestamp_utc"]
+    four = md.anomalies(spark, d, use_forest=True).select(*keys, F.lit(1).alias("_four"))
+    return md.anomalies(spark, d).join(four, keys, "left").groupBy("iso_code").agg(
+        F.count(F.lit(1)).alias("three_votes"), F.count("_four").alias("among_four"))
+
+
 @register("k12_rf_persist_score")
 def k12(spark, d):
     """Save the fitted pipeline to the shared folder, reload, score."""
     from ampere.operators.model import load_and_score, save_model, train_and_evaluate
     from ampere.session import new_path
-    model, _ = train_and_evaluate(md.silver_enriched(spark, d))
+    e = md.silver_enriched(spark, d)
+    model, _ = train_and_evaluate(e)
     path = save_model(model, new_path(spark, "rf_load_model"))
-    return load_and_score(path, md.silver_enriched(spark, d)).select(
+    return load_and_score(path, e).select(
         "iso_code", "timestamp_utc", "load_mw", "prediction")

@@ -16,7 +16,7 @@ from ampere.plans.catalog_clean import D17_SQL
 from ampere.plans.catalog_ml import AN_CTES, FC_CTES, forecast_df
 from ampere.plans.registry import register
 from ampere.plans.sqlparts import ENRICHED, HOURLY, r
-from ampere.session import new_path
+from ampere.session import materialize, new_path
 from ampere.sources import bronze as br
 from ampere.sources import fixtures as fx
 from ampere.sources import landing as ld
@@ -177,8 +177,9 @@ def a12(spark, d):
 def a12b(spark, d):
     """Anomaly alert summary written as an ordered text report and read
     back (line order kept by sorting on (iso, line_no) before the write)."""
-    from ampere.operators.anomaly import alert_summary_lines, detect_anomalies
-    lines = alert_summary_lines(detect_anomalies(md.silver_enriched(spark, d), use_forest=False))
+    from ampere.operators.anomaly import alert_summary_lines
+    # the few anomalous rows are written once and read by every part of the report
+    lines = alert_summary_lines(materialize(md.anomalies(spark, d), "anomalies"))
     path = new_path(spark, "alert_summary_txt")
     sk.write_text_report(lines.orderBy("iso_code", "line_no"), path, col="line")
     return spark.read.text(path)
@@ -192,7 +193,8 @@ def a12b(spark, d):
 def a13(spark, d):
     """Two runs of the daily metrics appended as run_ts partitions."""
     path = new_path(spark, "runs")
-    daily = agg.daily_metrics(md.enriched(spark, d))
+    # computed once, appended as two runs
+    daily = materialize(agg.daily_metrics(md.enriched(spark, d)), "daily")
     sk.append_run(daily, path, "20240131T000000")
     sk.append_run(daily, path, "20240131T010000")
     x = spark.read.parquet(path)
@@ -200,17 +202,21 @@ def a13(spark, d):
 
 
 @register("b10_sanitize_rewrite", W() + """
-    SELECT iso_code, count(*) AS rows, count(TRY_CAST(load AS DOUBLE)) AS numeric_load
+    SELECT iso_code, count(*) AS rows, count(TRY_CAST(load AS DOUBLE)) AS numeric_load,
+           min(timestamp) AS first_text, max(timestamp) AS last_text, CAST(1 AS BIGINT) AS skipped_files
     FROM bronze_grid GROUP BY iso_code""")
 def b10(spark, d):
-    """Raw files (one unreadable) rewritten with normalised timestamp
-    text and numeric load into a new folder."""
+    """Raw files (one unreadable, which is counted) rewritten with normalised
+    timestamp text and numeric load into a new folder."""
     root = br.write_bronze_dated(fx.bronze_grid(spark, d), new_path(spark, "bronze_dirty"), _day())
     with open_text(spark, f"{root}/iso_code=CORRUPT/ingest_date=2024-01-01/broken.parquet") as f:
         f.write("not a parquet file")
     out = br.sanitize_rewrite(spark, root, new_path(spark, "bronze_sanitized"))
-    return out.groupBy("iso_code").agg(F.count(F.lit(1)).alias("rows"),
-                                       F.count("load").alias("numeric_load"))
+    skipped = br.unread_files(spark, root, br.scan_bronze(spark, root, ignore_corrupt=True))
+    return out.groupBy("iso_code").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("load").alias("numeric_load"),
+        F.min("timestamp").alias("first_text"), F.max("timestamp").alias("last_text")).withColumn(
+        "skipped_files", skipped.select(F.count(F.lit(1))).scalar())
 
 
 class open_text:

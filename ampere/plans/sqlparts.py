@@ -146,11 +146,3 @@ SUMMARY = f"""
                  count(*) AS n_rows
           FROM enriched GROUP BY iso_code) s
 """
-
-# profile of (iso, hour, dow) over the whole history
-PROFILE = f"""
-    SELECT iso_code, {hod('timestamp_utc')} AS hour_of_day, {dow('timestamp_utc')} AS day_of_week,
-           avg(load_mw) AS mean_load_mw, stddev_samp(load_mw) AS std_load_mw,
-           count(load_mw) AS samples
-    FROM enriched GROUP BY 1, 2, 3
-"""

@@ -110,7 +110,22 @@ def shared_dir(spark: SparkSession) -> str:
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder (never reused)."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    holder = _context(spark) or spark
+    holder.__dict__.setdefault("_ampere_scratch", []).append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete the intermediate tables this session has written under the shared folder so far.
+
+    For the caller, once the results that read them are stored or done with."""
+    sc = spark.sparkContext
+    paths = sc.__dict__.pop("_ampere_scratch", [])
+    for p in paths:
+        path = sc._jvm.org.apache.hadoop.fs.Path(p)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+    return len(paths)
 
 
 def cut_lineage(df, spark: SparkSession | None = None):

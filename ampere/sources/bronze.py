@@ -11,6 +11,7 @@ the date folder, by mistake).
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from ampere.operators import clean as cl
 
@@ -40,23 +41,48 @@ def first_day(df: DataFrame, ts: Column) -> Column:
 
 
 def write_bronze_dated(df: DataFrame, root: str, date_col: Column, mode: str = "append") -> str:
-    """A10: land a feed as ``iso_code=/ingest_date=`` partitions."""
-    df.withColumn("ingest_date", date_col.cast("date").cast("string")) \
-      .write.mode(mode).partitionBy("iso_code", "ingest_date").parquet(root)
+    """A10: land a feed as ``iso_code=/ingest_date=`` partitions, rebalanced
+    on them first (files per partition follow its size, not the task count)."""
+    (df.withColumn("ingest_date", date_col.cast("date").cast("string"))
+     .hint("rebalance", "iso_code", "ingest_date")
+     .write.mode(mode).partitionBy("iso_code", "ingest_date").parquet(root))
     return root
 
 
-def scan_bronze(spark: SparkSession, root: str, ignore_corrupt: bool = False) -> DataFrame | None:
-    """A1 / A2: recursive scan of every parquet file under ``root``;
-    files with different columns are merged by name (missing -> null); the
-    ISO comes from the path.  ``None`` when the root is absent (the
-    "no weather" branch)."""
+def has_partitions(spark: SparkSession, root: str, key: str = "iso_code") -> bool:
+    """Whether the folders under ``root`` are ``key=`` partitions (from the listing of one level)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(root)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return any(s.getPath().getName().startswith(f"{key}=") for s in fs.listStatus(p))
+
+
+def scan_bronze(spark: SparkSession, root: str, ignore_corrupt: bool = False,
+                schema: StructType | str | None = None) -> DataFrame | None:
+    """A1 / A2: scan of every parquet file under ``root``; files with
+    different columns are merged by name (missing -> null); the ISO comes from
+    the path.  ``None`` when the root is absent (the "no weather" branch).
+
+    A ``iso_code=`` layout is read by partition discovery, so a filter on the
+    ISO opens only its files; the plain layout is read recursively.  With a
+    ``schema`` no footer is read to find the columns."""
     if not path_exists(spark, root):
         return None
-    r = (spark.read.option("recursiveFileLookup", "true").option("mergeSchema", "true")
-         .option("ignoreCorruptFiles", str(ignore_corrupt).lower())
-         .option("pathGlobFilter", "*.parquet").parquet(root))
-    return r.withColumn("iso_code", iso_from_path(F.col("_metadata.file_path")))
+    r = spark.read.option("ignoreCorruptFiles", str(ignore_corrupt).lower()).option("pathGlobFilter", "*.parquet")
+    r = r.schema(schema) if schema is not None else r.option("mergeSchema", "true")
+    if has_partitions(spark, root):
+        df = r.option("basePath", root).parquet(root)
+        return df.withColumn("iso_code", F.col("iso_code").cast("string")).drop("ingest_date")
+    df = r.option("recursiveFileLookup", "true").parquet(root)
+    return df.withColumn("iso_code", iso_from_path(F.col("_metadata.file_path")))
+
+
+def unread_files(spark: SparkSession, root: str, read: DataFrame) -> DataFrame:
+    """Paths of the parquet files under ``root`` that gave no row to ``read``: unreadable or empty."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .option("pathGlobFilter", "*.parquet").load(root).select("path", "length"))
+    seen = read.select(F.col("_metadata.file_path").alias("path")).distinct()
+    return files.join(seen, "path", "left_anti")
 
 
 def scan_bronze_grid(spark: SparkSession, root: str) -> DataFrame | None:
@@ -78,10 +104,10 @@ def scan_silver(spark: SparkSession, root: str) -> DataFrame:
 
 
 def sanitize_rewrite(spark: SparkSession, root: str, out: str) -> DataFrame:
-    """Read every bronze file (unreadable ones skipped), normalise
-    timestamp text (B8) and the load column (B9), write snappy parquet to a
-    NEW path (never in place), return the rewritten table."""
+    """Read every bronze file (unreadable ones skipped; ``unread_files``
+    names them), normalise timestamp text (B8) and the load column (B9), write
+    snappy parquet to a NEW path (never in place), return the rewritten table."""
     raw = scan_bronze(spark, root, ignore_corrupt=True)
     s = cl.sanitize_load(cl.sanitize_timestamps(raw))
-    s.write.mode("overwrite").option("compression", "snappy").partitionBy("iso_code").parquet(out)
+    s.hint("rebalance", "iso_code").write.mode("overwrite").option("compression", "snappy").partitionBy("iso_code").parquet(out)
     return spark.read.parquet(out)

@@ -7,23 +7,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ampere.functions.timeparse import local_to_utc, parse_mixed_timestamp
+from ampere.functions.timeparse import market_time_to_utc, parse_mixed_timestamp
 
 TS_TEXT = "yyyy-MM-dd HH:mm:ss"
 
 
-def land_load_csv(spark: SparkSession, path: str, tz: str, iso: str | None = None) -> DataFrame:
+def _csv(spark: SparkSession, path: str) -> DataFrame:
+    return (spark.read.option("header", "true")
+            .option("recursiveFileLookup", "false").csv(path))
+
+
+def land_load_csv(spark: SparkSession, path: str, tz: str, iso: str | None = None,
+                  time_first: str | None = None, load_first: str | None = None) -> DataFrame:
     """A5: CSV with a header; time column = first name starting with
     "time" (else the first column); load column = first name containing
-    "demand" or "load" (else the last column).  Local times -> UTC text.
-    The ISO is ``iso`` or, for a folder of ``iso_code=`` partitions, the
+    "demand" or "load" (else the last column).  Times are UTC text; aware
+    ones keep their instant, naive ones are local.  Exact names of a market
+    come first: ``time_first`` / ``load_first``.  The ISO is ``iso`` or, for a folder of ``iso_code=`` partitions, the
     partition value of each file (all strings: no type inference)."""
-    raw = (spark.read.option("header", "true")
-           .option("recursiveFileLookup", "false").csv(path))
+    raw = _csv(spark, path)
     cols = [c for c in raw.columns if c != "iso_code"]
-    tcol = next((c for c in cols if c.lower().startswith("time")), cols[0])
-    lcol = next((c for c in cols if "demand" in c.lower() or "load" in c.lower()), cols[-1])
-    ts = local_to_utc(F.try_to_timestamp(F.col(f"`{tcol}`")).cast("timestamp_ntz"), tz)
+    tcol = time_first if time_first in cols else next((c for c in cols if c.lower().startswith("time")), cols[0])
+    lcol = load_first if load_first in cols else next(
+        (c for c in cols if "demand" in c.lower() or "load" in c.lower()), cols[-1])
+    ts = market_time_to_utc(raw, tcol, tz)
     iso_c = F.lit(iso.upper()) if iso else F.upper(F.col("iso_code").cast("string"))
     out = raw.select(iso_c.alias("iso_code"),
                      F.date_format(ts, TS_TEXT).alias("timestamp"),
@@ -31,16 +38,43 @@ def land_load_csv(spark: SparkSession, path: str, tz: str, iso: str | None = Non
     return out.dropna(subset=["timestamp", "load"])
 
 
-def land_load_table(df: DataFrame, tz: str, iso: str | None = None) -> DataFrame:
-    """Frames with ``time_utc`` (UTC, mixed formats) or ``time`` /
-    first column (local wall time) plus a ``load`` column; the ISO is
-    ``iso`` or the frame's ``iso_code`` column."""
+def land_nyiso_csv(spark: SparkSession, path: str, iso: str | None = "NYISO") -> DataFrame:
+    """A5, the New York file: ``Time Stamp`` else the first column, ``Load``
+    else the last one; New York wall time."""
+    cols = [c for c in _csv(spark, path).columns if c != "iso_code"]
+    return land_load_csv(spark, path, "America/New_York", iso,
+                         time_first="Time Stamp" if "Time Stamp" in cols else cols[0],
+                         load_first="Load" if "Load" in cols else cols[-1])
+
+
+def land_miso_csv(spark: SparkSession, path: str, iso: str | None = "MISO") -> DataFrame:
+    """A5, the Midwest file: the last column named like an interval's start, GMT
+    or time, and the last one named like a value, load or MW; else the first and
+    second column.  Times are UTC."""
+    raw = _csv(spark, path)
+    cols = [c for c in raw.columns if c != "iso_code"]
+    has = lambda c, *words: any(w in c.lower() for w in words)
+    tcol = ([c for c in cols if has(c, "interval") and has(c, "start", "gmt", "time")] or cols[:1])[-1]
+    lcol = ([c for c in cols if has(c, "value", "load", "mw")] or cols[1:2] or cols[:1])[-1]
+    iso_c = F.lit(iso.upper()) if iso else F.upper(F.col("iso_code").cast("string"))
+    ts = F.try_to_timestamp(F.col(f"`{tcol}`")).cast("timestamp_ntz")
+    out = raw.select(iso_c.alias("iso_code"), F.date_format(ts, TS_TEXT).alias("timestamp"),
+                     F.col(f"`{lcol}`").try_cast("double").alias("load"))
+    return out.dropna(subset=["timestamp", "load"])
+
+
+def land_load_table(df: DataFrame, tz: str, iso: str | None = None, mixed: bool = False) -> DataFrame:
+    """Frames with ``time_utc`` (UTC, mixed formats) or ``time`` / first
+    column plus a ``load`` column.  Of the latter, aware times keep their
+    instant and naive ones are local wall time; with ``mixed`` (the markets
+    whose frames are UTC in any format) they go through the mixed-format parser
+    too.  The ISO is ``iso`` or the frame's ``iso_code`` column."""
     lower = {c.lower(): c for c in df.columns}
     if "time_utc" in lower:
         ts = parse_mixed_timestamp(df, lower["time_utc"])
     else:
         tcol = lower.get("time") or [c for c in df.columns if c != "iso_code"][0]
-        ts = local_to_utc(F.try_to_timestamp(F.col(tcol).cast("string")).cast("timestamp_ntz"), tz)
+        ts = parse_mixed_timestamp(df, tcol) if mixed else market_time_to_utc(df, tcol, tz)
     lcol = lower.get("load") or "Load"
     iso_c = F.lit(iso.upper()) if iso else F.upper(F.col("iso_code"))
     out = df.select(iso_c.alias("iso_code"), F.date_format(ts, TS_TEXT).alias("timestamp"),
@@ -89,7 +123,7 @@ def weather_to_geojson(weather: DataFrame) -> DataFrame:
 
 # Candidate names of the price adapters, in preference order.
 PRICE_CANDIDATES = {
-    "timestamp": ["timestamp", "Time", "Interval Start", "time", "interval_start_utc"],
+    "timestamp": ["timestamp", "Time", "interval_start", "Interval Start", "time", "interval_start_utc"],
     "location": ["location", "Location", "Node", "node"],
     "lmp": ["lmp", "LMP", "Price", "price"],
     "energy": ["energy", "Energy"],
@@ -102,7 +136,11 @@ def land_prices(df: DataFrame, default_location: str = "SYSTEM") -> DataFrame:
     """Normalise an LMP frame: the first present candidate of every
     field (coalesced when several are present); location defaults to
     ``default_location``, energy to lmp, congestion and loss to 0; rows
-    without timestamp or lmp are dropped."""
+    without timestamp or lmp are dropped.  A frame without any time column is
+    an error."""
+    if not set(PRICE_CANDIDATES["timestamp"]).intersection(df.columns):
+        raise KeyError(f"no time column among {df.columns}")
+
     def pick(field, cast):
         present = [c for c in PRICE_CANDIDATES[field] if c in df.columns]
         if not present:

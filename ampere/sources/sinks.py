@@ -1,29 +1,26 @@
 """Sinks (A9, A11-A13).  Every write goes to the shared folder named by the
 cluster (``spark.checkpoint.dir``) or a caller-given path; the output
-committer makes each write atomic, so no temp-file + rename is needed.
+committer publishes a write's files together, so no temp-file + rename is needed.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 
 def write_partitioned(df: DataFrame, path: str, by: str = "iso_code") -> str:
     """Parquet per ``iso_code=`` with dynamic partition overwrite (only
-    the partitions present in ``df`` are replaced)."""
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.write.mode("overwrite").partitionBy(by).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    the partitions present in ``df`` are replaced).  Rows are rebalanced on
+    the partition column first: few files a partition, large ones split."""
+    (df.hint("rebalance", by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(by).parquet(path))
     return path
 
 
 def write_latest(df: DataFrame, path: str) -> str:
     """Consolidated latest snapshot (full overwrite of its own path,
-    a sibling of the partitioned history, never inside it)."""
+    a sibling of the partitioned history, never inside it).  The old files go
+    before the new ones come, so readers should wait for ``_SUCCESS``."""
     df.write.mode("overwrite").parquet(path)
     return path
 
@@ -36,9 +33,6 @@ def write_text_report(lines: DataFrame, path: str, col: str = "insight") -> str:
 
 def append_run(df: DataFrame, path: str, run_ts: str, by: str = "iso_code") -> str:
     """Append one run as ``run_ts=<stamp>/iso_code=<ISO>/`` files."""
-    df.withColumn("run_ts", F.lit(run_ts)).write.mode("append").partitionBy("run_ts", by).parquet(path)
+    (df.hint("rebalance", by).withColumn("run_ts", F.lit(run_ts))
+     .write.mode("append").partitionBy("run_ts", by).parquet(path))
     return path
-
-
-def read_back(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
