@@ -30,6 +30,8 @@ CORE_CONF = EXACT_CONF | {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # rows of whole texts: a batch is held by the JVM and by the Python worker at once
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
 }
 
 
