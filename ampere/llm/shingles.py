@@ -22,7 +22,7 @@ _BLANK = np.zeros(256, bool)
 _BLANK[[32, *range(9, 14)]] = True
 _VALUE[_BLANK] = 0
 _PLACE = _rng.integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-BLOCK = 4 << 20
+BLOCK = 1 << 20
 
 
 @functools.lru_cache(maxsize=8)

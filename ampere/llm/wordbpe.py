@@ -20,8 +20,8 @@ import pyarrow.compute as pc
 
 #: Letters (all lower-casing to one letter), then ASCII punctuation without the apostrophe.
 _LETTERS_POINTS = "^(?P<a>[A-Za-zÀ-ÖØ-öø-ÿ]*)(?P<b>[!-&(-/:-@\\[-`{-~]*)$"
-BLOCK_BYTES = 12 << 20     # text handled at once
-CACHE_WORDS = 300_000      # letter runs remembered by a worker between blocks
+BLOCK_BYTES = 4 << 20      # text handled at once
+CACHE_WORDS = 200_000      # letter runs remembered by a worker between blocks
 _END = "</w>"
 
 
