@@ -1,3 +1,4 @@
+import os
 import sys
 from pathlib import Path
 
@@ -13,7 +14,7 @@ SF_CHECK = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = local_test_session(cpus=4, partitions=4)
+    s = local_test_session(cpus=os.environ.get("TEST_CPUS", "4"), partitions=4)
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
