@@ -17,7 +17,7 @@ source nor a very long text makes a hot task.
 
 Defined results: null text = no words; a text without words has ratio 0.0 and
 fails the base rule; repeated rows count each time and get the same verdict;
-an empty trusted set gives a target equal to the smoothing prior; an empty
+without trusted documents, or without words in them, every ratio is 0; an empty
 table gives an empty result; columns of the input are kept, whatever their
 names.
 """
@@ -35,7 +35,7 @@ SYMBOLS = "#*$%&|<>"
 BUCKETS = 1 << 14      # size of the hashed n-gram space
 PRIOR = 1.0            # pseudo-count of every bucket
 TRUSTED = 20_000       # labelled documents that the target is counted on, at most
-THRESHOLD = -0.085    # nats per n-gram; clean text lies around or above 0
+THRESHOLD = -0.06      # nats per n-gram; clean text lies around or above 0 (least -0.061 on 1,000, -0.028 on 10,000 documents)
 MIN_WORDS = 50
 MAX_REPEAT_PCT = 50
 
@@ -109,8 +109,8 @@ def ratio_table(docs: DataFrame, trusted: DataFrame, text: str = "text", doc_id:
     arr = F.sort_array(F.array_agg(F.struct("_b", "raw", "target")))
     packed = both.agg(arr.alias("a"), F.sum("raw").alias("nr"), F.sum("target").alias("nt"))
     mass = F.lit(prior * buckets)
-    return packed.select(F.transform("a", lambda x: F.log(
-        ((x["target"] + prior) / (F.col("nt") + mass)) / ((x["raw"] + prior) / (F.col("nr") + mass)))
+    return packed.select(F.transform("a", lambda x: F.when(F.col("nt") == 0, F.lit(0.0)).otherwise(F.log(
+        ((x["target"] + prior) / (F.col("nt") + mass)) / ((x["raw"] + prior) / (F.col("nr") + mass))))
     ).alias("llr"))
 
 
