@@ -11,10 +11,12 @@ Classes are partitioned into groups of similar ones: each class is linked,
 after an exact check, to the class it shares most prefix tokens with, and linked
 classes form a group, cut into parts of about ``GROUP`` classes.  The token-group
 matrix has, for each group, the union of its members' prefix tokens.  A class is
-a query to the groups of other components; the number of its prefix tokens in
-the group's union bounds the number it shares with any member, and only groups
-where that number suffices are opened: their members' tokens are counted one by
-one, and pairs that still may link are compared exactly.
+a query to the groups of other components that have one of its tokens early
+enough (what two prefixes share lies at or after the first token they share).
+The number of its prefix tokens in the group's union bounds the number it shares
+with any member, and only groups where that number suffices are opened: their
+members' tokens are counted one by one, and pairs that still may link are
+compared exactly.
 
 No link is lost: the bounds hold for every pair, and pairs inside one component
 need no further link, since what is returned is the component.  The order puts
@@ -188,27 +190,30 @@ def _may_link(n: str, m: str, last_n: str, last_m: str, shared: str, percent: in
     return fits & (F.col(shared) + rest >= _need(n, m, percent))
 
 
-def _may_hold(n: str, least: str, most: str, shared: str, percent: int):
+def _may_hold(n: str, least: str, most: str, shared, percent: int):
     """Whether a set of n tokens can link with some set of a group with sizes from least to most, in
     whose union it has that many prefix tokens.  What is needed is lowest at either end of the sizes
-    that fit; one is taken off for rounding."""
+    that fit; one is taken off for rounding where they differ."""
     small = F.greatest(F.col(least), F.ceil(percent * F.col(n) / F.lit(100)))
     large = F.least(F.col(most), F.floor(100 * F.col(n) / F.lit(percent)))
 
     def needed(m):
         return (F.ceil(percent * (F.col(n) + m) / F.lit(100 + percent))
                 - F.greatest(_rest(F.col(n), percent), _rest(m, percent)))
-    return (small <= large) & (F.col(shared) >= F.least(needed(small), needed(large)) - 1)
+    off = F.when(small == large, F.lit(0)).otherwise(F.lit(1))
+    return (small <= large) & (shared >= F.least(needed(small), needed(large)) - off)
 
 
 def class_components(docs: DataFrame, sk: DataFrame, width: int, percent: int) -> DataFrame:
     """cls, component (smallest document id) of every class."""
     c = classes_of(sk)
-    posting = c.select(F.explode("prefix").alias("token"), "cid", "n", "last")
+    # left: prefix tokens after this one
+    posting = c.select(F.posexplode("prefix").alias("pos", "token"), "cid", "n", "last", F.size("prefix").alias("p"))
+    posting = posting.select("token", "cid", "n", "last", (F.col("p") - 1 - F.col("pos")).alias("left"))
     by_token = Window.partitionBy("token").orderBy("cid")
     whole = by_token.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     shared = posting.select(
-        "token", "cid", "n", "last", F.first(F.struct("cid", "n", "last")).over(whole).alias("lead"),
+        "token", "cid", "n", "last", "left", F.first(F.struct("cid", "n", "last")).over(whole).alias("lead"),
         F.lead("cid").over(by_token).alias("after"))
     # tokens of one class only link nothing
     shared = materialize(shared.where("lead.cid <> cid or after is not null").drop("after"), "op8-shared")
@@ -229,22 +234,30 @@ def class_components(docs: DataFrame, sk: DataFrame, width: int, percent: int) -
         "cid", "comp", F.xxhash64("comp", F.pmod(F.xxhash64("cid"), F.col("parts"))).alias("grp")), "op8-members")
 
     # the matrix: prefix tokens by group, where a token has several components
-    tokens = shared.select("token", "cid", "n", "last").join(member, "cid")
+    tokens = shared.select("token", "cid", "n", "last", "left").join(member, "cid")
     mixed = tokens.groupBy("token").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y")
     tokens = materialize(tokens.join(mixed.select("token"), "token", "left_semi")
-                         .select("token", "cid", "n", "last", "comp", "grp"), "op8-mixed")
-    matrix = tokens.select("token", "grp", "comp").distinct()
-    sizes = tokens.groupBy("grp").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    asked = (tokens.select("token", F.col("cid").alias("a"), F.col("n").alias("na"), F.col("comp").alias("ca"))
-             .join(matrix, "token").where("ca < comp")
-             .groupBy("a", "na", "grp").agg(F.count(F.lit(1)).alias("k"))
-             .join(sizes, "grp").where(_may_hold("na", "least", "most", "k", percent)).select("a", "grp"))
-    opened = materialize(asked, "op8-opened")
+                         .select("token", "cid", "n", "last", "left", "comp", "grp"), "op8-mixed")
+    matrix = tokens.groupBy("token", "grp", "comp").agg(
+        F.min("n").alias("least"), F.max("n").alias("most"), F.max("left").alias("room"))
+    # the first token that two prefixes share leaves room for all others they share after it
+    mine = tokens.select("token", F.col("cid").alias("a"), F.col("n").alias("na"), F.col("last").alias("la"),
+                         F.col("left").alias("xa"), F.col("comp").alias("ca"))
+    asked = (mine.join(matrix, (mine["token"] == matrix["token"]) & (F.col("ca") < F.col("comp"))
+                       & _may_hold("na", "least", "most", 1 + F.least("xa", "room"), percent))
+             .select("a", "na", "grp").distinct())
+    asked = materialize(asked, "op8-asked")
+    held = matrix.select(F.col("token").alias("t"), F.col("grp").alias("g"), "least", "most")
+    by_token = mine.select("token", "a").join(asked, "a")
+    opened = (by_token.join(held, (F.col("token") == F.col("t")) & (F.col("grp") == F.col("g")))
+              .groupBy("a", "na", "grp").agg(F.count(F.lit(1)).alias("k"), F.min("least").alias("least"),
+                                             F.max("most").alias("most"))
+              .where(_may_hold("na", "least", "most", F.col("k"), percent)).select("a", "grp"))
+    opened = materialize(opened, "op8-opened")
 
     # the members of opened groups, token by token
-    mine = tokens.select("token", F.col("cid").alias("a"), F.col("n").alias("na"), F.col("last").alias("la"))
     theirs = tokens.select("token", "grp", F.col("cid").alias("b"), F.col("n").alias("nb"), F.col("last").alias("lb"))
-    pairs = (opened.join(mine, "a").join(theirs, ["grp", "token"])
+    pairs = (opened.join(mine.select("token", "a", "na", "la"), "a").join(theirs, ["grp", "token"])
              .groupBy("a", "na", "la", "b", "nb", "lb").agg(F.count(F.lit(1)).alias("k"))
              .where(_may_link("na", "nb", "la", "lb", "k", percent)).select("a", "b"))
     more = verified(pairs, docs, c, width, percent)
