@@ -14,8 +14,8 @@ hash of the id) of a dozen doubles, whatever the size of the corpus.
 Defined results: null text = empty; empty texts are scored as any other (all
 shares 0); repeated rows get equal scores; labels for unknown ids or with a
 null label are not used; a null id is never used for training and is not held
-out; with labels of one class only, all utilities are 0 and the threshold
-accepts what that class says; an empty table gives an empty result; columns of
+out; with labels of one class only, all utilities are 0 and all documents get
+that class, and without labels all are accepted; an empty table gives an empty result; columns of
 the input are kept, whatever their names.
 """
 
@@ -78,7 +78,7 @@ def fit(x: np.ndarray, y: np.ndarray, pairs: int = PAIRS, ridge: float = 1e-3) -
     """Bradley-Terry weights by Newton steps on drawn pairs, then the quantile threshold."""
     good, bad = np.flatnonzero(y == 1), np.flatnonzero(y == 0)
     if not len(good) or not len(bad):
-        return Ranker((0.0,) * len(FEATURES), 0.0 if len(good) or not len(y) else 1.0, 1.0)
+        return Ranker((0.0,) * len(FEATURES), 1.0 if len(bad) else -1.0, 1.0)
     rng = np.random.default_rng(7)
     n = min(pairs, max(20_000, 20 * len(y)))
     d = x[rng.choice(good, n)] - x[rng.choice(bad, n)]

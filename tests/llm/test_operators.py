@@ -397,7 +397,7 @@ def test_ranker_of_one_class():
     x = np.zeros((3, len(quality_classifier.FEATURES)))
     for y in ([1, 1, 1], [0, 0, 0], []):
         m = quality_classifier.fit(x[:len(y)], np.array(y))
-        assert not any(m.weights)
+        assert not any(m.weights) and (m.threshold <= -1 if 0 not in y else m.threshold >= 1)
 
 
 def test_rule_counts(spark, rows):
