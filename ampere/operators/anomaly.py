@@ -159,6 +159,7 @@ def alert_summary_lines(anoms: DataFrame) -> DataFrame:
     line_no, line): total, per ISO the count, counts per severity (highest
     first) and the newest critical anomaly.  Every part is a small grouped
     aggregate over the anomalies; no row is collected to the driver."""
+    # The texts of the report's lines.
     total = anoms.agg(F.count(F.lit(1)).alias("n")).select(
         F.lit("").alias("iso_code"), F.lit(0).alias("line_no"),
         F.format_string("Total Anomalies: %d", "n").alias("line"))

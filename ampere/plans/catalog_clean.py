@@ -343,6 +343,7 @@ def i5(spark, d):
 
 # ---------------------------------------------------------------- insights
 
+# The texts of the insight lines.
 D17_SQL = W(E, H, D, ("summary", SUMMARY)) + f"""
     SELECT printf('  • %s: Peak load at hour %d:00 (%d MW)', iso_code, hour_of_day,
                   CAST(round(avg_load_mw) AS BIGINT)) AS insight

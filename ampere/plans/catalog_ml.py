@@ -205,6 +205,7 @@ def f4b(spark, d):
 
 # ---------------------------------------------------------------- anomalies
 
+# Fixed values in the SQL below: method order, type labels, thresholds, model version.
 AN_CTES = [
     ("gated", """SELECT * FROM enriched WHERE iso_code IN
                  (SELECT iso_code FROM enriched GROUP BY iso_code HAVING count(*) >= 50)"""),
