@@ -3,15 +3,17 @@
 Every document gets counts of words, symbols, repeated lines and repeated
 three-word windows, and the mean over its hashed n-grams (words and word
 pairs) of log p_target(bucket) / p_raw(bucket).  The raw multinomial is
-counted over every document, the target over the trusted ones: at most
-``TRUSTED`` ids of good label, those with the smallest hash (a bounded sample of
-labelled rows, broadcast as 160 kB, so no text is shuffled).  A document is kept when no base rule fails and its length-normalised
-ratio reaches a fixed threshold, so the verdict depends on nothing but the two
+counted over every document, the target over all trusted ones (good label).  A
+document is kept when no base rule fails and its length-normalised ratio
+reaches a fixed threshold, so the verdict depends on nothing but the two
 tables.
 
-Plan: one pass counts buckets (map-side combined; what is shuffled is at most
-``buckets`` rows a task), the table of ratios is one array of ``buckets``
-doubles (bounded by the parameter, not by the data), and one narrow pass scores.
+Plan: the trusted ids are cut by hash into parts of about ``PART_BYTES``, and
+one part at a time is broadcast, so no text is shuffled.  The pass of the first
+part counts every document too, each other one only the texts of its ids
+(map-side combined; what is shuffled is at most ``buckets`` rows a task).  The
+table of ratios is one array of ``buckets`` doubles (bounded by the parameter,
+not by the data), and one narrow pass scores.
 DataFrame functions only; nothing is grouped by document, so neither a hot
 source nor a very long text makes a hot task.
 
@@ -34,7 +36,7 @@ from ampere.session import materialize
 SYMBOLS = "#*$%&|<>"
 BUCKETS = 1 << 14      # size of the hashed n-gram space
 PRIOR = 1.0            # pseudo-count of every bucket
-TRUSTED = 20_000       # labelled documents that the target is counted on, at most
+PART_BYTES = 16 << 20  # trusted ids broadcast at once, as text and 16 bytes each
 THRESHOLD = -0.085    # nats per n-gram: documents outside the trusted sample score lower on a small corpus, and clean ones stay
 MIN_WORDS = 50
 MAX_REPEAT_PCT = 50
@@ -89,20 +91,37 @@ def with_rule_counts(docs: DataFrame, out: str, text: str = "text", width: int =
         .drop(t, w, h, s, p))
 
 
+def _parts(trusted: DataFrame, part: int) -> list[DataFrame]:
+    """The distinct ids (first column, as ``_tid``), cut by hash into tables of about ``part`` bytes."""
+    ids = materialize(trusted.select(trusted[trusted.columns[0]].alias("_tid")).where("_tid is not null").distinct(),
+                      "op9-trusted")
+    size = ids.agg(F.sum(F.octet_length(F.col("_tid").cast("string")) + 16)).first()[0] or 0
+    n = max(1, -(-size // part))
+    return [ids.where(F.pmod(F.xxhash64("_tid"), F.lit(n)) == k) for k in range(n)]
+
+
+def _marked(docs: DataFrame, ids: DataFrame, text: str, doc_id: str, how: str) -> DataFrame:
+    """_w, _of: the words of the documents, and 1 for those among ``ids`` (the only ones if ``how`` is inner)."""
+    return (docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_t"))
+            .join(F.broadcast(ids), F.col("_id") == F.col("_tid"), how)
+            .select(words_of(whole_text(F.col("_t"))).alias("_w"), F.col("_tid").isNotNull().cast("int").alias("_of")))
+
+
 def ratio_table(docs: DataFrame, trusted: DataFrame, text: str = "text", doc_id: str = "doc_id",
-                buckets: int = BUCKETS, prior: float = PRIOR, sample: int = TRUSTED) -> DataFrame:
+                buckets: int = BUCKETS, prior: float = PRIOR, part: int = PART_BYTES) -> DataFrame:
     """One row, one column ``llr``: log p_target / p_raw of every bucket.
 
-    ``trusted`` holds the ids (first column) of the target documents; the
-    ``sample`` ids with the smallest hash are used, so they can be broadcast."""
-    ids = (trusted.select(trusted[trusted.columns[0]].alias("_tid")).where("_tid is not null").distinct()
-           .orderBy(F.xxhash64("_tid"), "_tid").limit(sample))
-    # the words are a column of their own: inside a lambda an expression runs once per element
-    counts = (docs.select(F.col(doc_id).alias("_id"), words_of(whole_text(F.col(text))).alias("_w"))
-              .join(F.broadcast(ids), F.col("_id") == F.col("_tid"), "left")
-              .select(F.col("_tid").isNotNull().cast("int").alias("_of"),
-                      F.explode(_buckets(F.col("_w"), buckets)).alias("_b"))
-              .groupBy("_b").agg(F.count(F.lit(1)).alias("raw"), F.sum("_of").alias("target")))
+    ``trusted`` holds the ids (first column) of the target documents; about
+    ``part`` bytes of them are broadcast at a time."""
+    counts = None
+    for k, ids in enumerate(_parts(trusted, part)):
+        # the words are a column of their own: inside a lambda an expression runs once per element
+        one = materialize(
+            _marked(docs, ids, text, doc_id, "inner" if k else "left")
+            .select("_of", F.explode(_buckets(F.col("_w"), buckets)).alias("_b"))
+            .groupBy("_b").agg((F.lit(0).cast("long") if k else F.count(F.lit(1))).alias("raw"),
+                               F.sum("_of").alias("target")), "op9-counts")
+        counts = one if counts is None else counts.unionAll(one)
     both = (counts.unionAll(docs.sparkSession.range(buckets).select(
                 F.col("id").cast("int"), F.lit(0).cast("long"), F.lit(0).cast("long")))
             .groupBy("_b").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")))

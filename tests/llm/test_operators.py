@@ -435,6 +435,17 @@ def test_ratio_is_the_mean_log_ratio(spark):
         assert got[(doc, text)] == pytest.approx(value, abs=1e-12)
 
 
+def test_every_trusted_document_counts(spark):
+    docs = spark.range(0, 30_000, 1, 4).select(F.col("id").alias("doc_id"), F.concat(
+        F.lit("a b"), (F.col("id") % 50).cast("string")).alias("text"))
+    ids = docs.select("doc_id")
+    # all are trusted: the target is the raw corpus, so every ratio is exactly 0
+    assert not any(quality_rules.ratio_table(docs, ids, buckets=64).first().llr)
+    some = ids.where("doc_id % 3 = 0").unionAll(ids.where("doc_id < 9"))
+    whole = quality_rules.ratio_table(docs, some, buckets=64).first().llr
+    assert any(whole) and quality_rules.ratio_table(docs, some, buckets=64, part=60_000).first().llr == whole
+
+
 def test_filters_compute_once(spark, odd):
     v = quality_rules.with_rule_counts(odd, "v")
     kept = keep_rows(v, F.col("v.n_words") >= 100).drop("v")
