@@ -5,22 +5,30 @@ three-word windows, and the mean over its hashed n-grams (words and word
 pairs) of log p_target(bucket) / p_raw(bucket).  The raw multinomial is
 counted over every document, the target over all trusted ones (good label).  A
 document is kept when no base rule fails and its length-normalised ratio
-reaches a fixed threshold, so the verdict depends on nothing but the two
-tables.
+reaches a threshold that is computed from the two tables: trusted documents of
+at least ``MIN_WORDS`` words are scored without their own counts in the target,
+as if they were not labelled, and the threshold lies ``REACH`` times as far
+below the median of these ratios as their ``LOW`` quantile does (in
+thousandths of a nat, so it is exact and counted in a small table).  How far
+clean documents outside the target score below those in it depends on the size
+of the corpus; the threshold moves along.  The ratio in the result is the plain
+one, also of a trusted document.
 
 Plan: the trusted ids are cut by hash into parts of about ``PART_BYTES``, and
 one part at a time is broadcast, so no text is shuffled.  The pass of the first
 part counts every document too, each other one only the texts of its ids
-(map-side combined; what is shuffled is at most ``buckets`` rows a task).  The
-table of ratios is one array of ``buckets`` doubles (bounded by the parameter,
+(map-side combined; what is shuffled is at most ``buckets`` rows a task).  A
+second pass over the trusted texts, by the same parts, counts their ratios for
+the threshold.  The table of ratios is one array of ``buckets`` doubles (bounded by the parameter,
 not by the data), and one narrow pass scores.
 DataFrame functions only; nothing is grouped by document, so neither a hot
 source nor a very long text makes a hot task.
 
 Defined results: null text = no words; a text without words has ratio 0.0 and
 fails the base rule; repeated rows count each time and get the same verdict;
-without trusted documents, or without words in them, every ratio is 0; an empty
-table gives an empty result; columns of the input are kept, whatever their
+without trusted documents, or without words in them, every ratio is 0; without
+a trusted document of ``MIN_WORDS`` words no ratio is too low; an empty table
+gives an empty result; columns of the input are kept, whatever their
 names.
 """
 
@@ -37,7 +45,8 @@ SYMBOLS = "#*$%&|<>"
 BUCKETS = 1 << 14      # size of the hashed n-gram space
 PRIOR = 1.0            # pseudo-count of every bucket
 PART_BYTES = 16 << 20  # trusted ids broadcast at once, as text and 16 bytes each
-THRESHOLD = -0.085    # nats per n-gram: documents outside the trusted sample score lower on a small corpus, and clean ones stay
+LOW = 0.01             # quantile of the trusted documents' ratios, each without its own counts
+REACH = 1.5            # threshold: so many times the distance from the median to that quantile
 MIN_WORDS = 50
 MAX_REPEAT_PCT = 50
 
@@ -109,12 +118,13 @@ def _marked(docs: DataFrame, ids: DataFrame, text: str, doc_id: str, how: str) -
 
 def ratio_table(docs: DataFrame, trusted: DataFrame, text: str = "text", doc_id: str = "doc_id",
                 buckets: int = BUCKETS, prior: float = PRIOR, part: int = PART_BYTES) -> DataFrame:
-    """One row, one column ``llr``: log p_target / p_raw of every bucket.
+    """One row: ``llr``, log p_target / p_raw of every bucket, and ``threshold``.
 
     ``trusted`` holds the ids (first column) of the target documents; about
     ``part`` bytes of them are broadcast at a time."""
-    counts = None
-    for k, ids in enumerate(_parts(trusted, part)):
+    counts, ratios = None, None
+    parts = _parts(trusted, part)
+    for k, ids in enumerate(parts):
         # the words are a column of their own: inside a lambda an expression runs once per element
         one = materialize(
             _marked(docs, ids, text, doc_id, "inner" if k else "left")
@@ -126,11 +136,44 @@ def ratio_table(docs: DataFrame, trusted: DataFrame, text: str = "text", doc_id:
                 F.col("id").cast("int"), F.lit(0).cast("long"), F.lit(0).cast("long")))
             .groupBy("_b").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")))
     arr = F.sort_array(F.array_agg(F.struct("_b", "raw", "target")))
-    packed = both.agg(arr.alias("a"), F.sum("raw").alias("nr"), F.sum("target").alias("nt"))
+    packed = materialize(both.agg(arr.alias("a"), F.sum("raw").alias("nr"), F.sum("target").alias("nt")), "op9-packed")
     mass = F.lit(prior * buckets)
+    raw = F.transform("a", lambda x: F.log((x["raw"] + prior) / (F.col("nr") + mass)))
+    tables = materialize(packed.select(raw.alias("raw"), F.transform("a", lambda x: x["target"]).alias("target"), "nt"),
+                         "op9-tables")
+    for ids in parts:
+        docs_of = _marked(docs, ids, text, doc_id, "inner")
+        one = materialize(_without_own(docs_of, tables, buckets, prior).groupBy("_bin").count(), "op9-left-out")
+        ratios = one if ratios is None else ratios.unionAll(one)
+    found = ratios.agg(F.percentile("_bin", F.array(F.lit(LOW), F.lit(0.5)), F.col("count")).alias("q")).select(
+        F.coalesce((F.col("q")[1] - REACH * (F.col("q")[1] - F.col("q")[0])) / 1000, F.lit(float("-inf"))).alias("t"))
     return packed.select(F.transform("a", lambda x: F.when(F.col("nt") == 0, F.lit(0.0)).otherwise(F.log(
         ((x["target"] + prior) / (F.col("nt") + mass)) / ((x["raw"] + prior) / (F.col("nr") + mass))))
-    ).alias("llr"))
+    ).alias("llr"), found.scalar().alias("threshold"))
+
+
+def _without_own(trusted: DataFrame, tables: DataFrame, buckets: int, prior: float) -> DataFrame:
+    """_bin: the mean log ratio of each text ``_w`` of the target, its own counts taken out of the
+    target, in thousandths and rounded down; null for texts of fewer than ``MIN_WORDS`` words."""
+    zero = F.struct(F.lit(-1).alias("b"), F.lit(0).alias("n"), F.lit(0.0).alias("sum"))
+
+    # each table is named once: a column named twice would be copied into every row
+    def closed(acc: Column) -> Column:
+        """The sum with the run of equal buckets that ends here."""
+        of = F.log(F.get(F.col("_target"), acc["b"]) - acc["n"] + F.lit(prior)) - F.get(F.col("_raw"), acc["b"])
+        return F.when(acc["n"] > 0, acc["sum"] + acc["n"] * of).otherwise(F.lit(0.0))
+
+    def step(acc: Column, x: Column) -> Column:
+        same = acc["b"] == x
+        return F.struct(x.alias("b"), F.when(same, acc["n"] + 1).otherwise(F.lit(1)).alias("n"),
+                        F.when(same, acc["sum"]).otherwise(closed(acc)).alias("sum"))
+
+    size = F.size("_s")
+    total = F.aggregate(F.concat(F.col("_s"), F.array(F.lit(-1))), zero, step, lambda acc: acc["sum"])
+    mean = total / size - F.log((F.col("_nt") - size + F.lit(prior * buckets)).cast("double"))
+    return (trusted.select(F.size("_w").alias("_n"), F.sort_array(_buckets(F.col("_w"), buckets)).alias("_s"))
+            .select("_n", "_s", *[tables.select(c).scalar().alias(f"_{c}") for c in ("target", "raw", "nt")])
+            .select(F.when(F.col("_n") >= MIN_WORDS, F.floor(mean * 1000).cast("int")).alias("_bin")))
 
 
 def with_ratio(docs: DataFrame, table: DataFrame, out: str, text: str = "text",
@@ -141,14 +184,15 @@ def with_ratio(docs: DataFrame, table: DataFrame, out: str, text: str = "text",
     return (
         docs.withColumn(w, words_of(whole_text(F.col(text))))
         .withColumn(g, _buckets(F.col(w), buckets))
-        .withColumn(m, table.scalar())
+        .withColumn(m, table.select("llr").scalar())
         .withColumn(out, F.when(F.size(F.col(g)) > 0, total / F.size(F.col(g))).otherwise(F.lit(0.0)))
         .drop(w, g, m))
 
 
 def judge(docs: DataFrame, table: DataFrame, out: str, text: str = "text",
-          buckets: int = BUCKETS, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` plus a struct ``out``: the counts, llr, base_failed and kept."""
+          buckets: int = BUCKETS, threshold: float | None = None) -> DataFrame:
+    """``docs`` plus a struct ``out``: the counts, llr, base_failed and kept (by the table's threshold if none is given)."""
+    least = table.select("threshold").scalar() if threshold is None else F.lit(threshold)
     c, r = fresh(docs, "_counts", "_ratio")
     df = with_ratio(with_rule_counts(docs, c, text), table, r, text, buckets)
     bad = ((F.col(c)["n_words"] < MIN_WORDS)
@@ -156,7 +200,7 @@ def judge(docs: DataFrame, table: DataFrame, out: str, text: str = "text",
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
     return df.withColumn(out, F.struct(
         *[F.col(c)[n].alias(n) for n in names], F.col(r).alias("llr"), bad.alias("base_failed"),
-        (~bad & (F.col(r) >= threshold)).alias("kept"))).drop(c, r)
+        (~bad & (F.col(r) >= least)).alias("kept"))).drop(c, r)
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:

@@ -29,7 +29,7 @@ from ampere.llm.common import keep_rows, read_table
 from ampere.llm.components import components
 from ampere.llm.html_parse import parse
 from ampere.llm.registry import QUERIES
-from ampere.session import new_path
+from ampere.session import materialize, new_path
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -446,6 +446,42 @@ def test_every_trusted_document_counts(spark):
     assert any(whole) and quality_rules.ratio_table(docs, some, buckets=64, part=60_000).first().llr == whole
 
 
+@pytest.mark.parametrize("sf", ["0.001", "0.01", "0.1"])
+def test_clean_documents_without_label_stay(spark, sf):
+    d = f"/root/testdata/sf{sf}"
+    docs, labels = materialize(read_table(spark, d, "documents").repartition(16), "t"), read_table(spark, d, "labels")
+    half = labels.where("quality = 0 or doc_id % 2 = 0")           # the other good ones are clean, and not known as such
+    table = materialize(quality_rules.ratio_table(docs, quality_rules.trusted_ids(half)), "t")
+    judged = materialize(quality_rules.judge(docs, table, "v").select("doc_id", "lang", "v"), "t")
+    seen = judged.join(labels, "doc_id", "left").where("not v.base_failed").groupBy(
+        "lang", F.expr("case quality when 1 then if(doc_id % 2 = 0, 'trusted', 'hidden') when 0 then 'bad' else 'none' end")
+        .alias("of")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("v.kept").cast("int")).alias("kept")).collect()
+    share = {(r.lang, r.of): (r.kept, r.n) for r in seen}
+    for lang in ("en", "de", "fr", "es"):
+        for of, least in (("hidden", 0.97), ("trusted", 0.97), ("none", 0.85)):     # of the last some are junk
+            kept, n = share.get((lang, of), (0, 0))
+            assert kept >= least * n, (sf, lang, of, kept, n)
+    kept, n = (sum(v[k] for (_, of), v in share.items() if of == "bad") for k in (0, 1))
+    assert kept <= {"0.001": 0.5, "0.01": 0.4, "0.1": 0.01}[sf] * n, (sf, kept, n)
+
+
+def test_threshold_leaves_own_counts_out(spark):
+    texts = [" ".join(random.Random(k).choices("abcdefgh", k=60)) for k in range(5)]
+    docs = spark.createDataFrame([*enumerate(texts), (9, "x y " * 30), (7, "a b")], "doc_id bigint, text string")
+    ids = docs.where("doc_id in (0, 1, 2, 7)").select("doc_id")
+    got = quality_rules.ratio_table(docs, ids, buckets=32)
+    assert got.first().threshold == quality_rules.ratio_table(docs, ids, buckets=32, part=1).first().threshold
+    grams = {r.doc_id: r.g for r in docs.select("doc_id", quality_rules._buckets(F.split(F.trim("text"), " "), 32).alias("g")).collect()}
+    raw = Counter(x for g in grams.values() for x in g)
+    target = Counter(x for k in (0, 1, 2, 7) for x in grams[k])
+    p = lambda c, b: (c[b] + 1) / (sum(c.values()) + 32)
+    bins = [np.floor(1000 * np.mean([np.log(p(target - Counter(grams[k]), b) / p(raw, b)) for b in grams[k]])) for k in (0, 1, 2)]
+    low, mid = np.percentile(bins, [1, 50])
+    assert got.first().threshold == pytest.approx((mid - 1.5 * (mid - low)) / 1000, abs=1e-9)
+    none = quality_rules.ratio_table(docs, ids.where("doc_id = 7"), buckets=32).first()
+    assert none.threshold == -np.inf
+
+
 def test_filters_compute_once(spark, odd):
     v = quality_rules.with_rule_counts(odd, "v")
     kept = keep_rows(v, F.col("v.n_words") >= 100).drop("v")
