@@ -56,6 +56,23 @@ def test_clean_labelled_documents_stay(spark):
     assert bad.count() <= 1
 
 
+def test_near_duplicates_at_five_words_and_four_fifths(spark):
+    base = [f"w{k}" for k in range(100)]
+    texts = {1: base, 2: base + [f"a{k}" for k in range(20)],       # 96 of 116 shingles of five, 97 of 117 of four
+             3: base[:80], 4: base[10:90] + ["z"], 5: [f"v{k}" for k in range(60)], 6: base + [f"b{k}" for k in range(30)]}
+    docs = spark.createDataFrame([(k, " ".join(t), "en", "a", 1) for k, t in texts.items()],
+                                 "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    sets = {k: {tuple(t[i:i + 5]) for i in range(len(t) - 4)} for k, t in texts.items()}
+    part = {k: k for k in texts}
+    for _ in texts:
+        for a in texts:
+            for b in texts:
+                if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                    part[a] = part[b] = min(part[a], part[b])
+    got = {r.doc_id for r in cp.drop_near_duplicates(spark, docs, SF).collect()}
+    assert got == set(part.values()) and 2 not in got
+
+
 def test_odd_and_empty_tables(spark):
     schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
     clean = " ".join(f"term{k}" for k in range(120))
