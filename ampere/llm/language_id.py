@@ -8,9 +8,10 @@ with the smallest total wins.  When the margin to the second is narrow the
 prediction is marked as rejected.
 
 Training gathers at most ``PER_LANGUAGE`` texts of at most ``SAMPLE_CHARS``
-characters a language (those with the smallest hash of text), chosen by a
-limited window, so each task sends no more than that; prediction is one narrow
-pass over the whole texts.
+characters a language, all different (those with the smallest hash of text):
+a limited window over the distinct hashes chooses them, so each task sends no
+more than that and the hashes; prediction is one narrow pass over the whole
+texts.
 
 Defined results: null texts and texts without a letter are `und` with score
 0.0 and rejected; ties go to the language that sorts first; texts shared by
@@ -53,8 +54,11 @@ def train(rows: DataFrame, text: str = "text", lang: str = "lang",
           .where("l is not null and t is not null").where(F.length("t") <= SAMPLE_CHARS)
           .where(F.col("t").rlike("\\p{L}")).withColumn("k", F.xxhash64("t")))
     # the limit is applied in each task before the exchange, so a language's one task stays small
-    best = Window.partitionBy("l").orderBy("k", "t")
-    chosen = (df.withColumn("r", F.row_number().over(best)).where(F.col("r") <= per_language)
+    best = Window.partitionBy("l").orderBy("k")
+    keys = (df.select("l", "k").distinct().withColumn("r", F.row_number().over(best))
+            .where(F.col("r") <= per_language))
+    # texts meet the few hashes chosen; copies are combined in each task, so no other text is shuffled
+    chosen = (df.join(F.broadcast(keys), ["l", "k"]).groupBy("l", "r").agg(F.min("t").alias("t"))
               .orderBy("l", F.col("r").desc()).select("l", "t").collect())
     found: dict[str, list[bytes]] = {}
     for r in chosen:

@@ -393,6 +393,15 @@ def test_ranker_on_held_out_rows(spark):
     assert right[0] > 0.97 and right[1] > 0.98
 
 
+def test_copies_do_not_fill_the_dictionary(spark):
+    texts = [f"text number {chr(97 + k // 26)}{chr(97 + k % 26)} of many" for k in range(40)]
+    one = spark.createDataFrame([(t, "en") for t in texts], "text string, lang string")
+    first = one.orderBy(F.xxhash64("text")).first().text
+    rows = one.unionAll(one.where(F.col("text") == first).withColumn("x", F.explode(F.sequence(F.lit(1), F.lit(100)))).drop("x"))
+    assert language_id.train(rows, per_language=20) == language_id.train(one, per_language=20)
+    assert len(set(language_id.train(rows, per_language=20)["en"].split(b" of many"))) == 21     # 20 texts and the end
+
+
 def test_ranker_of_one_class():
     x = np.zeros((3, len(quality_classifier.FEATURES)))
     for y in ([1, 1, 1], [0, 0, 0], []):
