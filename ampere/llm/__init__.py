@@ -1,3 +1,3 @@
 """Training-data operators (language ID, fingerprints, token files, main-text
 extraction, packing, quality scores, token counts, similarity join, quality
-rules, BPE).  Nothing outside this subpackage imports it."""
+rules, BPE, vector codes, nearest neighbours, source divergence).  Nothing outside this subpackage imports it."""

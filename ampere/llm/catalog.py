@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ampere.llm import (  # noqa: F401
+    ann_collisions,
     bpe,
     fingerprints,
     html_extract,
@@ -11,7 +12,9 @@ from ampere.llm import (  # noqa: F401
     packing,
     quality_classifier,
     quality_rules,
+    source_divergence,
     token_counts,
     token_files,
+    vector_codes,
 )
 from ampere.llm.registry import ORACLES, QUERIES  # noqa: F401
