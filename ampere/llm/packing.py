@@ -5,8 +5,9 @@ rest.  The pieces, which are a few numbers each and not the ids themselves, are
 dealt by a hash into bundles of about ``BUNDLE`` pieces; a bundle is packed in
 one group: pieces in decreasing length, each into the open window with the
 least room that still holds it, found by a segment tree indexed by the
-remaining capacity.  The bundle count follows the number of pieces, so a group
-stays bounded at any size, and no source or text is a key.
+remaining capacity.  The bundle count follows the number of pieces and
+equal pieces are numbered before they are dealt, so a group stays bounded at any
+size, and no source or text is a key.
 
 Defined results: null text = empty = the end id alone; ties in length go by
 document id, start and checksum, so packing does not depend on the order of
@@ -19,8 +20,8 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -117,22 +118,27 @@ def best_fit(lengths: list[int], window: int) -> tuple[list[int], list[int]]:
 
 
 def pack(cut: DataFrame, window: int = WINDOW, bundle: int = BUNDLE) -> DataFrame:
-    """Pieces plus sequence_id and offset.  ``cut`` is read twice: give a written table."""
-    bundles = max(1, -(-cut.count() // bundle))
-    dealt = cut.withColumn("bundle", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(bundles)))
+    """Pieces plus sequence_id and offset.  ``cut`` is read twice: give a written table.
 
-    def run(df: pd.DataFrame) -> pd.DataFrame:
-        df = df.sort_values(["length", "doc_id", "start", "ids_crc32"], ascending=[False, True, True, True],
-                            kind="stable", na_position="last")
-        where, offset = best_fit(df["length"].tolist(), window)
-        df["sequence_id"] = (df["bundle"].to_numpy() << 32) + np.array(where, np.int64)
-        df["offset"] = np.array(offset, np.int64)
-        return df.drop(columns="bundle")
+    Equal pieces are counted and numbered, so that copies are dealt like other pieces."""
+    names = ["start", "length", "ids_crc32", "doc_tokens"]
+    bundles = max(1, -(-cut.count() // bundle))
+    numbered = cut.groupBy("doc_id", *names).agg(F.count(F.lit(1)).alias("copies")).withColumn(
+        "copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
+    dealt = numbered.select("doc_id", *names, F.pmod(
+        F.xxhash64("doc_id", "start", "ids_crc32", "copy"), F.lit(bundles)).alias("bundle"))
+    order = [("length", "descending"), ("doc_id", "ascending"), ("start", "ascending"), ("ids_crc32", "ascending")]
+
+    def run(t: pa.Table) -> pa.Table:
+        t = t.take(pc.sort_indices(t, sort_keys=order, null_placement="at_end"))
+        where, offset = best_fit(t.column("length").to_pylist(), window)
+        number = (t.column("bundle").to_numpy() << 32) + np.array(where, np.int64)
+        return (t.drop_columns("bundle").append_column("sequence_id", pa.array(number))
+                .append_column("offset", pa.array(offset, pa.int64())))
 
-    names = ("start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
     kind = cut.schema["doc_id"].dataType.simpleString()
-    return dealt.groupBy("bundle").applyInPandas(
-        run, f"doc_id {kind}, " + ", ".join(f"{n} bigint" for n in names))
+    return dealt.groupBy("bundle").applyInArrow(
+        run, f"doc_id {kind}, " + ", ".join(f"{n} bigint" for n in [*names, "sequence_id", "offset"]))
 
 
 def pack_documents(docs: DataFrame) -> DataFrame:
