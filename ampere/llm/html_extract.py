@@ -19,8 +19,9 @@ meet its coverage.
 
 Defined results: null html = empty text; null or odd urls share the host '';
 rows repeated exactly are one page and give equal rows; a null page_id is kept;
-pages without an article element keep their open blocks unless at least half of
-a block's tokens are covered; ties cannot arise; an empty table gives an empty
+blocks that neither an article nor a named part of the page holds, beside an
+article too, stay unless at least half of their tokens are covered; ties cannot
+arise; an empty table gives an empty
 result; other columns are not read.
 """
 
@@ -38,6 +39,7 @@ from ampere.session import materialize
 
 MIN_RUN = 8           # tokens of the shortest run that counts as repeated
 BUNDLE = 400_000      # tokens of a suffix array, on average
+SALTS = 64            # tasks in which a host's streams learn its number of bundles
 COVERED = 0.5         # share of covered tokens from which an open block is boilerplate
 
 
@@ -135,8 +137,10 @@ def coverage(streams: DataFrame, min_run: int = MIN_RUN, bundle: int = BUNDLE) -
 
     ``streams`` is read twice: give a written table without repeated pages."""
     sizes = streams.groupBy("host").agg(F.ceil(F.sum("n") / F.lit(float(bundle))).cast("int").alias("bundles"))
-    # always a shuffle join: whether the hosts would fit a broadcast depends on the corpus
-    dealt = (streams.join(sizes.hint("merge"), "host")
+    # always a shuffle join, as the hosts may not fit a broadcast; sizes go to each of a host's salts
+    salt = F.pmod(F.xxhash64("h", "page_id"), F.lit(SALTS)).cast("int")
+    sizes = sizes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = (streams.withColumn("salt", salt).join(sizes.hint("merge"), ["host", "salt"]).drop("salt")
              .withColumn("bundle", F.pmod(F.xxhash64("page_id", "h"), F.greatest("bundles", F.lit(1))).cast("int")))
     kind = streams.schema["page_id"].dataType.simpleString()
 
@@ -191,8 +195,7 @@ def main_text(page: Page, covered: np.ndarray, share: float = COVERED) -> str:
     """The page's blocks without dropped zones and covered blocks."""
     out = []
     for zone, text, lo, hi in page.blocks:
-        if zone == KEPT or (zone == OPEN and not page.has_article
-                            and covered[lo:hi].sum() < share * max(1, hi - lo)):
+        if zone == KEPT or (zone == OPEN and covered[lo:hi].sum() < share * max(1, hi - lo)):
             out.append(text)
     return "\n".join(out)
 

@@ -3,6 +3,10 @@
 A page becomes text blocks in page order, each with the zone its containers put
 it in: KEPT (inside an article or main element), DROPPED (menus, headers,
 footers, sidebars, notices, adverts, forms, comments, head) or OPEN (neither).
+Tags, roles and whole class or id names settle a zone; html, body, article and
+main are never dropped for a name (but an article element named a comment is a
+reader's comment), and a word inside a longer name (no-sidebar, social-science)
+settles nothing.
 The token stream holds what may be boilerplate: tags and words outside KEPT
 zones; a KEPT zone is one separator, as nothing in it is ever removed.
 """
@@ -35,11 +39,20 @@ _DROP_TAGS = frozenset("aside dialog footer form head menu nav".split())
 _KEEP_TAGS = frozenset(("article", "main"))
 _DROP_ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search"
                         .split())
-#: words of a class or id that name a page part which is not the article
-_DROP_WORDS = frozenset("""ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment
+#: whole names, and last words of compound names (site-footer), of page parts which are not the article
+_DROP_NAMES = frozenset("""ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment
     comments consent cookie cookies disclaimer discussion disqus footer gdpr header masthead menu modal nav navbar
     navigation newsletter notice notices pagination popup promo promoted promotion recommended related replies
-    reply respond share sharing sidebar signup skip social sponsor sponsored subscribe toolbar topbar widget""".split())
+    reply respond share sharing sidebar signup skip social sponsor sponsored subscribe toolbar topbar widget
+    widgets""".split())
+#: a compound name with one of these first words tells a state or a part of the article: no-sidebar, entry-header
+_STATES = frozenset("no not non has have with without is hide hidden show single".split())
+_OF_ARTICLE = frozenset("article entry post story content section chapter".split())
+#: names of containers after a first word out of _DROP_NAMES: comment-list, sidebar-left, ad-slot
+_PLACES = frozenset("""area bar block body bottom box column container content form group inner item items left link
+    links list menu outer pane panel region right row section slot text thread title top unit wrap wrapper"""
+                    .split())
+_COMMENT_NAMES = frozenset("comment comment-body comment-item comment-content comments reply".split())
 _KEEP_WORDS = frozenset("article articlebody entry-content main-content post-content story-body".split())
 
 
@@ -47,7 +60,6 @@ _KEEP_WORDS = frozenset("article articlebody entry-content main-content post-con
 class Page:
     blocks: list[tuple[int, str, int, int]] = field(default_factory=list)   # zone, text, stream from, to
     stream: list[int] = field(default_factory=list)
-    has_article: bool = False
 
 
 @functools.lru_cache(maxsize=200_000)
@@ -61,15 +73,29 @@ def _own_zone(name: str, rest: str) -> tuple[int | None, str]:
     """The zone an element asks for, if any, and its token."""
     found = {k.lower(): (a or b or c).lower() for k, a, b, c in _ATTRIBUTE.findall(rest)}
     named = f"{found.get('class', '')} {found.get('id', '')}"
-    whole, parts = set(named.split()), set(re.split(r"[\s_-]+", named))
+    whole = set(named.replace("_", "-").split())
     mark = f"<{name} {named.strip()}>"
-    if name in _DROP_TAGS or found.get("role") in _DROP_ROLES or parts & _DROP_WORDS:
+    if name in ("html", "body"):
+        return None, mark
+    if name in _KEEP_TAGS:               # class words settle nothing here, but a reader's comment is one
+        return DROPPED if name == "article" and whole & _COMMENT_NAMES else KEPT, mark
+    if name in _DROP_TAGS or found.get("role") in _DROP_ROLES or any(map(_names_frame, whole)):
         return DROPPED, mark
-    if name in _KEEP_TAGS or found.get("role") in ("main", "article") or whole & _KEEP_WORDS:
+    if found.get("role") in ("main", "article") or whole & _KEEP_WORDS:
         return KEPT, mark
     return None, mark
 
 
+def _names_frame(name: str) -> bool:
+    """Whether a class or id names a part of the page which is not the article."""
+    words = name.split("-")
+    if len(words) == 1 or name in _DROP_NAMES:
+        return name in _DROP_NAMES
+    if words[-1] in _DROP_NAMES:
+        return words[0] not in _STATES and not (words[-1] == "header" and words[0] in _OF_ARTICLE)
+    return words[0] in _DROP_NAMES and words[0] != "header" and all(w in _PLACES or w.isdigit() for w in words[1:])
+
+
 def parse(text: str | None) -> Page:
     """Blocks and stream of a page; any text parses, also cut or broken markup."""
     page, stack, held, zone = Page(), [], [], OPEN
@@ -84,12 +110,6 @@ def parse(text: str | None) -> Page:
             page.stream.extend(map(token, words))
         page.blocks.append((zone, " ".join(words), at, len(page.stream)))
 
-    def enter(z: int) -> int:
-        if z == KEPT:
-            page.has_article = True
-            page.stream.append(-1)
-        return z
-
     done = 0
     source = text or ""
     for m in _MARKUP.finditer(source):
@@ -129,7 +149,8 @@ def parse(text: str | None) -> Page:
             if own == DROPPED or zone == DROPPED:
                 zone = DROPPED
             elif own == KEPT and zone != KEPT:
-                zone = enter(KEPT)
+                zone = KEPT
+                page.stream.append(-1)
         if zone != KEPT:
             page.stream.append(token(mark))
     if done < len(source):
