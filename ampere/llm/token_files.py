@@ -17,11 +17,13 @@ sound.  The end byte is the line end of Spark's text writer, through which
 records go: commits, retries and any file system Spark can write come with it.
 
 The index is a separate Parquet table (path, record number, doc_id, offset,
-bytes, n_tokens, start), so that a shuffled reader fetches single records.  It
+bytes, n_tokens, start), so that a shuffled reader fetches single records by
+ranged reads.  It
 is made by reading the files back and checking every frame.
 
-Files are bounded: the table is dealt by ranges of doc_id into as many parts
-as its text needs, ``FILE_BYTES`` of text each on average.
+Files are bounded: the table is dealt by ranges of (doc_id, hash of text, place
+in the scan) into as many parts as its text needs, ``FILE_BYTES`` of text each on
+average, so rows of one id, a null one included, and copies fill several files.
 
 Defined results: null text = empty = the end id alone; a null id sorts first
 and is kept as null; rows that share an id are ordered by the hash of the
@@ -43,7 +45,8 @@ from pyspark.sql.window import Window
 from ampere.llm.common import read_table
 from ampere.llm.registry import query
 from ampere.llm.wordbpe import blocks, default_path, encoder
-from ampere.session import new_path
+from ampere.session import materialize, new_path
+from ampere.sources.files import open_file
 
 END_ID = 2
 FILE_BYTES = 24 << 20        # text that one file's records come from, on average
@@ -101,8 +104,9 @@ def write_files(docs: DataFrame, path: str, end_id: int = END_ID, tokenizer: str
     tokenizer = tokenizer or default_path()
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
-    dealt = docs.repartitionByRange(max(1, -(-size // file_bytes)), F.col("doc_id").asc_nulls_first())
+    docs = docs.withColumns({"h": F.xxhash64("text"), "copy": F.monotonically_increasing_id()})
+    order = [F.col("doc_id").asc_nulls_first(), F.col("h"), F.col("copy")]
+    dealt = docs.repartitionByRange(max(1, -(-size // file_bytes)), *order)
 
     def run(batches):
         enc = encoder(tokenizer)
@@ -117,7 +121,7 @@ def write_files(docs: DataFrame, path: str, end_id: int = END_ID, tokenizer: str
                 done += len(part)
                 yield pa.RecordBatch.from_arrays([pa.array(records, pa.binary())], names=["record"])
 
-    (dealt.sortWithinPartitions(*order).mapInArrow(run, "record binary")
+    (dealt.sortWithinPartitions(*order).select("doc_id", "text").mapInArrow(run, "record binary")
      .select(F.col("record").cast("string").alias("value"))
      .write.mode("errorifexists").text(path, lineSep="\n"))
 
@@ -164,27 +168,47 @@ def write_index(spark: SparkSession, path: str, index: str) -> DataFrame:
 
 
 def read_records(spark: SparkSession, wanted: DataFrame) -> DataFrame:
-    """doc_id and ids of chosen index rows (path, offset, bytes), by their offsets: a shuffled read."""
-    def run(batches):
+    """doc_id and ids of chosen index rows (path, offset, bytes): a shuffled read.
+
+    Wanted rows are grouped by file and read at their offsets, nothing else of the files.  Where
+    a task has no client for the store, the row comes back unread and the whole file is read
+    through Spark for these rows; paths may lie in any folders."""
+    def at_offsets(batches):
+        name, file = None, None
+        for b in batches:
+            got = []
+            for path, at, size in zip(*(c.to_pylist() for c in b.columns)):
+                try:
+                    if path != name:
+                        name, file = path, open_file(path)
+                    got.append(file.read_at(size, at))
+                except (OSError, ValueError, ImportError):
+                    name = None
+                    got.append(None)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(got, pa.binary())],
+                                             names=["path", "offset", "bytes", "body"])
+
+    def decoded(batches):
         for b in batches:
-            data = b.column(3).to_pylist()
             got = []
-            for body, at, size in zip(data, b.column(1).to_pylist(), b.column(2).to_pylist()):
-                (_, _, payload), = parse(body[at:at + size])
+            for body in b.column(0).to_pylist():
+                (_, _, payload), = parse(body)
                 got.append(deserialize(payload))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([g[0] for g in got], pa.int64()),
                  pa.array([g[1].astype(np.int64) for g in got], pa.list_(pa.int64()))], names=["doc_id", "ids"])
 
-    folder = wanted.select("path").limit(1).collect()
-    if not folder:
-        return spark.createDataFrame([], "doc_id bigint, ids array<bigint>")
-    files = (spark.read.format("binaryFile").load(folder[0][0].rsplit("/", 1)[0])
-             .select(F.col("path").alias("p"), "content"))
-    cut = (wanted.select("path", "offset", "bytes").join(files, F.col("path") == F.col("p"))
-           .select("path", F.lit(0).cast("long").alias("offset"), "bytes",
-                   F.expr("substring(content, cast(offset + 1 as int), cast(bytes as int))").alias("body")))
-    return cut.mapInArrow(run, "doc_id bigint, ids array<bigint>")
+    rows = wanted.select("path", F.col("offset").cast("long").alias("offset"), F.col("bytes").cast("long").alias("bytes"))
+    cut = materialize(rows.repartition("path").sortWithinPartitions("path", "offset").mapInArrow(
+        at_offsets, "path string, offset bigint, bytes bigint, body binary"), "op3-cut")
+    bodies = cut.where("body is not null").select("body")
+    unread = cut.where("body is null").select("path", "offset", "bytes")
+    folders = [r[0] for r in unread.select(F.regexp_extract("path", "^(.*)/", 1)).distinct().collect()]
+    if folders:                                      # one row a folder of record files
+        files = spark.read.format("binaryFile").load(folders).select(F.col("path").alias("p"), "content")
+        bodies = bodies.unionAll(unread.join(files, F.col("path") == F.col("p")).select(
+            F.expr("substring(content, cast(offset + 1 as int), cast(bytes as int))")))
+    return bodies.mapInArrow(decoded, "doc_id bigint, ids array<bigint>")
 
 
 @query("op3_token_files")
