@@ -5,10 +5,12 @@ with character offsets; neighbouring chunks are spliced at a boundary inside
 their overlap that both encodings have and that no piece of the vocabulary can
 cross (a space after a non-space: checked against the whole vocabulary when the
 model is loaded).  Where an overlap has no such boundary it is doubled, up to
-the whole of both chunks, so the count is exact for any text.
+the whole of both chunks, which are then taken as one and the next chunk is as
+long as that, so the count is exact for any text.
 
-A text is never shuffled; the work of a row is linear in its length and its
-memory is bounded by the chunk unless a text has no boundary at all.
+A text is never shuffled; a row's text is encoded about twice at most, also one
+without any boundary (whose chunks double), plus its overlaps; memory is bounded
+by the chunk unless a text has no boundary.
 
 Defined results: null text = empty = 0 tokens, 0 bytes; repeated rows are
 counted each; special strings are ordinary text, as the library's default; an
@@ -18,6 +20,7 @@ empty table gives an empty result; other columns are kept, whatever their names.
 from __future__ import annotations
 
 import functools
+import re
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -31,6 +34,7 @@ CHUNK = 16_384       # characters of a chunk; longer texts are cut
 OVERLAP = 256        # characters two chunks share at first
 LIMIT = 4096         # tokens above which a document is over the limit
 _SPACES = " ▁"
+_BOUNDARY = re.compile("(?<=[^ ▁])[ ▁]")
 
 
 def default_path() -> str:
@@ -75,14 +79,20 @@ class PieceCounter:
             wide = overlap
             while True:
                 nlo = max(lo, hi - wide)
+                if nlo > lo and not _BOUNDARY.search(text, max(nlo, taken) + 1, hi):
+                    wide *= 2                    # nothing to splice at: widen before anything is encoded
+                    continue
                 nhi = min(len(text), max(hi + chunk, nlo + chunk))
+                if nlo == lo:                    # taken as one: twice as long, so that all text is encoded
+                    chunk = max(chunk, hi - lo)  # about twice, whatever its length
+                    nhi = min(len(text), hi + chunk)
                 right = [nlo + b for b in self.begins(text[nlo:nhi])]
                 cut = self._common(text, left, right, max(nlo, taken), hi)
                 if cut is not None:
                     total += sum(taken <= b < cut for b in left)
                     taken, lo, hi, left = cut, nlo, nhi, right
                     break
-                if nlo == lo:                    # the chunks have no boundary in common: take them as one
+                if nlo == lo:                    # the chunks have no boundary in common
                     hi, left = nhi, right
                     break
                 wide *= 2
