@@ -7,11 +7,12 @@ long text, and each window is compressed with every dictionary; the language
 with the smallest total wins.  When the margin to the second is narrow the
 prediction is marked as rejected.
 
-Training gathers at most ``PER_LANGUAGE`` texts of at most ``SAMPLE_CHARS``
-characters a language, all different (those with the smallest hash of text):
-a limited window over the distinct hashes chooses them, so each task sends no
-more than that and the hashes; prediction is one narrow pass over the whole
-texts.
+Training gathers at most ``PER_LANGUAGE`` texts a language, all different (those
+with the smallest hash of text), ``SAMPLE_CHARS`` characters of each at most: a
+longer text trains by a window of it.  Limited windows over the distinct hashes
+choose them, so each task sends no more than that and the hashes.  With more
+than 200 languages each gets fewer texts (``ALL_TEXTS`` in all, one at least), so
+any number is learnt.  Prediction is one narrow pass over the whole texts.
 
 Defined results: null texts and texts without a letter are `und` with score
 0.0 and rejected; ties go to the language that sorts first; texts shared by
@@ -32,10 +33,12 @@ from pyspark.sql.window import Window
 
 from ampere.llm.common import id_remainder, read_table, schema_plus
 from ampere.llm.registry import query
+from ampere.session import materialize
 
 PER_LANGUAGE = 60         # training texts a language at most
-SAMPLE_CHARS = 4_000      # longer texts do not train
-LANGUAGES = 200           # more languages than this is an error in the input
+SAMPLE_CHARS = 4_000      # characters of a text that train at most: a window of longer ones
+ALL_TEXTS = 12_000        # training texts of all languages at most, but one a language
+SALTS = 32                # parts of a language's hashes that are limited first
 LEVEL = 5
 SPAN = 1_024              # bytes compressed at once
 MARGIN = 0.02             # of the smallest size: narrower is rejected
@@ -48,23 +51,30 @@ def normal(text: str) -> bytes:
 
 
 def train(rows: DataFrame, text: str = "text", lang: str = "lang",
-          per_language: int = PER_LANGUAGE) -> dict[str, bytes]:
+          per_language: int = PER_LANGUAGE, sample_chars: int = SAMPLE_CHARS) -> dict[str, bytes]:
     """Dictionaries by language from (text, lang) rows."""
     df = (rows.select(F.col(lang).cast("string").alias("l"), F.col(text).alias("t"))
-          .where("l is not null and t is not null").where(F.length("t") <= SAMPLE_CHARS)
+          .where("l is not null and t is not null")
           .where(F.col("t").rlike("\\p{L}")).withColumn("k", F.xxhash64("t")))
-    # the limit is applied in each task before the exchange, so a language's one task stays small
-    best = Window.partitionBy("l").orderBy("k")
-    keys = (df.select("l", "k").distinct().withColumn("r", F.row_number().over(best))
-            .where(F.col("r") <= per_language))
+    keys = df.select("l", "k").distinct()
+    # the limit is applied in each task before the exchange, and among salts before a language's one task
+    salted = Window.partitionBy("l", F.pmod("k", F.lit(SALTS))).orderBy("k")
+    keys = materialize(keys.withColumn("r", F.row_number().over(salted)).where(F.col("r") <= per_language),
+                       "op1-keys").drop("r")
+    languages = keys.agg(F.count_distinct("l")).first()[0]
+    each = max(1, min(per_language, ALL_TEXTS // max(1, languages)))
+    keys = (keys.withColumn("r", F.row_number().over(Window.partitionBy("l").orderBy("k")))
+            .where(F.col("r") <= each))
+    # a long text trains by a window whose place its hash tells
+    room = F.greatest(F.length("t") - F.lit(sample_chars), F.lit(0)) + 1
+    window = F.substring("t", (F.pmod("k", room.cast("long")) + 1).cast("int"), F.lit(sample_chars))
     # texts meet the few hashes chosen; copies are combined in each task, so no other text is shuffled
-    chosen = (df.join(F.broadcast(keys), ["l", "k"]).groupBy("l", "r").agg(F.min("t").alias("t"))
+    chosen = (df.join(F.broadcast(keys), ["l", "k"]).select("l", "r", window.alias("t"))
+              .groupBy("l", "r").agg(F.min("t").alias("t"))
               .orderBy("l", F.col("r").desc()).select("l", "t").collect())
     found: dict[str, list[bytes]] = {}
     for r in chosen:
         found.setdefault(r["l"], []).append(normal(r["t"]))
-    if len(found) > LANGUAGES:
-        raise ValueError(f"{len(found)} languages; at most {LANGUAGES} are expected")
     return {name: b" ".join(texts) for name, texts in found.items()}
 
 
