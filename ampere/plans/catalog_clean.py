@@ -72,7 +72,7 @@ def b4(spark, d):
 
 @register("b6_dedup_weather_recent", W() + """
     SELECT iso_code, timestamp_utc, station, temperature, wind_speed, humidity FROM (
-      SELECT *, row_number() OVER (PARTITION BY iso_code, timestamp_utc ORDER BY station) AS rn
+      SELECT *, row_number() OVER (PARTITION BY iso_code, timestamp_utc ORDER BY station, id) AS rn
       FROM weather_stations
       WHERE timestamp_utc >= (SELECT max(timestamp_utc) FROM weather_stations) - INTERVAL 48 HOUR)
     WHERE rn = 1""")
@@ -80,7 +80,7 @@ def b6(spark, d):
     """Station observations of the last 48 h, one per (iso, hour)."""
     ws = fx.weather_stations(spark, d)
     as_of = ws.select(F.max("timestamp_utc")).scalar()
-    return cl.dedup_weather_recent(ws, as_of, 48, order=["station"])
+    return cl.dedup_weather_recent(ws, as_of, 48, order=["station", "id"]).drop("id")
 
 
 @register("b7_quality_counters", W(COERCED, CLEANED, SGRID, SWEATHER, E) + f"""

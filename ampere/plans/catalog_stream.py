@@ -24,7 +24,8 @@ def _land(spark, d, seq: int | None = None):
     b = fx.bronze_grid(spark, d)
     if seq is not None:
         b = b.where(F.col("seq") == seq)
-    b.withColumn("ingest_date", _day().cast("string")).write.partitionBy("ingest_date").parquet(root)
+    (b.withColumn("ingest_date", _day().cast("string")).hint("rebalance", "ingest_date")
+     .write.partitionBy("ingest_date").parquet(root))
     return root
 
 
@@ -70,7 +71,8 @@ def n3(spark, d):
     # the re-sent copies land in the same folder and a second run picks
     # up only the new files
     b = fx.bronze_grid(spark, d).where(F.col("seq") == 1)
-    b.withColumn("ingest_date", _day().cast("string")).write.mode("append").partitionBy("ingest_date").parquet(first)
+    (b.withColumn("ingest_date", _day().cast("string")).hint("rebalance", "ingest_date")
+     .write.mode("append").partitionBy("ingest_date").parquet(first))
     s2 = inc.clean_stream(inc.bronze_stream(spark, first, max_files=16)).select(*cols)
     inc.run_batches(s2, inc.first_rows, out, ckpt)
     return inc.first_rows(inc.read_batches(spark, out)).select(*cols)

@@ -30,7 +30,7 @@ def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     ISO codes are upper case, like real ISO codes (CAISO, MISO ...).
     """
     e = _events(spark, sf_dir)
-    return e.where(F.col("event_id") % 10 != 0).select(
+    return e.select(
         F.upper("event_type").alias("iso_code"),
         F.col("ts").cast("timestamp_ntz").alias("timestamp_utc"),
         F.col("value").alias("load_mw"),
@@ -38,12 +38,20 @@ def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _reading_time():
+    """When an event's weather is read: stations report in the first hour of every four, so an
+    event's place in its four hours becomes its place in that hour."""
+    us = F.unix_micros(F.col("ts").cast("timestamp_ntz").cast("timestamp"))
+    inside = us % F.lit(14_400_000_000)
+    return F.timestamp_micros(us - inside + F.floor(inside / 4).cast("long")).cast("timestamp_ntz")
+
+
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean weather: iso_code, timestamp_utc, temperature, wind_speed, humidity."""
     e = _events(spark, sf_dir)
-    return e.where(F.col("event_id") % 10 == 0).select(
+    return e.select(
         F.upper("event_type").alias("iso_code"),
-        F.col("ts").cast("timestamp_ntz").alias("timestamp_utc"),
+        _reading_time().alias("timestamp_utc"),
         (F.col("value") % 60).alias("temperature"),
         F.get_json_object("props", "$.k").cast("double").alias("wind_speed"),
         (F.col("event_id") % 101).cast("double").alias("humidity"),
@@ -52,15 +60,17 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def weather_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly station observations: several stations (user_id) per ISO and
-    hour, the shape the weather adapter de-duplicates (B6)."""
+    hour, the shape the weather adapter de-duplicates (B6); ``id`` orders a
+    station's own repeats."""
     e = _events(spark, sf_dir)
-    return e.where(F.col("event_id") % 10 == 0).select(
+    return e.select(
         F.upper("event_type").alias("iso_code"),
         F.date_trunc("hour", F.col("ts")).cast("timestamp_ntz").alias("timestamp_utc"),
         F.col("user_id").alias("station"),
         (F.col("value") % 60).alias("temperature"),
         F.get_json_object("props", "$.k").cast("double").alias("wind_speed"),
         (F.col("event_id") % 101).cast("double").alias("humidity"),
+        F.col("event_id").alias("id"),
     )
 
 
@@ -110,11 +120,11 @@ def bronze_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bronze_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw weather feed: text timestamp, values on both sides of every bound."""
-    e = _events(spark, sf_dir).where(F.col("event_id") % 10 == 0)
+    e = _events(spark, sf_dir)
     idc = F.col("event_id")
     return e.select(
         F.upper("event_type").alias("iso_code"),
-        F.date_format(F.col("ts").cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
+        F.date_format(_reading_time(), "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
         F.when(idc % 70 == 0, F.lit(None).cast("double"))
          .otherwise((F.col("value") % 120) - 55).alias("temperature"),
         (F.get_json_object("props", "$.k").cast("double") * 3 - 10).alias("wind_speed"),
@@ -163,23 +173,26 @@ def order_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ---- twin SQL definitions for the DuckDB oracle ---------------------------
 
+_READ_SQL = ("make_timestamp(epoch_us(CAST(ts AS TIMESTAMP)) - epoch_us(CAST(ts AS TIMESTAMP)) % 14400000000 "
+             "+ (epoch_us(CAST(ts AS TIMESTAMP)) % 14400000000) // 4)")
+
 SQL_VIEWS = {
     "grid": """
         SELECT upper(event_type) AS iso_code, CAST(ts AS TIMESTAMP) AS timestamp_utc,
                value AS load_mw, event_id AS id
-        FROM events WHERE event_id % 10 <> 0""",
+        FROM events""",
     "weather": """
-        SELECT upper(event_type) AS iso_code, CAST(ts AS TIMESTAMP) AS timestamp_utc,
+        SELECT upper(event_type) AS iso_code, {READ} AS timestamp_utc,
                value % 60 AS temperature,
                CAST(json_extract_string(props, '$.k') AS DOUBLE) AS wind_speed,
                CAST(event_id % 101 AS DOUBLE) AS humidity
-        FROM events WHERE event_id % 10 = 0""",
+        FROM events""".replace("{READ}", _READ_SQL),
     "weather_stations": """
         SELECT upper(event_type) AS iso_code, date_trunc('hour', CAST(ts AS TIMESTAMP)) AS timestamp_utc,
                user_id AS station, value % 60 AS temperature,
                CAST(json_extract_string(props, '$.k') AS DOUBLE) AS wind_speed,
-               CAST(event_id % 101 AS DOUBLE) AS humidity
-        FROM events WHERE event_id % 10 = 0""",
+               CAST(event_id % 101 AS DOUBLE) AS humidity, event_id AS id
+        FROM events""",
     "frequency": """
         SELECT iso_code, timestamp_utc, id, 59.4 + (load_mw % 120) / 100 AS frequency_hz FROM grid""",
     "stations": """
@@ -199,12 +212,12 @@ SQL_VIEWS = {
               WHERE id % 50 = 1) u""",
     "bronze_weather": """
         SELECT upper(event_type) AS iso_code,
-               strftime(CAST(ts AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') AS timestamp,
+               strftime({READ}, '%Y-%m-%d %H:%M:%S') AS timestamp,
                CASE WHEN event_id % 70 = 0 THEN NULL ELSE (value % 120) - 55 END AS temperature,
                CAST(json_extract_string(props, '$.k') AS DOUBLE) * 3 - 10 AS wind_speed,
                CAST((event_id % 131) - 10 AS DOUBLE) AS humidity,
                event_id AS id
-        FROM events WHERE event_id % 10 = 0""",
+        FROM events""".replace("{READ}", _READ_SQL),
     "prices": """
         SELECT CAST(l_shipdate AS TIMESTAMP) AS timestamp, l_returnflag AS location,
                CASE WHEN l_quantity = 0 THEN NULL ELSE l_extendedprice / l_quantity END AS lmp,

@@ -34,5 +34,5 @@ def test_hourly_groups_on_all_events(spark):
 def test_asof_match_count(spark):
     from ampere.plans import medallion as md
     e = md.enriched(spark, SF_CHECK)
-    assert e.count() == 9000
-    assert e.where(F.col("temperature").isNotNull()).count() == 4174
+    assert e.count() == 10000
+    assert e.where(F.col("temperature").isNotNull()).count() == 7009
