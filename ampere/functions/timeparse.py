@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ampere.operators.clean import try_timestamp
+from ampere.functions import timetext
+from ampere.functions.zones import to_utc
 
 # Fixed values of the reference's numeric-timestamp heuristic.
 EXCEL_MIN, EXCEL_MAX = 30000.0, 60000.0      # median in (30000, 60000): Excel serial days
@@ -15,17 +16,22 @@ EXCEL_EPOCH = "1899-12-30 00:00:00"
 
 
 def parse_mixed_timestamp(df: DataFrame, col: str) -> Column:
-    """Text timestamps; if NO value of the whole column parses as text,
-    read it as numbers whose unit is decided by the column median.
+    """Text timestamps of any form (``timetext``; aware ones in UTC); if NO
+    value of the whole column parses as text, read it as numbers whose unit is
+    decided by the column median.
 
-    Whether any text parses is asked first (one row to the driver); only a
-    column without any has its exact median computed, on the cluster, as a
-    scalar subquery.
+    How the column's values parse is counted first (one row a form to the
+    driver); only a column without any text time has its exact median computed,
+    on the cluster, as a scalar subquery.
     """
     from ampere.operators.quantile import exact_quantiles
-    text = try_timestamp(col)
-    if df.where(text.isNotNull()).select(F.lit(1)).take(1):
-        return text
+    kind = df.schema[col].dataType.typeName()
+    if kind in ("timestamp", "timestamp_ntz", "date"):
+        return F.col(f"`{col}`").cast("timestamp_ntz")
+    found = timetext.choose(df, col)
+    if found["parsed"]:
+        return utc_text(F.col(f"`{col}`"), found["day_first"])
+    col = f"`{col}`"
     num = F.col(col).try_cast("double")
     finite = F.when(~F.isnan(num) & (F.abs(num) != F.lit(float("inf"))), num)
     med = exact_quantiles(df.select(finite.alias("_x")), [], "_x", [0.5], ["_m"]).select("_m").scalar()
@@ -38,48 +44,31 @@ def parse_mixed_timestamp(df: DataFrame, col: str) -> Column:
     return numeric.cast("timestamp_ntz")
 
 
-# Wall-time formats of market files beside ISO dates.
-MONTH_FIRST = ["MM/dd/yyyy HH:mm:ss", "MM/dd/yyyy HH:mm"]
-_OFFSET = r"(?i)([+-][0-9]{2}:?[0-9]{2}|[0-9]\s*Z|UTC|GMT)\s*$"
+def utc_text(c: Column, day_first: bool = False) -> Column:
+    """The UTC time of a text: its offset taken off, a naive time as it is."""
+    shift = F.make_dt_interval(secs=F.coalesce(timetext.offset_seconds(c), F.lit(0)).cast("decimal(18,6)"))
+    return timetext.wall_time(c, day_first) - shift
 
 
 def market_time_to_utc(df: DataFrame, col: str, tz: str) -> Column:
     """B12 on a landed column: an aware time (a TIMESTAMP, or text that carries
-    an offset) keeps its instant; a naive one is wall time in ``tz``."""
+    an offset) keeps its instant; a naive one is wall time in ``tz``.  Text may
+    have any form of ``timetext``; the order of figures is the column's."""
     c = F.col(f"`{col}`")
     kind = df.schema[col].dataType.typeName()
     if kind == "timestamp":
         return c.cast("timestamp_ntz")
-    if kind == "timestamp_ntz":
-        return local_to_utc(c, tz)
-    text = c.cast("string")
-    aware = text.rlike(_OFFSET)
-    instant = F.try_to_timestamp(text).cast("timestamp_ntz")
-    wall = F.coalesce(F.try_to_timestamp(text), *[F.try_to_timestamp(text, F.lit(f)) for f in MONTH_FIRST])
-    return F.when(aware, instant).otherwise(
-        local_to_utc(F.when(~aware, wall).cast("timestamp_ntz"), tz))
+    if kind in ("timestamp_ntz", "date"):
+        return local_to_utc(c.cast("timestamp_ntz"), tz)
+    day_first = timetext.choose(df, col)["day_first"]
+    return F.when(timetext.offset_seconds(c).isNotNull(), utc_text(c, day_first)).otherwise(
+        local_to_utc(timetext.wall_time(c, day_first), tz))
 
 
 def local_to_utc(c: Column | str, tz: str) -> Column:
-    """Naive local wall time in ``tz`` -> naive UTC.
+    """Naive local wall time in ``tz`` -> naive UTC, by the zone's transitions.
 
-    * non-existent times (spring-forward gap) move to the first valid
-      instant, the transition (US transitions are on the hour, so the
-      converted instant truncated to the hour);
-    * ambiguous times (fall-back overlap) become null.
-    Detection by round trips: u = to_utc(local); gap iff from_utc(u) !=
-    local; ambiguous iff from_utc(u +- 1h) == local.
+    * non-existent times (a gap of any length) move to the first valid instant;
+    * ambiguous times (an overlap of any length) become null.
     """
-    local = F.col(c) if isinstance(c, str) else c
-    local_ts = local.cast("timestamp")
-    u = F.to_utc_timestamp(local_ts, tz)
-    back = F.from_utc_timestamp(u, tz)
-    hour = F.make_dt_interval(hours=F.lit(1))
-    ambiguous = (F.from_utc_timestamp(u + hour, tz) == local_ts) | \
-                (F.from_utc_timestamp(u - hour, tz) == local_ts)
-    gap = back != local_ts
-    out = (F.when(local.isNull(), F.lit(None))
-           .when(ambiguous, F.lit(None))
-           .when(gap, F.date_trunc("hour", u))
-           .otherwise(u))
-    return out.cast("timestamp_ntz")
+    return to_utc(F.col(c) if isinstance(c, str) else c, tz)

@@ -10,6 +10,7 @@ _MODULES = [
     "ampere.plans.catalog_clean",
     "ampere.plans.catalog_features",
     "ampere.plans.catalog_sources",
+    "ampere.plans.catalog_landing",
     "ampere.plans.catalog_stream",
 ]
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from ampere.operators import clean as cl
+from ampere.sources import schemas as sc
 
 
 def iso_from_path(path: Column) -> Column:
@@ -60,8 +61,9 @@ def has_partitions(spark: SparkSession, root: str, key: str = "iso_code") -> boo
 def scan_bronze(spark: SparkSession, root: str, ignore_corrupt: bool = False,
                 schema: StructType | str | None = None) -> DataFrame | None:
     """A1 / A2: scan of every parquet file under ``root``; files with
-    different columns are merged by name (missing -> null); the ISO comes from
-    the path.  ``None`` when the root is absent (the "no weather" branch).
+    different columns are merged by name (missing -> null), and where a column's
+    types differ too, by schema groups on a type lattice (``schemas``); the ISO
+    comes from the path.  ``None`` when the root is absent (the "no weather" branch).
 
     A ``iso_code=`` layout is read by partition discovery, so a filter on the
     ISO opens only its files; the plain layout is read recursively.  With a
@@ -70,11 +72,20 @@ def scan_bronze(spark: SparkSession, root: str, ignore_corrupt: bool = False,
         return None
     r = spark.read.option("ignoreCorruptFiles", str(ignore_corrupt).lower()).option("pathGlobFilter", "*.parquet")
     r = r.schema(schema) if schema is not None else r.option("mergeSchema", "true")
-    if has_partitions(spark, root):
-        df = r.option("basePath", root).parquet(root)
-        return df.withColumn("iso_code", F.col("iso_code").cast("string")).drop("ingest_date")
-    df = r.option("recursiveFileLookup", "true").parquet(root)
-    return df.withColumn("iso_code", iso_from_path(F.col("_metadata.file_path")))
+    parted = has_partitions(spark, root)
+    iso = F.col("iso_code").cast("string") if parted else iso_from_path(F.col("_metadata.file_path"))
+    try:
+        df = (r.option("basePath", root) if parted else r.option("recursiveFileLookup", "true")).parquet(root)
+        return df.withColumn("iso_code", iso).drop("ingest_date") if parted else df.withColumn("iso_code", iso)
+    except Exception as e:                      # a Spark or a bare JVM exception, by version
+        if "CANNOT_MERGE" not in str(e):
+            raise
+    groups, broken = sc.schema_groups(spark, root)
+    if broken and not ignore_corrupt:
+        raise ValueError(f"no Parquet footer in {broken[:5]} ({len(broken)} files)")
+    options = {"ignoreCorruptFiles": str(ignore_corrupt).lower(), **({"basePath": root} if parted else {})}
+    return sc.scan_groups(spark, groups, options, [iso.alias("iso_code")], ("iso_code", "ingest_date") if parted else
+                          ("iso_code",))
 
 
 def unread_files(spark: SparkSession, root: str, read: DataFrame) -> DataFrame:

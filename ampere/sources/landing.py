@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from ampere.functions import timetext
 from ampere.functions.timeparse import market_time_to_utc, parse_mixed_timestamp
 
 TS_TEXT = "yyyy-MM-dd HH:mm:ss"
@@ -17,6 +18,15 @@ def _csv(spark: SparkSession, path: str) -> DataFrame:
             .option("recursiveFileLookup", "false").csv(path))
 
 
+def landing_report(raw: DataFrame, time_col: str, value_col: str) -> DataFrame:
+    """What became of the rows of a landed frame: per form of the time text (``unparsed`` and null
+    are lost, ``number`` counts only in a column of numbers) the rows and those without a number
+    in ``value_col``."""
+    value = F.col(f"`{value_col}`").try_cast("double")
+    return raw.groupBy(timetext.fits_as(F.col(f"`{time_col}`")).alias("format")).agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(value.isNull()).alias("without_value"))
+
+
 def land_load_csv(spark: SparkSession, path: str, tz: str, iso: str | None = None,
                   time_first: str | None = None, load_first: str | None = None) -> DataFrame:
     """A5: CSV with a header; time column = first name starting with
@@ -57,7 +67,7 @@ def land_miso_csv(spark: SparkSession, path: str, iso: str | None = "MISO") -> D
     tcol = ([c for c in cols if has(c, "interval") and has(c, "start", "gmt", "time")] or cols[:1])[-1]
     lcol = ([c for c in cols if has(c, "value", "load", "mw")] or cols[1:2] or cols[:1])[-1]
     iso_c = F.lit(iso.upper()) if iso else F.upper(F.col("iso_code").cast("string"))
-    ts = F.try_to_timestamp(F.col(f"`{tcol}`")).cast("timestamp_ntz")
+    ts = parse_mixed_timestamp(raw, tcol)
     out = raw.select(iso_c.alias("iso_code"), F.date_format(ts, TS_TEXT).alias("timestamp"),
                      F.col(f"`{lcol}`").try_cast("double").alias("load"))
     return out.dropna(subset=["timestamp", "load"])
@@ -147,8 +157,8 @@ def land_prices(df: DataFrame, default_location: str = "SYSTEM") -> DataFrame:
             return F.lit(None).cast(cast or "string")
         return F.coalesce(*[F.col(f"`{c}`").try_cast(cast) if cast else F.col(f"`{c}`") for c in present])
 
-    ts = pick("timestamp", None)
-    ts = F.coalesce(F.try_to_timestamp(ts.cast("string")).cast("timestamp_ntz"), ts.try_cast("timestamp_ntz"))
+    times = [parse_mixed_timestamp(df, c) for c in PRICE_CANDIDATES["timestamp"] if c in df.columns]
+    ts = F.coalesce(*times)
     lmp = pick("lmp", "double")
     out = df.select(
         F.date_format(ts, TS_TEXT).alias("timestamp"),
