@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ampere.functions.timecols import epoch_us, floor_hour
+from ampere.operators.attach import small_side
+from ampere.operators.ordered import SPLIT_ROWS, slices
 
 WEATHER_COLS = ("temperature", "wind_speed", "humidity")
 
@@ -14,7 +16,7 @@ WEATHER_COLS = ("temperature", "wind_speed", "humidity")
 def asof_nearest(left: DataFrame, right: DataFrame, by: str = "iso_code",
                  on: str = "timestamp_utc", tolerance_seconds: int = 3600,
                  value_cols: Sequence[str] | None = None,
-                 bucket_seconds: int = 900) -> DataFrame:
+                 bucket_seconds: int = 900, split_rows: int = SPLIT_ROWS) -> DataFrame:
     """Left as-of join: for every left row the right row of the same ``by``
     key nearest in ``on``, if within the tolerance (inclusive).
 
@@ -25,11 +27,11 @@ def asof_nearest(left: DataFrame, right: DataFrame, by: str = "iso_code",
 
     Plan: a sort-merge as-of, linear in both sides.  The right side is reduced
     to one row per (by, instant); both sides are put in one column of time and
-    cut into buckets, and inside a bucket the nearest right row before and
-    after is the last / first non-null one in time order.  What lies beyond a
-    bucket's edges comes from a table of one row per (by, bucket) that holds
-    readings.  No pairs are formed, and the bucket width alone decides how many
-    rows meet in one task, whatever the tolerance.
+    cut into buckets, and a bucket of many rows into slices (``ordered.slices``;
+    rows of one instant stay together); inside a slice the nearest right row
+    before and after is the last / first non-null one in time order.  What lies
+    beyond its edges comes from a table of one row a slice.  No pairs are formed,
+    and the tolerance decides nothing about the tasks.
     """
     if value_cols is None:
         value_cols = [c for c in right.columns if c not in (by, on)]
@@ -46,23 +48,23 @@ def asof_nearest(left: DataFrame, right: DataFrame, by: str = "iso_code",
     rows = (lt.select("_by", "_t", "_l", F.lit(None).cast(r.schema["_r"].dataType).alias("_r"))
             .unionAll(r.select("_by", "_t", F.lit(None).cast(lt.schema["_l"].dataType), "_r"))
             .withColumn("_b", bucket))
-    inside = Window.partitionBy("_by", "_b").orderBy("_t")
+    rows, table = slices(rows, ["_by", "_b"], ["_t"], {
+        "_lo": F.min_by("_r", F.when(F.col("_r").isNotNull(), F.col("_t"))),
+        "_hi": F.max_by("_r", F.when(F.col("_r").isNotNull(), F.col("_t")))}, split_rows)
+    inside = Window.partitionBy("_by", "_b", "_sub").orderBy("_t")
     upto = inside.rangeBetween(Window.unboundedPreceding, Window.currentRow)
     ahead = inside.rangeBetween(Window.currentRow, Window.unboundedFollowing)
     near = rows.withColumns({"_p": F.last("_r", ignorenulls=True).over(upto),
                              "_n": F.first("_r", ignorenulls=True).over(ahead)})
-    # the readings at the edges of every bucket, for the buckets a tolerance may reach into
-    reach = -(-int(tolerance_seconds) // int(bucket_seconds))
-    edges = (r.withColumn("_b", bucket).groupBy("_by", "_b")
-             .agg(F.min_by("_r", "_t").alias("_lo"), F.max_by("_r", "_t").alias("_hi")))
-    edges = (edges.select("_by", F.explode(F.sequence(F.col("_b") - reach, F.col("_b") + reach)).alias("_to"),
-                          "_b", "_lo", "_hi")
-             .groupBy("_by", "_to").agg(
-                 F.max_by("_hi", F.when(F.col("_b") < F.col("_to"), F.col("_b"))).alias("_before"),
-                 F.min_by("_lo", F.when(F.col("_b") > F.col("_to"), F.col("_b"))).alias("_after"))
-             .withColumnsRenamed({"_by": "_eby"}))
+    # the last reading before a slice and the first one after it, in time order of the slices
+    along = Window.partitionBy("_by").orderBy("_b", "_sub")
+    edges = table.where(F.col("_by").isNotNull()).select(
+        F.col("_by").alias("_eby"), F.col("_b").alias("_eb"), F.col("_sub").alias("_esub"),
+        F.last("_hi", ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
+        F.first("_lo", ignorenulls=True).over(along.rowsBetween(1, Window.unboundedFollowing)).alias("_after"))
     j = near.where("_l is not null").join(
-        edges, (F.col("_by") == F.col("_eby")) & (F.col("_b") == F.col("_to")), "left")
+        small_side(edges), (F.col("_by") == F.col("_eby")) & (F.col("_b") == F.col("_eb"))
+        & (F.col("_sub") == F.col("_esub")), "left")
     before, after = F.coalesce("_p", "_before"), F.coalesce("_n", "_after")
     ago, until = F.col("_t") - before["_t"], after["_t"] - F.col("_t")
     best = (F.when((ago <= tol_us) & (until.isNull() | (ago <= until)), before["_v"])
