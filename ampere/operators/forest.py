@@ -14,10 +14,10 @@ Plan, all on the cluster:
    most psi rows.  Splits pick a random non-constant feature and a
    threshold uniform in (min, max); height limit ceil(log2 psi).  The RNG
    is seeded by (seed, key, tree): the same forest on every run.
-3. *Scoring.*  The forest has at most trees x (2 psi - 1) nodes a key; it
-   is counted, cut into parts of at most ``MAX_NODES`` nodes (by key) and each
-   part broadcast to the rows of its keys; ``mapInPandas`` walks all trees vectorised per batch:
-   s = 2 ** (-E[h(x)] / c(psi)).
+3. *Scoring.*  The rows of a key are dealt into groups of about ``GROUP_ROWS``,
+   and each group meets its key's trees (at most trees x (2 psi - 1) nodes) in a
+   cogroup that walks all trees at once: s = 2 ** (-E[h(x)] / c(psi)).  No node
+   passes the driver, and any number of keys is one scan.
 4. *Threshold.*  A row is anomalous when -s is below the exact
    ``contamination`` quantile of -s within its key (``exact_quantiles``).
 """
@@ -30,14 +30,15 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ampere.operators.quantile import exact_quantiles
 from ampere.session import materialize
-from ampere.operators.attach import attach
+from ampere.operators.attach import attach, small_side
 
 EULER_GAMMA = 0.5772156649015329
-MAX_NODES = 2_000_000        # nodes in one broadcast: about 100 MB of arrays
+GROUP_ROWS = 50_000          # rows of a key scored together
 
 NODE_SCHEMA = T.StructType([
     T.StructField("key", T.StringType()),
@@ -168,37 +169,38 @@ def _forest_arrays(nodes: pd.DataFrame) -> dict:
     return out
 
 
-def _scorer(bc, features: list[str], key_col: str):
-    def score(batches):
-        forest = bc.value
-        for pdf in batches:
-            s = np.full(len(pdf), np.nan)
-            keys = pdf[key_col].astype(str).to_numpy()
-            x_all = pdf[features].to_numpy(dtype=float)
-            for key in np.unique(keys):
-                if key not in forest:
-                    continue
-                feat, thr, left, right, plen, norm, depth = forest[key]
-                m = keys == key
-                x = x_all[m]
-                n, t = len(x), feat.shape[0]
-                tid = np.broadcast_to(np.arange(t), (n, t))
-                rid = np.broadcast_to(np.arange(n)[:, None], (n, t))
-                node = np.zeros((n, t), dtype=np.int64)
-                # all trees at once: one gather per level
-                for _ in range(depth + 1):
-                    f = feat[tid, node]
-                    inner = f >= 0
-                    if not inner.any():
-                        break
-                    xv = x[rid, np.where(inner, f, 0)]
-                    nxt = np.where(xv <= thr[tid, node], left[tid, node], right[tid, node])
-                    node = np.where(inner, nxt, node)
-                eh = plen[tid, node].mean(axis=1)
-                s[m] = np.power(2.0, -eh / norm) if norm > 0 else 1.0
-            out = pdf.copy()
-            out["anomaly_score"] = s
-            yield out
+def tree_scores(x_all: np.ndarray, forest: tuple) -> np.ndarray:
+    """Scores of rows by one key's forest."""
+    feat, thr, left, right, plen, norm, depth = forest
+    out = np.empty(len(x_all))
+    for lo in range(0, len(x_all), 2000):         # rows x trees numbers at a time
+        x = x_all[lo:lo + 2000]
+        n, t = len(x), feat.shape[0]
+        tid = np.broadcast_to(np.arange(t), (n, t))
+        rid = np.broadcast_to(np.arange(n)[:, None], (n, t))
+        node = np.zeros((n, t), dtype=np.int64)
+        # all trees at once: one gather per level
+        for _ in range(depth + 1):
+            f = feat[tid, node]
+            inner = f >= 0
+            if not inner.any():
+                break
+            xv = x[rid, np.where(inner, f, 0)]
+            nxt = np.where(xv <= thr[tid, node], left[tid, node], right[tid, node])
+            node = np.where(inner, nxt, node)
+        eh = plen[tid, node].mean(axis=1)
+        out[lo:lo + 2000] = np.power(2.0, -eh / norm) if norm > 0 else 1.0
+    return out
+
+
+def _scorer(names: list[str], features: list[str]):
+    def score(rows: pa.Table, trees: pa.Table) -> pa.Table:
+        s = np.full(rows.num_rows, np.nan)
+        if trees.num_rows and rows.num_rows:
+            forest, = _forest_arrays(trees.drop_columns(["_gk", "_salt"]).to_pandas()).values()
+            x = np.column_stack([rows.column(f).cast(pa.float64()).to_numpy(zero_copy_only=False) for f in features])
+            s = tree_scores(x, forest)
+        return rows.select(names).append_column("anomaly_score", pa.array(s, pa.float64()))
     return score
 
 
@@ -215,18 +217,19 @@ def isolation_scores(df: DataFrame, features: Sequence[str] = ("load_mw", "hour_
         means = fit_df.groupBy(F.col(key).alias("_mk")).agg(*[F.avg(c).alias(f"_m_{c}") for c in features])
         fit_df, df = (_fill(x, means, key, features) for x in (fit_df, df))
     nodes = materialize(fit_forest(fit_df, features, key, row_key, n_trees, max_samples, seed, counts), "forest")
-    # the fitted model ships as a broadcast, in as many parts as its size asks for
-    parts = max(1, -(-nodes.count() // MAX_NODES))
+    if counts is None:
+        counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    group_key = F.coalesce(F.col(key).cast("string"), F.lit("\0"))       # no tree has the key of null keys
+    sizes = small_side(counts.select(
+        group_key.alias("_gk"), F.greatest(F.lit(1), F.ceil(F.col("_n") / F.lit(GROUP_ROWS))).cast("int").alias("_groups")))
+    rows = (df.withColumns({"_gk": group_key, "_draw": F.xxhash64(F.monotonically_increasing_id())})
+            .join(sizes, "_gk", "left")
+            .withColumn("_salt", F.pmod("_draw", F.coalesce("_groups", F.lit(1))).cast("int")))
+    trees = (nodes.join(sizes, F.col("key") == F.col("_gk"))
+             .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_groups") - 1))).drop("_groups"))
     schema = T.StructType(df.schema.fields + [T.StructField("anomaly_score", T.DoubleType())])
-    out = None
-    for k in range(parts):
-        mine = F.pmod(F.xxhash64(F.col("key")), F.lit(parts)) == k
-        rows = df if parts == 1 else df.where(
-            F.pmod(F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit(""))), F.lit(parts)) == k)
-        bc = df.sparkSession.sparkContext.broadcast(_forest_arrays(nodes.where(mine).toPandas()))
-        scored = rows.mapInPandas(_scorer(bc, features, key), schema)
-        out = scored if out is None else out.unionAll(scored)
-    return out
+    return (rows.drop("_draw", "_groups").groupBy("_gk", "_salt").cogroup(trees.groupBy("_gk", "_salt"))
+            .applyInArrow(_scorer(df.columns, features), schema))
 
 
 def _fill(df: DataFrame, means: DataFrame, key: str, features: list[str]) -> DataFrame:

@@ -149,9 +149,12 @@ def a10(spark, d):
            {r('ci_lower', 6)} AS ci_lower, {r('ci_upper', 6)} AS ci_upper,
            forecast_generated_at, model_version, confidence FROM fc""")
 def a11(spark, d):
-    """Latest forecast snapshot written (overwrite) and read back."""
-    path = sk.write_latest(forecast_df(spark, d), new_path(spark, "latest_forecast"))
-    x = spark.read.parquet(path)
+    """Latest forecast snapshot published over an older one and read back."""
+    path = new_path(spark, "latest_forecast")
+    fc = materialize(forecast_df(spark, d), "forecast")
+    sk.write_latest(fc.withColumn("forecasted_load_mw", F.lit(0.0)), path)
+    sk.write_latest(fc, path)
+    x = sk.read_latest(spark, path)
     return x.withColumns({c: round_half_even(c, 6) for c in ("forecasted_load_mw", "ci_lower", "ci_upper")})
 
 

@@ -39,14 +39,17 @@ def n1(spark, d):
     return spark.read.parquet(out)
 
 
-@register("n2_stream_hourly_rollup", W(COERCED, CLEANED) + f"""
+_ROLLUP_SQL = W(COERCED, CLEANED) + f"""
     SELECT iso_code, date_trunc('hour', timestamp_utc) AS hour, count(load_mw) AS data_points,
            {hq('sum(CAST(load_mw AS DECIMAL(28,8)))', 'count(load_mw)')} AS avg_load_mw,
            min(load_mw) AS min_load_mw, max(load_mw) AS max_load_mw
     FROM cleaned
     WHERE date_trunc('hour', timestamp_utc) + INTERVAL 1 HOUR
           <= (SELECT max(timestamp_utc) FROM cleaned) - INTERVAL 2 HOUR
-    GROUP BY 1, 2""")
+    GROUP BY 1, 2"""
+
+
+@register("n2_stream_hourly_rollup", _ROLLUP_SQL)
 def n2(spark, d):
     """Hourly rollup in several micro-batches: every window closed for 2 h, late rows included."""
     root = _land(spark, d)
@@ -57,6 +60,23 @@ def n2(spark, d):
         "iso_code", "hour", "data_points", "avg_load_mw", "min_load_mw", "max_load_mw")
 
 
+@register("n2b_stream_compacted", _ROLLUP_SQL)
+def n2b(spark, d):
+    """The same with the log of batches compacted between two runs and after them."""
+    root = new_path(spark, "stream_bronze")
+    out, ckpt = new_path(spark, "stream_hourly"), new_path(spark, "ckpt_hourly")
+    b = fx.bronze_grid(spark, d).withColumn("ingest_date", _day().cast("string"))
+    for seq in (0, 1):
+        (b.where(F.col("seq") == seq).hint("rebalance", "ingest_date").write.mode("append")
+         .partitionBy("ingest_date").parquet(root))
+        s = inc.clean_stream(inc.bronze_stream(spark, root, max_files=8))
+        inc.run_batches(s, inc.hourly_partials, out, ckpt)
+        inc.compact(spark, out, inc.merge_partials)
+    x = inc.hourly_rollup(inc.read_batches(spark, out))
+    return x.withColumn("avg_load_mw", half_even_quotient("sum_load_mw", "data_points")).select(
+        "iso_code", "hour", "data_points", "avg_load_mw", "min_load_mw", "max_load_mw")
+
+
 @register("n3_stream_dedup", W(COERCED, CLEANED) + """
     SELECT iso_code, timestamp_utc, load_mw, seq, id FROM (
       SELECT *, row_number() OVER (PARTITION BY iso_code, timestamp_utc ORDER BY seq, id) AS rn

@@ -1,11 +1,12 @@
 """Sinks (A9, A11-A13).  Every write goes to the shared folder named by the
-cluster (``spark.checkpoint.dir``) or a caller-given path; the output
-committer publishes a write's files together, so no temp-file + rename is needed.
+cluster (``spark.checkpoint.dir``) or a caller-given path.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from ampere.sources import files as fl
 
 
 def write_partitioned(df: DataFrame, path: str, by: str = "iso_code") -> str:
@@ -17,12 +18,40 @@ def write_partitioned(df: DataFrame, path: str, by: str = "iso_code") -> str:
     return path
 
 
-def write_latest(df: DataFrame, path: str) -> str:
-    """Consolidated latest snapshot (full overwrite of its own path,
-    a sibling of the partitioned history, never inside it).  The old files go
-    before the new ones come, so readers should wait for ``_SUCCESS``."""
-    df.write.mode("overwrite").parquet(path)
-    return path
+def write_latest(df: DataFrame, path: str, keep: int = 2) -> str:
+    """Consolidated latest snapshot, in a path of its own beside the partitioned history.
+
+    Each write is a new folder ``version=<number>``, and becomes the latest one by a marker file that
+    is renamed into place last; until then, and if the write fails, ``read_latest`` finds the one
+    before, whole.  The newest ``keep`` published versions stay for readers that have them open.  One
+    writer at a time.  Returns the folder of the new version."""
+    spark = df.sparkSession
+    done = published(spark, path)
+    number = max([n for n, _ in done] + [_number(c) for c in fl.children(spark, path) if c.startswith("version=")],
+                 default=0) + 1
+    folder = f"{path}/version={number:08d}"
+    df.write.mode("errorifexists").parquet(folder)
+    fl.write_once(spark, f"{path}/_published-{number:08d}", folder.rpartition("/")[2])
+    for n, old in (done[:-(keep - 1)] if keep > 1 else done):
+        fl.remove(spark, f"{path}/_published-{n:08d}")
+        fl.remove(spark, old)
+    return folder
+
+
+def _number(name: str) -> int:
+    return int(name.rpartition("=")[2])
+
+
+def published(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """Number and folder of the published versions, oldest first."""
+    names = [c for c in fl.children(spark, path) if c.startswith("_published-")]
+    return [(int(c.rpartition("-")[2]), f"{path}/version={c.rpartition('-')[2]}") for c in names]
+
+
+def read_latest(spark: SparkSession, path: str) -> DataFrame | None:
+    """The latest published snapshot; None if there is none."""
+    done = published(spark, path)
+    return spark.read.parquet(done[-1][1]) if done else None
 
 
 def write_text_report(lines: DataFrame, path: str, col: str = "insight") -> str:

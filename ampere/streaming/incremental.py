@@ -7,7 +7,8 @@ shared folder, so a restarted job resumes exactly where it stopped.
 ``Trigger.AvailableNow`` processes what has landed and stops (the hourly
 cron of the reference becomes a scheduled catch-up run).  Rollup and dedup
 write what a micro-batch contributes and merge on read, so neither keeps state
-nor loses late rows.
+nor loses late rows; compaction merges old batches, so a read opens a bounded
+number of them.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ampere.operators import clean as cl
+from ampere.sources import files as fl
 
 BRONZE_GRID_SCHEMA = T.StructType([
     T.StructField("iso_code", T.StringType()),
@@ -51,6 +53,14 @@ def hourly_partials(clean: DataFrame) -> DataFrame:
         F.max("timestamp_utc").alias("newest"))
 
 
+def merge_partials(partials: DataFrame) -> DataFrame:
+    """N2, partial sums of several batches as one row a window."""
+    return partials.groupBy("iso_code", "hour").agg(
+        F.sum("data_points").alias("data_points"), F.sum("sum_load_mw").cast("decimal(38,8)").alias("sum_load_mw"),
+        F.min("min_load_mw").alias("min_load_mw"), F.max("max_load_mw").alias("max_load_mw"),
+        F.max("newest").alias("newest"))
+
+
 def hourly_rollup(partials: DataFrame, closed_after: str = "2 hours") -> DataFrame:
     """N2, merged on read: the windows that ended at least ``closed_after`` before the newest row.
 
@@ -89,8 +99,51 @@ def run_batches(df: DataFrame, per_batch: Callable[[DataFrame], DataFrame], out:
     return out
 
 
+def live_folders(spark: SparkSession, out: str) -> tuple[str | None, list[int]]:
+    """The compacted folder (if any) and the numbers of the batches that it does not hold."""
+    names = fl.children(spark, out)
+    manifests = [n for n in names if n.startswith("_manifest-")]
+    upto, folder = -1, None
+    if manifests:
+        upto = int(manifests[-1].rpartition("-")[2])
+        folder = f"{out}/{fl.read_text(spark, f'{out}/{manifests[-1]}')}"
+    batches = sorted(int(n.rpartition("=")[2]) for n in names if n.startswith("batch="))
+    return folder, [n for n in batches if n > upto]
+
+
 def read_batches(spark: SparkSession, out: str) -> DataFrame:
-    return spark.read.option("basePath", out).parquet(out).drop("batch")
+    """What the compacted folder and the batches after it hold."""
+    folder, batches = live_folders(spark, out)
+    paths = ([folder] if folder else []) + [f"{out}/batch={n}" for n in batches]
+    return spark.read.parquet(*paths)
+
+
+def compact(spark: SparkSession, out: str, merge: Callable[[DataFrame], DataFrame], least: int = 2) -> bool:
+    """Merge all live batches but the newest (which a restart may write again) and the compacted
+    folder before them into one folder, so that what a read opens does not grow with the runs.
+
+    The new folder counts from the moment its manifest is renamed into place; a compaction that is
+    killed before leaves only files that nothing reads.  Folders that only the manifest before the
+    last one needed are removed, those of the last one stay for readers that have them open.  Returns
+    whether there were ``least`` batches to merge."""
+    folder, batches = live_folders(spark, out)
+    old = batches[:-1]
+    if len(old) < least:
+        return False
+    paths = ([folder] if folder else []) + [f"{out}/batch={n}" for n in old]
+    name = f"_compact-{old[-1]:010d}"            # readers of the plain folder do not see it
+    merge(spark.read.parquet(*paths)).write.mode("overwrite").parquet(f"{out}/{name}")
+    before = [n for n in fl.children(spark, out) if n.startswith("_manifest-")]
+    fl.write_once(spark, f"{out}/_manifest-{old[-1]:010d}", name)
+    if before:
+        covered = int(before[-1].rpartition("-")[2])
+        for n in fl.children(spark, out):
+            kind, _, number = n.rpartition("=" if n.startswith("batch=") else "-")
+            stale = (kind == "batch" and int(number) <= covered) or (
+                kind in ("_compact", "_manifest") and int(number) < covered)
+            if stale:
+                fl.remove(spark, f"{out}/{n}")
+    return True
 
 
 def run_available_now(df: DataFrame, out: str, checkpoint: str, mode: str = "append") -> str:

@@ -28,7 +28,7 @@ def _flags(df, **kw):
 def test_model_in_parts_scores_the_same(spark, monkeypatch):
     df = _rows(spark, 200, 8)
     whole = _flags(df)
-    monkeypatch.setattr(forest, "MAX_NODES", 4000)
+    monkeypatch.setattr(forest, "GROUP_ROWS", 4000)
     assert _flags(df) == whole and len(whole) == 1600
     assert _flags(df.repartition(5, "timestamp_utc")) == whole
 
