@@ -15,6 +15,7 @@ from ampere.functions.numeric import EXACT_DEC, MEAN_DIGITS, half_even_quotient
 from ampere.functions.timecols import epoch_us
 from ampere.operators.ordered import previous_row
 from ampere.operators.quantile import exact_quantiles
+from ampere.operators.rolling import rolling_stats
 from ampere.operators.attach import attach
 
 # Fixed values from the documentation.
@@ -54,22 +55,9 @@ def lag_features(hourly: DataFrame, value: str = "avg_load_mw",
 def rolling_features(hourly: DataFrame, value: str = "avg_load_mw",
                      windows: dict[str, int] = ROLLING_HOURS) -> DataFrame:
     """mean / std / min / max over the trailing (t - N h, t] window per ISO
-    (time-range frames, so gaps shrink the window instead of stretching it).
-    Runs on the hourly table, whose size is ISOs x hours."""
-    t = hourly.select("iso_code", "hour", value).withColumn(
-        "_s", (epoch_us("hour") / 1_000_000).cast("long"))
-    cols = {}
-    for label, h in windows.items():
-        w = Window.partitionBy("iso_code").orderBy("_s").rangeBetween(-(h * 3600 - 1), 0)
-        cols[f"_s_{label}"] = F.sum(F.col(value).cast(EXACT_DEC)).over(w)
-        cols[f"_n_{label}"] = F.count(value).over(w)
-        cols[f"std_{label}"] = F.stddev_samp(value).over(w)
-        cols[f"min_{label}"] = F.min(value).over(w)
-        cols[f"max_{label}"] = F.max(value).over(w)
-    t = t.withColumns(cols)
-    # exact window means (order independent), then the helper columns go
-    t = t.withColumns({f"mean_{label}": half_even_quotient(f"_s_{label}", f"_n_{label}", MEAN_DIGITS)
-                       for label in windows})
+    (time-range frames, so gaps shrink the window instead of stretching it),
+    merged from block summaries: no task holds a whole ISO."""
+    t = rolling_stats(hourly.select("iso_code", "hour", value), ["iso_code"], "hour", value, windows)
     order = ["iso_code", "hour", value] + [f"{s}_{label}" for label in windows
                                            for s in ("mean", "std", "min", "max")]
     return t.select(*order)
