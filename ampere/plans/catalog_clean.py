@@ -11,14 +11,13 @@ from ampere.operators import anomaly as an
 from ampere.operators import clean as cl
 from ampere.operators import lookup as lk
 from ampere.operators import validate as vl
+from ampere.operators.attach import small_side
 from ampere.plans import medallion as md
 from ampere.plans.catalog_ml import AN_CTES
 from ampere.plans.registry import register
 from ampere.plans.sqlparts import DAILY, ENRICHED, HOURLY, SUMMARY, xmean
 from ampere.session import new_path
 from ampere.sources import fixtures as fx
-from ampere.sources import sinks as sk
-from ampere.sources.bronze import path_exists
 
 W = fx.sql_with
 E = ("enriched", ENRICHED)
@@ -274,6 +273,20 @@ def i4(spark, d):
     return vl.validation_report({t: (srcs[s], c) for t, s, c in _TABLES})
 
 
+@register("i4b_validation_incremental", W(COERCED, CLEANED, SGRID) +
+          _report_sql("silver.grid_clean", "sgrid", vl.SILVER_GRID_CHECKS))
+def i4b(spark, d):
+    """The silver grid landed in two batches: the second run reads the files of the second batch only,
+    and its report is that of all rows."""
+    grid = md.silver_grid(spark, d)
+    root, states = new_path(spark, "silver_landed"), new_path(spark, "validation_states")
+    late = F.pmod(F.xxhash64("iso_code", "timestamp_utc"), F.lit(2)) == 1
+    for part, rows in (("first", ~late), ("second", late)):
+        grid.where(rows).write.parquet(f"{root}/batch={part}")
+        rep, _ = vl.validate_new_files(spark, root, "silver.grid_clean", vl.SILVER_GRID_CHECKS, states)
+    return rep
+
+
 @register("i6_overall_status", W(COERCED, CLEANED, SGRID, SWEATHER, E, H, D, *AN_CTES) + """,
     rep AS (""" + "\nUNION ALL\n".join(_report_sql(t, s, c) for t, s, c in _TABLES) + """),
     comp AS (SELECT 'validation' AS component,
@@ -283,62 +296,66 @@ def i4(spark, d):
              UNION ALL
              SELECT 'ml_predictions', CASE WHEN EXISTS (SELECT iso_code FROM enriched GROUP BY iso_code
                                                         HAVING count(*) >= 24)
-                                           THEN 'healthy' ELSE 'not_found' END
-             UNION ALL
-             SELECT 'anomaly_detection', 'healthy')
-    SELECT CASE WHEN bool_and(status = 'healthy') THEN 'healthy'
-                WHEN bool_or(status = 'unhealthy') THEN 'degraded' ELSE 'operational' END AS overall_status,
+                                           THEN 'healthy' ELSE 'not_found' END),
+    moments AS (SELECT 'before_detector' AS moment, 'not_run' AS status
+                UNION ALL SELECT 'after_detector', 'healthy'),
+    every AS (SELECT m.moment, c.status FROM comp c CROSS JOIN moments m
+              UNION ALL SELECT moment, status FROM moments),
+    found AS (SELECT count(*) AS n, count(*) FILTER (WHERE severity >= 3) AS critical FROM anoms)
+    SELECT e.moment, CASE WHEN bool_and(e.status = 'healthy') THEN 'healthy'
+                          WHEN bool_or(e.status = 'unhealthy') THEN 'degraded' ELSE 'operational' END AS overall_status,
            count(*) AS components,
-           (SELECT count(*) FROM anoms) AS total_anomalies,
-           (SELECT count(*) FROM anoms WHERE severity >= 3) AS critical_anomalies
-    FROM comp""")
+           CASE WHEN e.moment = 'after_detector' THEN any_value(f.n) ELSE 0 END AS total_anomalies,
+           CASE WHEN e.moment = 'after_detector' THEN any_value(f.critical) ELSE 0 END AS critical_anomalies
+    FROM every e CROSS JOIN found f GROUP BY e.moment""")
 def i6(spark, d):
-    """Overall status from the validation, data, forecast and anomaly
-    components, with the anomaly totals (critical = severity >= 3)."""
+    """Overall status from the validation, data, forecast and anomaly components, with the anomaly totals
+    (critical = severity >= 3): before the detector has run, and after it has written its table."""
     from ampere.plans.catalog_ml import forecast_df
-    rep = i4(spark, d)
     e = md.load_history(spark, d)
     fc = forecast_df(spark, d)
-    # the detector's table; without it the component has not run
-    table = sk.write_latest(md.anomalies(spark, d), new_path(spark, "anomaly_table"))
-    found = path_exists(spark, f"{table}/_SUCCESS") or path_exists(spark, table)
-    anoms = spark.read.parquet(table) if found else md.anomalies(spark, d).limit(0)
-
-    parts = [
-        rep.agg(F.when(F.bool_and("passed"), "healthy").otherwise("unhealthy").alias("status"))
-           .select(F.lit("validation").alias("component"), "status"),
-        e.agg(F.when(F.count(F.lit(1)) > 0, "healthy").otherwise("no_data").alias("status"))
-         .select(F.lit("data").alias("component"), "status"),
-        fc.agg(F.when(F.count(F.lit(1)) > 0, "healthy").otherwise("not_found").alias("status"))
-          .select(F.lit("ml_predictions").alias("component"), "status"),
-        anoms.agg(F.lit("healthy" if found else "not_run").alias("status"))
-             .select(F.lit("anomaly_detection").alias("component"), "status"),
-    ]
-    comps = parts[0]
-    for p_ in parts[1:]:
-        comps = comps.unionByName(p_)
-    return vl.overall_status(comps).withColumns({
-        "total_anomalies": anoms.select(F.count(F.lit(1))).scalar(),
-        "critical_anomalies": anoms.select(F.count_if(F.col("severity") >= 3)).scalar()})
-
-
-@register("i5_freshness_status", """
-    SELECT CAST(h AS INTEGER) AS hours_later, CASE WHEN h < 2 THEN 'healthy' ELSE 'stale' END AS status,
-           CAST(h AS DOUBLE) AS latest_update_hours_ago, CAST(1 AS BIGINT) AS total_files
-    FROM (SELECT unnest([1, 2, 5]) AS h) WHERE (SELECT count(*) FROM events) > 0""")
+    fixed = small_side(
+        i4(spark, d).agg(F.when(F.bool_and("passed"), "healthy").otherwise("unhealthy").alias("status"))
+        .select(F.lit("validation").alias("component"), "status")
+        .unionByName(e.agg(F.when(F.count(F.lit(1)) > 0, "healthy").otherwise("no_data").alias("status"))
+                     .select(F.lit("data").alias("component"), "status"))
+        .unionByName(fc.agg(F.when(F.count(F.lit(1)) > 0, "healthy").otherwise("not_found").alias("status"))
+                     .select(F.lit("ml_predictions").alias("component"), "status")))
+    table = new_path(spark, "anomaly_table")
+    out = _moment(spark, fixed, table, "before_detector")
+    md.anomalies(spark, d).write.parquet(table)
+    return out.unionByName(_moment(spark, fixed, table, "after_detector"))
+
+
+def _moment(spark, fixed, table: str, name: str):
+    """The overall status as it is now, with what the detector has left at ``table``."""
+    status, found = vl.detector_status(spark, table)
+    total = critical = F.lit(0).cast("long")
+    if found is not None:
+        total = found.select(F.count(F.lit(1))).scalar()
+        critical = found.select(F.count_if(F.col("severity") >= 3)).scalar()
+    return vl.overall_status(fixed.unionByName(status)).select(
+        F.lit(name).alias("moment"), "*", total.alias("total_anomalies"), critical.alias("critical_anomalies"))
+
+
+@register("i5_freshness_status", W(COERCED) + """,
+    landed AS (SELECT iso_code, date_trunc('day', timestamp_utc) AS day, max(timestamp_utc) AS modified
+               FROM coerced WHERE timestamp_utc IS NOT NULL GROUP BY 1, 2),
+    newest AS (SELECT iso_code, max(modified) AS newest, count(*) AS total_files FROM landed GROUP BY iso_code),
+    aged AS (SELECT *, CAST(epoch_us((SELECT max(modified) FROM landed)) - epoch_us(newest) AS DOUBLE) / 3.6e9 AS age
+             FROM newest)
+    SELECT iso_code, CASE WHEN age < 2 THEN 'healthy' ELSE 'stale' END AS status,
+           round_even(age * 10, 0) / 10 AS latest_update_hours_ago, total_files FROM aged""")
 def i5(spark, d):
-    """Age of the newest file of the events table, one, two and five hours after it was written
-    (limit 2 h).  The input is the file listing; no row of the table is read."""
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-             .load(f"{d.rstrip('/')}/events.parquet")
-             .select(F.col("path").alias("file_path"), F.col("modificationTime").alias("file_modification_time")))
-    newest = files.select(F.max("file_modification_time")).scalar()
-    out = None
-    for h in (1, 2, 5):
-        one = vl.freshness_status(files, newest + F.make_dt_interval(hours=F.lit(h)), 2.0)
-        one = one.select(F.lit(h).alias("hours_later"), "*")
-        out = one if out is None else out.unionByName(one)
-    return out
+    """Freshness of each ISO's raw feed (limit 2 h) at the moment of the newest row of all: a listing of one
+    file a day and ISO, each as old as its last row."""
+    raw = _coerced(spark, d)
+    files = raw.where("timestamp_utc is not null").groupBy("iso_code", F.to_date("timestamp_utc").alias("day")).agg(
+        F.max("timestamp_utc").alias("file_modification_time")).select(
+        "iso_code", F.concat_ws("/", "iso_code", F.col("day").cast("string")).alias("file_path"),
+        "file_modification_time")
+    files = small_side(files)
+    return vl.freshness_status(files, files.select(F.max("file_modification_time")).scalar(), 2.0, by="iso_code")
 
 
 # ---------------------------------------------------------------- insights

@@ -325,23 +325,25 @@ def m_retention(spark, d):
 
 
 @register("m_idempotent_ingest", W(COERCED, CLEANED, SGRID) + """
-    SELECT (SELECT count(*) FROM sgrid) AS rows_once, (SELECT count(*) FROM sgrid) AS rows_twice""")
+    SELECT (SELECT count(*) FROM bronze_grid) AS landed_once, (SELECT count(*) FROM bronze_grid) AS landed_twice,
+           (SELECT count(*) FROM sgrid) AS rows_once, (SELECT count(*) FROM sgrid) AS rows_twice""")
 def m_idempotent_ingest(spark, d):
     """A raw batch landed in two folders, in one of them twice (the second run
-    replaces its partitions): the silver rows read back are the same."""
+    replaces its partitions): the raw rows that lie there, and the silver rows read back, are the same."""
     from ampere.operators import clean as cl
     from ampere.sources import sinks as sk
     b = fx.bronze_grid(spark, d)
     root = new_path(spark, "bronze_landed")
-    silver = []
+    counts = None
     for name, runs in (("once", 1), ("twice", 2)):
         for _ in range(runs):
             sk.write_partitioned(b, f"{root}/{name}")
-        silver.append(cl.silver_grid(spark.read.parquet(f"{root}/{name}")))
-    once, twice = silver
-    tag = once.select(F.lit(1).alias("_o")).unionByName(twice.select(F.lit(2).alias("_o")))
-    return tag.agg(F.count_if(F.col("_o") == 1).alias("rows_once"),
-                   F.count_if(F.col("_o") == 2).alias("rows_twice"))
+        raw = spark.read.parquet(f"{root}/{name}")
+        for what, rows in ((f"landed_{name}", raw), (f"rows_{name}", cl.silver_grid(raw))):
+            one = rows.select(F.lit(what).alias("what"))
+            counts = one if counts is None else counts.unionByName(one)
+    return counts.agg(*[F.count_if(F.col("what") == w).alias(w)
+                        for w in ("landed_once", "landed_twice", "rows_once", "rows_twice")])
 
 
 _BT = [("hist", """SELECT iso_code, timestamp_utc, load_mw FROM enriched
