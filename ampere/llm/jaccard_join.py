@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ampere.llm.common import fresh, read_table
-from ampere.llm.components import components
+from ampere.llm.components import SALTS, components
 from ampere.llm.registry import query
 from ampere.llm.shingles import mix, shingle_sets
 from ampere.session import materialize
@@ -229,8 +229,12 @@ def class_components(docs: DataFrame, sk: DataFrame, width: int, percent: int) -
     roots = components(links, "op8-groups")
     member = (shared.select("cid").distinct().join(roots, F.col("cid") == F.col("node"), "left")
               .select("cid", F.coalesce("root", "cid").alias("comp")))
-    size = member.groupBy("comp").agg(F.ceil(F.count(F.lit(1)) / F.lit(GROUP)).cast("int").alias("parts"))
-    member = materialize(member.join(size, "comp").select(
+    # counted and joined by (component, salt): the classes of a large component stay spread
+    member = member.withColumn("salt", F.pmod(F.xxhash64("cid"), F.lit(SALTS)).cast("int"))
+    size = (member.groupBy("comp", "salt").agg(F.count(F.lit(1)).alias("k")).groupBy("comp")
+            .agg(F.ceil(F.sum("k") / F.lit(GROUP)).cast("int").alias("parts"), F.collect_list("salt").alias("salts"))
+            .select("comp", "parts", F.explode("salts").alias("salt")))
+    member = materialize(member.join(size, ["comp", "salt"]).select(
         "cid", "comp", F.xxhash64("comp", F.pmod(F.xxhash64("cid"), F.col("parts"))).alias("grp")), "op8-members")
 
     # the matrix: prefix tokens by group, where a token has several components
