@@ -14,15 +14,17 @@ clean documents outside the target score below those in it depends on the size
 of the corpus; the threshold moves along.  The ratio in the result is the plain
 one, also of a trusted document.
 
-Plan: the trusted ids are cut by hash into parts of about ``PART_BYTES``, and
-one part at a time is broadcast, so no text is shuffled.  The pass of the first
-part counts every document too, each other one only the texts of its ids
-(map-side combined; what is shuffled is at most ``buckets`` rows a task).  A
-second pass over the trusted texts, by the same parts, counts their ratios for
-the threshold.  The table of ratios is one array of ``buckets`` doubles (bounded by the parameter,
-not by the data), and one narrow pass scores.
-DataFrame functions only; nothing is grouped by document, so neither a hot
-source nor a very long text makes a hot task.
+Plan: one pass counts every document; another finds the trusted texts and
+writes their bucket numbers, which give the target's counts and then the ratios
+for the threshold.  The trusted ids are broadcast if they are ``PART_BYTES`` at
+most; more of them meet the texts in one shuffle join, where Spark's runtime
+Bloom filter (bounded by its own settings) may keep texts of other ids out of
+the shuffle.  So the number of passes is the same at every size.  Counts are
+map-side combined (at most ``buckets`` rows a task are shuffled).  The table of
+ratios is one array of ``buckets`` doubles (bounded by the parameter, not by the
+data), and one narrow pass scores.
+DataFrame functions only; nothing is grouped by source, and only the join of
+many trusted ids deals rows by document, so a hot source makes no hot task.
 
 Defined results: null text = no words; a text without words has ratio 0.0 and
 fails the base rule; repeated rows count each time and get the same verdict;
@@ -44,7 +46,7 @@ from ampere.session import materialize
 SYMBOLS = "#*$%&|<>"
 BUCKETS = 1 << 14      # size of the hashed n-gram space
 PRIOR = 1.0            # pseudo-count of every bucket
-PART_BYTES = 16 << 20  # trusted ids broadcast at once, as text and 16 bytes each
+PART_BYTES = 16 << 20  # trusted ids broadcast at most, as text and 16 bytes each
 LOW = 0.01             # quantile of the trusted documents' ratios, each without its own counts
 REACH = 1.5            # threshold: so many times the distance from the median to that quantile
 MIN_WORDS = 50
@@ -100,40 +102,33 @@ def with_rule_counts(docs: DataFrame, out: str, text: str = "text", width: int =
         .drop(t, w, h, s, p))
 
 
-def _parts(trusted: DataFrame, part: int) -> list[DataFrame]:
-    """The distinct ids (first column, as ``_tid``), cut by hash into tables of about ``part`` bytes."""
-    ids = materialize(trusted.select(trusted[trusted.columns[0]].alias("_tid")).where("_tid is not null").distinct(),
-                      "op9-trusted")
+def _trusted_words(docs: DataFrame, trusted: DataFrame, text: str, doc_id: str, part: int) -> DataFrame:
+    """_w: the words of every row of ``docs`` whose id is one of ``trusted`` (first column)."""
+    ids = trusted.select(trusted[trusted.columns[0]].alias("_tid")).where("_tid is not null")
     size = ids.agg(F.sum(F.octet_length(F.col("_tid").cast("string")) + 16)).first()[0] or 0
-    n = max(1, -(-size // part))
-    return [ids.where(F.pmod(F.xxhash64("_tid"), F.lit(n)) == k) for k in range(n)]
-
-
-def _marked(docs: DataFrame, ids: DataFrame, text: str, doc_id: str, how: str) -> DataFrame:
-    """_w, _of: the words of the documents, and 1 for those among ``ids`` (the only ones if ``how`` is inner)."""
     return (docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_t"))
-            .join(F.broadcast(ids), F.col("_id") == F.col("_tid"), how)
-            .select(words_of(whole_text(F.col("_t"))).alias("_w"), F.col("_tid").isNotNull().cast("int").alias("_of")))
+            .join(ids.hint("broadcast" if size <= part else "merge"), F.col("_id") == F.col("_tid"), "left_semi")
+            .select(words_of(whole_text(F.col("_t"))).alias("_w")))
 
 
 def ratio_table(docs: DataFrame, trusted: DataFrame, text: str = "text", doc_id: str = "doc_id",
                 buckets: int = BUCKETS, prior: float = PRIOR, part: int = PART_BYTES) -> DataFrame:
     """One row: ``llr``, log p_target / p_raw of every bucket, and ``threshold``.
 
-    ``trusted`` holds the ids (first column) of the target documents; about
-    ``part`` bytes of them are broadcast at a time."""
-    counts, ratios = None, None
-    parts = _parts(trusted, part)
-    for k, ids in enumerate(parts):
-        # the words are a column of their own: inside a lambda an expression runs once per element
-        one = materialize(
-            _marked(docs, ids, text, doc_id, "inner" if k else "left")
-            .select("_of", F.explode(_buckets(F.col("_w"), buckets)).alias("_b"))
-            .groupBy("_b").agg((F.lit(0).cast("long") if k else F.count(F.lit(1))).alias("raw"),
-                               F.sum("_of").alias("target")), "op9-counts")
-        counts = one if counts is None else counts.unionAll(one)
-    both = (counts.unionAll(docs.sparkSession.range(buckets).select(
-                F.col("id").cast("int"), F.lit(0).cast("long"), F.lit(0).cast("long")))
+    ``trusted`` holds the ids (first column) of the target documents; they are
+    broadcast up to ``part`` bytes."""
+    # the words are a column of their own: inside a lambda an expression runs once per element
+    words = docs.select(words_of(whole_text(F.col(text))).alias("_w"))
+    none = F.lit(0).cast("long")
+    raw_counts = (words.select(F.explode(_buckets(F.col("_w"), buckets)).alias("_b"))
+                  .groupBy("_b").agg(F.count(F.lit(1)).alias("raw"), none.alias("target")))
+    own = materialize(_trusted_words(docs, trusted, text, doc_id, part).select(
+        F.size("_w").alias("_n"), F.sort_array(_buckets(F.col("_w"), buckets)).alias("_s")), "op9-target")
+    target_counts = (own.select(F.explode("_s").alias("_b"))
+                     .groupBy("_b").agg(none.alias("raw"), F.count(F.lit(1)).alias("target")))
+    # buckets that no document has
+    rest = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("_b"), none.alias("raw"), none.alias("target"))
+    both = (raw_counts.unionAll(target_counts).unionAll(rest)
             .groupBy("_b").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")))
     arr = F.sort_array(F.array_agg(F.struct("_b", "raw", "target")))
     packed = materialize(both.agg(arr.alias("a"), F.sum("raw").alias("nr"), F.sum("target").alias("nt")), "op9-packed")
@@ -141,10 +136,7 @@ def ratio_table(docs: DataFrame, trusted: DataFrame, text: str = "text", doc_id:
     raw = F.transform("a", lambda x: F.log((x["raw"] + prior) / (F.col("nr") + mass)))
     tables = materialize(packed.select(raw.alias("raw"), F.transform("a", lambda x: x["target"]).alias("target"), "nt"),
                          "op9-tables")
-    for ids in parts:
-        docs_of = _marked(docs, ids, text, doc_id, "inner")
-        one = materialize(_without_own(docs_of, tables, buckets, prior).groupBy("_bin").count(), "op9-left-out")
-        ratios = one if ratios is None else ratios.unionAll(one)
+    ratios = _without_own(own, tables, buckets, prior).groupBy("_bin").count()
     found = ratios.agg(F.percentile("_bin", F.array(F.lit(LOW), F.lit(0.5)), F.col("count")).alias("q")).select(
         F.coalesce((F.col("q")[1] - REACH * (F.col("q")[1] - F.col("q")[0])) / 1000, F.lit(float("-inf"))).alias("t"))
     return packed.select(F.transform("a", lambda x: F.when(F.col("nt") == 0, F.lit(0.0)).otherwise(F.log(
@@ -153,8 +145,8 @@ def ratio_table(docs: DataFrame, trusted: DataFrame, text: str = "text", doc_id:
 
 
 def _without_own(trusted: DataFrame, tables: DataFrame, buckets: int, prior: float) -> DataFrame:
-    """_bin: the mean log ratio of each text ``_w`` of the target, its own counts taken out of the
-    target, in thousandths and rounded down; null for texts of fewer than ``MIN_WORDS`` words."""
+    """_bin: the mean log ratio of each text of the target (_n words, _s: its sorted bucket numbers), its
+    own counts taken out of the target, in thousandths and rounded down; null below ``MIN_WORDS`` words."""
     zero = F.struct(F.lit(-1).alias("b"), F.lit(0).alias("n"), F.lit(0.0).alias("sum"))
 
     # each table is named once: a column named twice would be copied into every row
@@ -171,8 +163,7 @@ def _without_own(trusted: DataFrame, tables: DataFrame, buckets: int, prior: flo
     size = F.size("_s")
     total = F.aggregate(F.concat(F.col("_s"), F.array(F.lit(-1))), zero, step, lambda acc: acc["sum"])
     mean = total / size - F.log((F.col("_nt") - size + F.lit(prior * buckets)).cast("double"))
-    return (trusted.select(F.size("_w").alias("_n"), F.sort_array(_buckets(F.col("_w"), buckets)).alias("_s"))
-            .select("_n", "_s", *[tables.select(c).scalar().alias(f"_{c}") for c in ("target", "raw", "nt")])
+    return (trusted.select("_n", "_s", *[tables.select(c).scalar().alias(f"_{c}") for c in ("target", "raw", "nt")])
             .select(F.when(F.col("_n") >= MIN_WORDS, F.floor(mean * 1000).cast("int")).alias("_bin")))
 
 

@@ -491,6 +491,21 @@ def test_threshold_leaves_own_counts_out(spark):
     assert none.threshold == -np.inf
 
 
+def test_many_trusted_ids_meet_texts_in_one_shuffle(spark):
+    """Beyond the broadcast bound: null, repeated and hot ids on either side, the same table, and no broadcast of ids."""
+    rows = [(k if k % 3 else 7, f"w{k % 5} v{k % 11} " * 30) for k in range(600)] + [(None, "a b"), (None, None), (3, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    ids = spark.createDataFrame([(k,) for k in [7, 7, 7, 4, 5, 3, 900, None]], "_id bigint")
+    few = quality_rules.ratio_table(docs, ids, buckets=32).first()
+    many = quality_rules.ratio_table(docs, ids, buckets=32, part=0).first()
+    assert (few.llr, few.threshold) == (many.llr, many.threshold) and np.isfinite(few.threshold)
+    joined = quality_rules._trusted_words(docs, ids, "text", "doc_id", 0)
+    assert joined.count() == sum(k in (7, 4, 5, 3) for k, _ in rows)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    assert quality_rules._trusted_words(docs, ids.where("false"), "text", "doc_id", 0).count() == 0
+
+
 def test_filters_compute_once(spark, odd):
     v = quality_rules.with_rule_counts(odd, "v")
     kept = keep_rows(v, F.col("v.n_words") >= 100).drop("v")
