@@ -39,7 +39,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ampere.llm.common import BLANKS, count_chars, fresh, read_table, whole_text, words_of
+from ampere.llm.common import BLANKS, fresh, read_table, whole_text, words_of
 from ampere.llm.registry import query
 from ampere.session import materialize
 
@@ -55,27 +55,29 @@ MAX_REPEAT_PCT = 50
 
 def _buckets(words: Column, buckets: int) -> Column:
     """Bucket numbers of the words and of the word pairs of a text."""
-    n = F.size(words)
     one = F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(buckets)).cast("int"))
-    two = F.when(n > 1, F.transform(
-        F.sequence(F.lit(0), F.greatest(n - 2, F.lit(0))),
-        lambda i: F.pmod(F.xxhash64(F.get(words, i), F.get(words, i + 1)), F.lit(buckets)).cast("int"))
-    ).otherwise(F.array().cast("array<int>"))
-    return F.concat(one, two)
+    two = F.transform(words, lambda w, i: F.pmod(F.xxhash64(w, F.get(words, i + 1)), F.lit(buckets)).cast("int"))
+    return F.concat(one, _windows_only(two, words, 2))
 
 
 def _window_hashes(words: Column, width: int) -> Column:
-    n = F.size(words)
-    return F.when(n >= width, F.transform(
-        F.sequence(F.lit(0), F.greatest(n - width, F.lit(0))),
-        lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(width)]))
-    ).otherwise(F.array().cast("array<bigint>"))
+    return _windows_only(F.transform(
+        words, lambda w, i: F.xxhash64(w, *[F.get(words, i + k) for k in range(1, width)])), words, width)
 
 
-def with_rule_counts(docs: DataFrame, out: str, text: str = "text", width: int = 3) -> DataFrame:
-    """``docs`` plus a struct ``out``: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words."""
-    t, w, h, s, p = fresh(docs, "_t", "_w", "_h", "_s", "_p")
-    lines = F.filter(F.split(F.col(t), "\n"), lambda x: F.translate(x, BLANKS, "") != "")
+def _windows_only(values: Column, words: Column, width: int) -> Column:
+    """What was computed at the starts of whole windows: the last ``width`` - 1 words start none."""
+    return F.slice(values, F.lit(1), F.greatest(F.size(words) - (width - 1), F.lit(0)))
+
+
+def with_rule_counts(docs: DataFrame, out: str, text: str = "text", width: int = 3,
+                     words: str | None = None) -> DataFrame:
+    """``docs`` plus a struct ``out``: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words.
+
+    ``words`` names a column with the words of the text, if there is one."""
+    t, w, h, s, p, q = fresh(docs, "_t", "_w", "_h", "_s", "_p", "_q")
+    # a column of their own, as they are counted twice
+    lines = F.filter(F.split(F.col(t), "\n"), lambda x: F.rlike(x, F.lit(f"[^{BLANKS}]")))
     # positions of windows whose hash occurs again: sorted by hash, a neighbour is equal
     at = F.transform(F.col(h), lambda x, i: F.struct(x.alias("h"), i.alias("i")))
     again = F.filter(F.col(s), lambda x, j: (
@@ -89,17 +91,18 @@ def with_rule_counts(docs: DataFrame, out: str, text: str = "text", width: int =
     none = F.array().cast("array<int>")
     return (
         docs.withColumn(t, whole_text(F.col(text)))
-        .withColumn(w, words_of(F.col(t)))
+        .withColumn(w, words_of(F.col(t)) if words is None else F.col(words))
         .withColumn(h, _window_hashes(F.col(w), width))
+        .withColumn(q, lines)
         .withColumn(s, F.when(F.size(F.array_distinct(F.col(h))) < F.size(F.col(h)), F.sort_array(at)))
         .withColumn(p, F.when(F.col(s).isNull(), none).otherwise(pos))
         .withColumn(out, F.struct(
             F.size(F.col(w)).cast("long").alias("n_words"),
-            F.length(F.translate(F.col(t), BLANKS, "")).cast("long").alias("word_chars"),
-            count_chars(F.col(t), SYMBOLS).alias("n_symbols"),
-            (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
+            F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
+            F.regexp_count(t, F.lit(f"[{SYMBOLS}]")).cast("long").alias("n_symbols"),
+            (F.size(q) - F.size(F.array_distinct(q))).cast("long").alias("n_dup_lines"),
             covered.alias("n_repeat_words")))
-        .drop(t, w, h, s, p))
+        .drop(t, w, h, s, p, q))
 
 
 def _trusted_words(docs: DataFrame, trusted: DataFrame, text: str, doc_id: str, part: int) -> DataFrame:
@@ -168,12 +171,12 @@ def _without_own(trusted: DataFrame, tables: DataFrame, buckets: int, prior: flo
 
 
 def with_ratio(docs: DataFrame, table: DataFrame, out: str, text: str = "text",
-               buckets: int = BUCKETS) -> DataFrame:
-    """``docs`` plus ``out``: the mean log ratio of a text's n-grams (0.0 without any)."""
+               buckets: int = BUCKETS, words: str | None = None) -> DataFrame:
+    """``docs`` plus ``out``: the mean log ratio of a text's n-grams (0.0 without any); ``words`` as above."""
     w, g, m = fresh(docs, "_w", "_g", "_m")
     total = F.aggregate(F.col(g), F.lit(0.0), lambda acc, b: acc + F.get(F.col(m), b))
     return (
-        docs.withColumn(w, words_of(whole_text(F.col(text))))
+        docs.withColumn(w, words_of(whole_text(F.col(text))) if words is None else F.col(words))
         .withColumn(g, _buckets(F.col(w), buckets))
         .withColumn(m, table.select("llr").scalar())
         .withColumn(out, F.when(F.size(F.col(g)) > 0, total / F.size(F.col(g))).otherwise(F.lit(0.0)))
@@ -184,8 +187,9 @@ def judge(docs: DataFrame, table: DataFrame, out: str, text: str = "text",
           buckets: int = BUCKETS, threshold: float | None = None) -> DataFrame:
     """``docs`` plus a struct ``out``: the counts, llr, base_failed and kept (by the table's threshold if none is given)."""
     least = table.select("threshold").scalar() if threshold is None else F.lit(threshold)
-    c, r = fresh(docs, "_counts", "_ratio")
-    df = with_ratio(with_rule_counts(docs, c, text), table, r, text, buckets)
+    c, r, w = fresh(docs, "_counts", "_ratio", "_words")
+    split = docs.withColumn(w, words_of(whole_text(F.col(text))))
+    df = with_ratio(with_rule_counts(split, c, text, words=w), table, r, text, buckets, words=w).drop(w)
     bad = ((F.col(c)["n_words"] < MIN_WORDS)
            | (100 * F.col(c)["n_repeat_words"] > MAX_REPEAT_PCT * F.col(c)["n_words"]))
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
