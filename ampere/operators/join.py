@@ -51,17 +51,21 @@ def asof_nearest(left: DataFrame, right: DataFrame, by: str = "iso_code",
     rows, table = slices(rows, ["_by", "_b"], ["_t"], {
         "_lo": F.min_by("_r", F.when(F.col("_r").isNotNull(), F.col("_t"))),
         "_hi": F.max_by("_r", F.when(F.col("_r").isNotNull(), F.col("_t")))}, split_rows)
-    inside = Window.partitionBy("_by", "_b", "_sub").orderBy("_t")
-    upto = inside.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    ahead = inside.rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    # a frame up to the end is computed anew for every row, so what lies ahead is what has been met in
+    # descending order: one step a row in both directions
+    inside = Window.partitionBy("_by", "_b", "_sub")
+    upto, ahead = (inside.orderBy(o).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+                   for o in (F.col("_t"), F.col("_t").desc()))
     near = rows.withColumns({"_p": F.last("_r", ignorenulls=True).over(upto),
-                             "_n": F.first("_r", ignorenulls=True).over(ahead)})
+                             "_n": F.last("_r", ignorenulls=True).over(ahead)})
     # the last reading before a slice and the first one after it, in time order of the slices
-    along = Window.partitionBy("_by").orderBy("_b", "_sub")
+    along = Window.partitionBy("_by")
+    earlier, later = (along.orderBy(*o).rowsBetween(Window.unboundedPreceding, -1)
+                      for o in (("_b", "_sub"), (F.col("_b").desc(), F.col("_sub").desc())))
     edges = table.where(F.col("_by").isNotNull()).select(
         F.col("_by").alias("_eby"), F.col("_b").alias("_eb"), F.col("_sub").alias("_esub"),
-        F.last("_hi", ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, -1)).alias("_before"),
-        F.first("_lo", ignorenulls=True).over(along.rowsBetween(1, Window.unboundedFollowing)).alias("_after"))
+        F.last("_hi", ignorenulls=True).over(earlier).alias("_before"),
+        F.last("_lo", ignorenulls=True).over(later).alias("_after"))
     j = near.where("_l is not null").join(
         small_side(edges), (F.col("_by") == F.col("_eby")) & (F.col("_b") == F.col("_eb"))
         & (F.col("_sub") == F.col("_esub")), "left")

@@ -57,6 +57,38 @@ def test_asof_in_hot_buckets_equals_brute_force(spark, burst, split_rows):
         assert found[x.iso_code, x.id] == want
 
 
+def test_asof_frames_end_before_or_at_the_row(spark, burst, monkeypatch):
+    """A frame up to the end is computed anew for every row: quadratic in a bucket and in a key's slices."""
+    plans, written = [], join.small_side
+
+    def plan(df):
+        return df._jdf.queryExecution().optimizedPlan().toString()
+
+    def seen(df):
+        plans.append(plan(df))
+        return written(df)
+    monkeypatch.setattr(join, "small_side", seen)
+    right = burst.select("iso_code", "timestamp_utc", F.col("load_mw").alias("temperature"))
+    plans.append(plan(join.asof_nearest(burst, right, split_rows=100)))
+    assert len(plans) == 2 and all("unboundedpreceding" in p for p in plans)
+    assert not any("unboundedfollowing" in p for p in plans)
+
+
+def test_asof_over_many_empty_slices_equals_brute_force(spark):
+    """Readings several slices away, before and after, some slices without any."""
+    left = [("a", T0 + timedelta(minutes=20 * k), k) for k in range(300)]
+    right = [("a", T0 + timedelta(minutes=20 * k, seconds=7 * k % 61), float(k)) for k in range(0, 300, 9)]
+    right.append(("b", T0, -1.0))
+    got = join.asof_nearest(spark.createDataFrame(left, "iso_code string, timestamp_utc timestamp_ntz, id int"),
+                            spark.createDataFrame(right, "iso_code string, timestamp_utc timestamp_ntz, t double"),
+                            tolerance_seconds=4800).collect()
+    found = {r.id: r.t for r in got}
+    assert len(got) == len(found) == 300
+    for _, at, k in left:
+        near = sorted((abs((t - at).total_seconds()), t, v) for key, t, v in right if key == "a")
+        assert found[k] == (near[0][2] if near[0][0] <= 4800 else None)
+
+
 def test_asof_keeps_rows_without_key_or_time(spark):
     left = spark.createDataFrame([(None, T0, 1), ("a", None, 2), ("a", T0, 3)], "iso_code string, timestamp_utc timestamp_ntz, id int")
     right = spark.createDataFrame([("a", T0, 1.0), (None, T0, 2.0), ("a", None, 3.0)],
