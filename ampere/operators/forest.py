@@ -170,26 +170,27 @@ def _forest_arrays(nodes: pd.DataFrame) -> dict:
 
 
 def tree_scores(x_all: np.ndarray, forest: tuple) -> np.ndarray:
-    """Scores of rows by one key's forest."""
+    """Scores of rows by one key's forest.  The trees' arrays are read as flat ones, and a leaf is
+    its own child, so a level is one step for every row and tree."""
     feat, thr, left, right, plen, norm, depth = forest
+    trees, width = feat.shape
+    at = np.arange(trees * width).reshape(trees, width)
+    root, leaf = at[:, 0], feat < 0
+    child = np.stack([np.where(leaf, at, root[:, None] + left), np.where(leaf, at, root[:, None] + right)], -1).ravel()
+    bound = np.where(leaf, np.inf, thr).ravel()
+    column, plen = np.where(leaf, 0, feat).ravel(), plen.ravel()
     out = np.empty(len(x_all))
-    for lo in range(0, len(x_all), 2000):         # rows x trees numbers at a time
-        x = x_all[lo:lo + 2000]
-        n, t = len(x), feat.shape[0]
-        tid = np.broadcast_to(np.arange(t), (n, t))
-        rid = np.broadcast_to(np.arange(n)[:, None], (n, t))
-        node = np.zeros((n, t), dtype=np.int64)
-        # all trees at once: one gather per level
-        for _ in range(depth + 1):
-            f = feat[tid, node]
-            inner = f >= 0
-            if not inner.any():
-                break
-            xv = x[rid, np.where(inner, f, 0)]
-            nxt = np.where(xv <= thr[tid, node], left[tid, node], right[tid, node])
-            node = np.where(inner, nxt, node)
-        eh = plen[tid, node].mean(axis=1)
-        out[lo:lo + 2000] = np.power(2.0, -eh / norm) if norm > 0 else 1.0
+    for lo in range(0, len(x_all), 500):          # rows x trees numbers at a time
+        x = x_all[lo:lo + 500]
+        n, wide = x.shape
+        x = np.where(np.isnan(x), np.inf, x).ravel()     # a missing value goes right
+        first = (np.arange(n) * wide)[:, None]
+        node = np.repeat(root[None, :], n, axis=0)
+        for _ in range(depth):
+            right_of = x.take(first + column.take(node)) > bound.take(node)
+            node = child.take(2 * node + right_of)
+        eh = plen.take(node).mean(axis=1)
+        out[lo:lo + 500] = np.power(2.0, -eh / norm) if norm > 0 else 1.0
     return out
 
 

@@ -433,14 +433,22 @@ def k6b(spark, d):
     from ampere.operators.forest import isolation_forest_flags
     t = time_features(an.min_history_gate(md.load_history(spark, d), 50))
     keys = ["iso_code", "timestamp_utc"]
-    a = isolation_forest_flags(t).select(*keys, "anomaly_score", "is_isolation_anomaly")
-    b = isolation_forest_flags(t.repartition(7, "timestamp_utc")).select(
-        *keys, F.col("is_isolation_anomaly").alias("again"))
-    share = F.count_if("is_isolation_anomaly") / F.count(F.lit(1))
-    return a.join(b, keys).groupBy("iso_code").agg(
-        F.count(F.lit(1)).alias("rows"), ((share >= 0.04) & (share <= 0.06)).alias("share_in_band"),
-        ((F.min("anomaly_score") > 0) & (F.max("anomaly_score") <= 1)).alias("scores_in_range"),
-        F.bool_and(F.col("is_isolation_anomaly") == F.col("again")).alias("same_when_dealt_anew"))
+    a = isolation_forest_flags(t).withColumn("_again", F.lit(False))
+    b = isolation_forest_flags(t.repartition(7, "timestamp_utc")).withColumn("_again", F.lit(True))
+    # every row of a with every row of b at its key and time, by their numbers instead of pair by pair
+    again, flag, score = F.col("_again"), F.col("is_isolation_anomaly"), F.col("anomaly_score")
+    at = a.unionByName(b).where("timestamp_utc is not null").groupBy(*keys).agg(
+        F.count_if(~again).alias("_n"), F.count_if(~again & flag).alias("_flagged"),
+        F.count_if(again).alias("_m"), F.count_if(again & flag).alias("_flagged_again"),
+        F.min(F.when(~again, score)).alias("_least"), F.max(F.when(~again, score)).alias("_most"))
+    rows, flagged = F.sum(F.col("_n") * F.col("_m")), F.sum(F.col("_flagged") * F.col("_m"))
+    apart = (F.col("_flagged") * (F.col("_m") - F.col("_flagged_again"))
+             + (F.col("_n") - F.col("_flagged")) * F.col("_flagged_again"))
+    share = flagged / rows
+    return at.where("_n > 0 and _m > 0").groupBy("iso_code").agg(
+        rows.alias("rows"), ((share >= 0.04) & (share <= 0.06)).alias("share_in_band"),
+        ((F.min("_least") > 0) & (F.max("_most") <= 1)).alias("scores_in_range"),
+        F.bool_and(apart == 0).alias("same_when_dealt_anew"))
 
 
 @register("k8c_votes_contained", W(E, *AN_CTES) + """

@@ -5,6 +5,8 @@ import subprocess
 import sys
 from pathlib import Path
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from ampere.operators import forest
@@ -50,6 +52,45 @@ def test_missing_features_take_the_mean(spark):
     assert _flags(holes) == _flags(filled)
 
 
+def test_scores_equal_a_walk_of_the_trees():
+    """Row by row and tree by tree, missing and infinite values too."""
+    rng = np.random.default_rng(3)
+    features = ["a", "b"]
+    parts = []
+    for tree in range(7):
+        x = pd.DataFrame(rng.normal(size=(20, 2)), columns=features).assign(_key="K", _tree=tree, _psi=20)
+        parts.append(forest._builder(features, 1)(x))
+    nodes = pd.concat(parts)
+    at = {(r.tree, r.node): r for r in nodes.itertuples()}
+    rows = rng.normal(size=(1100, 2))
+    rows[3, 0], rows[4, 1], rows[5, 0] = np.nan, np.inf, -np.inf
+    want = []
+    for row in rows:
+        lengths = []
+        for tree in range(7):
+            r = at[tree, 0]
+            while r.feature >= 0:
+                r = at[tree, r.left if row[r.feature] <= r.threshold else r.right]
+            lengths.append(r.depth + float(forest.c_factor(r.size)))
+        want.append(2.0 ** (-np.mean(lengths) / float(forest.c_factor(20))))
+    f, = forest._forest_arrays(nodes).values()
+    assert np.allclose(forest.tree_scores(rows, f), want, rtol=1e-13, atol=0)
+
+
+def test_the_two_deals_are_not_joined_row_by_row(spark, tmp_path):
+    """Rows that share a key and a time are compared by their numbers: no join on the time."""
+    from ampere.plans.catalog import all_queries
+    spark.range(240).select(
+        F.col("id").alias("event_id"), F.timestamp_seconds(F.floor(F.col("id") / 4) * 60).cast("timestamp_ntz").alias("ts"),
+        F.lit(1).cast("long").alias("user_id"), F.concat(F.lit("k"), F.col("id") % 2).alias("event_type"),
+        F.col("id").cast("double").alias("value"), F.lit("{}").alias("props")).write.parquet(f"{tmp_path}/events.parquet")
+    found = all_queries()["k6b_forest_checks"].build(spark, str(tmp_path))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("timestamp_utc" in line for line in plan.splitlines() if "Join " in line)
+    # 60 times of 2 rows a key: every row meets both of its time
+    assert {r.iso_code: r.rows for r in found.collect()} == {"K0": 240, "K1": 240}
+
+
 def test_workers_find_the_package_from_any_folder(tmp_path):
     code = (f"import sys; sys.path.insert(0, {str(REPO)!r})\n"
             "from ampere.session import local_test_session\n"
