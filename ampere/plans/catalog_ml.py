@@ -416,12 +416,17 @@ def k12b(spark, d):
     from ampere.session import new_path
     e = md.silver_enriched(spark, d)
     model, _ = train_and_evaluate(e, num_trees=10, max_depth=6)
-    again = load_and_score(save_model(model, new_path(spark, "rf_model")), e)
-    keys = ["iso_code", "timestamp_utc", "id"]
-    a = model.transform(training_frame(e)).select(*keys, F.col("prediction").alias("fitted"))
-    j = again.select(*keys, "prediction").join(a, keys)
-    return j.agg(F.count(F.lit(1)).alias("rows"),
-                 F.count_if(F.col("prediction") != F.col("fitted")).alias("differing"))
+    keys, again = ["iso_code", "timestamp_utc", "id"], F.col("_again")
+    a = model.transform(training_frame(e)).select(*keys, "prediction", F.lit(False).alias("_again"))
+    b = load_and_score(save_model(model, new_path(spark, "rf_model")), e).select(
+        *keys, "prediction", F.lit(True).alias("_again"))
+    # every row of a with every row of b at its keys, by their numbers instead of pair by pair
+    n, m = F.col("_n"), F.col("_m")
+    at = (a.unionByName(b).dropna(subset=keys).groupBy(*keys, "prediction")
+          .agg(F.count_if(~again).alias("_n"), F.count_if(again).alias("_m")).groupBy(*keys)
+          .agg(F.sum(n).alias("_n"), F.sum(m).alias("_m"), F.sum(n * m).alias("_alike")))
+    return at.agg(F.coalesce(F.sum(n * m), F.lit(0)).alias("rows"),
+                  F.coalesce(F.sum(n * m - F.col("_alike")), F.lit(0)).alias("differing"))
 
 
 @register("k6b_forest_checks", W(E, *AN_CTES[:1]) + """
