@@ -7,6 +7,7 @@ humidity and a one-hot ISO vector (unseen ISOs kept in an extra slot).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -25,6 +26,7 @@ MIN_TRAIN_ROWS = 100
 CATEGORICAL = ("iso_code",)
 NUMERIC = ("hour_of_day", "day_of_week", "temperature", "wind_speed", "humidity")
 TEST_EVERY = 5          # one row in five is for the test
+TASK_ROWS = 1_000_000   # training rows a task
 
 
 def training_frame(df: DataFrame) -> DataFrame:
@@ -54,6 +56,18 @@ def split_rows(df: DataFrame, row_key: str = "id", every: int = TEST_EVERY) -> t
     return df.where(~test), df.where(test)
 
 
+def dealt_evenly(df: DataFrame, task_rows: int | None = None) -> DataFrame:
+    """Rows in partitions of about ``task_rows`` at most; where none holds more, ``df`` stays as it is.
+
+    A scan makes about as many partitions as there are cores, up to its byte limit, and the forest holds
+    a partition's binned rows and bag counts as one block and walks them in every pass: without this,
+    task and block grow with the table."""
+    task_rows = task_rows or TASK_ROWS
+    sizes = df.select(F.spark_partition_id().alias("_p")).groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
+    rows, largest, parts = sizes.agg(F.sum("_n"), F.max("_n"), F.count("_n")).first()
+    return df if (largest or 0) <= task_rows else df.repartition(max(parts, math.ceil(rows / task_rows)))
+
+
 def train_and_evaluate(df: DataFrame, num_trees: int = NUM_TREES, max_depth: int = MAX_DEPTH,
                        seed: int = SEED, row_key: str = "id"):
     """K10 + K11: fit on four fifths of the rows; return (model, metrics
@@ -61,7 +75,7 @@ def train_and_evaluate(df: DataFrame, num_trees: int = NUM_TREES, max_depth: int
     t = training_frame(df)
     assert_min_rows(t, MIN_TRAIN_ROWS)          # B14: too little weather -> stop
     train, test = split_rows(t, row_key)
-    model = forest_pipeline(numTrees=num_trees, maxDepth=max_depth, seed=seed).fit(train)
+    model = forest_pipeline(numTrees=num_trees, maxDepth=max_depth, seed=seed).fit(dealt_evenly(train))
     return model, evaluate(model.transform(test), train)
 
 
