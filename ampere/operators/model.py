@@ -26,7 +26,7 @@ MIN_TRAIN_ROWS = 100
 CATEGORICAL = ("iso_code",)
 NUMERIC = ("hour_of_day", "day_of_week", "temperature", "wind_speed", "humidity")
 TEST_EVERY = 5          # one row in five is for the test
-TASK_ROWS = 1_000_000   # training rows a task
+TASK_ROWS = 250_000     # training rows a task
 
 
 def training_frame(df: DataFrame) -> DataFrame:
@@ -56,16 +56,20 @@ def split_rows(df: DataFrame, row_key: str = "id", every: int = TEST_EVERY) -> t
     return df.where(~test), df.where(test)
 
 
-def dealt_evenly(df: DataFrame, task_rows: int | None = None) -> DataFrame:
+def dealt_evenly(df: DataFrame, along: Sequence[str] = (*CATEGORICAL, *NUMERIC),
+                 task_rows: int | None = None) -> DataFrame:
     """Rows in partitions of about ``task_rows`` at most; where none holds more, ``df`` stays as it is.
 
     A scan makes about as many partitions as there are cores, up to its byte limit, and the forest holds
     a partition's binned rows and bag counts as one block and walks them in every pass: without this,
-    task and block grow with the table."""
+    task and block grow with the table.  Rows alike in ``along`` follow each other, since rows that end in
+    the same nodes are counted faster in a row than mixed."""
     task_rows = task_rows or TASK_ROWS
     sizes = df.select(F.spark_partition_id().alias("_p")).groupBy("_p").agg(F.count(F.lit(1)).alias("_n"))
     rows, largest, parts = sizes.agg(F.sum("_n"), F.max("_n"), F.count("_n")).first()
-    return df if (largest or 0) <= task_rows else df.repartition(max(parts, math.ceil(rows / task_rows)))
+    if (largest or 0) <= task_rows:
+        return df
+    return df.repartition(max(parts, math.ceil(rows / task_rows))).sortWithinPartitions(*along)
 
 
 def train_and_evaluate(df: DataFrame, num_trees: int = NUM_TREES, max_depth: int = MAX_DEPTH,

@@ -60,4 +60,4 @@ def test_training_rows_are_dealt_into_bounded_tasks(spark, monkeypatch):
     for m in (whole, dealt):
         r = m.first()
         assert (r.train_rows, r.test_rows) == (4000, 1000)
-    assert model.dealt_evenly(df, 5000) is df and model.dealt_evenly(df.limit(0)).count() == 0
+    assert model.dealt_evenly(df, task_rows=5000) is df and model.dealt_evenly(df.limit(0)).count() == 0
